@@ -1,53 +1,126 @@
 """Keyed view store on Parquet with upsert semantics.
 
-A view is a folder of versions ``<root>/version=<n>``. Writing version ``n``
-replaces only that folder, so a replayed micro-batch or a re-run of a batch
-job with the same version number is harmless. Reading a view returns, for
-every key, the row of the highest version that holds the key — rows whose key
-is absent from a newer version stay visible, exactly like an insert into a
-key/value table.
-
-The merge is a hash aggregation with ``max_by`` (partial aggregation before
-the shuffle), so a key present in many versions never gathers in one task.
+Layout::
+
+    <root>/kind=delta/version=<n>/   rows whose keys changed in write n
+    <root>/kind=full/version=<n>/    every key of the view as of write n
+
+Writing version ``n`` replaces only its own folder, so a replayed micro-batch
+or a re-run with the same version number is harmless. Reading returns, for
+every key, the row of the highest version that holds the key — keys absent
+from a newer write stay visible, exactly like an insert into a key/value
+table. A full snapshot makes every older version redundant, so reads prune
+them by partition (only the newest snapshot and later deltas are scanned).
+
+The merge is a hash/sort aggregation with ``max_by`` and map-side partial
+aggregation, so a key present in many versions never gathers in one task.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+KIND = "kind"
 VERSION = "version"
+DELTA = "delta"
+FULL = "full"
 
 
-def version_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/{VERSION}={int(version)}"
+def version_path(root: str, version: int, kind: str = DELTA) -> str:
+    return f"{root.rstrip('/')}/{KIND}={kind}/{VERSION}={int(version)}"
 
 
-def write_version(df: DataFrame, root: str, version: int) -> None:
+def write_version(df: DataFrame, root: str, version: int, kind: str = DELTA) -> None:
     """Write one version of a view; keys must be unique within ``df``."""
-    df.write.mode("overwrite").parquet(version_path(root, version))
+    df.write.mode("overwrite").parquet(version_path(root, version, kind))
+
+
+def upsert_view(df: DataFrame, root: str, key_cols: list[str], version: int) -> None:
+    """Upsert rows into a view. Several rows with one key in ``df`` leave one
+    (deterministically the greatest), as a key/value insert would."""
+    values = [c for c in df.columns if c not in key_cols]
+    unique = df.groupBy(*key_cols).agg(F.max(F.struct(*values)).alias("_row"))
+    write_version(unique.select(*key_cols, "_row.*"), root, version)
+
+
+def _scan(spark: SparkSession, root: str) -> DataFrame | None:
+    try:
+        return spark.read.option("basePath", root).parquet(root)
+    except AnalysisException:
+        return None
+
+
+def latest_snapshot(spark: SparkSession, root: str) -> int | None:
+    """Version of the newest full snapshot (a one-row aggregate over the
+    partition columns), or None."""
+    raw = _scan(spark, root)
+    if raw is None:
+        return None
+    row = raw.filter(F.col(KIND) == FULL).agg(F.max(VERSION).alias("v")).first()
+    return None if row is None or row.v is None else int(row.v)
+
+
+def _merge(raw: DataFrame, key_cols: list[str], order_col: str) -> DataFrame:
+    values = [c for c in raw.columns if c not in key_cols and c not in (KIND, VERSION, order_col)]
+    merged = raw.groupBy(*key_cols).agg(F.max_by(F.struct(*values), F.col(order_col)).alias("_row"))
+    return merged.select(*key_cols, *[F.col(f"_row.{c}").alias(c) for c in values])
 
 
 def read_view(
     spark: SparkSession,
     root: str,
     key_cols: list[str],
-    schema: StructType | None = None,
     min_version: int | None = None,
+    max_version: int | None = None,
+    use_snapshots: bool = True,
 ) -> DataFrame:
-    """Current state of a view: latest version per key."""
-    reader = spark.read
-    if schema is not None:
-        from pyspark.sql.types import LongType, StructField
+    """Current state of a view: latest version per key.
 
-        reader = reader.schema(StructType(schema.fields + [StructField(VERSION, LongType())]))
-    raw = reader.parquet(root)
+    Versions older than the newest full snapshot are skipped by partition
+    pruning; ``max_version`` (inclusive) reads the view as of that write."""
+    raw = _scan(spark, root)
+    if raw is None:
+        raise FileNotFoundError(f"no view at {root}")
+    if use_snapshots and min_version is None:
+        snap = raw.filter(F.col(KIND) == FULL)
+        if max_version is not None:
+            snap = snap.filter(F.col(VERSION) <= max_version)
+        row = snap.agg(F.max(VERSION).alias("v")).first()
+        min_version = None if row is None else row.v
     if min_version is not None:
         raw = raw.filter(F.col(VERSION) >= min_version)
-    values = [c for c in raw.columns if c not in key_cols and c != VERSION]
-    merged = raw.groupBy(*key_cols).agg(
-        F.max_by(F.struct(*values), F.col(VERSION)).alias("_row")
-    )
-    return merged.select(*key_cols, *[F.col(f"_row.{c}").alias(c) for c in values])
+    if max_version is not None:
+        raw = raw.filter(F.col(VERSION) <= max_version)
+    return _merge(raw, key_cols, VERSION)
 
+
+def compact_view(
+    spark: SparkSession,
+    root: str,
+    key_cols: list[str],
+    version: int,
+    newest: DataFrame | None = None,
+) -> None:
+    """Write a full snapshot as version ``version``: the view as of the
+    previous version, overlaid with ``newest`` (the rows of write ``version``
+    itself, if any). Only folders below ``version`` are read, so replaying
+    the same compaction never reads the folder it replaces."""
+    prior = None
+    if _scan(spark, root) is not None and version > 0:
+        try:
+            prior = read_view(spark, root, key_cols, max_version=version - 1)
+        except FileNotFoundError:
+            prior = None
+    if newest is None and prior is None:
+        raise ValueError("nothing to compact")
+    parts = []
+    if prior is not None:
+        parts.append(prior.withColumn("_order", F.lit(0)))
+    if newest is not None:
+        parts.append(newest.withColumn("_order", F.lit(1)))
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    write_version(_merge(both, key_cols, "_order"), root, version, FULL)

@@ -13,8 +13,9 @@ watermark is needed. The query runs in update mode; every micro-batch writes
 the absolute state of the keys it changed into the view store as version
 ``batch_id`` (see ``sources.store``). A replayed batch id rewrites the same
 folder with the same rows, so the sink is idempotent and, with the
-checkpointed state, the counts are exactly-once. A restart continues from the
-checkpointed offsets and state.
+checkpointed state, the counts are exactly-once. Every ``compact_every``-th
+batch writes a full snapshot instead, bounding what a reader merges. A
+restart continues from the checkpointed offsets and state.
 
 The same ``speed_state`` function runs on a batch DataFrame of the message
 log, which is how the tests prove stream = batch.
@@ -30,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ratinglens.functions.scalar import parse_reports, report_json
 from ratinglens.schemas import REPORT_FIELDS, SUBMISSION_FIELDS
-from ratinglens.sources.store import read_view, write_version
+from ratinglens.sources.store import compact_view, read_view, write_version
 
 ORDER_COLS = ("ts", "seq")
 
@@ -151,14 +152,21 @@ def start_speed_layer(
     available_now: bool = False,
     rejects_root: str | None = None,
     query_name: str | None = None,
+    compact_every: int | None = 500,
 ) -> StreamingQuery:
     """Start the speed-layer query: update-mode aggregation → versioned
-    upsert of the view store in ``foreachBatch``."""
+    upsert of the view store in ``foreachBatch``.
+
+    Every ``compact_every``-th micro-batch writes a full snapshot instead of
+    a delta, so readers never merge more than ``compact_every`` folders."""
     parsed = parse_messages(messages, order_cols)
     state = speed_state(parsed, order_cols)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        write_version(batch, view_root, batch_id)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            compact_view(batch.sparkSession, view_root, ["fide_id"], batch_id, newest=batch)
+        else:
+            write_version(batch, view_root, batch_id)
 
     writer = (
         state.writeStream.outputMode("update")
@@ -167,8 +175,8 @@ def start_speed_layer(
     )
     if query_name:
         writer = writer.queryName(query_name)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    query = writer.start()
+    trigger = {"availableNow": True} if available_now else {"processingTime": processing_time}
+    query = writer.trigger(**trigger).start()
     if rejects_root:
         (
             rejected_messages(parsed, order_cols)
@@ -176,12 +184,33 @@ def start_speed_layer(
             .format("parquet")
             .option("path", rejects_root)
             .option("checkpointLocation", checkpoint.rstrip("/") + "-rejects")
-            .trigger(**({"availableNow": True} if available_now else {"processingTime": processing_time}))
+            .trigger(**trigger)
             .start()
         )
     return query
 
 
+def run_speed_layer(
+    spark: SparkSession,
+    brokers: str,
+    topic: str,
+    view_root: str,
+    checkpoint: str,
+    starting_offsets: str = "latest",
+) -> None:
+    """Production entry: Kafka topic → speed views, 2-second micro-batches,
+    runs until terminated. Restarts resume from ``checkpoint``."""
+    messages = read_kafka_messages(spark, brokers, topic, starting_offsets)
+    start_speed_layer(
+        messages,
+        view_root,
+        checkpoint,
+        order_cols=("ts", "part", "seq"),
+        rejects_root=view_root.rstrip("/") + "-rejects",
+    )
+    spark.streams.awaitAnyTermination()
+
+
 def debug_sink(df: DataFrame, rows: int = 10) -> StreamingQuery:
     """Console output of the first rows of every micro-batch (debugging only)."""
     return (

@@ -7,7 +7,8 @@ import os
 from conftest import rows
 
 from ratinglens.streaming import speed
-from ratinglens.sources.store import read_view, write_version
+from ratinglens.plans.explain import partition_filters
+from ratinglens.sources.store import compact_view, latest_snapshot, read_view, upsert_view, write_version
 
 
 def _msg(seq, fide_id, std, rapid="1", blitz="2", extra=None, drop=None):
@@ -38,11 +39,11 @@ FILE1 = (
 FILE2 = [_msg(17, "1", "4000"), _msg(18, "7", "500")]                          # later updates
 
 
-def _run(spark, src, root, name):
+def _run(spark, src, root, name, compact_every=None):
     q = speed.start_speed_layer(
         speed.read_message_files(spark, src, max_files_per_trigger=1),
         f"{root}/view", f"{root}/ckpt", available_now=True,
-        rejects_root=f"{root}/rejects", query_name=name,
+        rejects_root=f"{root}/rejects", query_name=name, compact_every=compact_every,
     )
     speed.run_until_caught_up(q, 120)
     for other in spark.streams.active:
@@ -85,6 +86,39 @@ def test_same_result_for_one_or_many_files(spark, tmp_dir):
     assert rows(a) == rows(b) == rows(_batch_state(spark, one))
 
 
+def test_compaction_keeps_results_and_prunes(spark, tmp_dir):
+    many = f"{tmp_dir}/many"
+    msgs = FILE1 + FILE2
+    for i in range(0, len(msgs), 3):
+        _write_file(many, f"f{i:03d}.json", msgs[i:i + 3])
+    state = _run(spark, many, f"{tmp_dir}/c", "compacted", compact_every=2)
+    assert rows(state) == rows(_batch_state(spark, many))
+    view = f"{tmp_dir}/c/view"
+    assert latest_snapshot(spark, view) == 6
+    # a read after the snapshot scans only the snapshot and later deltas
+    scanned = read_view(spark, view, ["fide_id"])
+    assert any("version" in f and "6" in f for f in partition_filters(scanned))
+
+
+def test_compact_view_replay_is_harmless(spark, tmp_dir):
+    root = f"{tmp_dir}/store"
+    schema = "fide_id string, v string"
+    write_version(spark.createDataFrame([("a", "1"), ("b", "1")], schema), root, 0)
+    newest = spark.createDataFrame([("a", "2")], schema)
+    compact_view(spark, root, ["fide_id"], 1, newest=newest)
+    compact_view(spark, root, ["fide_id"], 1, newest=newest)  # replayed batch
+    write_version(spark.createDataFrame([("c", "3")], schema), root, 2)
+    assert rows(read_view(spark, root, ["fide_id"])) == [("a", "2"), ("b", "1"), ("c", "3")]
+    assert rows(read_view(spark, root, ["fide_id"], max_version=0)) == [("a", "1"), ("b", "1")]
+
+
+def test_upsert_view_dedups(spark, tmp_dir):
+    root = f"{tmp_dir}/up"
+    df = spark.createDataFrame([("a", "1"), ("a", "9"), ("b", "2")], "fide_id string, v string")
+    upsert_view(df, root, ["fide_id"], 0)
+    assert rows(read_view(spark, root, ["fide_id"])) == [("a", "9"), ("b", "2")]
+
+
 def test_view_store_upsert_and_replay(spark, tmp_dir):
     root = f"{tmp_dir}/store"
     schema = "fide_id string, v string"
