@@ -125,16 +125,20 @@ def player_page(
 ) -> DataFrame:
     """Monthly history ⟕ games count ⟕ live rating (suffix ``_curr``).
 
-    Both joins are on fide_id, so the second reuses the partitioning of the
-    first. ``has_count`` / ``has_live`` tell the cases apart; ``strict``
-    reproduces the page that hides a live rating when no count exists."""
+    Count and live row are first merged into one status row per player (both
+    sides are unique per fide_id, so that join cannot skew); the history is
+    then joined once, at the top of the plan, where AQE may split the
+    partition of a player with very many history rows. ``has_count`` /
+    ``has_live`` tell the cases apart; ``strict`` reproduces the page that
+    hides a live rating when no count exists."""
     c = _by_id(counts, fide_id).select("fide_id", "games_count", F.lit(True).alias("has_count"))
     live = _by_id(latest, fide_id).select(
         "fide_id",
         *[F.col(r).alias(f"{r}_curr") for r in RATING_COLS],
         F.lit(True).alias("has_live"),
     )
-    page = _by_id(history, fide_id).join(c, "fide_id", "left").join(live, "fide_id", "left")
+    status = c.join(live, "fide_id", "full")
+    page = _by_id(history, fide_id).join(status, "fide_id", "left")
     has_count = F.coalesce(F.col("has_count"), F.lit(False))
     has_live = F.coalesce(F.col("has_live"), F.lit(False))
     show_live = has_live & has_count if strict else has_live
