@@ -24,6 +24,13 @@ DEFAULT_CONF = {
     # Split a skewed join partition even when that costs one extra shuffle
     # (e.g. a join whose output feeds an aggregation on the same key).
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Speed-layer state lives in RocksDB (off-heap, spills to local disk)
+    # with changelog checkpointing, so state size is not bound by executor
+    # heap. Fixed in the checkpoint at a query's first start.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
