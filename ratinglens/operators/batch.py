@@ -133,12 +133,13 @@ def rating_counts(joined: DataFrame) -> DataFrame:
 def current_rating(ratings: DataFrame) -> DataFrame:
     """One row per player: the ratings of the player's latest month.
 
-    ``max_by`` over (year, month) — a partial aggregate, deterministic because
-    the fact is unique per player-month."""
-    order = F.struct("year", "month")
-    row = F.struct("year", "month", *RATING_COLS)
-    latest = ratings.groupBy("fide_id").agg(F.max_by(row, order).alias("_row"))
-    return latest.select("fide_id", *[F.col(f"_row.{c}").alias(c) for c in ["year", "month", *RATING_COLS]])
+    One ``max_by`` per column over a single month index: every buffer is a
+    fixed-width long, so this stays a hash aggregate with partial
+    aggregation. The index is unique per player (the fact is unique per
+    player-month), so all columns come from the same row."""
+    month_index = F.col("year") * 12 + F.col("month")
+    cols = ["year", "month", *RATING_COLS]
+    return ratings.groupBy("fide_id").agg(*[F.max_by(c, month_index).alias(c) for c in cols])
 
 
 def summary(joined: DataFrame) -> DataFrame:
