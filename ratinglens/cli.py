@@ -1,7 +1,7 @@
 """Job entry points (``spark-submit -m``-style or ``python -m ratinglens.cli``).
 
-    build   --players P --ratings R --dst D [--raw-names]   delimited text → views
-    tables  --sf-dir S --dst D                              driver tables → views
+    build   --players P --ratings R --dst D [--raw-names] [--buckets N]   text → views
+    tables  --sf-dir S --dst D [--buckets N]                             tables → views
     speed   --brokers B --topic T --views V --checkpoint C  Kafka → speed views
     files   --source F --views V --checkpoint C             message files → speed views
 
@@ -28,10 +28,14 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--ratings", required=True)
     b.add_argument("--dst", required=True)
     b.add_argument("--raw-names", action="store_true", help="players file has one quoted 'Last, First' field")
+    b.add_argument("--buckets", type=int, help="also register player-keyed views as tables bucketed on fide_id")
+    b.add_argument("--table-prefix", default="")
 
     t = sub.add_parser("tables")
     t.add_argument("--sf-dir", required=True)
     t.add_argument("--dst")
+    t.add_argument("--buckets", type=int)
+    t.add_argument("--table-prefix", default="")
 
     s = sub.add_parser("speed")
     s.add_argument("--brokers", required=True)
@@ -56,7 +60,7 @@ def main(argv: list[str] | None = None) -> None:
             else delimited.read_players(spark, args.players)
         )
         ratings = delimited.read_ratings(spark, args.ratings)
-        print(json.dumps(build_views(spark, players, ratings, args.dst)))
+        print(json.dumps(build_views(spark, players, ratings, args.dst, args.buckets, args.table_prefix)))
     elif args.cmd == "tables":
         dst = args.dst or scratch_dir(spark, "views")
         paths = build_views(
@@ -64,6 +68,8 @@ def main(argv: list[str] | None = None) -> None:
             tables.players_from_tables(spark, args.sf_dir),
             tables.ratings_from_tables(spark, args.sf_dir),
             dst,
+            args.buckets,
+            args.table_prefix,
         )
         print(json.dumps(paths))
     elif args.cmd == "speed":

@@ -95,25 +95,49 @@ VIEW_NAMES = (
 )
 
 
+# Views keyed by player: bucketed on fide_id when buckets are requested.
+PLAYER_KEYED = ("players_and_ratings", "history", "by_year", "id_count", "current_rating")
+
+
 def build_views(
-    spark: SparkSession, players: DataFrame, ratings: DataFrame, dst: str
+    spark: SparkSession,
+    players: DataFrame,
+    ratings: DataFrame,
+    dst: str,
+    buckets: int | None = None,
+    table_prefix: str = "",
 ) -> dict[str, str]:
     """Batch layer: clean inputs → joined table → every batch view.
 
-    Returns the path of each written view. Re-running replaces the views."""
+    Returns the path of each written view. Re-running replaces the views.
+
+    With ``buckets``, the player-keyed views are also catalog tables
+    ``<table_prefix><name>`` bucketed and sorted on fide_id (files stay at the
+    returned paths), so joins between them and aggregations by player read
+    co-located buckets instead of shuffling the largest view."""
     dst = dst.rstrip("/")
     paths = {name: f"{dst}/{name}" for name in VIEW_NAMES}
     players = batch.clean_players(players)
     ratings = batch.clean_ratings(ratings)
 
     def put(df: DataFrame, name: str, order: list[str], partition_by: list[str] | None = None) -> None:
+        if buckets and name in PLAYER_KEYED:
+            writer = df.write.mode("overwrite").option("path", paths[name])
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            writer.bucketBy(buckets, "fide_id").sortBy(*order).saveAsTable(table_prefix + name)
+            return
         # The partitioned writer needs its input ordered by the partition
         # columns first; leading with them keeps the lookup order inside.
         keys = list(partition_by or []) + order
         write_table(df.sortWithinPartitions(*keys), paths[name], partition_by)
 
     put(batch.players_and_ratings(players, ratings), "players_and_ratings", ["fide_id", "month"], ["year"])
-    joined = spark.read.parquet(paths["players_and_ratings"])
+    joined = (
+        spark.table(table_prefix + "players_and_ratings")
+        if buckets
+        else spark.read.parquet(paths["players_and_ratings"])
+    )
 
     put(batch.history_view(joined), "history", ["fide_id", "month"], ["year"])
     put(batch.id_name_view(players), "id_name", ["first_name", "last_name"])
@@ -124,5 +148,14 @@ def build_views(
     return paths
 
 
-def read_views(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(path) for name, path in paths.items()}
+def read_views(
+    spark: SparkSession, paths: dict[str, str], table_prefix: str | None = None
+) -> dict[str, DataFrame]:
+    """The views as DataFrames; with ``table_prefix`` the bucketed catalog
+    tables are used for the player-keyed views."""
+    return {
+        name: spark.table(table_prefix + name)
+        if table_prefix is not None and name in PLAYER_KEYED
+        else spark.read.parquet(path)
+        for name, path in paths.items()
+    }

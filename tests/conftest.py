@@ -13,7 +13,12 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", "ratinglens-tests", shuffle_partitions=4)
+    s = build_session(
+        "local[4]",
+        "ratinglens-tests",
+        shuffle_partitions=4,
+        extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ratinglens-wh-")},
+    )
     yield s
     s.stop()
 

@@ -102,3 +102,24 @@ def test_speed_query_matches_batch(spark):
     assert rows(counts) == rows(model_from_tables(spark, SF_SMALL).stream_counts)
     assert os.path.isdir("/root/testdata")
     assert tables is not None and batch is not None
+
+
+def test_bucketed_views_join_without_shuffling_history(spark, tmp_dir):
+    import uuid
+
+    prefix = f"t{uuid.uuid4().hex[:8]}_"
+    m = model_from_tables(spark, SF_SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        paths = build_views(spark, m.players, m.ratings, f"{tmp_dir}/bviews", buckets=4, table_prefix=prefix)
+        bucketed = read_views(spark, paths, prefix)
+        plain = read_views(spark, paths)
+        page_b = lookup.player_page(bucketed["history"], bucketed["id_count"], m.live)
+        page_p = lookup.player_page(plain["history"], plain["id_count"], m.live)
+        text_b, text_p = plan_text(page_b, "simple"), plan_text(page_p, "simple")
+        assert "Bucketed: true" in text_b
+        assert text_b.count("Exchange hashpartitioning") < text_p.count("Exchange hashpartitioning")
+        assert rows(page_b) == rows(page_p)
+        assert rows(bucketed["id_count"]) == rows(m.batch_counts)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
