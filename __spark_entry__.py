@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ratinglens.operators import batch, cells, lookup, series
 from ratinglens.plans.build import model_from_tables
@@ -106,6 +107,13 @@ def q_split_name(spark, sf):
     return delimited.normalise_players(delimited.read_players_raw(spark, path))
 
 
+def q_name_quality(spark, sf):
+    """Shape of the raw "Last, First" names of the written player file."""
+    path = scratch_dir(spark, "players-raw-csv")
+    delimited.write_players_raw(tables.players_from_tables(spark, sf), path)
+    return delimited.name_quality(delimited.read_players_raw(spark, path))
+
+
 def q_latest_version(spark, sf):
     subs = tables.submissions_from_tables(spark, sf)
     return cells.latest_version(subs, ["fide_id"], ["ts", "seq"])
@@ -129,8 +137,6 @@ def q_player_month(spark, sf):
 
 def q_player_month_bulk(spark, sf):
     """One ``ID_month_year`` lookup per order of the orders table."""
-    from pyspark.sql import functions as F
-
     o = tables.load(spark, sf, "orders")
     req = o.select(
         F.concat_ws(
@@ -391,6 +397,14 @@ _ORACLE = {
     "scan_ratings": "SELECT * FROM ratings",
     "scan_players": "SELECT * FROM players",
     "split_name": "SELECT * FROM players",
+    "name_quality": """
+        SELECT shape, count(*) AS n_rows FROM (
+          SELECT CASE WHEN name IS NULL THEN 'null'
+                      WHEN length(name) - length(replace(name, ',', '')) = 1 THEN 'ok'
+                      WHEN length(name) - length(replace(name, ',', '')) = 0 THEN 'no_comma'
+                      ELSE 'extra_comma' END AS shape
+          FROM (SELECT last_name || ', ' || first_name AS name FROM players)
+        ) GROUP BY shape""",
     "latest_version": """
         SELECT fide_id, first_name, last_name, rating_standard, rating_rapid, rating_blitz, ts, seq
         FROM latest_sub""",

@@ -48,11 +48,10 @@ def player_month_bulk(history: DataFrame, requests: DataFrame, key_col: str = "l
         (req._fide_id == hist.fide_id) & (req._year == hist.year) & (req._month == hist.month)
     )
     joined = req.join(hist, cond, "left")
-    cols = [c for c in history.columns]
     return joined.select(
         F.col(key_col),
         F.coalesce(F.col("_hit"), F.lit(False)).alias("found"),
-        *[hist[c] for c in cols],
+        *[hist[c] for c in history.columns],
     )
 
 
@@ -143,9 +142,8 @@ def player_page(
     has_live = F.coalesce(F.col("has_live"), F.lit(False))
     show_live = has_live & has_count if strict else has_live
     curr = [F.when(show_live, F.col(f"{r}_curr")).alias(f"{r}_curr") for r in RATING_COLS]
-    base = [c for c in history.columns]
     return page.select(
-        *base, "games_count", *curr, has_count.alias("has_count"), has_live.alias("has_live")
+        *history.columns, "games_count", *curr, has_count.alias("has_count"), has_live.alias("has_live")
     )
 
 

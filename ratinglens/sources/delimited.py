@@ -79,7 +79,7 @@ def name_quality(raw: DataFrame) -> DataFrame:
         .when(commas == 0, "no_comma")
         .otherwise("extra_comma")
     )
-    return raw.groupBy(shape.alias("shape")).agg(F.count(F.lit(1)).alias("rows"))
+    return raw.groupBy(shape.alias("shape")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def write_delimited(df: DataFrame, path: str) -> None:

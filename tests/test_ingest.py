@@ -62,7 +62,7 @@ def test_split_name_rules(spark, tmp_dir):
     assert (got["2"].last_name, got["2"].first_name, got["2"].federation) == ("Solo", None, "FRA")
     assert (got["3"].last_name, got["3"].first_name, got["3"].title) == ("Roe", "Bob, Jr", "IM")
     assert got["4"].last_name == "Under_score"
-    q = dict(rows(delimited.name_quality(raw)))
+    q = dict(rows(delimited.name_quality(raw), "shape", "n_rows"))
     assert q == {"ok": 2, "no_comma": 1, "extra_comma": 1}
 
 
