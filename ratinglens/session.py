@@ -91,3 +91,19 @@ def local_cpus(default: int = 8) -> int:
         return int(os.environ.get("BENCH_CPUS", default))
     except ValueError:
         return default
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run.
+
+    Scan splits and shuffle partitions of about ``target_partition_bytes``
+    keep every task's input well inside executor memory (no spill storms);
+    at least two waves of tasks keep every core busy. AQE then coalesces
+    small shuffle partitions and splits skewed ones at runtime."""
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(1 << 20),
+    }
