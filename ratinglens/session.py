@@ -93,17 +93,26 @@ def local_cpus(default: int = 8) -> int:
         return default
 
 
-def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+def scale_conf(
+    input_bytes: int,
+    total_cores: int,
+    shuffle_fraction: float = 0.1,
+    shuffle_partition_bytes: int = 128 << 20,
+    scan_partition_bytes: int = 256 << 20,
+) -> dict[str, str]:
     """Partition sizing for a cluster run.
 
-    Scan splits and shuffle partitions of about ``target_partition_bytes``
-    keep every task's input well inside executor memory (no spill storms);
-    at least two waves of tasks keep every core busy. AQE then coalesces
-    small shuffle partitions and splits skewed ones at runtime."""
-    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    Scans are split at ``scan_partition_bytes``. Shuffles carry the data
+    left after column pruning and map-side partial aggregation — estimated as
+    ``shuffle_fraction`` of the input — cut into ~``shuffle_partition_bytes``
+    partitions, at least two and at most twenty waves of the cluster's cores
+    (beyond that the map × reduce block count, not task size, dominates).
+    AQE then coalesces small partitions and splits skewed ones at runtime."""
+    wanted = -(-int(input_bytes * shuffle_fraction) // shuffle_partition_bytes)
+    shuffle = max(2 * total_cores, min(wanted, 20 * total_cores))
     return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(1 << 20),
     }
