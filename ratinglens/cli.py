@@ -1,7 +1,7 @@
 """Job entry points (``spark-submit -m``-style or ``python -m ratinglens.cli``).
 
     build   --players P --ratings R --dst D [--raw-names] [--buckets N]   text → views
-    tables  --sf-dir S --dst D [--buckets N]                             tables → views
+    tables  --sf-dir S --dst D [--buckets N] [--build-id B]              tables → views
     speed   --brokers B --topic T --views V --checkpoint C  Kafka → speed views
     files   --source F --views V --checkpoint C             message files → speed views
 
@@ -13,7 +13,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from ratinglens.plans.build import build_views
+from ratinglens.plans.build import build_views, publish_build
 from ratinglens.session import build_session, scratch_dir
 from ratinglens.sources import delimited, tables
 from ratinglens.streaming import speed
@@ -35,6 +35,7 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("--sf-dir", required=True)
     t.add_argument("--dst")
     t.add_argument("--buckets", type=int)
+    t.add_argument("--build-id", type=int, help="write into a new build folder and publish it")
     t.add_argument("--table-prefix", default="")
 
     s = sub.add_parser("speed")
@@ -63,14 +64,12 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps(build_views(spark, players, ratings, args.dst, args.buckets, args.table_prefix)))
     elif args.cmd == "tables":
         dst = args.dst or scratch_dir(spark, "views")
-        paths = build_views(
-            spark,
-            tables.players_from_tables(spark, args.sf_dir),
-            tables.ratings_from_tables(spark, args.sf_dir),
-            dst,
-            args.buckets,
-            args.table_prefix,
-        )
+        players = tables.players_from_tables(spark, args.sf_dir)
+        ratings = tables.ratings_from_tables(spark, args.sf_dir)
+        if args.build_id is not None:
+            paths = publish_build(spark, players, ratings, dst, args.build_id, args.buckets, args.table_prefix)
+        else:
+            paths = build_views(spark, players, ratings, dst, args.buckets, args.table_prefix)
         print(json.dumps(paths))
     elif args.cmd == "speed":
         ckpt = args.checkpoint or scratch_dir(spark, "speed-checkpoint")

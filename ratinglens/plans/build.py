@@ -159,3 +159,51 @@ def read_views(
         else spark.read.parquet(path)
         for name, path in paths.items()
     }
+
+
+# ----------------------------------------------------------------- publishing
+#
+# <dst>/build=<id>/<view>   the views of one build (never rewritten once
+#                           published; use a new id per run)
+# <dst>/published/          one appended row per finished build; the append
+#                           becomes visible only when its job commits, so a
+#                           reader never picks a build whose views are still
+#                           being written.
+
+
+def publish_build(
+    spark: SparkSession,
+    players: DataFrame,
+    ratings: DataFrame,
+    dst: str,
+    build_id: int,
+    buckets: int | None = None,
+    table_prefix: str = "",
+) -> dict[str, str]:
+    """Build every view into a new folder, then publish it."""
+    dst = dst.rstrip("/")
+    paths = build_views(spark, players, ratings, f"{dst}/build={int(build_id)}", buckets, table_prefix)
+    record = spark.createDataFrame([(int(build_id),)], "build_id long")
+    record.write.mode("append").parquet(f"{dst}/published")
+    return paths
+
+
+def current_build(spark: SparkSession, dst: str) -> int | None:
+    """Newest published build id (a one-row aggregate), or None."""
+    from pyspark.errors import AnalysisException
+    from pyspark.sql import functions as F
+
+    try:
+        row = spark.read.parquet(f"{dst.rstrip('/')}/published").agg(F.max("build_id").alias("b")).first()
+    except AnalysisException:
+        return None
+    return None if row is None or row.b is None else int(row.b)
+
+
+def published_paths(spark: SparkSession, dst: str) -> dict[str, str]:
+    """View paths of the newest published build."""
+    build_id = current_build(spark, dst)
+    if build_id is None:
+        raise FileNotFoundError(f"no published build under {dst}")
+    root = f"{dst.rstrip('/')}/build={build_id}"
+    return {name: f"{root}/{name}" for name in VIEW_NAMES}

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ratinglens.operators import lookup, serving
 from ratinglens.operators import series as series_ops
-from ratinglens.plans.build import read_views
+from ratinglens.plans.build import published_paths, read_views
 from ratinglens.schemas import COUNTER_CHANGE, SUBMISSION
 from ratinglens.streaming import speed
 
@@ -34,6 +34,13 @@ class RatingService:
         self.views = read_views(spark, view_paths, table_prefix)
         self.speed_root = speed_root
 
+    @classmethod
+    def from_published(
+        cls, spark: SparkSession, dst: str, speed_root: str | None = None
+    ) -> "RatingService":
+        """Serve the newest published build under ``dst``."""
+        return cls(spark, published_paths(spark, dst), speed_root)
+
     # ------------------------------------------------------------ speed side
 
     def _speed_state(self) -> DataFrame | None:

@@ -51,3 +51,20 @@ def test_service_batch_only_and_with_speed_layer(spark, tmp_dir):
     assert svc.player_series("5").count() == 3 * len(page)
     assert svc.player_years_series("5").count() == 3 * svc.player_years("5").count()
     assert svc.federation_series("NATION_0").count() == 3 * svc.federation_years("NATION_0").count()
+
+
+def test_publish_switches_readers_only_after_a_build(spark, tmp_dir):
+    from ratinglens.plans.build import current_build, publish_build
+
+    dst = f"{tmp_dir}/pub"
+    assert current_build(spark, dst) is None
+    m = model_from_tables(spark, SF_SMALL)
+    publish_build(spark, m.players, m.ratings, dst, 1)
+    svc1 = RatingService.from_published(spark, dst)
+    n1 = svc1.counts().count()
+    # build 2 from fewer ratings: readers switch only when it is published
+    publish_build(spark, m.players, m.ratings.filter("year < 1997"), dst, 2)
+    assert current_build(spark, dst) == 2
+    svc2 = RatingService.from_published(spark, dst)
+    assert svc2.counts().count() <= n1
+    assert svc1.counts().count() == n1  # the old build stays readable
