@@ -1,6 +1,5 @@
 from conftest import rows
 from fixtures import players_df, ratings_df
-from pyspark.sql import functions as F
 
 from ratinglens.operators import batch
 
@@ -107,4 +106,3 @@ def test_summary(spark):
 def test_id_name_view(spark):
     v = batch.id_name_view(players_df(spark))
     assert rows(v.filter("fide_id = '2'"), "name_key") == [("Name_Same_2",)]
-    assert F is not None
