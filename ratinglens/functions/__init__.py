@@ -1,6 +1,7 @@
 """Column expressions (all built-in, JVM-side, codegen-friendly)."""
 
 from ratinglens.functions.scalar import (
+    be_bytes,
     be_long,
     drop_first,
     fed_year_key,
@@ -20,6 +21,7 @@ from ratinglens.functions.scalar import (
 )
 
 __all__ = [
+    "be_bytes",
     "be_long",
     "drop_first",
     "fed_year_key",

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from ratinglens.schemas import SUBMISSION, SUBMISSION_FIELDS
 
+# Key part separator and the speed-layer update log text.
 SEP = "_"
+UPDATE_MESSAGE_PREFIX = "Updated speed layer for player"
 
 
 def _s(c) -> Column:
@@ -105,6 +107,12 @@ def be_long(c) -> Column:
     return F.conv(F.hex(c), 16, 10).cast("bigint")
 
 
+def be_bytes(c) -> Column:
+    """Non-negative BIGINT → 8-byte big-endian binary (a counter cell)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.unhex(F.lpad(F.hex(c.cast("bigint")), 16, "0"))
+
+
 def report_json(*cols: str) -> Column:
     """Encode a rating report (all fields as strings) as one JSON text."""
     names = list(cols) or SUBMISSION_FIELDS
@@ -119,4 +127,4 @@ def parse_reports(value="value") -> Column:
 
 
 def update_message(fide_id="fide_id") -> Column:
-    return F.concat(F.lit("Updated speed layer for player"), _s(fide_id))
+    return F.concat(F.lit(UPDATE_MESSAGE_PREFIX), _s(fide_id))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+# Fixed value: the column family prefix of exported cells ("stats:<column>").
 FAMILY = "stats"
 
 

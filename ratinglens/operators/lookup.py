@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ratinglens.functions.scalar import name_key, parse_player_month, player_month_parts
 from ratinglens.schemas import RATING_COLS, REPORT_FIELDS
 
+# Fixed value: the text shown for a missing value or an empty result.
 NO_RESULTS = "no results"
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ratinglens.functions.scalar import parse_reports, report_json
+from ratinglens.functions.scalar import parse_reports, report_json, update_message
 from ratinglens.schemas import REPORT_FIELDS, SUBMISSION_FIELDS
 from ratinglens.sources.store import compact_view, read_view, write_version
 
@@ -211,8 +211,14 @@ def run_speed_layer(
     spark.streams.awaitAnyTermination()
 
 
+def update_messages(state: DataFrame) -> DataFrame:
+    """One log line per player whose state changed in a micro-batch."""
+    return state.select("fide_id", update_message().alias("message"), "stream_count")
+
+
 def debug_sink(df: DataFrame, rows: int = 10) -> StreamingQuery:
-    """Console output of the first rows of every micro-batch (debugging only)."""
+    """Console output of the first rows of every micro-batch (debugging only;
+    the views are written by ``start_speed_layer``, never by this sink)."""
     return (
         df.writeStream.outputMode("update")
         .format("console")

@@ -2,7 +2,7 @@ import os
 
 from conftest import rows
 
-from ratinglens.functions.scalar import be_long, parse_player_month, strip_prefix, to_number
+from ratinglens.functions.scalar import be_bytes, be_long, parse_player_month, strip_prefix, to_number
 from ratinglens.operators import cells
 from ratinglens.sources import delimited
 from pyspark.sql import functions as F
@@ -107,3 +107,11 @@ def test_cells_round_trip_and_versions(spark):
 def test_latest_version(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k string, v long, payload string")
     assert rows(cells.latest_version(df, ["k"], ["v"])) == [("a", 2, "y"), ("b", 1, "z")]
+
+
+def test_counter_cell_round_trip(spark):
+    df = spark.createDataFrame([(0,), (258,), (2**40 + 7,)], "n long")
+    enc = df.select("n", be_bytes("n").alias("b"))
+    got = enc.select("n", F.length("b").alias("len"), be_long("b").alias("back")).collect()
+    assert all(r.len == 8 and r.back == r.n for r in got)
+    assert enc.filter("n = 258").collect()[0].b == bytes([0, 0, 0, 0, 0, 0, 1, 2])

@@ -137,3 +137,9 @@ def test_messages_round_trip(spark):
     parsed = speed.parse_messages(msgs).collect()[0]
     assert (parsed.fide_id, parsed.rating_blitz) == ("1", "2300")
     assert json.loads(msgs.collect()[0].value)["last_name"] == "Doe"
+
+
+def test_update_messages(spark):
+    state = spark.createDataFrame([("7", 3)], "fide_id string, stream_count long")
+    r = speed.update_messages(state).collect()[0]
+    assert r.message == "Updated speed layer for player7" and r.stream_count == 3
