@@ -252,6 +252,11 @@ def q_series_packed(spark, sf):
     return series.series_packed(s, ["fide_id"])
 
 
+def q_series_text(spark, sf):
+    s = series.series_monthly(model_from_tables(spark, sf).history)
+    return series.series_text(s, ["fide_id"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name[2:]: fn
@@ -449,6 +454,13 @@ _ORACLE = {
     "series_monthly": _series("joined", "fide_id, year, month", "make_date(year, month, 1)"),
     "series_player_yearly": _series("by_year", "fide_id, year", "make_date(year, 1, 1)"),
     "series_federation_yearly": _series("fed_by_year", "federation, year", "make_date(year, 1, 1)"),
+    "series_text": f"""
+        SELECT fide_id, discipline,
+               '[' || string_agg('["' || CAST(date AS VARCHAR) || '",'
+                                 || coalesce(CAST(rating AS VARCHAR), 'null') || ']', ',' ORDER BY date)
+                   || ']' AS points_json
+        FROM ({_series("joined", "fide_id, year, month", "make_date(year, month, 1)")})
+        GROUP BY fide_id, discipline""",
 }
 
 

@@ -49,3 +49,18 @@ def series_packed(series: DataFrame, entity_cols: list[str]) -> DataFrame:
     return series.groupBy(*entity_cols, "discipline").agg(
         F.sort_array(F.collect_list(F.struct("date", "rating"))).alias("points")
     )
+
+
+def series_text(series: DataFrame, entity_cols: list[str]) -> DataFrame:
+    """The packed series as chart-ready JSON text per entity and discipline:
+    ``[["2016-02-01",2500],["2016-03-01",null],…]`` in date order."""
+    points = F.sort_array(F.collect_list(F.struct("date", "rating")))
+    pair = lambda p: F.concat(
+        F.lit('["'),
+        p["date"].cast("string"),
+        F.lit('",'),
+        F.coalesce(p["rating"].cast("string"), F.lit("null")),
+        F.lit("]"),
+    )
+    text = F.concat(F.lit("["), F.array_join(F.transform(points, pair), ","), F.lit("]"))
+    return series.groupBy(*entity_cols, "discipline").agg(text.alias("points_json"))

@@ -147,3 +147,14 @@ def test_series_packed_is_date_ordered(spark):
     r = packed.filter("fide_id = '4' AND discipline = 'rapid'").collect()[0]
     assert [p.rating for p in r.points] == [1000 + m for m in range(1, 13)]
     assert r.points[0].date.isoformat() == "2019-01-01"
+
+
+def test_series_text_is_ordered_json(spark):
+    import json
+
+    _, _, h = _views(spark)
+    text = series.series_text(series.series_monthly(h), ["fide_id"])
+    r = text.filter("fide_id = '15' AND discipline = 'blitz'").collect()[0]
+    assert json.loads(r.points_json) == [["2017-01-01", None]]
+    r = text.filter("fide_id = '1' AND discipline = 'standard'").collect()[0]
+    assert json.loads(r.points_json) == [["2016-02-01", 2500], ["2016-12-01", 2501]]
