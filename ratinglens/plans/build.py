@@ -122,7 +122,11 @@ def build_views(
 
     def put(df: DataFrame, name: str, order: list[str], partition_by: list[str] | None = None) -> None:
         if buckets and name in PLAYER_KEYED:
-            writer = df.write.mode("overwrite").option("path", paths[name])
+            writer = (
+                df.write.mode("overwrite")
+                .option("partitionOverwriteMode", "static")
+                .option("path", paths[name])
+            )
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
             writer.bucketBy(buckets, "fide_id").sortBy(*order).saveAsTable(table_prefix + name)

@@ -33,7 +33,6 @@ DEFAULT_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -118,8 +118,9 @@ def write_players_raw(players: DataFrame, path: str) -> None:
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Idempotent materialisation (re-running replaces, never appends)."""
-    writer = df.write.mode("overwrite")
+    """Idempotent materialisation: re-running replaces the whole table (every
+    partition, also those absent from the new data), never appends."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

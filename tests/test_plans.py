@@ -23,6 +23,20 @@ def test_build_views_round_trip(spark, tmp_dir):
     assert spark.read.parquet(paths["id_count"]).count() == m.batch_counts.count()
 
 
+def test_rebuild_replaces_every_partition(spark, tmp_dir):
+    m = model_from_tables(spark, SF_SMALL)
+    paths = build_views(spark, m.players, m.ratings, f"{tmp_dir}/views")
+    before = {r.year for r in spark.read.parquet(paths["history"]).select("year").distinct().collect()}
+    assert max(before) >= 1997
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")  # must not matter
+    try:
+        build_views(spark, m.players, m.ratings.filter("year < 1997"), f"{tmp_dir}/views")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    after = {r.year for r in spark.read.parquet(paths["history"]).select("year").distinct().collect()}
+    assert after == {y for y in before if y < 1997}
+
+
 def test_lookups_push_filters_to_parquet(spark, tmp_dir):
     m = model_from_tables(spark, SF_SMALL)
     paths = build_views(spark, m.players, m.ratings, f"{tmp_dir}/views")
