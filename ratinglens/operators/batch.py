@@ -27,15 +27,25 @@ from ratinglens.functions.scalar import fed_year_key, history_key, name_key, pla
 from ratinglens.schemas import JOINED_COLS, PLAYER_DIMS, RATING_COLS
 
 
+_FIXED_WIDTH = ("bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp")
+
+
 def dedup_by_key(df: DataFrame, key_cols: list[str]) -> DataFrame:
-    """Keep one row per key, deterministically (the greatest row by value).
+    """Keep one row per key, deterministically: the row with the greatest
+    64-bit hash of its values (identical duplicates are interchangeable).
 
-    A hash aggregate with partial aggregation, not a window: a key with many
-    duplicates is reduced map-side instead of being sorted in one task."""
+    An aggregate with map-side partial aggregation, not a window, so a key
+    with many duplicates is reduced before the shuffle. When every value
+    column is fixed-width (the ratings fact), one ``max_by`` per column keeps
+    the buffers fixed-width and the plan a hash aggregate."""
     values = [c for c in df.columns if c not in key_cols]
     if not values:
         return df.dropDuplicates(key_cols)
-    best = df.groupBy(*key_cols).agg(F.max(F.struct(*values)).alias("_row"))
+    row_hash = F.xxhash64(*values)
+    types = dict(df.dtypes)
+    if all(types[c] in _FIXED_WIDTH for c in values):
+        return df.groupBy(*key_cols).agg(*[F.max_by(c, row_hash).alias(c) for c in values])
+    best = df.groupBy(*key_cols).agg(F.max_by(F.struct(*values), row_hash).alias("_row"))
     return best.select(*key_cols, *[F.col(f"_row.{c}").alias(c) for c in values])
 
 
