@@ -233,8 +233,12 @@ def read_speed_state(spark: SparkSession, view_root: str) -> DataFrame:
     return read_view(spark, view_root, ["fide_id"])
 
 
-def run_until_caught_up(query: StreamingQuery, timeout_s: float | None = None) -> None:
-    """Wait for an availableNow query to finish; re-raise its failure."""
-    query.awaitTermination(timeout_s)
+def run_until_caught_up(query: StreamingQuery, timeout_s: float | None = 1800) -> None:
+    """Wait for an availableNow query to finish; re-raise its failure. A
+    query still running after ``timeout_s`` is stopped and reported."""
+    finished = query.awaitTermination(timeout_s)
+    if finished is False and query.isActive:
+        query.stop()
+        raise TimeoutError(f"streaming query did not catch up within {timeout_s} s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
