@@ -79,3 +79,19 @@ def test_stream_equals_batch_for_any_file_split(spark, msgs, per_file):
     for fid, v in msgs:
         expected[fid] = (str(v), expected.get(fid, (None, 0))[1] + 1)
     assert got == expected
+
+
+name = st.text(alphabet="ab_", min_size=0, max_size=4)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(name, name), min_size=1, max_size=12), st.text(alphabet="ab_0", max_size=5))
+def test_name_search_matches_brute_force(spark, names, prefix):
+    from ratinglens.operators import lookup
+
+    players = spark.createDataFrame(
+        [(str(i), last, first, None, None, None, None) for i, (first, last) in enumerate(names)], PLAYERS
+    )
+    got = sorted(r.fide_id for r in lookup.find_ids(batch.id_name_view(players), prefix).collect())
+    want = sorted(str(i) for i, (first, last) in enumerate(names) if f"{first}_{last}_{i}".startswith(prefix))
+    assert got == want
