@@ -65,10 +65,21 @@ def read_kafka_messages(
     )
 
 
-def read_message_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+MESSAGE_SCHEMA = "seq bigint, ts timestamp, value string"
+PARTITIONED_MESSAGE_SCHEMA = "part int, seq bigint, ts timestamp, value string"
+
+
+def read_message_files(
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    schema: str = MESSAGE_SCHEMA,
+) -> DataFrame:
     """Folder of JSON-lines files, one message per line with fields
-    ``seq`` (long), ``ts`` (timestamp) and ``value`` (the report JSON text)."""
-    reader = spark.readStream.schema("seq bigint, ts timestamp, value string")
+    ``seq`` (long), ``ts`` (timestamp) and ``value`` (the report JSON text);
+    with ``PARTITIONED_MESSAGE_SCHEMA`` also ``part`` (source partition), as a
+    multi-partition topic delivers them."""
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(path)

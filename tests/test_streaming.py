@@ -143,3 +143,21 @@ def test_update_messages(spark):
     state = spark.createDataFrame([("7", 3)], "fide_id string, stream_count long")
     r = speed.update_messages(state).collect()[0]
     assert r.message == "Updated speed layer for player7" and r.stream_count == 3
+
+
+def test_partitioned_order_breaks_timestamp_ties(spark, tmp_dir):
+    def m(part, seq, std):
+        rec = {"fide_id": "1", "first_name": "a", "last_name": "b",
+               "rating_standard": std, "rating_rapid": "1", "rating_blitz": "2"}
+        return {"part": part, "seq": seq, "ts": "2024-01-01T00:00:00", "value": json.dumps(rec)}
+
+    # same timestamp in three partitions: the greatest (part, seq) is the latest
+    _write_file(f"{tmp_dir}/in", "a.json", [m(0, 9, "100"), m(2, 1, "300"), m(1, 5, "200")])
+    order = ("ts", "part", "seq")
+    q = speed.start_speed_layer(
+        speed.read_message_files(spark, f"{tmp_dir}/in", schema=speed.PARTITIONED_MESSAGE_SCHEMA),
+        f"{tmp_dir}/view", f"{tmp_dir}/ckpt", order_cols=order, available_now=True,
+    )
+    speed.run_until_caught_up(q, 120)
+    got = speed.read_speed_state(spark, f"{tmp_dir}/view").collect()[0]
+    assert (got.rating_standard, got.stream_count) == ("300", 3)
