@@ -60,8 +60,9 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
-    Uses ``spark.checkpoint.dir`` when the cluster sets it; otherwise (tests,
-    local runs) a fresh local folder is registered as the checkpoint dir.
+    Uses ``spark.checkpoint.dir`` when the cluster sets it; otherwise, on a
+    local master only (tests, local runs), a fresh local folder is registered
+    as the checkpoint dir. A cluster without the setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -70,8 +71,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="ratinglens-ckpt-"))
+    else:
+        # A folder on the driver's disk is invisible to executors.
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     return sc.getCheckpointDir()
 
 
