@@ -1,32 +1,57 @@
 """Delimited-text ingest in the master-data format: ``,`` separated, one
-header line, no quoting, ``\\N`` for NULL, declared schema.
+header line per file, no quoting, ``\\N`` for NULL, declared schema.
 
-Malformed numbers become NULL, missing trailing columns become NULL and extra
-columns are dropped (PERMISSIVE mode), which is what the delimited Hive tables
-of the original layout do.
+Field semantics follow delimited Hive tables exactly: an empty text field is
+the empty string (not NULL), ``\\N`` is NULL, a number that does not parse
+(or is empty) is NULL, missing trailing fields are NULL and extra fields are
+dropped. Each line is read as one column (the CSV source still skips every
+file's header line) and split with built-in string functions, all JVM-side.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from ratinglens.schemas import PLAYERS, PLAYERS_RAW, RATINGS
 
 NULL_TOKEN = "\\N"
 
 
-def read_delimited(
-    spark: SparkSession, path: str, schema: StructType, quote: str = ""
-) -> DataFrame:
+# A separator that cannot occur in the text: every line is one field.
+_WHOLE_LINE = "\u0000"
+
+
+def read_delimited(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Master-data text (unquoted) → typed columns with Hive field rules."""
+    lines = (
+        spark.read.schema("line string")
+        .option("header", True)
+        .option("sep", _WHOLE_LINE)
+        .option("quote", "")
+        .option("nullValue", _WHOLE_LINE)
+        .csv(path)
+    )
+    fields = F.split(F.col("line"), ",", -1)
+    cols = []
+    for i, f in enumerate(schema.fields):
+        raw = F.get(fields, i)
+        value = F.when(raw != F.lit(NULL_TOKEN), raw)
+        if not isinstance(f.dataType, StringType):
+            value = value.try_cast(f.dataType)
+        cols.append(value.alias(f.name))
+    return lines.filter(F.col("line").isNotNull()).select(*cols)
+
+
+def read_quoted_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Standard CSV with ``"`` quoting (the delivered raw player file)."""
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("sep", ",")
-        .option("quote", quote)
+        .option("quote", '"')
         .option("nullValue", NULL_TOKEN)
-        .option("emptyValue", "")
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
@@ -44,7 +69,7 @@ def read_players(spark: SparkSession, path: str) -> DataFrame:
 
 def read_players_raw(spark: SparkSession, path: str) -> DataFrame:
     """Player file as delivered, with a quoted ``"Last, First"`` field."""
-    return read_delimited(spark, path, PLAYERS_RAW, quote='"')
+    return read_quoted_csv(spark, path, PLAYERS_RAW)
 
 
 def split_name(name="name"):

@@ -43,7 +43,8 @@ def test_players_csv_dirty(spark, tmp_dir):
     got = {r.fide_id: r for r in delimited.read_players(spark, f"{tmp_dir}/players").collect()}
     assert got["1"].yob == 1990
     assert got["2"].title is None and got["2"].yob is None
-    assert got["3"].yob is None
+    # empty text stays the empty string, an empty number is NULL
+    assert (got["3"].first_name, got["3"].title, got["3"].yob) == ("", "", None)
 
 
 def test_split_name_rules(spark, tmp_dir):
