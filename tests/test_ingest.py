@@ -116,3 +116,11 @@ def test_counter_cell_round_trip(spark):
     got = enc.select("n", F.length("b").alias("len"), be_long("b").alias("back")).collect()
     assert all(r.len == 8 and r.back == r.n for r in got)
     assert enc.filter("n = 258").collect()[0].b == bytes([0, 0, 0, 0, 0, 0, 1, 2])
+
+
+def test_players_round_trip_keeps_empty_and_null_apart(spark, tmp_dir):
+    from ratinglens.schemas import PLAYERS
+
+    df = spark.createDataFrame([("1", "", None, "USA", "", None, None), ("2", "Roe", "Bob", None, "M", "GM", 1980)], PLAYERS)
+    delimited.write_delimited(df, f"{tmp_dir}/players")
+    assert rows(delimited.read_players(spark, f"{tmp_dir}/players")) == rows(df)
