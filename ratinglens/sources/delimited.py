@@ -45,12 +45,14 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType) -> DataFr
 
 
 def read_quoted_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Standard CSV with ``"`` quoting (the delivered raw player file)."""
+    """Standard CSV with ``"`` quoting and doubled ``""`` inside a quoted
+    field (the delivered raw player file)."""
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("sep", ",")
         .option("quote", '"')
+        .option("escape", '"')
         .option("nullValue", NULL_TOKEN)
         .option("mode", "PERMISSIVE")
         .csv(path)
@@ -136,6 +138,7 @@ def write_players_raw(players: DataFrame, path: str) -> None:
         .option("header", True)
         .option("sep", ",")
         .option("quote", '"')
+        .option("escape", '"')
         .option("quoteAll", False)
         .option("nullValue", NULL_TOKEN)
         .csv(path)

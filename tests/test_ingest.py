@@ -124,3 +124,14 @@ def test_players_round_trip_keeps_empty_and_null_apart(spark, tmp_dir):
     df = spark.createDataFrame([("1", "", None, "USA", "", None, None), ("2", "Roe", "Bob", None, "M", "GM", 1980)], PLAYERS)
     delimited.write_delimited(df, f"{tmp_dir}/players")
     assert rows(delimited.read_players(spark, f"{tmp_dir}/players")) == rows(df)
+
+
+def test_raw_names_with_quotes_and_commas_round_trip(spark, tmp_dir):
+    from ratinglens.schemas import PLAYERS
+
+    df = spark.createDataFrame([("1", 'O"Neil', "Pat", "IRL", "M", None, 1970), ("2", "Doe", "Ann", "USA", "F", "GM", None)], PLAYERS)
+    delimited.write_players_raw(df, f"{tmp_dir}/raw")
+    text = "".join(open(os.path.join(f"{tmp_dir}/raw", f)).read() for f in os.listdir(f"{tmp_dir}/raw") if f.endswith(".csv"))
+    assert '"O""Neil, Pat"' in text
+    back = delimited.normalise_players(delimited.read_players_raw(spark, f"{tmp_dir}/raw"))
+    assert rows(back) == rows(df)
