@@ -71,3 +71,28 @@ def test_hot_player_aggregates_are_exact(spark):
         expected.setdefault((fid, y), []).append(b)
     assert got == {k: int(sum(v) / len(v)) for k, v in expected.items()}
     assert counts["0"] == 480 and sum(counts.values()) == len(raw)
+
+
+def test_hot_requests_in_bulk_lookup_are_exact_and_split(spark):
+    p, r, raw = _data(spark)
+    keys = [f"{fid}_{m}_{y}" for fid, y, m, *_ in raw]
+    hot = ["0_1_2000"] * (2 * len(keys))  # two thirds of all requests hit one key
+    req = spark.createDataFrame([(k,) for k in keys + hot + ["nobody_1_2000"]], "lookup_key string")
+    with conf(spark, SKEW_CONF):
+        h = batch.history_view(batch.players_and_ratings(p, r))
+        out = lookup.player_month_bulk(h, req)
+        got = out.collect()
+        text = plan_text(out, "simple")
+    assert sum(x.found for x in got) == len(keys) + len(hot)
+    assert sum(not x.found for x in got) == 1
+    assert sum(1 for x in got if x.found and x.rating_standard == 2001) >= len(hot)
+    assert "skew=true" in text
+
+
+def test_hot_key_anti_join_is_exact(spark):
+    p, r, raw = _data(spark)
+    fewer = p.filter("fide_id <> '0'")
+    with conf(spark, SKEW_CONF):
+        orphans = batch.orphan_ratings(fewer, r)
+        n = orphans.count()
+    assert n == sum(1 for x in raw if x[0] == "0") == 480
