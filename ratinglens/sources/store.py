@@ -4,6 +4,7 @@ Layout::
 
     <root>/kind=delta/version=<n>/   rows whose keys changed in write n
     <root>/kind=full/version=<n>/    every key of the view as of write n
+    <root>/_snapshots/               one appended row per *completed* snapshot
 
 Writing version ``n`` replaces only its own folder, so a replayed micro-batch
 or a re-run with the same version number is harmless. Reading returns, for
@@ -11,6 +12,9 @@ every key, the row of the highest version that holds the key — keys absent
 from a newer write stay visible, exactly like an insert into a key/value
 table. A full snapshot makes every older version redundant, so reads prune
 them by partition (only the newest snapshot and later deltas are scanned).
+Pruning uses only snapshots recorded in ``_snapshots`` after their write
+committed: a snapshot still being written is merely merged like a delta, so
+a reader never loses keys to a half-visible snapshot.
 
 The merge is a hash/sort aggregation with ``max_by`` and map-side partial
 aggregation, so a key present in many versions never gathers in one task.
@@ -52,13 +56,20 @@ def _scan(spark: SparkSession, root: str) -> DataFrame | None:
         return None
 
 
-def latest_snapshot(spark: SparkSession, root: str) -> int | None:
-    """Version of the newest full snapshot (a one-row aggregate over the
-    partition columns), or None."""
-    raw = _scan(spark, root)
-    if raw is None:
+def _snapshot_log(root: str) -> str:
+    return f"{root.rstrip('/')}/_snapshots"
+
+
+def latest_snapshot(spark: SparkSession, root: str, max_version: int | None = None) -> int | None:
+    """Version of the newest completed snapshot (optionally ≤ ``max_version``),
+    or None — a one-row aggregate over the small snapshot log."""
+    try:
+        log = spark.read.parquet(_snapshot_log(root))
+    except AnalysisException:
         return None
-    row = raw.filter(F.col(KIND) == FULL).agg(F.max(VERSION).alias("v")).first()
+    if max_version is not None:
+        log = log.filter(F.col(VERSION) <= max_version)
+    row = log.agg(F.max(VERSION).alias("v")).first()
     return None if row is None or row.v is None else int(row.v)
 
 
@@ -84,11 +95,7 @@ def read_view(
     if raw is None:
         raise FileNotFoundError(f"no view at {root}")
     if use_snapshots and min_version is None:
-        snap = raw.filter(F.col(KIND) == FULL)
-        if max_version is not None:
-            snap = snap.filter(F.col(VERSION) <= max_version)
-        row = snap.agg(F.max(VERSION).alias("v")).first()
-        min_version = None if row is None else row.v
+        min_version = latest_snapshot(spark, root, max_version)
     if min_version is not None:
         raw = raw.filter(F.col(VERSION) >= min_version)
     if max_version is not None:
@@ -124,3 +131,7 @@ def compact_view(
     for p in parts[1:]:
         both = both.unionByName(p)
     write_version(_merge(both, key_cols, "_order"), root, version, FULL)
+    # Recorded only after the snapshot's write job committed.
+    spark.createDataFrame([(int(version),)], f"{VERSION} long").coalesce(1).write.mode(
+        "append"
+    ).parquet(_snapshot_log(root))

@@ -161,3 +161,14 @@ def test_partitioned_order_breaks_timestamp_ties(spark, tmp_dir):
     speed.run_until_caught_up(q, 120)
     got = speed.read_speed_state(spark, f"{tmp_dir}/view").collect()[0]
     assert (got.rating_standard, got.stream_count) == ("300", 3)
+
+
+def test_half_written_snapshot_hides_no_key(spark, tmp_dir):
+    root = f"{tmp_dir}/store"
+    schema = "fide_id string, v string"
+    write_version(spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "1")], schema), root, 0)
+    compact_view(spark, root, ["fide_id"], 1, newest=spark.createDataFrame([("a", "2")], schema))
+    # a snapshot folder whose write has not committed yet: only part of the keys
+    write_version(spark.createDataFrame([("a", "3")], schema), root, 2, kind="full")
+    assert latest_snapshot(spark, root) == 1
+    assert rows(read_view(spark, root, ["fide_id"])) == [("a", "3"), ("b", "1"), ("c", "1")]
