@@ -85,6 +85,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         if args.once:
             speed.run_until_caught_up(q)
+            speed.await_all(spark)
         else:
             spark.streams.awaitAnyTermination()
 

@@ -253,3 +253,10 @@ def run_until_caught_up(query: StreamingQuery, timeout_s: float | None = 1800) -
         raise TimeoutError(f"streaming query did not catch up within {timeout_s} s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+
+
+def await_all(spark: SparkSession, timeout_s: float | None = 1800) -> None:
+    """Wait for every active (availableNow) query, e.g. the speed layer and
+    its rejects sink; re-raise the first failure."""
+    for q in list(spark.streams.active):
+        run_until_caught_up(q, timeout_s)
