@@ -30,7 +30,3 @@ def partition_filters(df: DataFrame) -> list[str]:
 def read_schemas(df: DataFrame) -> list[str]:
     return re.findall(r"ReadSchema: (struct<.*?>)", plan_text(df))
 
-
-def exchanges(df: DataFrame) -> int:
-    """Number of shuffle exchanges in the (pre-AQE) physical plan."""
-    return len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition", plan_text(df, "simple")))

@@ -8,7 +8,6 @@ registered as the checkpoint directory.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -89,13 +88,6 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def local_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
-
-
 def scale_conf(
     input_bytes: int,
     total_cores: int,

@@ -135,3 +135,14 @@ def test_raw_names_with_quotes_and_commas_round_trip(spark, tmp_dir):
     assert '"O""Neil, Pat"' in text
     back = delimited.normalise_players(delimited.read_players_raw(spark, f"{tmp_dir}/raw"))
     assert rows(back) == rows(df)
+
+
+def test_date_and_text_helpers(spark):
+    from ratinglens.functions.scalar import drop_first, first_of_month, first_of_year, pad_month
+
+    df = spark.createDataFrame([(2016, 2, "_2016")], "year long, month long, k string")
+    r = df.select(
+        pad_month().alias("m"), drop_first("k").alias("y"),
+        first_of_month().alias("d"), first_of_year().alias("j"),
+    ).collect()[0]
+    assert (r.m, r.y, r.d.isoformat(), r.j.isoformat()) == ("02", "2016", "2016-02-01", "2016-01-01")
