@@ -145,9 +145,14 @@ def build_views(
 
     put(batch.history_view(joined), "history", ["fide_id", "month"], ["year"])
     put(batch.id_name_view(players), "id_name", ["first_name", "last_name"])
-    put(batch.ratings_by_year(joined), "by_year", ["fide_id", "year"])
-    put(batch.ratings_by_federation_year(joined), "fed_by_year", ["federation", "year"])
-    put(batch.rating_counts(joined), "id_count", ["fide_id"])
+
+    # One pass over the joined table; three views from the small rollup.
+    rollup_path = f"{dst}/_year_rollup"
+    write_table(batch.year_rollup(joined), rollup_path)
+    rollup = spark.read.parquet(rollup_path)
+    put(batch.ratings_by_year_from_rollup(rollup), "by_year", ["fide_id", "year"])
+    put(batch.ratings_by_federation_year_from_rollup(rollup), "fed_by_year", ["federation", "year"])
+    put(batch.rating_counts_from_rollup(rollup), "id_count", ["fide_id"])
     put(batch.current_rating(ratings), "current_rating", ["fide_id"])
     return paths
 

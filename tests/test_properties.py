@@ -95,3 +95,18 @@ def test_name_search_matches_brute_force(spark, names, prefix):
     got = sorted(r.fide_id for r in lookup.find_ids(batch.id_name_view(players), prefix).collect())
     want = sorted(str(i) for i, (first, last) in enumerate(names) if f"{first}_{last}_{i}".startswith(prefix))
     assert got == want
+
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(rating_row, min_size=1, max_size=40, unique_by=lambda r: r[:3]))
+def test_rollup_views_equal_direct_operators(spark, rows_):
+    players = spark.createDataFrame(
+        [(k, "L" + k, "F" + k, fed, None, None, None) for k, fed in FEDS.items()], PLAYERS
+    )
+    joined = batch.players_and_ratings(players, spark.createDataFrame(rows_, RATINGS))
+    rollup = batch.year_rollup(joined)
+    key = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert key(batch.ratings_by_year_from_rollup(rollup)) == key(batch.ratings_by_year(joined))
+    assert key(batch.ratings_by_federation_year_from_rollup(rollup)) == key(batch.ratings_by_federation_year(joined))
+    assert key(batch.rating_counts_from_rollup(rollup)) == key(batch.rating_counts(joined))
