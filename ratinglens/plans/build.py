@@ -99,6 +99,16 @@ VIEW_NAMES = (
 PLAYER_KEYED = ("players_and_ratings", "history", "by_year", "id_count", "current_rating")
 
 
+def view_paths(root: str) -> dict[str, str]:
+    """Where each view lives. The history view is a projection of the joined
+    table (plus its derived row key), so it shares the joined table's files
+    instead of writing a second copy of the largest table."""
+    root = root.rstrip("/")
+    paths = {name: f"{root}/{name}" for name in VIEW_NAMES}
+    paths["history"] = paths["players_and_ratings"]
+    return paths
+
+
 def build_views(
     spark: SparkSession,
     players: DataFrame,
@@ -116,7 +126,7 @@ def build_views(
     returned paths), so joins between them and aggregations by player read
     co-located buckets instead of shuffling the largest view."""
     dst = dst.rstrip("/")
-    paths = {name: f"{dst}/{name}" for name in VIEW_NAMES}
+    paths = view_paths(dst)
     players = batch.clean_players(players)
     ratings = batch.clean_ratings(ratings)
 
@@ -143,7 +153,6 @@ def build_views(
         else spark.read.parquet(paths["players_and_ratings"])
     )
 
-    put(batch.history_view(joined), "history", ["fide_id", "month"], ["year"])
     put(batch.id_name_view(players), "id_name", ["first_name", "last_name"])
 
     # One pass over the joined table; three views from the small rollup.
@@ -161,13 +170,17 @@ def read_views(
     spark: SparkSession, paths: dict[str, str], table_prefix: str | None = None
 ) -> dict[str, DataFrame]:
     """The views as DataFrames; with ``table_prefix`` the bucketed catalog
-    tables are used for the player-keyed views."""
-    return {
-        name: spark.table(table_prefix + name)
-        if table_prefix is not None and name in PLAYER_KEYED
-        else spark.read.parquet(path)
-        for name, path in paths.items()
-    }
+    tables are used for the player-keyed views. ``history`` is the history
+    projection of the joined table."""
+
+    def load(name: str) -> DataFrame:
+        if table_prefix is not None and name in PLAYER_KEYED:
+            return spark.table(table_prefix + name)
+        return spark.read.parquet(paths[name])
+
+    views = {name: load(name) for name in paths if name != "history"}
+    views["history"] = batch.history_view(views["players_and_ratings"])
+    return views
 
 
 # ----------------------------------------------------------------- publishing
@@ -214,5 +227,4 @@ def published_paths(spark: SparkSession, dst: str) -> dict[str, str]:
     build_id = current_build(spark, dst)
     if build_id is None:
         raise FileNotFoundError(f"no published build under {dst}")
-    root = f"{dst.rstrip('/')}/build={build_id}"
-    return {name: f"{root}/{name}" for name in VIEW_NAMES}
+    return view_paths(f"{dst.rstrip('/')}/build={build_id}")
