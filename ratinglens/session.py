@@ -94,6 +94,7 @@ def scale_conf(
     shuffle_fraction: float = 0.1,
     shuffle_partition_bytes: int = 128 << 20,
     scan_partition_bytes: int = 256 << 20,
+    broadcast_bytes: int = 64 << 20,
 ) -> dict[str, str]:
     """Partition sizing for a cluster run.
 
@@ -102,7 +103,12 @@ def scale_conf(
     ``shuffle_fraction`` of the input — cut into ~``shuffle_partition_bytes``
     partitions, at least two and at most twenty waves of the cluster's cores
     (beyond that the map × reduce block count, not task size, dominates).
-    AQE then coalesces small partitions and splits skewed ones at runtime."""
+    AQE then coalesces small partitions and splits skewed ones at runtime.
+
+    A join side whose measured size stays under ``broadcast_bytes`` (e.g. a
+    player dimension of some hundred thousand rows) is broadcast, so the fact
+    side is not shuffled for it; anything larger falls back to a sort-merge
+    join — the planner checks the size, not this library."""
     wanted = -(-int(input_bytes * shuffle_fraction) // shuffle_partition_bytes)
     shuffle = max(2 * total_cores, min(wanted, 20 * total_cores))
     return {
@@ -110,4 +116,6 @@ def scale_conf(
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(1 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
     }

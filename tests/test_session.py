@@ -5,6 +5,7 @@ def test_scale_conf_bounds():
     big = scale_conf(100 * (1 << 40), 8000)
     assert int(big["spark.sql.shuffle.partitions"]) == 81920
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
+    assert int(big["spark.sql.autoBroadcastJoinThreshold"]) == 64 << 20
     small = scale_conf(1 << 30, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16  # two waves of 8 cores
     huge = scale_conf(10 * (1 << 50), 100)
