@@ -2,9 +2,13 @@
 
 Layout::
 
-    <root>/kind=delta/version=<n>/   rows whose keys changed in write n
-    <root>/kind=full/version=<n>/    every key of the view as of write n
-    <root>/_snapshots/               one appended row per *completed* snapshot
+    <root>/epoch=<e>/kind=delta/version=<n>/   rows whose keys changed in write n
+    <root>/epoch=<e>/kind=full/version=<n>/    every key of the view as of write n
+    <root>/_snapshots/                         one row per *completed* snapshot
+
+With an epoch size ``k`` (the compaction interval), write ``n`` lives in
+epoch ``n // k`` and each epoch starts with its snapshot; without one, every
+write is in epoch 0.
 
 Writing version ``n`` replaces only its own folder, so a replayed micro-batch
 or a re-run with the same version number is harmless. Reading returns, for
@@ -16,6 +20,9 @@ Pruning uses only snapshots recorded in ``_snapshots`` after their write
 committed: a snapshot still being written is merely merged like a delta, so
 a reader never loses keys to a half-visible snapshot.
 
+A read lists only the epoch of the newest recorded snapshot and the next
+one, so listing cost stays bounded however many versions were ever written.
+
 The merge is a hash/sort aggregation with ``max_by`` and map-side partial
 aggregation, so a key present in many versions never gathers in one task.
 """
@@ -26,19 +33,27 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+EPOCH = "epoch"
 KIND = "kind"
 VERSION = "version"
 DELTA = "delta"
 FULL = "full"
 
 
-def version_path(root: str, version: int, kind: str = DELTA) -> str:
-    return f"{root.rstrip('/')}/{KIND}={kind}/{VERSION}={int(version)}"
+def epoch_of(version: int, epoch_size: int | None) -> int:
+    return int(version) // epoch_size if epoch_size else 0
+
+
+def version_path(root: str, version: int, kind: str = DELTA, epoch_size: int | None = None) -> str:
+    e = epoch_of(version, epoch_size)
+    return f"{root.rstrip('/')}/{EPOCH}={e}/{KIND}={kind}/{VERSION}={int(version)}"
 
 
-def write_version(df: DataFrame, root: str, version: int, kind: str = DELTA) -> None:
+def write_version(
+    df: DataFrame, root: str, version: int, kind: str = DELTA, epoch_size: int | None = None
+) -> None:
     """Write one version of a view; keys must be unique within ``df``."""
-    df.write.mode("overwrite").parquet(version_path(root, version, kind))
+    df.write.mode("overwrite").parquet(version_path(root, version, kind, epoch_size))
 
 
 def upsert_view(df: DataFrame, root: str, key_cols: list[str], version: int) -> None:
@@ -49,9 +64,12 @@ def upsert_view(df: DataFrame, root: str, key_cols: list[str], version: int) ->
     write_version(unique.select(*key_cols, "_row.*"), root, version)
 
 
-def _scan(spark: SparkSession, root: str) -> DataFrame | None:
+def _scan(spark: SparkSession, root: str, epoch: int | None = None) -> DataFrame | None:
+    """All versions, or only epochs ``epoch`` and ``epoch + 1`` (a glob, so
+    nothing else under the root is listed)."""
+    path = root if epoch is None else f"{root.rstrip('/')}/{EPOCH}={{{epoch},{epoch + 1}}}"
     try:
-        return spark.read.option("basePath", root).parquet(root)
+        return spark.read.option("basePath", root).parquet(path)
     except AnalysisException:
         return None
 
@@ -60,21 +78,26 @@ def _snapshot_log(root: str) -> str:
     return f"{root.rstrip('/')}/_snapshots"
 
 
-def latest_snapshot(spark: SparkSession, root: str, max_version: int | None = None) -> int | None:
-    """Version of the newest completed snapshot (optionally ≤ ``max_version``),
-    or None — a one-row aggregate over the small snapshot log."""
+def _latest_snapshot_row(spark: SparkSession, root: str, max_version: int | None = None):
     try:
         log = spark.read.parquet(_snapshot_log(root))
     except AnalysisException:
         return None
     if max_version is not None:
         log = log.filter(F.col(VERSION) <= max_version)
-    row = log.agg(F.max(VERSION).alias("v")).first()
-    return None if row is None or row.v is None else int(row.v)
+    row = log.agg(F.max(F.struct(VERSION, EPOCH)).alias("s")).first()
+    return None if row is None or row.s is None else row.s
+
+
+def latest_snapshot(spark: SparkSession, root: str, max_version: int | None = None) -> int | None:
+    """Version of the newest completed snapshot (optionally ≤ ``max_version``),
+    or None — a one-row aggregate over the small snapshot log."""
+    snap = _latest_snapshot_row(spark, root, max_version)
+    return None if snap is None else int(snap[VERSION])
 
 
 def _merge(raw: DataFrame, key_cols: list[str], order_col: str) -> DataFrame:
-    values = [c for c in raw.columns if c not in key_cols and c not in (KIND, VERSION, order_col)]
+    values = [c for c in raw.columns if c not in key_cols and c not in (EPOCH, KIND, VERSION, order_col)]
     merged = raw.groupBy(*key_cols).agg(F.max_by(F.struct(*values), F.col(order_col)).alias("_row"))
     return merged.select(*key_cols, *[F.col(f"_row.{c}").alias(c) for c in values])
 
@@ -91,11 +114,14 @@ def read_view(
 
     Versions older than the newest full snapshot are skipped by partition
     pruning; ``max_version`` (inclusive) reads the view as of that write."""
-    raw = _scan(spark, root)
+    epoch = None
+    if use_snapshots and min_version is None:
+        snap = _latest_snapshot_row(spark, root, max_version)
+        if snap is not None:
+            min_version, epoch = int(snap[VERSION]), int(snap[EPOCH])
+    raw = _scan(spark, root, epoch)
     if raw is None:
         raise FileNotFoundError(f"no view at {root}")
-    if use_snapshots and min_version is None:
-        min_version = latest_snapshot(spark, root, max_version)
     if min_version is not None:
         raw = raw.filter(F.col(VERSION) >= min_version)
     if max_version is not None:
@@ -109,13 +135,14 @@ def compact_view(
     key_cols: list[str],
     version: int,
     newest: DataFrame | None = None,
+    epoch_size: int | None = None,
 ) -> None:
     """Write a full snapshot as version ``version``: the view as of the
     previous version, overlaid with ``newest`` (the rows of write ``version``
     itself, if any). Only folders below ``version`` are read, so replaying
     the same compaction never reads the folder it replaces."""
     prior = None
-    if _scan(spark, root) is not None and version > 0:
+    if version > 0:
         try:
             prior = read_view(spark, root, key_cols, max_version=version - 1)
         except FileNotFoundError:
@@ -130,8 +157,9 @@ def compact_view(
     both = parts[0]
     for p in parts[1:]:
         both = both.unionByName(p)
-    write_version(_merge(both, key_cols, "_order"), root, version, FULL)
+    write_version(_merge(both, key_cols, "_order"), root, version, FULL, epoch_size)
     # Recorded only after the snapshot's write job committed.
-    spark.createDataFrame([(int(version),)], f"{VERSION} long").coalesce(1).write.mode(
+    record = [(int(version), epoch_of(version, epoch_size))]
+    spark.createDataFrame(record, f"{VERSION} long, {EPOCH} long").coalesce(1).write.mode(
         "append"
     ).parquet(_snapshot_log(root))

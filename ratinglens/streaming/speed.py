@@ -175,9 +175,11 @@ def start_speed_layer(
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            compact_view(batch.sparkSession, view_root, ["fide_id"], batch_id, newest=batch)
+            compact_view(
+                batch.sparkSession, view_root, ["fide_id"], batch_id, newest=batch, epoch_size=compact_every
+            )
         else:
-            write_version(batch, view_root, batch_id)
+            write_version(batch, view_root, batch_id, epoch_size=compact_every)
 
     writer = (
         state.writeStream.outputMode("update")

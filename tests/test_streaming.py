@@ -98,6 +98,9 @@ def test_compaction_keeps_results_and_prunes(spark, tmp_dir):
     # a read after the snapshot scans only the snapshot and later deltas
     scanned = read_view(spark, view, ["fide_id"])
     assert any("version" in f and "6" in f for f in partition_filters(scanned))
+    # epochs of 2 writes: snapshot 6 opens epoch 3; only epochs 3 and 4 are listed
+    files = scanned.inputFiles()
+    assert files and all("epoch=3/" in f or "epoch=4/" in f for f in files)
 
 
 def test_compact_view_replay_is_harmless(spark, tmp_dir):
