@@ -55,6 +55,23 @@ def test_lookups_push_filters_to_parquet(spark, tmp_dir):
     fed = lookup.federation_years(v["fed_by_year"], "NATION_0")
     assert any("EqualTo(federation,NATION_0)" in f for f in pushed_filters(fed))
 
+    years = lookup.player_years(v["by_year"], "5")
+    assert any("EqualTo(fide_id,5)" in f for f in pushed_filters(years))
+
+    count = lookup.player_count(v["id_count"], "5")
+    assert any("EqualTo(fide_id,5)" in f for f in pushed_filters(count))
+
+
+def test_live_lookup_pushes_through_the_store_merge(spark, tmp_dir):
+    from ratinglens.sources.store import read_view, write_version
+
+    schema = "fide_id string, first_name string, last_name string, rating_standard string, rating_rapid string, rating_blitz string"
+    write_version(spark.createDataFrame([("5", "a", "b", "1", "2", "3"), ("6", "c", "d", "4", "5", "6")], schema), f"{tmp_dir}/s", 0)
+    write_version(spark.createDataFrame([("5", "a", "b", "7", "8", "9")], schema), f"{tmp_dir}/s", 1)
+    live = lookup.player_latest(read_view(spark, f"{tmp_dir}/s", ["fide_id"]), "5")
+    assert any("EqualTo(fide_id,5)" in f for f in pushed_filters(live))
+    assert [tuple(r) for r in live.collect()] == [("5", "a", "b", "7", "8", "9")]
+
 
 def test_column_pruning_reaches_scan(spark):
     fed = model_from_tables(spark, SF_SMALL).fed_by_year
