@@ -1,9 +1,12 @@
 """Batch-layer job and the lazy model the serving queries run on.
 
-``build_views`` materialises the joined table once (partitioned by year) and
-derives every view from the written table, so the join runs once and each
-view's lineage starts at a file scan in the shared folder — a lost executor
-re-reads files instead of recomputing the join.
+``build_views`` materialises the joined table once (partitioned by year);
+the history view is a projection of those files, and the yearly, federation
+and count views come from a per-player-year rollup written in one pass over
+them. Each view's lineage starts at a file scan in the shared folder, so a
+lost executor re-reads files instead of recomputing the join. The cleaned
+inputs, used twice each, are persisted for the job (lineage kept, so lost
+blocks are recomputed) and released at the end.
 
 Each view is sorted *within* its write tasks (no shuffle) by the column its
 lookups filter on, so Parquet row-group statistics let an id or name-prefix
@@ -14,6 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ratinglens.operators import batch, serving
@@ -127,9 +131,26 @@ def build_views(
     co-located buckets instead of shuffling the largest view."""
     dst = dst.rstrip("/")
     paths = view_paths(dst)
-    players = batch.clean_players(players)
-    ratings = batch.clean_ratings(ratings)
+    # Each cleaned input feeds two outputs: compute it once per job.
+    players = batch.clean_players(players).persist(StorageLevel.MEMORY_AND_DISK)
+    ratings = batch.clean_ratings(ratings).persist(StorageLevel.DISK_ONLY)
+    try:
+        _write_views(spark, players, ratings, dst, paths, buckets, table_prefix)
+    finally:
+        players.unpersist()
+        ratings.unpersist()
+    return paths
 
+
+def _write_views(
+    spark: SparkSession,
+    players: DataFrame,
+    ratings: DataFrame,
+    dst: str,
+    paths: dict[str, str],
+    buckets: int | None,
+    table_prefix: str,
+) -> None:
     def put(df: DataFrame, name: str, order: list[str], partition_by: list[str] | None = None) -> None:
         if buckets and name in PLAYER_KEYED:
             writer = (
@@ -163,7 +184,6 @@ def build_views(
     put(batch.ratings_by_federation_year_from_rollup(rollup), "fed_by_year", ["federation", "year"])
     put(batch.rating_counts_from_rollup(rollup), "id_count", ["fide_id"])
     put(batch.current_rating(ratings), "current_rating", ["fide_id"])
-    return paths
 
 
 def read_views(
