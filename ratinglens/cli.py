@@ -44,12 +44,16 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--views", required=True)
     s.add_argument("--checkpoint")
     s.add_argument("--starting-offsets", default="latest")
+    s.add_argument("--trigger", default="2 seconds", help="micro-batch interval")
+    s.add_argument("--compact-every", type=int, default=500, help="snapshot every N micro-batches")
 
     f = sub.add_parser("files")
     f.add_argument("--source", required=True)
     f.add_argument("--views", required=True)
     f.add_argument("--checkpoint")
     f.add_argument("--once", action="store_true", help="process what is there, then stop")
+    f.add_argument("--trigger", default="2 seconds", help="micro-batch interval")
+    f.add_argument("--compact-every", type=int, default=500, help="snapshot every N micro-batches")
 
     args = ap.parse_args(argv)
     spark = build_session()
@@ -73,15 +77,20 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps(paths))
     elif args.cmd == "speed":
         ckpt = args.checkpoint or scratch_dir(spark, "speed-checkpoint")
-        speed.run_speed_layer(spark, args.brokers, args.topic, args.views, ckpt, args.starting_offsets)
+        speed.run_speed_layer(
+            spark, args.brokers, args.topic, args.views, ckpt, args.starting_offsets,
+            args.trigger, args.compact_every,
+        )
     elif args.cmd == "files":
         ckpt = args.checkpoint or scratch_dir(spark, "speed-checkpoint")
         q = speed.start_speed_layer(
             speed.read_message_files(spark, args.source),
             args.views,
             ckpt,
+            processing_time=args.trigger,
             available_now=args.once,
             rejects_root=args.views.rstrip("/") + "-rejects",
+            compact_every=args.compact_every,
         )
         if args.once:
             speed.run_until_caught_up(q)

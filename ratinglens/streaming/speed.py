@@ -210,6 +210,8 @@ def run_speed_layer(
     view_root: str,
     checkpoint: str,
     starting_offsets: str = "latest",
+    processing_time: str = "2 seconds",
+    compact_every: int | None = 500,
 ) -> None:
     """Production entry: Kafka topic → speed views, 2-second micro-batches,
     runs until terminated. Restarts resume from ``checkpoint``."""
@@ -219,7 +221,9 @@ def run_speed_layer(
         view_root,
         checkpoint,
         order_cols=("ts", "part", "seq"),
+        processing_time=processing_time,
         rejects_root=view_root.rstrip("/") + "-rejects",
+        compact_every=compact_every,
     )
     spark.streams.awaitAnyTermination()
 
