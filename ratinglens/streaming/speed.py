@@ -164,12 +164,16 @@ def start_speed_layer(
     rejects_root: str | None = None,
     query_name: str | None = None,
     compact_every: int | None = 500,
+    delta_files: int = 8,
 ) -> StreamingQuery:
     """Start the speed-layer query: update-mode aggregation → versioned
     upsert of the view store in ``foreachBatch``.
 
     Every ``compact_every``-th micro-batch writes a full snapshot instead of
-    a delta, so readers never merge more than ``compact_every`` folders."""
+    a delta, so readers never merge more than ``compact_every`` folders. A
+    delta holds only the keys changed in one micro-batch; it is written as at
+    most ``delta_files`` files (a coalesce, no shuffle) instead of one small
+    file per state partition."""
     parsed = parse_messages(messages, order_cols)
     state = speed_state(parsed, order_cols)
 
@@ -179,7 +183,7 @@ def start_speed_layer(
                 batch.sparkSession, view_root, ["fide_id"], batch_id, newest=batch, epoch_size=compact_every
             )
         else:
-            write_version(batch, view_root, batch_id, epoch_size=compact_every)
+            write_version(batch.coalesce(delta_files), view_root, batch_id, epoch_size=compact_every)
 
     writer = (
         state.writeStream.outputMode("update")
