@@ -167,7 +167,14 @@ def _write_views(
         keys = list(partition_by or []) + order
         write_table(df.sortWithinPartitions(*keys), paths[name], partition_by)
 
-    put(batch.players_and_ratings(players, ratings), "players_and_ratings", ["fide_id", "month"], ["year"])
+    joined_df = batch.players_and_ratings(players, ratings)
+    if not buckets:
+        # Contiguous (year, fide_id, month) ranges per task: about one file
+        # per task instead of one per task and year, each covering a narrow
+        # id range (file-level skipping for lookups). The month in the range
+        # key lets a player with very many rows span several tasks.
+        joined_df = joined_df.repartitionByRange("year", "fide_id", "month")
+    put(joined_df, "players_and_ratings", ["fide_id", "month"], ["year"])
     joined = (
         spark.table(table_prefix + "players_and_ratings")
         if buckets
