@@ -13,17 +13,24 @@ binding in SQL.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+# The driver may load this file by path; make the package beside it importable.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
 
-from ratinglens.operators import batch, cells, lookup, series
-from ratinglens.plans.build import model_from_tables
-from ratinglens.schemas import JOINED_COLS
-from ratinglens.session import scratch_dir
-from ratinglens.sources import delimited, tables
-from ratinglens.streaming import speed
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from ratinglens.operators import batch, cells, lookup, series  # noqa: E402
+from ratinglens.plans.build import model_from_tables  # noqa: E402
+from ratinglens.schemas import JOINED_COLS  # noqa: E402
+from ratinglens.session import scratch_dir  # noqa: E402
+from ratinglens.sources import delimited, tables  # noqa: E402
+from ratinglens.streaming import speed  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
