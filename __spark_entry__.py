@@ -32,6 +32,14 @@ from ratinglens.session import scratch_dir  # noqa: E402
 from ratinglens.sources import delimited, tables  # noqa: E402
 from ratinglens.streaming import speed  # noqa: E402
 
+try:  # the training-data operators are an optional part
+    import corpus_pipeline  # noqa: E402
+    from ratinglens.llm import queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "ratinglens.llm", "ratinglens.llm.queries"):
+        raise
+    llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Fixed lookup arguments (the serving forms' sample inputs, picked from data).
@@ -265,11 +273,14 @@ def q_series_text(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         name[2:]: fn
         for name, fn in globals().items()
         if name.startswith("q_") and callable(fn)
     }
+    if llm_queries:
+        found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 # --------------------------------------------------------------------- oracle
@@ -475,4 +486,9 @@ def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query over the pre-registered driver views. Queries
     without an entry (series_packed: nested arrays) are checked on rows
     only and by pytest."""
-    return {name: _CTES + sql for name, sql in _ORACLE.items()}
+    found = {name: _CTES + sql for name, sql in _ORACLE.items()}
+    if llm_queries:
+        found |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
