@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, passages, quality, simhash
-from .common import table, words
+from . import binfiles, bpe, chat, langid, mixing, passages, quality, simhash, topk, toxicity
+from .common import id_crc, table, words
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -16,6 +16,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_language_profiles(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    profiles = langid.learn_profiles(docs.where(id_crc(F.col("doc_id"), 3) != 1))
+    found = langid.identify(docs, profiles)
+    return found.select("doc_id", (id_crc(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op2_remove_repeated_passages(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     w = words(F.col("text"))
@@ -27,6 +34,19 @@ def op2_remove_repeated_passages(spark, sf):
     )
 
 
+def op3_format_conversations(spark, sf):
+    c = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("</s>[INST] ok [/INST]").alias("text")
+    own = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        said,
+    )
+    messages = chat.fold(chat.events_of_turns(c.unionByName(own)))
+    return chat.read_back(chat.render(messages))
+
+
 def op4_line_quality(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     cols = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -34,6 +54,14 @@ def op4_line_quality(spark, sf):
     return quality.clean_lines(docs).select("doc_id", *(f"_quality.{c}" for c in cols + more))
 
 
+def op5_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    labels = table(spark, sf, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels.where(id_crc(F.col("doc_id"), 5) != 0))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", (id_crc(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op6_simhash_classes(spark, sf):
     found = simhash.near_duplicates(table(spark, sf, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
@@ -43,11 +71,22 @@ def op7_bpe_round_trip(spark, sf):
     return bpe.digests(bpe.encode(table(spark, sf, "documents"), tokenizer_path()))
 
 
+def op8_exact_top_k(spark, sf):
+    vectors = topk.quantised(table(spark, sf, "embeddings"))
+    return topk.top_k(vectors.where("vec_id % 20 = 0"), vectors, 20)
+
+
 def op9_mix_sources(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "source", "_mix.epoch", "_mix.block", F.col("_mix.order").alias("place"))
 
 
+def op10_token_shards(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    manifest = binfiles.write_files(docs, bpe.read_model(tokenizer_path()), end_id=2)
+    return binfiles.read_files(manifest)
+
+
 def queries() -> dict:
     """Query name -> callable(spark, sf_dir)."""
     found = {n: f for n, f in globals().items() if n.startswith("op") and n[2].isdigit()}
@@ -192,8 +231,48 @@ FROM mixed
 """
 
 
+_CTL = "(<s>|</s>|\\[ROLE\\]|\\[/ROLE\\]|\\[INST\\]|\\[/INST\\]|<<SYS>>|<</SYS>>|" + (
+    "<\\|im_start\\|>|<\\|im_end\\|>|<\\|endoftext\\|>|<\\|startoftext\\|>)"
+)
+
+_OP3 = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<s>[ROLE]') + length(role) + len(regexp_extract_all(role, {_sql(_CTL)}))
+                + length(text) + len(regexp_extract_all(text, {_sql(_CTL)})) + length('_[/ROLE]_</s>_')) AS BIGINT)
+         AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+_OP8 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+WHERE r <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_format_conversations": _OP3,
+        "op8_exact_top_k": _OP8,
         "op2_remove_repeated_passages": _OP2,
         "op4_line_quality": _OP4,
         "op9_mix_sources": _OP9,
