@@ -44,7 +44,8 @@ INNER_SENTENCE = rf"[.!?…]{CLOSERS}{_SP}+{HAS_WORD}"
 SHOUTING = r"(?:[!?]{2}[^!?]*){3}"
 SYMBOL_RUNS = r"(?:[#*$%&<>]{3}[^#*$%&<>]*){2}"
 NAVIGATION = rf"(?:{HAS_WORD}{_SP}+[|»›>•·](?:{_SP}|\z)[^\n]*){{2}}|\A{_SP}*[|»›•]|{_SP}[|»›]{_SP}*\z"
-FURNITURE = "(?i)" + "|".join(BOILERPLATE)
+SEPARATOR = r"[|»›>•·]"  # a cheap necessary sign of navigation
+FURNITURE = r"(?i)(?:\A|[^a-z])(?:" + "|".join(BOILERPLATE) + ")"
 
 #: A document keeps at least this share of its characters, or it is rejected.
 MIN_KEPT = 0.5
@@ -64,7 +65,8 @@ def _line_passes(line: Column) -> Column:
     broken = line.rlike(SHOUTING) | line.rlike(SYMBOL_RUNS)
     furniture = (F.length(line) < 2 * LONG_LINE) & line.rlike(FURNITURE)
     blank = ~line.rlike(HAS_WORD)
-    return blank | (punctuated & ~broken & ~line.rlike(NAVIGATION) & ~furniture)
+    menu = line.rlike(SEPARATOR) & line.rlike(NAVIGATION)
+    return blank | (punctuated & ~broken & ~menu & ~furniture)
 
 
 def _lines(text: Column) -> Column:
