@@ -1,0 +1,78 @@
+import numpy as np
+from brute import words, without_repeats
+
+from ratinglens.llm import passages
+
+
+def removed(docs, **kw):
+    return passages.remove_repeats(docs, **kw).select("doc_id", "text", "_removed").collect()
+
+
+def agree(spark, texts, width=35, gram=10):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: r for r in removed(docs, width=width, gram=gram)}
+    total = 0
+    for i, (all_words, kept) in enumerate(without_repeats(texts, width)):
+        assert words(got[i].text) == kept, i
+        assert got[i]._removed == len(all_words) - len(kept)
+        total += got[i]._removed
+    return total
+
+
+def test_equals_brute_force(spark):
+    rng = np.random.default_rng(5)
+    vocab = [f"v{i}" for i in range(400)]
+    shared = [list(rng.choice(vocab, n)) for n in (34, 35, 36, 60, 90, 200)]
+    texts = []
+    for i in range(60):
+        w = list(rng.choice(vocab, rng.integers(0, 300)))
+        for _ in range(rng.integers(0, 3)):
+            p = shared[rng.integers(len(shared))]
+            a = int(rng.integers(0, max(1, len(p) - 35)))
+            at = int(rng.integers(0, len(w) + 1))
+            w[at:at] = p[a : a + int(rng.integers(30, 120))]
+        texts.append(" ".join(w))
+    texts += [texts[3], " ".join(shared[4] + shared[4]), "\n".join(shared[3]), "", None]
+    assert agree(spark, texts) > 500
+
+
+def test_few_words_and_short_windows(spark):
+    rng = np.random.default_rng(6)
+    texts = [" ".join(rng.choice(["a", "b", "c"], rng.integers(0, 40))) for _ in range(60)]
+    assert agree(spark, texts, width=8, gram=3) > 0
+
+
+def test_one_word_again_and_again(spark):
+    assert agree(spark, ["x " * 100, "x " * 35, "y " * 35, "z " * 34]) == 135
+
+
+def test_white_space_between_kept_words_stays(spark):
+    p = " ".join(f"p{i}" for i in range(40))
+    (a, b) = sorted(
+        removed(spark.createDataFrame([(1, f"one\n\ntwo\t{p}\n three"), (2, f"{p} é")], "doc_id int, text string")),
+        key=lambda r: r.doc_id,
+    )
+    assert a.text == "one\n\ntwo\tthree" and b.text == "é"
+
+
+def test_difficult_rows(spark, odd_docs, no_docs):
+    out = passages.remove_repeats(odd_docs)
+    assert out.columns == [*odd_docs.columns, "_removed"]
+    rows = out.collect()
+    assert len(rows) == odd_docs.count()
+    for r in rows:
+        if r.doc_id == 5:
+            assert r._removed == 120_000 and words(r.text) == []
+        else:
+            assert r._removed == 0
+    assert {r.doc_id: r.text for r in rows}[2] is None
+    assert {r.doc_id: r.text for r in rows}[3] == ""
+    assert passages.remove_repeats(no_docs).count() == 0
+
+
+def test_copies_are_dealt_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(passages, "SHARD_CHARS", 1000)
+    text = " ".join(f"w{i}" for i in range(50))
+    docs = spark.createDataFrame([(i, text) for i in range(40)] + [(99, "other " + text[:150])], "doc_id int, text string")
+    got = removed(docs)
+    assert len(got) == 41 and all(r._removed == 50 for r in got if r.doc_id < 40)

@@ -1,0 +1,82 @@
+import pytest
+from pyspark.sql import functions as F
+
+from ratinglens.llm import quality
+
+
+def judged(spark, texts, **kw):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    rows = quality.clean_lines(docs, **kw).select("doc_id", "_quality.*").collect()
+    return [r.asDict() for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+PROSE = "It rained for most of the day, and so the four of us stayed in and read what there was to read."
+
+
+def test_line_rules(spark):
+    lines = {
+        PROSE: True,
+        'He said: "Stay."': True,
+        "Ends like so…": True,
+        "no end to this line": False,
+        "Home | News | About us": False,
+        "Home » News » Today.": False,
+        "| one cell.": False,
+        "We use cookies to improve this site.": False,
+        "ALL! GREAT!! BUY!! NOW!! OR!! NEVER!!": False,
+        "of%%% the### word&&& was.": False,
+        "   ": True,
+        "": True,
+        "A long line of plain prose without an end. It goes on and on, for well over a hundred and twenty characters in all, and stops": True,
+    }
+    got = judged(spark, list(lines))
+    assert [g["lines_failed"] == 0 for g in got] == list(lines.values())
+
+
+def test_rejects_documents_that_lose_too_much(spark):
+    menu = "Home | News | Sports | Weather | Contact | About us"
+    good, mixed, bad = judged(spark, [PROSE, f"{PROSE}\n{menu}", "\n".join([PROSE] + [menu] * 4)])
+    assert good["kept"] and mixed["kept"] and not bad["kept"]
+    assert mixed["clean_text"] == PROSE and mixed["lines_failed"] == 1
+    assert bad["kept_share"] < 0.5
+
+
+def test_base_statistics(spark):
+    window = " ".join(f"a{i}" for i in range(10))
+    text = f"{window} b c {window}\n#x#\n#x#\n\n\n <|> ü"
+    (got,) = judged(spark, [text])
+    assert got["n_words"] == 26 and got["n_symbols"] == 7 and got["n_dup_lines"] == 1
+    assert got["n_repeat_words"] == 20
+    assert got["word_chars"] == 20 + 20 + 2 + 3 + 3 + 3 + 1
+    assert got["base_failed"] and not got["kept"]
+
+
+@pytest.mark.parametrize("n, failed", [(19, True), (20, False)])
+def test_twenty_words_are_enough(spark, n, failed):
+    (got,) = judged(spark, [" ".join(f"w{i}" for i in range(n)) + "."])
+    assert got["base_failed"] is failed
+
+
+def test_overlapping_repeats_count_each_word_once(spark):
+    (got,) = judged(spark, ["a " * 30])
+    assert got["n_repeat_words"] == 30 and got["base_failed"]
+
+
+def test_difficult_rows(spark, odd_docs, no_docs):
+    out = quality.clean_lines(odd_docs)
+    assert out.columns == [*odd_docs.columns, "_quality"]
+    rows = out.select("doc_id", "_quality.*").collect()
+    assert len(rows) == odd_docs.count()
+    by_id = {}
+    for r in rows:
+        by_id.setdefault(r.doc_id, []).append(r)
+    assert len(by_id[1]) == 2 and by_id[1][0] == by_id[1][1]
+    for i in (2, 3, 4):
+        assert by_id[i][0].n_words == 0 and by_id[i][0].base_failed and not by_id[i][0].kept
+    assert by_id[5][0].n_words == 120_000 and by_id[5][0].n_repeat_words == 120_000
+    assert quality.clean_lines(no_docs).count() == 0
+
+
+def test_no_python_and_no_shuffle(spark, odd_docs):
+    plan = quality.clean_lines(odd_docs).select(F.col("_quality.kept"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
