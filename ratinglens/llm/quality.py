@@ -172,7 +172,10 @@ def clean_lines(
             F.array_join(F.transform(F.filter(ls, lambda x: x["ok"]), lambda x: x["line"]), "\n").alias("clean_text"),
         ),
     )
-    with_stats = docs.withColumn("_quality", F.struct(base_statistics(text).alias("b"), cleaned.alias("c")))
+    # A generator of one row: what it yields is computed once, whatever
+    # later columns and filters use of it.
+    measured = F.explode(F.array(F.struct(base_statistics(text).alias("b"), cleaned.alias("c"))))
+    with_stats = docs.drop("_quality").select("*", measured.alias("_quality"))
     b, c = F.col("_quality.b"), F.col("_quality.c")
     n_words, n_rep = b["w"]["n_words"], b["w"]["n_repeat_words"]
     share = F.when(c["all_chars"] > 0, c["ok_chars"] / c["all_chars"]).otherwise(F.lit(0.0))
