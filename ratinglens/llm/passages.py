@@ -85,13 +85,15 @@ class Powers:
 
 
 def anchors(grams: np.ndarray, span: int) -> np.ndarray:
-    """Position of the smallest of each ``span`` neighbouring hashes."""
-    view = np.lib.stride_tricks.sliding_window_view(grams, span)
-    out = np.empty(len(view), np.int64)
-    for i in range(0, len(view), 1 << 16):  # argmin copies what it reads
-        part = view[i : i + (1 << 16)]
-        out[i : i + len(part)] = part.argmin(axis=1) + np.arange(i, i + len(part))
-    return out
+    """Position of the smallest of each ``span`` neighbouring hashes, judged
+    by the upper 32 bits (ties: the first)."""
+    low = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
+    n = len(low) - span + 1
+    width = 1
+    while 2 * width <= span:
+        low = np.minimum(low[:-width], low[width:])
+        width *= 2
+    return (np.minimum(low[:n], low[span - width :][:n]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def text_key(text: Column) -> Column:
@@ -101,18 +103,19 @@ def text_key(text: Column) -> Column:
 
 
 def emit_anchors(batches, width: int, gram: int):
-    """(k1, k2, text) -> (a, n, k1, k2): each anchor of a text, how often."""
+    """(k1, text) -> (a, n, k1): each anchor of a text, how often."""
     cache, powers = WordHashes(), Powers()
     for batch in batches:
-        keys1, keys2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        keys = batch.column(0).to_numpy(zero_copy_only=False)
         found, counts, rows = [], [], []
-        for row, text in enumerate(batch.column(2)):
+        for row, text in enumerate(batch.column(1)):
             w = (text.as_py() or "").encode().split()
             if len(w) < width:
                 continue
             h = np.fromiter(map(cache.__getitem__, w), np.uint64, len(w))
             g = powers.sequence_hashes(h, gram)
-            a, n = np.unique(g[np.unique(anchors(g, width - gram + 1))], return_counts=True)
+            at = anchors(g, width - gram + 1)
+            a, n = np.unique(g[at[np.r_[True, at[1:] != at[:-1]]]], return_counts=True)
             found.append(a)
             counts.append(n)
             rows.append(np.full(len(a), row))
@@ -122,10 +125,9 @@ def emit_anchors(batches, width: int, gram: int):
                 [
                     pa.array(np.concatenate(found).view(np.int64)),
                     pa.array(np.concatenate(counts).astype(np.int32)),
-                    pa.array(keys1[at]),
-                    pa.array(keys2[at]),
+                    pa.array(keys[at]),
                 ],
-                ["a", "n", "k1", "k2"],
+                ["a", "n", "k1"],
             )
 
 
@@ -167,42 +169,47 @@ def emit_contexts(batches, width: int, gram: int):
             )
 
 
-def phrase_starts(lo: int, offsets) -> list[int]:
+def phrase_starts(lo: int, size: int, offsets) -> list[int]:
     """Starts of the first and last window of each run of confirmed windows
-    of a context; a context is short enough for these two to cover the run."""
+    of a context (no offsets: all ``size`` of them); a context is short enough
+    for these two to cover the run."""
     if offsets is None:
-        return []
-    o = np.sort(np.asarray(offsets, np.int64))
-    breaks = np.flatnonzero(np.diff(o) > 1)
-    return [lo + int(x) for x in np.r_[o[0], o[breaks + 1], o[breaks], o[-1]]]
+        return [lo, lo + size - 1]
+    o = sorted(offsets)
+    starts = [lo + o[0], lo + o[-1]]
+    for x, y in zip(o, o[1:]):
+        if y - x > 1:
+            starts += [lo + x, lo + y]
+    return starts
+
+
+class Numbers(dict):
+    """Word -> number, in order of appearance."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
 
 
 def locate(docs: pd.DataFrame, phrases: pd.DataFrame, width: int, removed_col: str) -> pd.DataFrame:
     """One shard: compile the representatives' phrases, stream all documents
     through the automaton, and cut out what is covered."""
-    numbers: dict[str, int] = {}
-    splitted = {}
-
-    def numbered(key, text: str) -> tuple[int, ...]:
-        if key not in splitted:
-            splitted[key] = tuple(numbers.setdefault(w, len(numbers)) for w in text.encode().split())
-        return splitted[key]
-
+    number = Numbers().__getitem__
     texts = dict(zip(zip(docs["_k1"], docs["_k2"]), docs["text"]))
+    ids = {key: tuple(map(number, text.encode().split())) for key, text in texts.items()}
     automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-    for k1, k2, lo, offsets in phrases[["k1", "k2", "lo", "offs"]].itertuples(index=False):
-        ids = numbered((k1, k2), texts[k1, k2])
-        for start in set(phrase_starts(lo, offsets)):
-            automaton.add_word(ids[start : start + width])
+    for k1, k2, lo, size, offsets in zip(*(phrases[c].tolist() for c in ("k1", "k2", "lo", "m", "offs"))):
+        own = ids[k1, k2]
+        for start in phrase_starts(lo, size, offsets):
+            automaton.add_word(own[start : start + width])
     automaton.make_automaton()
     done: dict = {}
     for key, text in texts.items():
-        ids = numbered(key, text)
-        edge = np.zeros(len(ids) + 1, np.int64)
-        if len(automaton):
-            for end, _ in automaton.iter(ids):
-                edge[end + 1 - width] += 1
-                edge[end + 1] -= 1
+        ends = [end for end, _ in automaton.iter(ids[key])] if len(automaton) else []
+        edge = np.zeros(len(ids[key]) + 1, np.int64)
+        at = np.array(ends, np.int64) + 1  # at most one phrase ends at a word
+        edge[at - width] += 1
+        edge[at] -= 1
         covered = np.cumsum(edge[:-1]) > 0
         done[key] = (cut(text, covered), int(covered.sum()))
     outcome = [done[k] for k in zip(docs["_k1"], docs["_k2"])]
@@ -246,20 +253,21 @@ def remove_repeats(docs: DataFrame, width: int = 35, gram: int = 10) -> DataFram
         *docs.columns, F.col("_k.k1").alias("_k1"), F.col("_k.k2").alias("_k2")
     )
     found = saved(
-        keyed.select("_k1", "_k2", "text").mapInArrow(
-            partial(emit_anchors, width=width, gram=gram), "a long, n int, k1 long, k2 long"
+        keyed.select("_k1", "text").mapInArrow(
+            partial(emit_anchors, width=width, gram=gram), "a long, n int, k1 long"
         ),
         "passage-anchors",
     )
     recurring = found.groupBy("a").agg(F.sum("n").alias("n")).where("n >= 2").select("a")
+    # Half of the key will do here: two texts that share it get each other's
+    # anchors as well, which only nominate.
     by_text = (
-        found.select("a", "k1", "k2")
+        found.select("a", F.col("k1").alias("_k1"))
         .join(recurring, "a")
-        .groupBy("k1", "k2")
+        .groupBy("_k1")
         .agg(F.collect_set("a").alias("_anchors"))
-        .select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "_anchors")
     )
-    split = saved(keyed.join(by_text, ["_k1", "_k2"], "left").select(*keyed.columns, "_anchors"), "passage-split")
+    split = saved(keyed.join(by_text, "_k1", "left").select(*keyed.columns, "_anchors"), "passage-split")
     clean = split.where("_anchors is null").select(*docs.columns, F.lit(0).cast("long").alias("_removed"))
 
     pending = split.where("_anchors is not null")
@@ -290,14 +298,14 @@ def remove_repeats(docs: DataFrame, width: int = 35, gram: int = 10) -> DataFram
         .groupBy("w1", "w2", "m")
         .agg(F.collect_list("off").alias("offs"))
     )
-    whole = distinct.where("n >= 2").select("w1", "w2", "m", F.sequence(F.lit(0), F.col("m") - 1).alias("offs"))
+    whole = distinct.where("n >= 2").select("w1", "w2", "m", F.lit(None).cast("array<int>").alias("offs"))
     phrases = whole.unionByName(parts)
     place = F.min(F.struct("k1", "k2", "lo")).alias("at")
     chosen = (
         contexts.groupBy("shard", *name)
         .agg(place)
         .join(phrases, ["w1", "w2", "m"])
-        .select(F.col("shard").alias("_shard"), "at.k1", "at.k2", "at.lo", "offs")
+        .select(F.col("shard").alias("_shard"), "at.k1", "at.k2", "at.lo", "m", "offs")
     )
     pending = pending.drop("_anchors")
     schema = StructType([*docs.schema.fields, StructField("_removed", IntegerType())])
