@@ -1,0 +1,74 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from ratinglens.llm import binfiles, bpe
+from ratinglens.llm.queries import tokenizer_path
+
+tokenizers = pytest.importorskip("tokenizers")
+
+
+@pytest.fixture(scope="module")
+def model():
+    return bpe.read_model(tokenizer_path())
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 63, 1000, 20_000])
+def test_hash_is_minimal_and_perfect(n):
+    keys = np.unique(np.random.default_rng(n).integers(0, 2**64, n, dtype=np.uint64))
+    h = binfiles.PerfectHash.build(keys)
+    assert sorted(h.slots(keys)) == list(range(len(keys)))
+
+
+def test_keys_left_after_the_last_level(monkeypatch):
+    monkeypatch.setattr(binfiles, "LEVELS", 1)
+    keys = np.arange(500, dtype=np.uint64)
+    h = binfiles.PerfectHash.build(keys)
+    assert len(h.rest) and sorted(h.slots(keys)) == list(range(500))
+    assert (h.slots(np.arange(500, 600, dtype=np.uint64)) < 500).all()
+
+
+def test_chunks_equal_whole_texts(model):
+    t = tokenizers.Tokenizer.from_str(model)
+    e = binfiles.ChunkIds(model, bound=10)
+    texts = ["", "a b", "It's a<|endoftext|>b <|startoftext|>", "é x\x1cy \x85z <| |> ‘s", "日本 語 " * 5, "A a A"]
+    for _ in range(2):
+        got = e.encode([x.encode() for x in texts])
+        assert [np.frombuffer(g, e.kind).tolist() for g in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def expected(model, rows):
+    t = tokenizers.Tokenizer.from_str(model)
+    out, start = [], 0
+    for d, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = t.encode(text or "", add_special_tokens=False).ids + [2]
+        out.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_round_trip_over_shards(spark, model, monkeypatch):
+    monkeypatch.setattr(binfiles, "SHARD_CHARS", 2000)
+    rng = np.random.default_rng(1)
+    rows = [(int(i), " ".join(rng.choice(["the", "anea.", "Ünï", "42", "x!"], rng.integers(0, 40)))) for i in rng.permutation(300) * 7 - 500]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    manifest = binfiles.write_files(docs, model, 2).cache()
+    assert manifest.count() > 3
+    got = sorted(map(tuple, binfiles.read_files(manifest).collect()))
+    assert got == sorted(expected(model, rows))
+    # Keyed access: each key in one shard, and no other key in any.
+    shards = [binfiles.Shard(r.path) for r in manifest.collect()]
+    t = tokenizers.Tokenizer.from_str(model)
+    for d, text in rows[:40]:
+        found = [ids.tolist() for s in shards if (ids := s.get(d)) is not None]
+        assert found == [t.encode(text, add_special_tokens=False).ids + [2]]
+        assert all(s.get(d + 1) is None for s in shards)
+
+
+def test_difficult_rows(spark, model, odd_docs, no_docs):
+    got = binfiles.read_files(binfiles.write_files(odd_docs, model, 2)).collect()
+    rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    assert sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got), key=str) == sorted(expected(model, rows), key=str)
+    manifest = binfiles.write_files(no_docs, model, 2)
+    assert manifest.count() == 0 and binfiles.read_files(manifest).count() == 0

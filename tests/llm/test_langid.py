@@ -1,0 +1,76 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from ratinglens.llm import langid
+from ratinglens.llm.common import id_crc, table
+
+SF = "/root/testdata/sf0.01"
+
+
+def counts(text, chunk=None):
+    codes, n = langid.gram_counts(text, langid.Letters())
+    name = lambda c: "".join(chr(c >> s & (1 << 21) - 1) for s in (0, 21, 42) if c >> s)
+    return {name(int(c)): int(k) for c, k in zip(codes, n)}
+
+
+def test_ngrams_stay_within_words():
+    assert counts("Ab a") == {
+        "a": 2, "b": 1, " a": 2, "ab": 1, "b ": 1, "a ": 1, " ab": 1, "ab ": 1, " a ": 1
+    }
+    assert counts("ab1 --ab") == counts("ab ab") != counts("abab")
+    assert counts(None) == counts("") == counts(" 12 !") == {}
+
+
+def test_blocks_of_a_long_text_add_up(monkeypatch):
+    text = "lorem ipsum dolor sit amet " * 50
+    whole = counts(text)
+    monkeypatch.setattr(langid, "CHUNK", 17)
+    assert counts(text) == whole
+
+
+def test_out_of_place_distance():
+    a, b, c, d = (ord(x) for x in "abcd")
+    judge = langid.Judge({"x": [a, b, c], "y": [c, b, a]}, 3)
+    # Ranks of "aab": a, then b and the others by code; penalty 3 if not listed.
+    lang, score = judge.of("aab")
+    codes, n = langid.gram_counts("aab", langid.Letters())
+    top = codes[np.argsort(-n, kind="stable")[:3]].tolist()
+
+    def distance(profile):
+        return sum(min(3, abs(profile.index(g) - i)) if g in profile else 3 for i, g in enumerate(top))
+
+    dx, dy = distance([a, b, c]), distance([c, b, a])
+    assert lang == ("x" if dx <= dy else "y") and score == 1 - min(dx, dy) / 9
+    assert judge.of("12") == ("und", 0.0)
+    assert langid.Judge({}, 3).of("text") == ("und", 0.0)
+
+
+def test_profiles_equal_brute_force(spark):
+    rows = [(1, "aa ab", "x"), (2, "ab b", "x"), (3, "zz", "y"), (4, None, "x"), (5, "q", None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    got = langid.learn_profiles(docs, 4)
+    assert set(got) == {"x", "y"}
+    total = {}
+    for t in ("aa ab", "ab b"):
+        for code, n in zip(*langid.gram_counts(t, langid.Letters())):
+            total[int(code)] = total.get(int(code), 0) + int(n)
+    assert got["x"] == sorted(total, key=lambda g: (-total[g], g))[:4]
+
+
+def test_held_out_accuracy(spark):
+    docs = table(spark, SF, "documents")
+    profiles = langid.learn_profiles(docs.where(id_crc(F.col("doc_id"), 3) != 1))
+    held = docs.where(id_crc(F.col("doc_id"), 3) == 1)
+    found = langid.identify(held, profiles).join(held.select("doc_id", "lang"), "doc_id")
+    right, n = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
+    assert n > 200 and right > 0.97
+
+
+def test_difficult_rows(spark, odd_docs, no_docs):
+    profiles = langid.learn_profiles(odd_docs)
+    rows = langid.identify(odd_docs, profiles).collect()
+    assert len(rows) == odd_docs.count()
+    assert {r.lang_pred for r in rows if r.doc_id in (2, 3, 4)} == {"und"}
+    assert all(0 <= r.score <= 1 for r in rows)
+    assert langid.identify(no_docs, profiles).count() == 0
+    assert langid.learn_profiles(no_docs) == {}

@@ -1,0 +1,71 @@
+import numpy as np
+import pytest
+
+from ratinglens.llm import topk
+
+
+def brute(rows, k, every=5):
+    good = []
+    for i, v in rows:
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
+            good.append((i, [int(np.floor(64 * float(x))) for x in v]))
+    out = []
+    for q, a in good:
+        if q % every == 0:
+            scores = [(-sum(x * y for x, y in zip(a, b)), i) for i, b in good if i != q]
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scores)[:k])]
+    return sorted(out)
+
+
+def run(spark, rows, k, every=5):
+    v = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<float>, v int, label int"))
+    got = topk.top_k(v.where(f"vec_id % {every} = 0"), v, k)
+    return sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect())
+
+
+@pytest.mark.parametrize("kind", ["spread", "clustered", "ties", "large"])
+def test_equals_brute_force(spark, monkeypatch, kind):
+    monkeypatch.setattr(topk, "CANDIDATES", (40, 64))
+    monkeypatch.setattr(topk, "QUERIES", 16)
+    monkeypatch.setattr(topk, "AT_ONCE", 7)
+    rng = np.random.default_rng(len(kind))
+    if kind == "clustered":
+        base = rng.normal(size=(4, 16))
+        x = base[rng.integers(0, 4, 300)] + 0.1 * rng.normal(size=(300, 16))
+    elif kind == "ties":
+        x = rng.integers(-1, 2, (300, 4)) / 64
+    elif kind == "large":
+        x = rng.normal(size=(120, 8)) * 1e7
+    else:
+        x = rng.normal(size=(300, 16)) / 4
+    rows = [(i, [float(np.float32(c)) for c in v], 1, 2) for i, v in enumerate(x)]
+    assert run(spark, rows, 6) == brute([r[:2] for r in rows], 6)
+
+
+def test_a_hot_vector(spark):
+    rows = [(i, [0.5, 0.25] if i % 3 == 0 else [i / 100, -i / 100], 1, 2) for i in range(200)]
+    assert run(spark, rows, 5) == brute([r[:2] for r in rows], 5)
+
+
+def test_difficult_rows(spark):
+    rows = [
+        (0, [1.0, 2.0], 1, 1), (5, [1.0], 1, 1), (10, [], 1, 1), (3, [0.0, 0.0], 1, 1), (4, None, 1, 1),
+        (None, [1.0, 1.0], 1, 1), (6, [1.0, None], 1, 1), (7, [float("nan"), 1.0], 1, 1), (8, [float("inf"), 1.0], 1, 1),
+        (15, [0.0, 0.0], 1, 1), (2, [1.0, 2.0], 1, 1),
+    ]
+    padded = [(i, v if v is None or len(v) == 2 else (v + [0.0, 0.0])[:2]) for i, v, *_ in rows]
+    assert run(spark, rows, 3) == brute(padded, 3)
+    assert run(spark, [rows[0]], 3) == []
+    assert run(spark, [r for r in rows if r[0] == 4], 3) == []
+
+
+def test_the_proof_prunes_and_rescoring_is_exact():
+    rng = np.random.default_rng(0)
+    base = rng.normal(size=(20, 64))
+    v = np.floor(64 * (base[rng.integers(0, 20, 2000)] + 0.05 * rng.normal(size=(2000, 64))) / 8).astype(np.int64)
+    index = topk.ImpactIndex(np.arange(2000), v)
+    assert index.levels == sorted(index.levels, reverse=True)
+    assert (sum(index.segments) == v).all()
+    a, b, s = index.top(np.array([-1]), v[:1], 10)
+    exact = v @ v[0]
+    assert len(b) < 2000 and set(np.argsort(-exact, kind="stable")[:10]) <= set(b) and (s == exact[b]).all()
