@@ -25,11 +25,13 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from ratinglens.functions import scalar  # noqa: E402
 from ratinglens.operators import batch, cells, lookup, series  # noqa: E402
-from ratinglens.plans.build import model_from_tables  # noqa: E402
+from ratinglens.plans.build import Model, build_views, model_from_tables, read_views  # noqa: E402
+from ratinglens.plans.service import RatingService  # noqa: E402
 from ratinglens.schemas import JOINED_COLS  # noqa: E402
 from ratinglens.session import scratch_dir  # noqa: E402
-from ratinglens.sources import delimited, tables  # noqa: E402
+from ratinglens.sources import delimited, store, tables  # noqa: E402
 from ratinglens.streaming import speed  # noqa: E402
 
 try:  # the training-data operators are an optional part
@@ -86,19 +88,88 @@ def q_id_name_view(spark, sf):
 
 
 def q_orphan_ratings(spark, sf):
-    m = model_from_tables(spark, sf)
-    return batch.orphan_ratings(m.players, m.ratings)
+    """Rating rows of players who are not members."""
+    return batch.orphan_ratings(tables.members_from_tables(spark, sf), tables.ratings_from_tables(spark, sf))
 
 
 def q_players_without_ratings(spark, sf):
+    """Players without a rating in the first season."""
     m = model_from_tables(spark, sf)
-    return batch.players_without_ratings(m.players, m.ratings)
+    return batch.players_without_ratings(m.players, m.ratings.filter("year < 1996"))
 
 
 def q_summary(spark, sf):
     return batch.summary(model_from_tables(spark, sf).joined)
 
 
+# ----------------------------------------------- the built views, read back
+
+_BUILT: dict[tuple, object] = {}
+
+
+def _once(spark, sf, name, make):
+    """``make()`` once per session and tables: its files are in the shared
+    scratch folder."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _BUILT:
+        _BUILT[key] = make()
+    return _BUILT[key]
+
+
+def _built_paths(spark, sf):
+    def build():
+        players, ratings = tables.players_from_tables(spark, sf), tables.ratings_from_tables(spark, sf)
+        return build_views(spark, players, ratings, scratch_dir(spark, "views"))
+
+    return _once(spark, sf, "views", build)
+
+
+def _service(spark, sf):
+    """The serving facade over built views and a streamed speed store."""
+    return RatingService(spark, _built_paths(spark, sf), _once(spark, sf, "speed", lambda: _stream_message_files(spark, sf)))
+
+
+def q_built_joined(spark, sf):
+    return read_views(spark, _built_paths(spark, sf))["players_and_ratings"]
+
+
+def q_built_history(spark, sf):
+    return read_views(spark, _built_paths(spark, sf))["history"]
+
+
+def q_built_id_name(spark, sf):
+    return read_views(spark, _built_paths(spark, sf))["id_name"]
+
+
+def q_built_by_year(spark, sf):
+    return read_views(spark, _built_paths(spark, sf))["by_year"]
+
+
+def q_built_fed_by_year(spark, sf):
+    return read_views(spark, _built_paths(spark, sf))["fed_by_year"]
+
+
+def q_built_id_count(spark, sf):
+    return read_views(spark, _built_paths(spark, sf))["id_count"]
+
+
+def q_built_current_rating(spark, sf):
+    return read_views(spark, _built_paths(spark, sf))["current_rating"]
+
+
+def q_upsert_view(spark, sf):
+    """The latest report per player by two upserts and a compaction: the
+    first half of the events, then the second."""
+    subs = tables.submissions_from_tables(spark, sf)
+    half = subs.agg(F.expr("percentile(seq, 0.5)")).first()[0]
+    root = scratch_dir(spark, "upserts")
+    for version, part in enumerate([subs.filter(F.col("seq") <= half), subs.filter(F.col("seq") > half)]):
+        latest = cells.latest_version(part, ["fide_id"], ["ts", "seq"])
+        store.upsert_view(latest, root, ["fide_id"], version)
+    store.compact_view(spark, root, ["fide_id"], 2)
+    return store.read_view(spark, root, ["fide_id"])
+
+
 # --------------------------------------------------------------------- ingest
 
 
@@ -123,12 +194,38 @@ def q_split_name(spark, sf):
 
 
 def q_name_quality(spark, sf):
-    """Shape of the raw "Last, First" names of the written player file."""
+    """Shapes of the raw names of a player file as delivered."""
     path = scratch_dir(spark, "players-raw-csv")
-    delimited.write_players_raw(tables.players_from_tables(spark, sf), path)
+    delimited.write_raw(tables.raw_players_from_tables(spark, sf), path)
     return delimited.name_quality(delimited.read_players_raw(spark, path))
 
 
+def q_scan_players_raw(spark, sf):
+    """The same file, read and normalised: NULL and empty text kept apart."""
+    path = scratch_dir(spark, "players-raw-csv")
+    delimited.write_raw(tables.raw_players_from_tables(spark, sf), path)
+    return delimited.normalise_players(delimited.read_players_raw(spark, path))
+
+
+def q_scalar_functions(spark, sf):
+    """The scalar helpers over customer and event columns."""
+    c = tables.load(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    count = F.abs(F.floor("c_acctbal")).cast("bigint")
+    return c.select(
+        "c_custkey",
+        scalar.strip_prefix("c_name", "Customer#").alias("stripped"),
+        scalar.strip_prefix("c_name", "Supplier#").alias("not_stripped"),
+        scalar.drop_first("c_name").alias("dropped"),
+        scalar.pad_month((F.col("c_custkey") % 12 + 1).cast("string")).alias("padded"),
+        scalar.to_number(F.split("c_name", "#")[1]).alias("number"),
+        scalar.to_number("c_name").alias("no_number"),
+        scalar.first_of_month(F.lit(1999), F.col("c_custkey") % 14).alias("month_start"),
+        scalar.be_long(scalar.be_bytes(count)).alias("counter"),
+        F.hex(scalar.be_bytes(count)).alias("counter_bytes"),
+        scalar.update_message(F.col("c_custkey")).alias("message"),
+    )
+
+
 def q_latest_version(spark, sf):
     subs = tables.submissions_from_tables(spark, sf)
     return cells.latest_version(subs, ["fide_id"], ["ts", "seq"])
@@ -147,45 +244,46 @@ def q_cells_to_rows(spark, sf):
 
 
 def q_player_month(spark, sf):
-    return lookup.player_month(model_from_tables(spark, sf).history, PLAYER_MONTH)
+    return _service(spark, sf).player_month(PLAYER_MONTH)
 
 
 def q_player_month_bulk(spark, sf):
-    """One ``ID_month_year`` lookup per order of the orders table."""
+    """Two ``ID_month_year`` lookups per order — its month and the month
+    after, in which most customers have no order — and one malformed key."""
     o = tables.load(spark, sf, "orders")
-    req = o.select(
-        F.concat_ws(
-            "_",
-            F.col("o_custkey").cast("string"),
-            F.month("o_orderdate").cast("string"),
-            F.year("o_orderdate").cast("string"),
-        ).alias("lookup_key")
-    )
+    customer = F.col("o_custkey").cast("string")
+
+    def key(date):
+        return F.concat_ws("_", customer, F.month(date).cast("string"), F.year(date).cast("string"))
+
+    after = F.add_months(F.trunc("o_orderdate", "month"), 1)
+    keys = F.array(key(F.col("o_orderdate")), key(after), F.concat(customer, F.lit("_x_1995")))
+    req = o.select(F.explode(keys).alias("lookup_key"))
     return lookup.player_month_bulk(model_from_tables(spark, sf).history, req)
 
 
 def q_find_ids(spark, sf):
-    return lookup.find_ids(model_from_tables(spark, sf).id_name, NAME_PREFIX)
+    return _service(spark, sf).find_ids(NAME_PREFIX)
 
 
 def q_player_history(spark, sf):
-    return lookup.player_history(model_from_tables(spark, sf).history, PLAYER)
+    return _service(spark, sf).player_history(PLAYER)
 
 
 def q_player_years(spark, sf):
-    return lookup.player_years(model_from_tables(spark, sf).by_year, PLAYER)
+    return _service(spark, sf).player_years(PLAYER)
 
 
 def q_federation_years(spark, sf):
-    return lookup.federation_years(model_from_tables(spark, sf).fed_by_year, FEDERATION)
+    return _service(spark, sf).federation_years(FEDERATION)
 
 
 def q_player_latest(spark, sf):
-    return lookup.player_latest(model_from_tables(spark, sf).live, PLAYER)
+    return _service(spark, sf).player_latest(PLAYER)
 
 
 def q_player_count(spark, sf):
-    return lookup.player_count(model_from_tables(spark, sf).counts, PLAYER)
+    return _service(spark, sf).player_count(PLAYER)
 
 
 def q_players_with_live(spark, sf):
@@ -193,54 +291,63 @@ def q_players_with_live(spark, sf):
     return lookup.players_with_live(m.players, m.live)
 
 
-def q_live_with_count(spark, sf):
+def _members(spark, sf):
+    """The model of the members: others have live ratings but no history."""
     m = model_from_tables(spark, sf)
-    return lookup.live_with_count(m.live, m.counts)
+    return Model(tables.members_from_tables(spark, sf), m.ratings, m.submissions)
+
+
+def q_live_with_count(spark, sf):
+    """Live rows with the members' batch counts: others have no count."""
+    m = _members(spark, sf)
+    return lookup.live_with_count(m.live, m.batch_counts)
 
 
 def q_player_page(spark, sf):
-    m = model_from_tables(spark, sf)
-    return lookup.player_page(m.history, m.counts, m.live, PLAYER)
+    return _service(spark, sf).player_page(PLAYER)
 
 
 def q_player_page_all(spark, sf):
-    m = model_from_tables(spark, sf)
+    m = _members(spark, sf)
     return lookup.player_page(m.history, m.counts, m.live)
 
 
 def q_games_count_merged(spark, sf):
-    return model_from_tables(spark, sf).merged_counts
+    return _members(spark, sf).merged_counts
 
 
 # ---------------------------------------------------------------- speed layer
 
 
-def _run_speed_layer(spark, sf):
-    """Stream the events file through the speed layer (availableNow) into a
-    fresh view store; return the store's current state."""
-    events_path = tables.table_path(sf, "events")
-    schema = spark.read.parquet(events_path).schema
-    events = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf.rstrip("/"))
-        .select("event_id", "ts", "user_id", "value")
-    )
-    messages = speed.to_messages(tables.submissions_from_events(events))
+def _stream_messages(spark, messages, compact_every):
+    """Messages through the speed layer (availableNow) into a fresh store."""
     root = scratch_dir(spark, "speed")
     q = speed.start_speed_layer(
-        messages, f"{root}/view", f"{root}/checkpoint", available_now=True
+        messages, f"{root}/view", f"{root}/checkpoint", available_now=True, compact_every=compact_every
     )
     speed.run_until_caught_up(q)
-    return speed.read_speed_state(spark, f"{root}/view")
+    return f"{root}/view"
+
+
+def _stream_message_files(spark, sf):
+    """Every event published as a message in one of six files, streamed in
+    six micro-batches with a snapshot at every second one."""
+    published = scratch_dir(spark, "messages")
+    speed.write_messages(speed.to_messages(tables.submissions_from_tables(spark, sf)).repartition(6), published)
+    files = speed.read_message_files(spark, published, max_files_per_trigger=1)
+    return _stream_messages(spark, files, compact_every=2)
 
 
 def q_stream_latest(spark, sf):
-    return speed.live_view(_run_speed_layer(spark, sf))
+    root = _once(spark, sf, "speed", lambda: _stream_message_files(spark, sf))
+    return speed.live_view(speed.read_speed_state(spark, root))
 
 
 def q_stream_counts(spark, sf):
-    return speed.stream_counts(_run_speed_layer(spark, sf))
+    """The events table as a stream of its files."""
+    events = tables.stream_table(spark, sf, "events").select("event_id", "ts", "user_id", "value")
+    messages = speed.to_messages(tables.submissions_from_events(events))
+    return speed.stream_counts(speed.read_speed_state(spark, _stream_messages(spark, messages, 500)))
 
 
 def q_submit_json(spark, sf):
@@ -263,8 +370,11 @@ def q_series_federation_yearly(spark, sf):
 
 
 def q_series_packed(spark, sf):
+    """The packed points, one row per position."""
     s = series.series_monthly(model_from_tables(spark, sf).history)
-    return series.series_packed(s, ["fide_id"])
+    packed = series.series_packed(s, ["fide_id"])
+    rows = packed.select("fide_id", "discipline", F.posexplode("points").alias("position", "point"))
+    return rows.select("fide_id", "discipline", "position", "point.date", "point.rating")
 
 
 def q_series_text(spark, sf):
@@ -379,6 +489,35 @@ page AS (
   FROM history h
   LEFT JOIN merged m ON h.fide_id = m.fide_id
   LEFT JOIN live l ON h.fide_id = l.fide_id
+),
+members AS (
+  SELECT p.* FROM players p JOIN customer c ON p.fide_id = CAST(c.c_custkey AS VARCHAR) WHERE c_acctbal >= 0
+),
+mcounts AS (
+  SELECT r.fide_id, count(*) AS games_count FROM ratings r JOIN members m ON r.fide_id = m.fide_id GROUP BY r.fide_id
+),
+mmerged AS (
+  SELECT coalesce(b.fide_id, s.fide_id) AS fide_id, b.games_count AS batch_count, s.stream_count,
+         coalesce(b.games_count, 0) + coalesce(s.stream_count, 0) AS games_count
+  FROM mcounts b FULL OUTER JOIN scounts s ON b.fide_id = s.fide_id
+),
+mpage AS (
+  SELECT h.* REPLACE (coalesce(h.fide_id, l.fide_id) AS fide_id), g.games_count,
+         l.rating_standard AS rating_standard_curr,
+         l.rating_rapid AS rating_rapid_curr,
+         l.rating_blitz AS rating_blitz_curr,
+         g.fide_id IS NOT NULL AS has_count,
+         l.fide_id IS NOT NULL AS has_live
+  FROM (SELECT * FROM history WHERE fide_id IN (SELECT fide_id FROM members)) h
+  FULL OUTER JOIN live l ON h.fide_id = l.fide_id
+  LEFT JOIN mmerged g ON coalesce(h.fide_id, l.fide_id) = g.fide_id
+),
+raw AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS fide_id, c_mktsegment AS title,
+         CASE WHEN c_acctbal < 0 THEN string_split(c_name, '#')[1]
+              WHEN c_acctbal > 9000 THEN replace(c_name, '#', ', ') || ', Jr.'
+              WHEN c_acctbal NOT BETWEEN 0 AND 100 THEN replace(c_name, '#', ', ') END AS name
+  FROM customer
 )
 """
 
@@ -408,10 +547,41 @@ _ORACLE = {
                first_name, last_name, fide_id FROM players""",
     "orphan_ratings": """
         SELECT * FROM ratings r
-        WHERE NOT EXISTS (SELECT 1 FROM players p WHERE p.fide_id = r.fide_id)""",
+        WHERE NOT EXISTS (SELECT 1 FROM members p WHERE p.fide_id = r.fide_id)""",
     "players_without_ratings": """
         SELECT * FROM players p
-        WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.fide_id = p.fide_id)""",
+        WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.fide_id = p.fide_id AND r.year < 1996)""",
+    "built_joined": f"SELECT {_JOINED} FROM joined",
+    "built_history": "SELECT * FROM history",
+    "built_id_name": """
+        SELECT first_name || '_' || last_name || '_' || fide_id AS name_key,
+               first_name, last_name, fide_id FROM players""",
+    "built_by_year": "SELECT * FROM by_year",
+    "built_fed_by_year": "SELECT * FROM fed_by_year",
+    "built_id_count": "SELECT * FROM bcounts",
+    "built_current_rating": """
+        SELECT fide_id, year, month, rating_standard, rating_rapid, rating_blitz FROM (
+          SELECT *, row_number() OVER (PARTITION BY fide_id ORDER BY year DESC, month DESC) AS rn
+          FROM ratings) WHERE rn = 1""",
+    "upsert_view": """
+        SELECT fide_id, first_name, last_name, rating_standard, rating_rapid, rating_blitz, ts, seq FROM (
+          SELECT *, row_number() OVER (PARTITION BY fide_id ORDER BY late DESC, ts DESC, seq DESC) AS rn
+          FROM (SELECT *, seq > (SELECT quantile_cont(seq, 0.5) FROM submissions) AS late FROM submissions))
+        WHERE rn = 1""",
+    "scalar_functions": """
+        SELECT c_custkey, substr(c_name, 10) AS stripped, CAST(NULL AS VARCHAR) AS not_stripped,
+               substr(c_name, 2) AS dropped, lpad(CAST(c_custkey % 12 + 1 AS VARCHAR), 2, '0') AS padded,
+               CAST(string_split(c_name, '#')[2] AS BIGINT) AS number, CAST(NULL AS BIGINT) AS no_number,
+               CASE WHEN c_custkey % 14 BETWEEN 1 AND 12 THEN make_date(1999, c_custkey % 14, 1) END AS month_start,
+               CAST(abs(floor(c_acctbal)) AS BIGINT) AS counter,
+               lpad(hex(CAST(abs(floor(c_acctbal)) AS BIGINT)), 16, '0') AS counter_bytes,
+               'Updated speed layer for player' || c_custkey AS message
+        FROM customer""",
+    "scan_players_raw": """
+        SELECT fide_id, string_split(name, ', ')[1] AS last_name,
+               CASE WHEN contains(name, ', ') THEN substr(name, strpos(name, ', ') + 2) END AS first_name,
+               '' AS federation, CAST(NULL AS VARCHAR) AS gender, title, CAST(NULL AS BIGINT) AS yob
+        FROM raw""",
     "summary": """
         SELECT count(DISTINCT fide_id) AS players, count(*) AS rating_rows,
                min(year) AS first_year, max(year) AS last_year,
@@ -426,7 +596,7 @@ _ORACLE = {
                       WHEN length(name) - length(replace(name, ',', '')) = 1 THEN 'ok'
                       WHEN length(name) - length(replace(name, ',', '')) = 0 THEN 'no_comma'
                       ELSE 'extra_comma' END AS shape
-          FROM (SELECT last_name || ', ' || first_name AS name FROM players)
+          FROM raw
         ) GROUP BY shape""",
     "latest_version": """
         SELECT fide_id, first_name, last_name, rating_standard, rating_rapid, rating_blitz, ts, seq
@@ -440,9 +610,11 @@ _ORACLE = {
         WHERE fide_id || '_' || CAST(month AS VARCHAR) || '_' || CAST(year AS VARCHAR) = '{PLAYER_MONTH}'""",
     "player_month_bulk": """
         SELECT q.lookup_key, h.row_key IS NOT NULL AS found, h.*
-        FROM (SELECT CAST(o_custkey AS VARCHAR) || '_' || CAST(month(o_orderdate) AS VARCHAR)
-                     || '_' || CAST(year(o_orderdate) AS VARCHAR) AS lookup_key
-              FROM orders) q
+        FROM (SELECT CAST(o_custkey AS VARCHAR) || '_' || CAST(month(d) AS VARCHAR)
+                     || '_' || CAST(year(d) AS VARCHAR) AS lookup_key
+              FROM (SELECT o_custkey, o_orderdate AS d FROM orders
+                    UNION ALL SELECT o_custkey, date_trunc('month', o_orderdate) + INTERVAL 1 MONTH FROM orders)
+              UNION ALL SELECT CAST(o_custkey AS VARCHAR) || '_x_1995' FROM orders) q
         LEFT JOIN history h
           ON q.lookup_key = h.fide_id || '_' || CAST(h.month AS VARCHAR) || '_' || CAST(h.year AS VARCHAR)""",
     "find_ids": f"""
@@ -457,10 +629,10 @@ _ORACLE = {
         SELECT * FROM players p WHERE EXISTS (SELECT 1 FROM live l WHERE l.fide_id = p.fide_id)""",
     "live_with_count": """
         SELECT l.*, m.games_count, m.fide_id IS NOT NULL AS has_count
-        FROM live l LEFT JOIN merged m ON l.fide_id = m.fide_id""",
+        FROM live l LEFT JOIN mcounts m ON l.fide_id = m.fide_id""",
     "player_page": f"SELECT * FROM page WHERE fide_id = '{PLAYER}'",
-    "player_page_all": "SELECT * FROM page",
-    "games_count_merged": "SELECT * FROM merged",
+    "player_page_all": "SELECT * FROM mpage",
+    "games_count_merged": "SELECT * FROM mmerged",
     "stream_latest": "SELECT * FROM live",
     "stream_counts": "SELECT * FROM scounts",
     "submit_json": """
@@ -472,6 +644,10 @@ _ORACLE = {
     "series_monthly": _series("joined", "fide_id, year, month", "make_date(year, month, 1)"),
     "series_player_yearly": _series("by_year", "fide_id, year", "make_date(year, 1, 1)"),
     "series_federation_yearly": _series("fed_by_year", "federation, year", "make_date(year, 1, 1)"),
+    "series_packed": f"""
+        SELECT fide_id, discipline, CAST(row_number() OVER (PARTITION BY fide_id, discipline ORDER BY date) - 1 AS INTEGER)
+               AS position, date, rating
+        FROM ({_series("joined", "fide_id, year, month", "make_date(year, month, 1)")})""",
     "series_text": f"""
         SELECT fide_id, discipline,
                '[' || string_agg('["' || CAST(date AS VARCHAR) || '",'
@@ -483,9 +659,8 @@ _ORACLE = {
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query over the pre-registered driver views. Queries
-    without an entry (series_packed: nested arrays) are checked on rows
-    only and by pytest."""
+    """DuckDB SQL per query over the pre-registered driver views; queries
+    without an entry are checked by pytest."""
     found = {name: _CTES + sql for name, sql in _ORACLE.items()}
     if llm_queries:
         found |= llm_queries.oracle_sql()

@@ -2,10 +2,12 @@
 
     build   --players P --ratings R --dst D [--raw-names] [--buckets N]   text → views
     tables  --sf-dir S --dst D [--buckets N] [--build-id B]              tables → views
-    speed   --brokers B --topic T --views V --checkpoint C  Kafka → speed views
-    files   --source F --views V --checkpoint C             message files → speed views
+    speed   --brokers B --topic T --views V [--checkpoint C] [--option K=V]   Kafka → speed views
+    files   --source F --views V [--checkpoint C] [--once]                   message files → speed views
 
-Scratch and checkpoint folders default to the shared ``spark.checkpoint.dir``.
+A speed view belongs to one checkpoint, by default ``<views>-checkpoint``.
+Scratch folders are below the shared ``spark.checkpoint.dir``. For a cluster
+run, ``--input-gb`` and ``--cores`` before the command size the partitions.
 """
 
 from __future__ import annotations
@@ -14,13 +16,19 @@ import argparse
 import json
 
 from ratinglens.plans.build import build_views, publish_build
-from ratinglens.session import build_session, scratch_dir
+from ratinglens.session import build_session, scale_conf, scratch_dir
 from ratinglens.sources import delimited, tables
 from ratinglens.streaming import speed
 
 
+def default_checkpoint(views: str) -> str:
+    return views.rstrip("/") + "-checkpoint"
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="ratinglens")
+    ap.add_argument("--input-gb", type=float, help="size of the input, for the partition sizes")
+    ap.add_argument("--cores", type=int, default=8, help="cores of the cluster, for the partition sizes")
     sub = ap.add_subparsers(dest="cmd", required=True)
 
     b = sub.add_parser("build")
@@ -44,6 +52,10 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--views", required=True)
     s.add_argument("--checkpoint")
     s.add_argument("--starting-offsets", default="latest")
+    s.add_argument("--single-partition", action="store_true", help="order by offset alone")
+    s.add_argument(
+        "--option", action="append", default=[], metavar="K=V", help="topic option, e.g. kafka.group.id=g"
+    )
     s.add_argument("--trigger", default="2 seconds", help="micro-batch interval")
     s.add_argument("--compact-every", type=int, default=500, help="snapshot every N micro-batches")
 
@@ -56,7 +68,8 @@ def main(argv: list[str] | None = None) -> None:
     f.add_argument("--compact-every", type=int, default=500, help="snapshot every N micro-batches")
 
     args = ap.parse_args(argv)
-    spark = build_session()
+    extra = scale_conf(int(args.input_gb * 2**30), args.cores) if args.input_gb else None
+    spark = build_session(extra=extra)
 
     if args.cmd == "build":
         players = (
@@ -76,17 +89,23 @@ def main(argv: list[str] | None = None) -> None:
             paths = build_views(spark, players, ratings, dst, args.buckets, args.table_prefix)
         print(json.dumps(paths))
     elif args.cmd == "speed":
-        ckpt = args.checkpoint or scratch_dir(spark, "speed-checkpoint")
         speed.run_speed_layer(
-            spark, args.brokers, args.topic, args.views, ckpt, args.starting_offsets,
-            args.trigger, args.compact_every,
+            spark,
+            args.brokers,
+            args.topic,
+            args.views,
+            args.checkpoint or default_checkpoint(args.views),
+            args.starting_offsets,
+            args.trigger,
+            args.compact_every,
+            order_cols=("seq",) if args.single_partition else ("ts", "part", "seq"),
+            options=dict(o.split("=", 1) for o in args.option),
         )
     elif args.cmd == "files":
-        ckpt = args.checkpoint or scratch_dir(spark, "speed-checkpoint")
         q = speed.start_speed_layer(
             speed.read_message_files(spark, args.source),
             args.views,
-            ckpt,
+            args.checkpoint or default_checkpoint(args.views),
             processing_time=args.trigger,
             available_now=args.once,
             rejects_root=args.views.rstrip("/") + "-rejects",

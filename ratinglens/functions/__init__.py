@@ -1,41 +1 @@
-"""Column expressions (all built-in, JVM-side, codegen-friendly)."""
-
-from ratinglens.functions.scalar import (
-    be_bytes,
-    be_long,
-    drop_first,
-    fed_year_key,
-    first_of_month,
-    first_of_year,
-    history_key,
-    name_key,
-    pad_month,
-    parse_player_month,
-    parse_reports,
-    player_month_parts,
-    player_year_key,
-    report_json,
-    strip_prefix,
-    to_number,
-    update_message,
-)
-
-__all__ = [
-    "be_bytes",
-    "be_long",
-    "drop_first",
-    "fed_year_key",
-    "first_of_month",
-    "first_of_year",
-    "history_key",
-    "name_key",
-    "pad_month",
-    "parse_player_month",
-    "parse_reports",
-    "player_month_parts",
-    "player_year_key",
-    "report_json",
-    "strip_prefix",
-    "to_number",
-    "update_message",
-]
+"""Scalar building blocks (``scalar``)."""

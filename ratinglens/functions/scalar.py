@@ -41,14 +41,17 @@ def name_key(first="first_name", last="last_name", fide_id="fide_id") -> Column:
     return F.concat(_s(first), F.lit(SEP), _s(last), F.lit(SEP), _s(fide_id))
 
 
-def parse_player_month(key: str) -> tuple[str, int, int]:
+def parse_player_month(key: str) -> tuple[str, int, int] | None:
     """Parse a user-typed ``ID_month_year`` lookup string (a parameter, not
-    data) into typed key parts, so the lookup filter reaches the scan."""
+    data) into typed key parts, so the lookup filter reaches the scan; None
+    if it is not such a key."""
     parts = key.strip().split(SEP)
     if len(parts) != 3:
-        raise ValueError(f"expected ID_month_year, got {key!r}")
-    fide_id, month, year = parts
-    return fide_id, int(month), int(year)
+        return None
+    try:
+        return parts[0], int(parts[1]), int(parts[2])
+    except ValueError:
+        return None
 
 
 def player_month_parts(key) -> tuple[Column, Column, Column]:
@@ -91,14 +94,16 @@ def to_number(c) -> Column:
 
 
 def first_of_month(year="year", month="month") -> Column:
+    """First of the month; NULL for a month or year that does not exist."""
     y = F.col(year) if isinstance(year, str) else year
     m = F.col(month) if isinstance(month, str) else month
-    return F.make_date(y.cast("int"), m.cast("int"), F.lit(1))
+    return F.when(m.between(1, 12) & y.between(1, 9999), F.make_date(y.cast("int"), m.cast("int"), F.lit(1)))
 
 
 def first_of_year(year="year") -> Column:
+    """First of January; NULL for a year outside 1–9999 (never an error)."""
     y = F.col(year) if isinstance(year, str) else year
-    return F.make_date(y.cast("int"), F.lit(1), F.lit(1))
+    return F.when(y.between(1, 9999), F.make_date(y.cast("int"), F.lit(1), F.lit(1)))
 
 
 def be_long(c) -> Column:

@@ -2,12 +2,13 @@
 
 Plan notes (what each operator costs at scale):
 
-* ``players_and_ratings`` — one equi-join on ``fide_id``. The planner's size
-  check picks a broadcast of the player side only while it is under the
-  broadcast threshold; beyond it a sort-merge join shuffles both sides on
-  ``fide_id``. Ratings are unique per player-month, so even a player with a
-  large share of all source rows contributes at most one row per month here;
-  AQE's skew-join split covers what remains.
+* ``players_and_ratings`` — one equi-join on ``fide_id`` of all rating rows.
+  The planner's size check picks a broadcast of the player side only while it
+  is under the broadcast threshold; beyond it a sort-merge join shuffles both
+  sides on ``fide_id``, and AQE's skew-join split divides a player that holds
+  a large share of all rows.
+* ``keyed_ratings`` — what a keyed upsert keeps: one row per player-month. Only
+  the history view is keyed; joins, averages and counts are over all rows.
 * ``ratings_by_year`` / ``rating_counts`` group by keys that start with
   ``fide_id``; placed over a sort-merge join they reuse its partitioning and
   add no exchange. Otherwise they shuffle once, after map-side partial
@@ -27,35 +28,31 @@ from ratinglens.functions.scalar import fed_year_key, history_key, name_key, pla
 from ratinglens.schemas import JOINED_COLS, PLAYER_DIMS, RATING_COLS
 
 
-_FIXED_WIDTH = ("bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp")
-
-
 def dedup_by_key(df: DataFrame, key_cols: list[str]) -> DataFrame:
-    """Keep one row per key, deterministically: the row with the greatest
-    64-bit hash of its values (identical duplicates are interchangeable).
+    """Keep one row per key, whatever the input order: the greatest in the
+    order of its value columns, NULL below any value (equal rows are
+    interchangeable).
 
     An aggregate with map-side partial aggregation, not a window, so a key
-    with many duplicates is reduced before the shuffle. When every value
-    column is fixed-width (the ratings fact), one ``max_by`` per column keeps
-    the buffers fixed-width and the plan a hash aggregate."""
+    with many duplicates is reduced before the shuffle."""
     values = [c for c in df.columns if c not in key_cols]
     if not values:
         return df.dropDuplicates(key_cols)
-    row_hash = F.xxhash64(*values)
-    types = dict(df.dtypes)
-    if all(types[c] in _FIXED_WIDTH for c in values):
-        return df.groupBy(*key_cols).agg(*[F.max_by(c, row_hash).alias(c) for c in values])
-    best = df.groupBy(*key_cols).agg(F.max_by(F.struct(*values), row_hash).alias("_row"))
+    best = df.groupBy(*key_cols).agg(F.max(F.struct(*values)).alias("_row"))
     return best.select(*key_cols, *[F.col(f"_row.{c}").alias(c) for c in values])
 
 
-def clean_ratings(ratings: DataFrame) -> DataFrame:
-    """Ratings with a complete key, one row per (fide_id, year, month) —
-    what the keyed history view holds after an upsert load."""
-    keyed = ratings.filter(
-        F.col("fide_id").isNotNull() & F.col("year").isNotNull() & F.col("month").isNotNull()
-    )
-    return dedup_by_key(keyed, ["fide_id", "year", "month"])
+def _keyed():
+    """Whether a rating row can be keyed: id, year, and a month of the year."""
+    complete = F.col("fide_id").isNotNull() & F.col("year").isNotNull()
+    return complete & F.coalesce(F.col("month").between(1, 12), F.lit(False))
+
+
+def keyed_ratings(ratings: DataFrame) -> DataFrame:
+    """One row per (fide_id, year, month) of the rows that have such a key —
+    what the keyed history view holds after an upsert load. Works on the
+    ratings fact and on the joined table."""
+    return dedup_by_key(ratings.filter(_keyed()), ["fide_id", "year", "month"]).select(*ratings.columns)
 
 
 def clean_players(players: DataFrame) -> DataFrame:
@@ -64,10 +61,19 @@ def clean_players(players: DataFrame) -> DataFrame:
 
 
 def rejected_ratings(ratings: DataFrame) -> DataFrame:
-    """Rating rows that cannot be keyed (NULL id, year or month)."""
-    return ratings.filter(
-        F.col("fide_id").isNull() | F.col("year").isNull() | F.col("month").isNull()
-    )
+    """Rating rows that the history view cannot key (NULL id, year or month,
+    or a month outside 1–12). They still count in joins and averages."""
+    return ratings.filter(~_keyed())
+
+
+def rejected_players(players: DataFrame) -> DataFrame:
+    """Player rows that ``clean_players`` leaves out: without an id, or
+    differing from the row kept for their id."""
+    kept = F.struct(*[F.col(f"_k.{c}") for c in players.columns])
+    own = F.struct(*players.columns)
+    survivors = clean_players(players).select(F.struct(*players.columns).alias("_k"))
+    beaten = players.join(survivors, F.col("fide_id") == F.col("_k.fide_id")).filter(~own.eqNullSafe(kept))
+    return players.filter(F.col("fide_id").isNull()).unionByName(beaten.select(*players.columns))
 
 
 def players_and_ratings(players: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -87,8 +93,9 @@ def players_without_ratings(players: DataFrame, ratings: DataFrame) -> DataFrame
 
 
 def history_view(joined: DataFrame) -> DataFrame:
-    """Monthly history, one row per (fide_id, year, month), with the row key
-    as it is built (``fide_id_year_month``) next to the typed key columns."""
+    """Monthly history of joined rows with the row key as it is built
+    (``fide_id_year_month``) next to the typed key columns; one row per key
+    if the rows are ``keyed_ratings``."""
     return joined.select(
         history_key().alias("row_key"),
         "fide_id",
@@ -145,8 +152,8 @@ def current_rating(ratings: DataFrame) -> DataFrame:
 
     One ``max_by`` per column over a single month index: every buffer is a
     fixed-width long, so this stays a hash aggregate with partial
-    aggregation. The index is unique per player (the fact is unique per
-    player-month), so all columns come from the same row."""
+    aggregation. The index is unique per player (pass ``keyed_ratings``), so
+    all columns come from the same row."""
     month_index = F.col("year") * 12 + F.col("month")
     cols = ["year", "month", *RATING_COLS]
     return ratings.groupBy("fide_id").agg(*[F.max_by(c, month_index).alias(c) for c in cols])
@@ -200,11 +207,35 @@ def rating_counts_from_rollup(rollup: DataFrame) -> DataFrame:
 
 
 def summary(joined: DataFrame) -> DataFrame:
-    """Database summary: players, rating rows, first and last year, months."""
-    return joined.agg(
-        F.count_distinct("fide_id").alias("players"),
-        F.count(F.lit(1)).alias("rating_rows"),
-        F.min("year").alias("first_year"),
-        F.max("year").alias("last_year"),
-        F.count_distinct("year", "month").alias("months"),
+    """Database summary: players, rating rows, first and last year, months.
+
+    One pass without expanding the fact: a row per player first (its distinct
+    months are bounded by the calendar; after a sort-merge join this reuses
+    the join's partitioning), then a row per month from those, combined. A
+    player's totals ride on the first of its months."""
+    month = F.when(F.col("year").isNotNull() & F.col("month").isNotNull(), F.struct("year", "month"))
+    per_player = joined.groupBy("fide_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("year").alias("first"),
+        F.max("year").alias("last"),
+        F.collect_set(month).alias("months"),
+    )
+    nothing = F.array(F.lit(None).cast("struct<year:bigint,month:bigint>"))
+    months = F.when(F.size("months") > 0, F.col("months")).otherwise(nothing)
+    per_month = (
+        per_player.select("rows", "first", "last", F.posexplode(months).alias("i", "m"))
+        .groupBy("m")
+        .agg(
+            F.sum(F.when(F.col("i") == 0, 1)).alias("players"),
+            F.sum(F.when(F.col("i") == 0, F.col("rows"))).alias("rows"),
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+        )
+    )
+    return per_month.agg(
+        F.coalesce(F.sum("players"), F.lit(0)).alias("players"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rating_rows"),
+        F.min("first").alias("first_year"),
+        F.max("last").alias("last_year"),
+        F.count("m").alias("months"),
     )

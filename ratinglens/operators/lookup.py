@@ -24,8 +24,12 @@ def _by_id(df: DataFrame, fide_id: str | None) -> DataFrame:
 
 
 def player_month(history: DataFrame, key: str) -> DataFrame:
-    """One player-month by its ``ID_month_year`` lookup string."""
-    fide_id, month, year = parse_player_month(key)
+    """One player-month by its ``ID_month_year`` lookup string; no row for a
+    string that is not such a key."""
+    parsed = parse_player_month(key)
+    if parsed is None:
+        return history.filter(F.lit(False))
+    fide_id, month, year = parsed
     return history.filter(
         (F.col("fide_id") == F.lit(fide_id))
         & (F.col("year") == F.lit(year))
@@ -123,14 +127,16 @@ def player_page(
     fide_id: str | None = None,
     strict: bool = False,
 ) -> DataFrame:
-    """Monthly history ⟕ games count ⟕ live rating (suffix ``_curr``).
+    """Monthly history ⟕ games count ⟕ live rating (suffix ``_curr``), and one
+    row without history for each player that has a live rating but no history.
 
     Count and live row are first merged into one status row per player (both
     sides are unique per fide_id, so that join cannot skew); the history is
     then joined once, at the top of the plan, where AQE may split the
-    partition of a player with very many history rows. ``has_count`` /
-    ``has_live`` tell the cases apart; ``strict`` reproduces the page that
-    hides a live rating when no count exists."""
+    partition of a player with very many history rows (a full outer join
+    could not be split). ``has_count`` / ``has_live`` tell the cases apart;
+    ``strict`` reproduces the page that hides a live rating when no count
+    exists. One player's page is in date order."""
     c = _by_id(counts, fide_id).select("fide_id", "games_count", F.lit(True).alias("has_count"))
     live = _by_id(latest, fide_id).select(
         "fide_id",
@@ -138,14 +144,17 @@ def player_page(
         F.lit(True).alias("has_live"),
     )
     status = c.join(live, "fide_id", "full")
-    page = _by_id(history, fide_id).join(status, "fide_id", "left")
+    own = _by_id(history, fide_id)
+    live_only = status.filter("has_live").join(own.select("fide_id"), "fide_id", "left_anti")
+    page = own.join(status, "fide_id", "left").unionByName(live_only, allowMissingColumns=True)
     has_count = F.coalesce(F.col("has_count"), F.lit(False))
     has_live = F.coalesce(F.col("has_live"), F.lit(False))
     show_live = has_live & has_count if strict else has_live
     curr = [F.when(show_live, F.col(f"{r}_curr")).alias(f"{r}_curr") for r in RATING_COLS]
-    return page.select(
+    shown = page.select(
         *history.columns, "games_count", *curr, has_count.alias("has_count"), has_live.alias("has_live")
     )
+    return shown if fide_id is None else shown.orderBy("year", "month")
 
 
 def present(df: DataFrame, text: str = NO_RESULTS) -> DataFrame:

@@ -42,6 +42,11 @@ def series_federation_yearly(fed_by_year: DataFrame) -> DataFrame:
     return long.select("federation", "year", first_of_year().alias("date"), "discipline", "rating")
 
 
+def in_date_order(series: DataFrame, entity_cols: list[str]) -> DataFrame:
+    """The points of a chart in the order they are drawn."""
+    return series.orderBy(*entity_cols, "discipline", "date")
+
+
 def series_packed(series: DataFrame, entity_cols: list[str]) -> DataFrame:
     """One date-ordered array of (date, rating) points per entity and
     discipline. An array holds one point per distinct date of the entity —

@@ -1,12 +1,12 @@
 """Batch-layer job and the lazy model the serving queries run on.
 
-``build_views`` materialises the joined table once (partitioned by year);
-the history view is a projection of those files, and the yearly, federation
-and count views come from a per-player-year rollup written in one pass over
-them. Each view's lineage starts at a file scan in the shared folder, so a
-lost executor re-reads files instead of recomputing the join. The cleaned
-inputs, used twice each, are persisted for the job (lineage kept, so lost
-blocks are recomputed) and released at the end.
+``build_views`` joins all rating rows with the players once and writes the
+joined table (partitioned by year); the keyed history view (one row per
+player-month), and a per-player-year rollup from which the yearly, federation
+and count views follow, are made from its files. Each view's lineage starts at
+a file scan in the shared folder, so a lost executor re-reads files instead of
+recomputing the join; nothing is kept on executors' disks. Rows that cannot be
+keyed are written next to the views (``rejects``).
 
 Each view is sorted *within* its write tasks (no shuffle) by the column its
 lookups filter on, so Parquet row-group statistics let an id or name-prefix
@@ -17,10 +17,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ratinglens.operators import batch, serving
+from ratinglens.schemas import JOINED_COLS
 from ratinglens.sources import tables
 from ratinglens.sources.delimited import write_table
 from ratinglens.streaming import speed
@@ -40,7 +41,7 @@ class Model:
 
     @property
     def history(self) -> DataFrame:
-        return batch.history_view(self.joined)
+        return batch.history_view(batch.keyed_ratings(self.joined))
 
     @property
     def id_name(self) -> DataFrame:
@@ -104,13 +105,13 @@ PLAYER_KEYED = ("players_and_ratings", "history", "by_year", "id_count", "curren
 
 
 def view_paths(root: str) -> dict[str, str]:
-    """Where each view lives. The history view is a projection of the joined
-    table (plus its derived row key), so it shares the joined table's files
-    instead of writing a second copy of the largest table."""
-    root = root.rstrip("/")
-    paths = {name: f"{root}/{name}" for name in VIEW_NAMES}
-    paths["history"] = paths["players_and_ratings"]
-    return paths
+    """Where each view lives."""
+    return {name: f"{root.rstrip('/')}/{name}" for name in VIEW_NAMES}
+
+
+def reject_paths(root: str) -> dict[str, str]:
+    """Where the rows that no view can key are written."""
+    return {name: f"{root.rstrip('/')}/rejects/{name}" for name in ("players", "ratings")}
 
 
 def build_views(
@@ -121,7 +122,7 @@ def build_views(
     buckets: int | None = None,
     table_prefix: str = "",
 ) -> dict[str, str]:
-    """Batch layer: clean inputs → joined table → every batch view.
+    """Batch layer: inputs → joined table → every batch view, and the rejects.
 
     Returns the path of each written view. Re-running replaces the views.
 
@@ -131,26 +132,6 @@ def build_views(
     co-located buckets instead of shuffling the largest view."""
     dst = dst.rstrip("/")
     paths = view_paths(dst)
-    # Each cleaned input feeds two outputs: compute it once per job.
-    players = batch.clean_players(players).persist(StorageLevel.MEMORY_AND_DISK)
-    ratings = batch.clean_ratings(ratings).persist(StorageLevel.DISK_ONLY)
-    try:
-        _write_views(spark, players, ratings, dst, paths, buckets, table_prefix)
-    finally:
-        players.unpersist()
-        ratings.unpersist()
-    return paths
-
-
-def _write_views(
-    spark: SparkSession,
-    players: DataFrame,
-    ratings: DataFrame,
-    dst: str,
-    paths: dict[str, str],
-    buckets: int | None,
-    table_prefix: str,
-) -> None:
     def put(df: DataFrame, name: str, order: list[str], partition_by: list[str] | None = None) -> None:
         if buckets and name in PLAYER_KEYED:
             writer = (
@@ -167,21 +148,25 @@ def _write_views(
         keys = list(partition_by or []) + order
         write_table(df.sortWithinPartitions(*keys), paths[name], partition_by)
 
-    joined_df = batch.players_and_ratings(players, ratings)
-    if not buckets:
-        # Contiguous (year, fide_id, month) ranges per task: about one file
-        # per task instead of one per task and year, each covering a narrow
-        # id range (file-level skipping for lookups). The month in the range
-        # key lets a player with very many rows span several tasks.
-        joined_df = joined_df.repartitionByRange("year", "fide_id", "month")
-    put(joined_df, "players_and_ratings", ["fide_id", "month"], ["year"])
+    def together(df: DataFrame) -> DataFrame:
+        # One year per write task, so few files; AQE splits the years that
+        # are large (a rebalance may divide a key) and joins small ones.
+        return df if buckets else df.hint("rebalance", "year")
+
+    rejects = reject_paths(dst)
+    write_table(batch.rejected_players(players), rejects["players"])
+    write_table(batch.rejected_ratings(ratings), rejects["ratings"])
+    known = batch.clean_players(players)
+    put(batch.id_name_view(known), "id_name", ["first_name", "last_name"])
+
+    put(together(batch.players_and_ratings(known, ratings)), "players_and_ratings", ["fide_id", "month"], ["year"])
     joined = (
         spark.table(table_prefix + "players_and_ratings")
         if buckets
         else spark.read.parquet(paths["players_and_ratings"])
     )
-
-    put(batch.id_name_view(players), "id_name", ["first_name", "last_name"])
+    history = batch.history_view(batch.keyed_ratings(joined))
+    put(together(history), "history", ["fide_id", "month"], ["year"])
 
     # One pass over the joined table; three views from the small rollup.
     rollup_path = f"{dst}/_year_rollup"
@@ -190,23 +175,26 @@ def _write_views(
     put(batch.ratings_by_year_from_rollup(rollup), "by_year", ["fide_id", "year"])
     put(batch.ratings_by_federation_year_from_rollup(rollup), "fed_by_year", ["federation", "year"])
     put(batch.rating_counts_from_rollup(rollup), "id_count", ["fide_id"])
-    put(batch.current_rating(ratings), "current_rating", ["fide_id"])
+    put(batch.current_rating(batch.keyed_ratings(ratings)), "current_rating", ["fide_id"])
+    return paths
 
 
 def read_views(
     spark: SparkSession, paths: dict[str, str], table_prefix: str | None = None
 ) -> dict[str, DataFrame]:
     """The views as DataFrames; with ``table_prefix`` the bucketed catalog
-    tables are used for the player-keyed views. ``history`` is the history
-    projection of the joined table."""
+    tables are used for the player-keyed views."""
 
     def load(name: str) -> DataFrame:
         if table_prefix is not None and name in PLAYER_KEYED:
             return spark.table(table_prefix + name)
         return spark.read.parquet(paths[name])
 
-    views = {name: load(name) for name in paths if name != "history"}
-    views["history"] = batch.history_view(views["players_and_ratings"])
+    views = {name: load(name) for name in paths}
+    # The partition column comes last from the files, as an int.
+    for name, first in (("players_and_ratings", []), ("history", ["row_key"])):
+        typed = views[name].withColumn("year", F.col("year").cast("bigint"))
+        views[name] = typed.select(*first, *JOINED_COLS)
     return views
 
 
@@ -240,7 +228,6 @@ def publish_build(
 def current_build(spark: SparkSession, dst: str) -> int | None:
     """Newest published build id (a one-row aggregate), or None."""
     from pyspark.errors import AnalysisException
-    from pyspark.sql import functions as F
 
     try:
         row = spark.read.parquet(f"{dst.rstrip('/')}/published").agg(F.max("build_id").alias("b")).first()

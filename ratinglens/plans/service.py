@@ -84,11 +84,16 @@ class RatingService:
         )
 
     def player_series(self, fide_id: str | None = None) -> DataFrame:
-        """Monthly chart series of a player (long format)."""
+        """Monthly chart series of a player (long format), in date order."""
         hist = self.views["history"]
         if fide_id is not None:
             hist = hist.filter(F.col("fide_id") == F.lit(fide_id))
-        return series_ops.series_monthly(hist)
+        points = series_ops.series_monthly(hist)
+        return points if fide_id is None else series_ops.in_date_order(points, ["fide_id"])
+
+    def player_history(self, fide_id: str | None = None) -> DataFrame:
+        """Monthly history in month order."""
+        return lookup.player_history(self.views["history"], fide_id)
 
     def player_years(self, fide_id: str | None = None) -> DataFrame:
         return lookup.player_years(self.views["by_year"], fide_id)
@@ -97,7 +102,8 @@ class RatingService:
         by_year = self.views["by_year"]
         if fide_id is not None:
             by_year = by_year.filter(F.col("fide_id") == F.lit(fide_id))
-        return series_ops.series_player_yearly(by_year)
+        points = series_ops.series_player_yearly(by_year)
+        return points if fide_id is None else series_ops.in_date_order(points, ["fide_id"])
 
     def federation_years(self, federation: str | None = None) -> DataFrame:
         return lookup.federation_years(self.views["fed_by_year"], federation)
@@ -106,7 +112,8 @@ class RatingService:
         fed = self.views["fed_by_year"]
         if federation is not None:
             fed = fed.filter(F.col("federation") == F.lit(federation))
-        return series_ops.series_federation_yearly(fed)
+        points = series_ops.series_federation_yearly(fed)
+        return points if federation is None else series_ops.in_date_order(points, ["federation"])
 
     def find_ids(self, prefix: str) -> DataFrame:
         return lookup.find_ids(self.views["id_name"], prefix)
@@ -115,11 +122,19 @@ class RatingService:
         return lookup.player_latest(self.live(), fide_id)
 
     def player_count(self, fide_id: str | None = None) -> DataFrame:
-        return lookup.player_count(self.counts(), fide_id)
+        """(fide_id, games_count) over both layers."""
+        return lookup.player_count(serving.serving_counts(self.counts()), fide_id)
 
     # ---------------------------------------------------------------- submit
 
-    def submit(self, reports: DataFrame, message_path: str) -> None:
+    def submit(
+        self, reports: DataFrame, message_path: str | None = None, brokers: str | None = None, topic: str | None = None
+    ) -> None:
         """Publish rating reports (fide_id, names, three ratings as text,
-        plus ts/seq arrival order) as messages for the speed layer."""
-        speed.write_messages(speed.to_messages(reports), message_path)
+        plus ts/seq arrival order) as messages for the speed layer: to a
+        topic, or as files in ``message_path``."""
+        messages = speed.to_messages(reports)
+        if topic:
+            speed.write_kafka_messages(messages, brokers, topic)
+        else:
+            speed.write_messages(messages, message_path)

@@ -68,10 +68,3 @@ COUNTER_CHANGE = T.StructType(
 )
 
 # One cell of a key/column/value export of a view.
-CELL = T.StructType(
-    [
-        T.StructField("key", S, False),
-        T.StructField("column", S, False),
-        T.StructField("value", S, True),
-    ]
-)

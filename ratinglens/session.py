@@ -101,8 +101,7 @@ def scale_conf(
     Scans are split at ``scan_partition_bytes``. Shuffles carry the data
     left after column pruning and map-side partial aggregation — estimated as
     ``shuffle_fraction`` of the input — cut into ~``shuffle_partition_bytes``
-    partitions, at least two and at most twenty waves of the cluster's cores
-    (beyond that the map × reduce block count, not task size, dominates).
+    partitions, at least two waves of the cluster's cores.
     AQE then coalesces small partitions and splits skewed ones at runtime.
 
     A join side whose measured size stays under ``broadcast_bytes`` (e.g. a
@@ -110,7 +109,7 @@ def scale_conf(
     side is not shuffled for it; anything larger falls back to a sort-merge
     join — the planner checks the size, not this library."""
     wanted = -(-int(input_bytes * shuffle_fraction) // shuffle_partition_bytes)
-    shuffle = max(2 * total_cores, min(wanted, 20 * total_cores))
+    shuffle = max(2 * total_cores, wanted)
     return {
         "spark.sql.files.maxPartitionBytes": str(scan_partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),

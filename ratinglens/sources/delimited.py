@@ -46,17 +46,22 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType) -> DataFr
 
 def read_quoted_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Standard CSV with ``"`` quoting and doubled ``""`` inside a quoted
-    field (the delivered raw player file)."""
-    return (
+    field (the delivered raw player file). As in unquoted text, an empty text
+    field is the empty string and ``\\N`` is NULL."""
+    raw = (
         spark.read.schema(schema)
         .option("header", True)
         .option("sep", ",")
         .option("quote", '"')
         .option("escape", '"')
-        .option("nullValue", NULL_TOKEN)
+        .option("emptyValue", "")
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
+    # The reader gives NULL for an empty field and leaves the token as text.
+    text = [f.name for f in schema.fields if isinstance(f.dataType, StringType)]
+    given = {c: F.when(F.coalesce(c, F.lit("")) != NULL_TOKEN, F.coalesce(c, F.lit(""))) for c in text}
+    return raw.withColumns(given)
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
@@ -125,14 +130,18 @@ def write_delimited(df: DataFrame, path: str) -> None:
 
 def write_players_raw(players: DataFrame, path: str) -> None:
     """Inverse of :func:`normalise_players`: one quoted ``"Last, First"`` field."""
-    raw = players.select(
+    write_raw(players.select(
         "fide_id",
         F.concat(F.col("last_name"), F.lit(", "), F.col("first_name")).alias("name"),
         "federation",
         "gender",
         "title",
         "yob",
-    )
+    ), path)
+
+
+def write_raw(raw: DataFrame, path: str) -> None:
+    """Raw player rows as standard CSV with a quoted name."""
     (
         raw.write.mode("overwrite")
         .option("header", True)
@@ -141,6 +150,7 @@ def write_players_raw(players: DataFrame, path: str) -> None:
         .option("escape", '"')
         .option("quoteAll", False)
         .option("nullValue", NULL_TOKEN)
+        .option("emptyValue", "")
         .csv(path)
     )
 

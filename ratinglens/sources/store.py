@@ -1,59 +1,62 @@
 """Keyed view store on Parquet with upsert semantics.
 
-Layout::
+Layout (the same whatever the writer's settings)::
 
-    <root>/epoch=<e>/kind=delta/version=<n>/   rows whose keys changed in write n
-    <root>/epoch=<e>/kind=full/version=<n>/    every key of the view as of write n
-    <root>/_snapshots/                         one row per *completed* snapshot
-
-With an epoch size ``k`` (the compaction interval), write ``n`` lives in
-epoch ``n // k`` and each epoch starts with its snapshot; without one, every
-write is in epoch 0.
+    <root>/kind=delta/version=<n>/   rows whose keys changed in write n
+    <root>/kind=full/version=<n>/    every key of the view as of write n
+    <root>/_snapshots/               one row per *completed* snapshot
 
 Writing version ``n`` replaces only its own folder, so a replayed micro-batch
 or a re-run with the same version number is harmless. Reading returns, for
 every key, the row of the highest version that holds the key — keys absent
 from a newer write stay visible, exactly like an insert into a key/value
-table. A full snapshot makes every older version redundant, so reads prune
-them by partition (only the newest snapshot and later deltas are scanned).
-Pruning uses only snapshots recorded in ``_snapshots`` after their write
-committed: a snapshot still being written is merely merged like a delta, so
-a reader never loses keys to a half-visible snapshot.
-
-A read lists only the epoch of the newest recorded snapshot and the next
-one, so listing cost stays bounded however many versions were ever written.
-
-The merge is a hash/sort aggregation with ``max_by`` and map-side partial
-aggregation, so a key present in many versions never gathers in one task.
+table. A full snapshot makes every older version redundant: a read lists the
+version folders (two listings, no file is opened) and scans only those from
+the newest recorded snapshot on. A snapshot is recorded after its write has
+committed; one still being written is merged like a delta, so a reader never
+loses keys to a half-visible snapshot.
+
+The merge is an aggregation with ``max_by`` and map-side partial aggregation,
+so a key present in many versions never gathers in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-EPOCH = "epoch"
 KIND = "kind"
 VERSION = "version"
 DELTA = "delta"
 FULL = "full"
 
 
-def epoch_of(version: int, epoch_size: int | None) -> int:
-    return int(version) // epoch_size if epoch_size else 0
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``; none if there is no such path."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(jpath):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory()]
 
 
-def version_path(root: str, version: int, kind: str = DELTA, epoch_size: int | None = None) -> str:
-    e = epoch_of(version, epoch_size)
-    return f"{root.rstrip('/')}/{EPOCH}={e}/{KIND}={kind}/{VERSION}={int(version)}"
+def version_path(root: str, version: int, kind: str = DELTA) -> str:
+    return f"{root.rstrip('/')}/{KIND}={kind}/{VERSION}={int(version)}"
 
 
-def write_version(
-    df: DataFrame, root: str, version: int, kind: str = DELTA, epoch_size: int | None = None
-) -> None:
+def versions(spark: SparkSession, root: str, kind: str = DELTA) -> list[int]:
+    """Version numbers written as ``kind``, in order."""
+    names = folder_names(spark, f"{root.rstrip('/')}/{KIND}={kind}")
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{VERSION}="))
+
+
+def has_versions(spark: SparkSession, root: str) -> bool:
+    return bool(versions(spark, root, DELTA) or versions(spark, root, FULL))
+
+
+def write_version(df: DataFrame, root: str, version: int, kind: str = DELTA) -> None:
     """Write one version of a view; keys must be unique within ``df``."""
-    df.write.mode("overwrite").parquet(version_path(root, version, kind, epoch_size))
+    df.write.mode("overwrite").parquet(version_path(root, version, kind))
 
 
 def upsert_view(df: DataFrame, root: str, key_cols: list[str], version: int) -> None:
@@ -64,40 +67,23 @@ def upsert_view(df: DataFrame, root: str, key_cols: list[str], version: int) ->
     write_version(unique.select(*key_cols, "_row.*"), root, version)
 
 
-def _scan(spark: SparkSession, root: str, epoch: int | None = None) -> DataFrame | None:
-    """All versions, or only epochs ``epoch`` and ``epoch + 1`` (a glob, so
-    nothing else under the root is listed)."""
-    path = root if epoch is None else f"{root.rstrip('/')}/{EPOCH}={{{epoch},{epoch + 1}}}"
-    try:
-        return spark.read.option("basePath", root).parquet(path)
-    except AnalysisException:
-        return None
-
-
 def _snapshot_log(root: str) -> str:
     return f"{root.rstrip('/')}/_snapshots"
 
 
-def _latest_snapshot_row(spark: SparkSession, root: str, max_version: int | None = None):
-    try:
-        log = spark.read.parquet(_snapshot_log(root))
-    except AnalysisException:
-        return None
-    if max_version is not None:
-        log = log.filter(F.col(VERSION) <= max_version)
-    row = log.agg(F.max(F.struct(VERSION, EPOCH)).alias("s")).first()
-    return None if row is None or row.s is None else row.s
-
-
 def latest_snapshot(spark: SparkSession, root: str, max_version: int | None = None) -> int | None:
     """Version of the newest completed snapshot (optionally ≤ ``max_version``),
     or None — a one-row aggregate over the small snapshot log."""
-    snap = _latest_snapshot_row(spark, root, max_version)
-    return None if snap is None else int(snap[VERSION])
+    if "_snapshots" not in folder_names(spark, root):
+        return None
+    log = spark.read.parquet(_snapshot_log(root))
+    if max_version is not None:
+        log = log.filter(F.col(VERSION) <= max_version)
+    return log.agg(F.max(VERSION)).first()[0]
 
 
 def _merge(raw: DataFrame, key_cols: list[str], order_col: str) -> DataFrame:
-    values = [c for c in raw.columns if c not in key_cols and c not in (EPOCH, KIND, VERSION, order_col)]
+    values = [c for c in raw.columns if c not in key_cols and c not in (KIND, VERSION, order_col)]
     merged = raw.groupBy(*key_cols).agg(F.max_by(F.struct(*values), F.col(order_col)).alias("_row"))
     return merged.select(*key_cols, *[F.col(f"_row.{c}").alias(c) for c in values])
 
@@ -112,54 +98,39 @@ def read_view(
 ) -> DataFrame:
     """Current state of a view: latest version per key.
 
-    Versions older than the newest full snapshot are skipped by partition
-    pruning; ``max_version`` (inclusive) reads the view as of that write."""
-    epoch = None
+    Versions older than the newest full snapshot are not scanned;
+    ``max_version`` (inclusive) reads the view as of that write."""
     if use_snapshots and min_version is None:
-        snap = _latest_snapshot_row(spark, root, max_version)
-        if snap is not None:
-            min_version, epoch = int(snap[VERSION]), int(snap[EPOCH])
-    raw = _scan(spark, root, epoch)
-    if raw is None:
+        min_version = latest_snapshot(spark, root, max_version)
+    paths = [
+        version_path(root, v, kind)
+        for kind in (FULL, DELTA)
+        for v in versions(spark, root, kind)
+        if (min_version is None or v >= min_version) and (max_version is None or v <= max_version)
+    ]
+    if not paths:
         raise FileNotFoundError(f"no view at {root}")
-    if min_version is not None:
-        raw = raw.filter(F.col(VERSION) >= min_version)
-    if max_version is not None:
-        raw = raw.filter(F.col(VERSION) <= max_version)
-    return _merge(raw, key_cols, VERSION)
+    return _merge(spark.read.option("basePath", root).parquet(*paths), key_cols, VERSION)
 
 
 def compact_view(
-    spark: SparkSession,
-    root: str,
-    key_cols: list[str],
-    version: int,
-    newest: DataFrame | None = None,
-    epoch_size: int | None = None,
+    spark: SparkSession, root: str, key_cols: list[str], version: int, newest: DataFrame | None = None
 ) -> None:
     """Write a full snapshot as version ``version``: the view as of the
     previous version, overlaid with ``newest`` (the rows of write ``version``
     itself, if any). Only folders below ``version`` are read, so replaying
     the same compaction never reads the folder it replaces."""
-    prior = None
-    if version > 0:
-        try:
-            prior = read_view(spark, root, key_cols, max_version=version - 1)
-        except FileNotFoundError:
-            prior = None
-    if newest is None and prior is None:
-        raise ValueError("nothing to compact")
     parts = []
-    if prior is not None:
+    try:
+        prior = read_view(spark, root, key_cols, max_version=version - 1)
         parts.append(prior.withColumn("_order", F.lit(0)))
+    except FileNotFoundError:
+        if newest is None:
+            raise ValueError("nothing to compact") from None
     if newest is not None:
         parts.append(newest.withColumn("_order", F.lit(1)))
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
-    write_version(_merge(both, key_cols, "_order"), root, version, FULL, epoch_size)
+    both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    write_version(_merge(both, key_cols, "_order"), root, version, FULL)
     # Recorded only after the snapshot's write job committed.
-    record = [(int(version), epoch_of(version, epoch_size))]
-    spark.createDataFrame(record, f"{VERSION} long, {EPOCH} long").coalesce(1).write.mode(
-        "append"
-    ).parquet(_snapshot_log(root))
+    record = spark.createDataFrame([(int(version),)], f"{VERSION} long")
+    record.coalesce(1).write.mode("append").parquet(_snapshot_log(root))

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratinglens.sources.store import folder_names
+
 # Fixed values of the binding (priority classes → discipline).
 STANDARD_PRIORITIES = ["1-URGENT", "2-HIGH"]
 RAPID_PRIORITIES = ["3-MEDIUM"]
@@ -29,20 +31,58 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str, **options: str) -> DataFrame:
+    """A table as a file stream, whether it is one file or a folder of files."""
+    path = table_path(sf_dir, name)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    if f"{name}.parquet" in folder_names(spark, sf_dir):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir.rstrip("/"))
+
+
 def players_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer ⟕ nation → players (fide_id, last_name, first_name,
     federation, gender, title, yob). c_custkey is the table's key, so the
-    result is unique on fide_id.
-
-    nation has 25 rows at every scale factor (a fixed-size table by
-    definition), so it is broadcast explicitly: a shuffle on c_nationkey would
-    put every customer of one nation into one task."""
-    c = load(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_nationkey", "c_mktsegment"
+    result is unique on fide_id. nation is a small file, so the planner's
+    size check broadcasts it."""
+    return players_of(load(spark, sf_dir, "customer"), load(spark, sf_dir, "nation"))
+
+
+def members_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The players with a balance that is not negative: not everyone who has
+    ratings or submissions is a member."""
+    c = load(spark, sf_dir, "customer").filter("c_acctbal >= 0")
+    return players_of(c, load(spark, sf_dir, "nation"))
+
+
+def raw_players_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer → raw player rows as delivered, whose names come in every
+    shape: "Last, First", with a suffix, without a first name, and missing."""
+    c = load(spark, sf_dir, "customer")
+    last, first = (F.get(F.split("c_name", "#"), i) for i in (0, 1))
+    both = F.concat(last, F.lit(", "), first)
+    name = (
+        F.when(F.col("c_acctbal") < 0, last)
+        .when(F.col("c_acctbal") > 9000, F.concat(both, F.lit(", Jr.")))
+        .when(~F.col("c_acctbal").between(0, 100), both)
     )
-    n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return c.select(
+        F.col("c_custkey").cast("string").alias("fide_id"),
+        name.alias("name"),
+        F.lit("").alias("federation"),
+        F.lit(None).cast("string").alias("gender"),
+        F.col("c_mktsegment").alias("title"),
+        F.lit(None).cast("bigint").alias("yob"),
+    )
+
+
+def players_of(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    c = customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    n = nation.select("n_nationkey", "n_name")
     name_parts = F.split(F.col("c_name"), "#")
-    return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").select(
+    return c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
         F.col("c_custkey").cast("string").alias("fide_id"),
         F.get(name_parts, 0).alias("last_name"),
         F.get(name_parts, 1).alias("first_name"),

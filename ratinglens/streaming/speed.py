@@ -1,7 +1,7 @@
 """Speed layer: latest submitted rating and submission count per player.
 
-One Structured Streaming aggregation produces both views (the source is read
-and parsed once):
+One Structured Streaming aggregation produces both views; the rejects, if
+wanted, are a second query over the same source with a checkpoint of its own:
 
     messages ─ from_json ─┬─ fide_id IS NULL → rejects (raw text kept)
                           └─ groupBy(fide_id)
@@ -15,7 +15,9 @@ the absolute state of the keys it changed into the view store as version
 folder with the same rows, so the sink is idempotent and, with the
 checkpointed state, the counts are exactly-once. Every ``compact_every``-th
 batch writes a full snapshot instead, bounding what a reader merges. A
-restart continues from the checkpointed offsets and state.
+restart continues from the checkpointed offsets and state; a view belongs to
+one checkpoint, and starting a new one on a view that has versions is refused
+(its batch ids would start again below the versions that are there).
 
 The same ``speed_state`` function runs on a batch DataFrame of the message
 log, which is how the tests prove stream = batch.
@@ -31,7 +33,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ratinglens.functions.scalar import parse_reports, report_json, update_message
 from ratinglens.schemas import REPORT_FIELDS, SUBMISSION_FIELDS
-from ratinglens.sources.store import compact_view, read_view, write_version
+from ratinglens.sources.store import compact_view, folder_names, has_versions, read_view, write_version
 
 ORDER_COLS = ("ts", "seq")
 
@@ -48,7 +50,13 @@ def read_kafka_messages(
     **options: str,
 ) -> DataFrame:
     """Submission topic → (value, ts, part, seq). Needs the Kafka connector
-    on the classpath. The arrival order is (ts, part, seq=offset)."""
+    on the classpath; ``options`` are its options (``kafka.group.id``,
+    ``maxOffsetsPerTrigger``, …).
+
+    The arrival order is (ts, part, seq=offset) if the topic's timestamps are
+    set on arrival (``message.timestamp.type=LogAppendTime``). On a topic with
+    one partition the offset alone is right whatever the timestamps are: pass
+    ``order_cols=("seq",)``."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", brokers)
@@ -164,26 +172,27 @@ def start_speed_layer(
     rejects_root: str | None = None,
     query_name: str | None = None,
     compact_every: int | None = 500,
-    delta_files: int = 8,
 ) -> StreamingQuery:
     """Start the speed-layer query: update-mode aggregation → versioned
     upsert of the view store in ``foreachBatch``.
 
     Every ``compact_every``-th micro-batch writes a full snapshot instead of
-    a delta, so readers never merge more than ``compact_every`` folders. A
-    delta holds only the keys changed in one micro-batch; it is written as at
-    most ``delta_files`` files (a coalesce, no shuffle) instead of one small
-    file per state partition."""
+    a delta, so readers never merge more than ``compact_every`` folders; the
+    interval may change from run to run. A delta holds only the keys changed
+    in one micro-batch, a file per state partition that has any; snapshots
+    fold them together. With ``rejects_root`` the rejects are written by a
+    second query, the ``rejects`` attribute of the one returned."""
+    spark = messages.sparkSession
+    if has_versions(spark, view_root) and "offsets" not in folder_names(spark, checkpoint):
+        raise ValueError(f"{view_root} has versions of another checkpoint; {checkpoint} is new")
     parsed = parse_messages(messages, order_cols)
     state = speed_state(parsed, order_cols)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            compact_view(
-                batch.sparkSession, view_root, ["fide_id"], batch_id, newest=batch, epoch_size=compact_every
-            )
+            compact_view(batch.sparkSession, view_root, ["fide_id"], batch_id, newest=batch)
         else:
-            write_version(batch.coalesce(delta_files), view_root, batch_id, epoch_size=compact_every)
+            write_version(batch, view_root, batch_id)
 
     writer = (
         state.writeStream.outputMode("update")
@@ -194,8 +203,9 @@ def start_speed_layer(
         writer = writer.queryName(query_name)
     trigger = {"availableNow": True} if available_now else {"processingTime": processing_time}
     query = writer.trigger(**trigger).start()
+    query.rejects = None
     if rejects_root:
-        (
+        query.rejects = (
             rejected_messages(parsed, order_cols)
             .writeStream.outputMode("append")
             .format("parquet")
@@ -216,15 +226,18 @@ def run_speed_layer(
     starting_offsets: str = "latest",
     processing_time: str = "2 seconds",
     compact_every: int | None = 500,
+    order_cols: Sequence[str] = ("ts", "part", "seq"),
+    options: dict[str, str] | None = None,
 ) -> None:
     """Production entry: Kafka topic → speed views, 2-second micro-batches,
-    runs until terminated. Restarts resume from ``checkpoint``."""
-    messages = read_kafka_messages(spark, brokers, topic, starting_offsets)
+    runs until terminated. Restarts resume from ``checkpoint``; ``options``
+    go to the topic reader (consumer group, rate limit, …)."""
+    messages = read_kafka_messages(spark, brokers, topic, starting_offsets, **(options or {}))
     start_speed_layer(
         messages,
         view_root,
         checkpoint,
-        order_cols=("ts", "part", "seq"),
+        order_cols=order_cols,
         processing_time=processing_time,
         rejects_root=view_root.rstrip("/") + "-rejects",
         compact_every=compact_every,
@@ -254,10 +267,11 @@ def read_speed_state(spark: SparkSession, view_root: str) -> DataFrame:
     return read_view(spark, view_root, ["fide_id"])
 
 
-def run_until_caught_up(query: StreamingQuery, timeout_s: float | None = 1800) -> None:
-    """Wait for an availableNow query to finish; re-raise its failure. A
-    query still running after ``timeout_s`` is stopped and reported."""
-    finished = query.awaitTermination(timeout_s)
+def run_until_caught_up(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for an availableNow query to finish, however long its backlog;
+    re-raise its failure. With ``timeout_s``, a query still running after it
+    is stopped and reported."""
+    finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
     if finished is False and query.isActive:
         query.stop()
         raise TimeoutError(f"streaming query did not catch up within {timeout_s} s")
@@ -265,7 +279,7 @@ def run_until_caught_up(query: StreamingQuery, timeout_s: float | None = 1800) -
         raise RuntimeError(str(query.exception()))
 
 
-def await_all(spark: SparkSession, timeout_s: float | None = 1800) -> None:
+def await_all(spark: SparkSession, timeout_s: float | None = None) -> None:
     """Wait for every active (availableNow) query, e.g. the speed layer and
     its rejects sink; re-raise the first failure."""
     for q in list(spark.streams.active):

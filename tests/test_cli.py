@@ -26,13 +26,13 @@ def test_build_job_from_text(spark, tmp_dir, capsys):
         f"{tmp_dir}/ratings/r.csv",
         "fide_id,year,month,rating_standard,rating_rapid,rating_blitz\n"
         "1,2016,1,2500,2400,2300\n1,2016,2,2501,2400,\\N\n2,2016,1,2000,1900,1800\n"
-        "1,2016,1,2500,2400,2300\n",  # duplicate row: one history row remains
+        "1,2016,1,2500,2400,2300\n",  # duplicate row: one history row remains, both count in the averages
     )
     cli.main(["build", "--players", f"{tmp_dir}/players", "--ratings", f"{tmp_dir}/ratings",
               "--dst", f"{tmp_dir}/views", "--raw-names"])
     paths = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     fed = spark.read.parquet(paths["fed_by_year"]).collect()
-    assert [(r.federation, r.year, r.rating_standard, r.rating_blitz) for r in fed] == [("USA", 2016, 2333, 2050)]
+    assert [(r.federation, r.year, r.rating_standard, r.rating_blitz) for r in fed] == [("USA", 2016, 2375, 2133)]  # averages are over all rows
     assert spark.read.parquet(paths["history"]).count() == 3
     assert rows(spark.read.parquet(paths["id_name"]), "name_key") == [("Ann_Doe_1",), ("Bob_Roe_2",)]
 

@@ -14,7 +14,10 @@ def test_oracles_run_and_match_column_names(spark):
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     qs = E.queries()
+    own = {n[2:] for n in vars(E) if n.startswith("q_")}
     for name, sql in E.oracle_sql().items():
+        if name not in own:
+            continue
         cur = con.execute(sql)
         cols = sorted(d[0] for d in cur.description)
         cur.fetchall()

@@ -43,6 +43,15 @@ def test_service_batch_only_and_with_speed_layer(spark, tmp_dir):
     assert lwc["999999"].games_count == 1 and lwc["5"].games_count == batch5 + 2
     page = svc.player_page("5").collect()
     assert all(r.has_live and r.rating_standard_curr == "2200" for r in page)
+    assert [(r.year, r.month) for r in page] == sorted((r.year, r.month) for r in page)
+    (only,) = svc.player_page("999999").collect()  # a live rating without history
+    assert only.has_live and only.games_count == 1 and only.row_key is None and only.rating_standard_curr == "900"
+    assert svc.player_count("5").columns == ["fide_id", "games_count"]
+    dates = [(r.discipline, r.date) for r in svc.player_series("5").collect()]
+    assert dates == sorted(dates)
+    assert svc.player_month("5_x_1995").isEmpty() and svc.player_month("nonsense").isEmpty()
+    months = [(r.year, r.month) for r in svc.player_history("5").collect()]
+    assert months == sorted(months)
 
     y, mo = page[0].year, page[0].month
     assert rows(svc.player_month(f"5_{mo}_{y}"), "fide_id", "year", "month") == [("5", y, mo)]

@@ -4,10 +4,11 @@ checkpoint, malformed messages quarantined, replay-safe upserts."""
 import json
 import os
 
-from conftest import rows
+import pytest
+from conftest import SF_SMALL, rows
 
+from ratinglens.sources import tables
 from ratinglens.streaming import speed
-from ratinglens.plans.explain import partition_filters
 from ratinglens.sources.store import compact_view, latest_snapshot, read_view, upsert_view, write_version
 
 
@@ -97,10 +98,57 @@ def test_compaction_keeps_results_and_prunes(spark, tmp_dir):
     assert latest_snapshot(spark, view) == 6
     # a read after the snapshot scans only the snapshot and later deltas
     scanned = read_view(spark, view, ["fide_id"])
-    assert any("version" in f and "6" in f for f in partition_filters(scanned))
-    # epochs of 2 writes: snapshot 6 opens epoch 3; only epochs 3 and 4 are listed
     files = scanned.inputFiles()
-    assert files and all("epoch=3/" in f or "epoch=4/" in f for f in files)
+    assert files and all("version=6/" in f for f in files)
+
+
+def test_changed_snapshot_interval_loses_nothing(spark, tmp_dir):
+    src, root = f"{tmp_dir}/in", f"{tmp_dir}/speed"
+    done = []
+    for run, interval in enumerate([5, 2, None, 3]):
+        for i in range(7):
+            k = 10 * run + i
+            done.append(f"b{k}")
+            _write_file(src, f"f{k:03d}.json", [_msg(k, f"b{k}", str(k))])
+        state = _run(spark, src, root, f"interval{run}", compact_every=interval)
+        assert sorted(r.fide_id for r in state.collect()) == sorted(done)
+
+
+def test_new_checkpoint_on_an_old_view_is_refused(spark, tmp_dir):
+    src, root = f"{tmp_dir}/in", f"{tmp_dir}/speed"
+    _write_file(src, "f1.json", FILE1)
+    before = rows(_run(spark, src, root, "old"))
+    with pytest.raises(ValueError, match="another checkpoint"):
+        speed.start_speed_layer(
+            speed.read_message_files(spark, src), f"{root}/view", f"{root}/new-ckpt", available_now=True
+        )
+    assert rows(speed.read_speed_state(spark, f"{root}/view")) == before
+
+
+def test_state_runs_in_all_shuffle_partitions(spark, tmp_dir):
+    src, root = f"{tmp_dir}/in", f"{tmp_dir}/speed"
+    _write_file(src, "f.json", [_msg(i, str(i), str(i)) for i in range(400)])
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        state = _run(spark, src, root, "wide")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(state.inputFiles()) > 8 and state.count() == 400
+
+
+def test_events_as_a_folder_of_files(spark, tmp_dir):
+    one = tables.load(spark, SF_SMALL, "events")
+    one.repartition(3).write.parquet(f"{tmp_dir}/sf/events.parquet")
+    n = []
+    for sf in (SF_SMALL, f"{tmp_dir}/sf"):
+        stream = tables.stream_table(spark, sf, "events").select("event_id", "ts", "user_id", "value")
+        root = f"{tmp_dir}/run{len(n)}"
+        q = speed.start_speed_layer(
+            speed.to_messages(tables.submissions_from_events(stream)), f"{root}/view", f"{root}/ckpt", available_now=True
+        )
+        speed.run_until_caught_up(q)
+        n.append(rows(speed.read_speed_state(spark, f"{root}/view")))
+    assert n[0] == n[1] and n[0]
 
 
 def test_compact_view_replay_is_harmless(spark, tmp_dir):
