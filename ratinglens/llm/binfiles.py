@@ -36,7 +36,7 @@ from .common import saved
 
 MAGIC = b"TOKSHARD1"
 #: Characters of text in a shard, on average.
-SHARD_CHARS = 24_000_000
+SHARD_CHARS = 48_000_000
 #: Bits per key in a level of the hash, and levels before the rest is listed.
 SPARSITY, LEVELS = 2, 40
 
@@ -105,15 +105,16 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
 
 class ChunkIds:
     """Ids of chunks (runs without white space) as packed integers, encoded by
-    the tokenizers library and remembered up to a bound."""
+    the tokenizers library and remembered up to a bound. Chunks that are a
+    word, or a word and one mark, share the word's ids."""
 
-    def __init__(self, model: str, bound: int = 400_000) -> None:
+    def __init__(self, model: str, bound: int = 1_000_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.bound, self.known = bound, {}
+        self.bound, self.known, self.words = bound, {}, {}
         self.width = 2 if self.tokenizer.get_vocab_size(True) <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -125,29 +126,47 @@ class ChunkIds:
         ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, self.kind)
 
+    @staticmethod
+    def parts(text: str) -> tuple[str, ...]:
+        """The words and marks of a chunk that the tokenizer always parts: a
+        mark after letters is one. Lower case is the tokenizer's own, taken
+        here to share ids (a capital sigma's depends on its place: left)."""
+        low = text if "Σ" in text else text.lower()
+        if low.isalpha():
+            return (low,)
+        if low[-1] in ".,!?;:" and low[:-1].isalpha():
+            return (low[:-1], low[-1])
+        return (text,)
+
     def learn(self, chunks: list[bytes]) -> None:
-        """Plain chunks go through the library together, a special token
-        between them; those that may hold one themselves go alone."""
-        plain = []
+        """Encode what is new in chunks: together, a special token between
+        any two; chunks that may hold one themselves go alone."""
+        split, new = [], set()
         for c in chunks:
             if self.hint in c:
                 self.known[c] = self.encode_text(c.decode()).tobytes()
             else:
-                plain.append(c)
-        for i in range(0, len(plain), 1000):
-            part = plain[i : i + 1000]
-            ids = self.encode_text(self.mark.join(c.decode() for c in part))
+                parts = self.parts(c.decode())
+                split.append((c, parts))
+                new.update(parts)
+        fresh = [p for p in new if p not in self.words]
+        for i in range(0, len(fresh), 5000):
+            part = fresh[i : i + 5000]
+            ids = self.encode_text(self.mark.join(part))
             cuts = np.flatnonzero(ids == self.mark_id)
             raw, w = ids.tobytes(), self.width
             starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
             if len(starts) != len(part):
                 raise ValueError("special tokens do not delimit chunks in this tokenizer")
-            self.known.update((c, raw[a * w : b * w]) for c, a, b in zip(part, starts, ends))
+            self.words.update((p, raw[a * w : b * w]) for p, a, b in zip(part, starts, ends))
+        words = self.words
+        self.known.update((c, words[p[0]] if len(p) == 1 else words[p[0]] + words[p[1]]) for c, p in split)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed ids of each text."""
         if len(self.known) > self.bound:
             self.known.clear()
+            self.words.clear()
         split = [t.split() for t in texts]
         distinct: set[bytes] = set()
         for chunks in split:

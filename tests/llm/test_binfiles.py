@@ -32,7 +32,8 @@ def test_keys_left_after_the_last_level(monkeypatch):
 def test_chunks_equal_whole_texts(model):
     t = tokenizers.Tokenizer.from_str(model)
     e = binfiles.ChunkIds(model, bound=10)
-    texts = ["", "a b", "It's a<|endoftext|>b <|startoftext|>", "é x\x1cy \x85z <| |> ‘s", "日本 語 " * 5, "A a A"]
+    texts = ["", "a b", "It's a<|endoftext|>b <|startoftext|>", "é x\x1cy \x85z <| |> ‘s", "日本 語 " * 5, "A a A",
+             "İ. i̇. ΣΑΣ. Σ, ÉTÉ! été; ª. ǅ: ﬁ? x.. a,b .", "the. The, THE! the's 'S."]
     for _ in range(2):
         got = e.encode([x.encode() for x in texts])
         assert [np.frombuffer(g, e.kind).tolist() for g in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
