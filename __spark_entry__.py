@@ -37,7 +37,7 @@ from ratinglens.streaming import speed  # noqa: E402
 try:  # the training-data operators are an optional part
     import corpus_pipeline  # noqa: E402
     from ratinglens.llm import queries as llm_queries  # noqa: E402
-except ModuleNotFoundError as missing:
+except ImportError as missing:  # only the absence of these modules is no error
     if missing.name not in ("corpus_pipeline", "ratinglens.llm", "ratinglens.llm.queries"):
         raise
     llm_queries = None
