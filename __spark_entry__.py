@@ -308,8 +308,14 @@ def q_player_page(spark, sf):
 
 
 def q_player_page_all(spark, sf):
-    m = _members(spark, sf)
-    return lookup.player_page(m.history, m.counts, m.live)
+    """Every member's page, on built views; others have a live rating only."""
+
+    def build():
+        m = _members(spark, sf)
+        return build_views(spark, m.players, m.ratings, scratch_dir(spark, "member-views"))
+
+    speed_root = _once(spark, sf, "speed", lambda: _stream_message_files(spark, sf))
+    return RatingService(spark, _once(spark, sf, "member-views", build), speed_root).player_page()
 
 
 def q_games_count_merged(spark, sf):
