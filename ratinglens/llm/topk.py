@@ -223,7 +223,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20) -> DataFrame:
         q.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), *named("q_"))
         .withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(last))))
     )
-    pairs = c.select("part", "at", *named("c_")).join(copies, ["part", "at"])
+    # The planner sizes the copies as the blocks before copying: no broadcast.
+    pairs = c.select("part", "at", *named("c_")).join(copies.hint("merge"), ["part", "at"])
     found = pairs.select(
         "part", "at", "c_dims", "c_width", "c_ids", "c_vals", "q_dims", "q_width", "q_ids", "q_vals"
     ).mapInArrow(partial(search_blocks, k=k), "query_id long, vec_id long, score long")
