@@ -218,7 +218,8 @@ def train(
             )
 
     schema = "toxic int, ids array<int>, a array<array<int>>, b array<array<int>>"
-    rows = sample.mapInArrow(encoded, schema).orderBy("toxic", "ids").collect()
+    # At most max_labelled rows; sorted so that sums do not depend on their order.
+    rows = sorted(sample.mapInArrow(encoded, schema).collect(), key=lambda r: (r.toxic, r.ids))
     pairs = [(list(a), list(b)) for r in rows for a, b in zip(r.a, r.b)]
     w, bias = fit([list(r.ids) for r in rows], [r.toxic for r in rows], pairs, len(features), penalty)
     return Model(dict(zip(features, w.tolist())), bias)

@@ -1,3 +1,5 @@
+"""Difficult rows as fixtures; test modules import them by name."""
+
 import pytest
 
 #: Rows that every operator must take: nulls, empty and blank texts, repeated

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 from ratinglens.llm import binfiles, bpe
 from ratinglens.llm.queries import tokenizer_path

@@ -2,6 +2,7 @@ import pytest
 from brute import sha
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 from ratinglens.llm import bpe
 from ratinglens.llm.queries import tokenizer_path

@@ -1,5 +1,6 @@
 import numpy as np
 from pyspark.sql import functions as F
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 from ratinglens.llm import langid
 from ratinglens.llm.common import id_crc, table

@@ -2,6 +2,7 @@ import math
 
 import pytest
 from pyspark.sql import functions as F
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 from ratinglens.llm import mixing
 

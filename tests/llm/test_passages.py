@@ -1,5 +1,6 @@
 import numpy as np
 from brute import words, without_repeats
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 from ratinglens.llm import passages
 

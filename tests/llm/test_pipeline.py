@@ -4,6 +4,7 @@ registered queries and their SQL."""
 import duckdb
 import pytest
 from brute import components, sha, without_repeats, words
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 import __spark_entry__ as E
 import corpus_pipeline as P

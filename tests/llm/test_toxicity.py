@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 from ratinglens.llm import toxicity
 from ratinglens.llm.common import id_crc, table
