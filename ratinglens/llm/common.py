@@ -20,7 +20,7 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     lineage, and a lost executor costs no recomputation of earlier steps."""
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
