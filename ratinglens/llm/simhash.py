@@ -266,6 +266,14 @@ def merge_classes(links: DataFrame) -> DataFrame:
             return label
 
 
+def class_labels(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """``distinct`` (one row per fingerprint ``fp``) with ``label``: the
+    smallest fingerprint of its class."""
+    label = merge_classes(saved(local_classes(distinct, max_bits), "simhash-links"))
+    named = distinct.join(label.withColumnRenamed("node", "fp"), "fp", "left")
+    return named.withColumn("label", F.coalesce("label", "fp"))
+
+
 def near_duplicates(docs: DataFrame, max_bits: int = 2, width: int = 3) -> DataFrame:
     """One row per row of ``docs``: doc_id, fp (signed long), component_id,
     label (smallest fingerprint of the class).
@@ -278,20 +286,30 @@ def near_duplicates(docs: DataFrame, max_bits: int = 2, width: int = 3) -> DataF
     """
     rows = saved(docs.select("doc_id", fingerprint_column(F.col("text"), width).alias("fp")), "simhash-fp")
     distinct = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    label = merge_classes(saved(local_classes(distinct, max_bits), "simhash-links"))
-    named = distinct.join(label.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("label", "fp").alias("label")
-    )
+    named = class_labels(distinct, max_bits)
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     classes = named.select("fp", "label").join(smallest, "label")
     return rows.join(classes, "fp").select("doc_id", "fp", "component_id", "label")
 
 
 def keep_one(docs: DataFrame, max_bits: int = 2, width: int = 3) -> DataFrame:
-    """``docs`` with one document of each near-duplicate class: the one with
-    the smallest doc_id (one row of it if the id is repeated). Rows without a
-    doc_id cannot be told apart and stay as they are."""
-    found = near_duplicates(docs.where(F.col("doc_id").isNotNull()), max_bits, width)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    stay = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stay.unionByName(docs.where(F.col("doc_id").isNull())).select(docs.columns)
+    """``docs`` with one row of each near-duplicate class: the one with the
+    smallest doc_id, a row without one only where the whole class has none
+    (ties: by a hash of the text, then any one row).
+
+    Rows are told apart by a number saved with them, so rows without a doc_id
+    and different texts under one doc_id are judged like all others. Columns
+    of any name pass through (names starting with ``_simhash_`` are reserved).
+    """
+    own = F.struct(
+        F.col("doc_id").isNull().alias("no_id"),
+        F.col("doc_id").alias("doc_id"),
+        F.xxhash64("text").alias("text_hash"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    rows = docs.withColumn("_simhash_own", own).withColumn("_simhash_fp", fingerprint_column(F.col("text"), width))
+    rows = saved(rows.withColumn("_simhash_row", F.col("_simhash_own.row")), "simhash-rows")
+    first = rows.groupBy(F.col("_simhash_fp").alias("fp")).agg(F.min("_simhash_own").alias("first"))
+    named = class_labels(saved(first, "simhash-distinct"), max_bits)
+    stay = named.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_simhash_row"))
+    return rows.join(stay, "_simhash_row", "left_semi").select(docs.columns)

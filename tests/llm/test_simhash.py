@@ -92,3 +92,22 @@ def test_keep_one_and_difficult_rows(spark, odd_docs, no_docs):
     assert kept.where("doc_id is null").count() == 1
     assert len(near(odd_docs)) == odd_docs.count()
     assert near(no_docs) == [] and simhash.keep_one(no_docs).count() == 0
+
+
+def test_keep_one_judges_every_row(spark):
+    rng = np.random.default_rng(5)
+    a, b, c, d, e = (" ".join(rng.choice([f"w{i}" for i in range(300)], 120)) for _ in range(5))
+    rows = [(None, a)] * 3 + [(None, b), (9, b), (8, c), (8, d), (8, d)]
+    # One class of three that only its text without an id links.
+    near = {fingerprint(e): e}
+    while not any((x ^ y).bit_count() > 2 for x in near for y in near):
+        w = e.split()
+        w[int(rng.integers(len(w)))] = "new"
+        t = " ".join(w)
+        if (fingerprint(t) ^ fingerprint(e)).bit_count() in (1, 2):
+            near[fingerprint(t)] = t
+    left, right = next((s, t) for x, s in near.items() for y, t in near.items() if (x ^ y).bit_count() > 2)
+    rows += [(21, left), (None, e), (20, right)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted(((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()), key=str)
+    assert kept == sorted([(None, a), (9, b), (8, c), (8, d), (20, right)], key=str)
