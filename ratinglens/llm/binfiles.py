@@ -9,8 +9,9 @@ allows, else four), followed by
   bit sets with ranks), and per slot the key's fingerprint and first row;
 * a footer with the sections' places.
 
-A key is found in constant time: hash, rank, compare the fingerprint, read
-the row. Shards are written by the tasks that encode them, under a name of
+The manifest names the range of keys of each shard, so a key leads to its
+shard; there it is found in constant time: hash, rank, compare the
+fingerprint, read the row. Shards are written by the tasks that encode them, under a name of
 their own and then moved in place, so a task that runs again after a lost
 executor leaves the same file; all places are in the shared scratch folder.
 """
@@ -186,7 +187,7 @@ def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
 
 def write_shard(batches, folder: str, model: str, end_id: int, group_bytes: int = 4 << 20):
     """(doc_id, text) in ascending order -> one file; a row (shard, path, docs,
-    ids) if there was a document."""
+    ids, first_key, last_key, null_keys) if there was a document."""
     encoder = ChunkIds(model)
     fs, root = filesystem(folder)
     shard = TaskContext.get().partitionId()
@@ -241,10 +242,18 @@ def write_shard(batches, folder: str, model: str, end_id: int, group_bytes: int
     out.close()
     fs.move(temp, final)
     path = folder.rstrip("/") + f"/shard-{shard:06d}.ids"
-    yield pa.RecordBatch.from_pylist(
-        [{"shard": shard, "path": path, "docs": len(keys), "ids": firsts[-1]}],
-        pa.schema([("shard", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())]),
-    )
+    keyed = keys[has_key]
+    row = {
+        "shard": shard,
+        "path": path,
+        "docs": len(keys),
+        "ids": firsts[-1],
+        "first_key": int(keyed.min()) if len(keyed) else None,
+        "last_key": int(keyed.max()) if len(keyed) else None,
+        "null_keys": not has_key.all(),
+    }
+    kinds = [pa.int32(), pa.string(), *[pa.int64()] * 4, pa.bool_()]
+    yield pa.RecordBatch.from_pylist([row], pa.schema(list(zip(row, kinds))))
 
 
 class Shard:
@@ -290,11 +299,19 @@ class Shard:
         row = int(self.rows_of(np.array([key]))[0])
         return None if row < 0 else self.ids(row)
 
+    def rows_with(self, key: int) -> range:
+        """Rows of all documents with this key; they follow the first one."""
+        row = int(self.rows_of(np.array([key]))[0])
+        if row < 0:
+            return range(0)
+        return range(row, row + int(np.searchsorted(self.keys[row:], key, "right")))
+
 
 def write_files(docs: DataFrame, model: str, end_id: int, folder: str | None = None) -> DataFrame:
     """Encodes ``docs`` (doc_id, text) into shards under ``folder`` (default: a
-    new scratch folder) and returns their manifest: shard, path, docs, ids
-    and start (ids in all shards before).
+    new scratch folder) and returns their manifest: shard, path, docs, ids,
+    first_key and last_key (null if no document has a key), null_keys (whether
+    a document has none) and start (ids in all shards before).
 
     ``model`` is the content of a tokenizer file. Null text is empty (the end
     id alone); rows without a doc_id come first and have no key; rows of one
@@ -311,7 +328,8 @@ def write_files(docs: DataFrame, model: str, end_id: int, folder: str | None = N
         "doc_id", F.xxhash64("text"), "text"
     )
     written = ordered.mapInArrow(
-        partial(write_shard, folder=folder, model=model, end_id=end_id), "shard int, path string, docs long, ids long"
+        partial(write_shard, folder=folder, model=model, end_id=end_id),
+        "shard int, path string, docs long, ids long, first_key long, last_key long, null_keys boolean",
     )
     manifest = saved(written, "token-manifest")
     # One row per shard: the driver adds up what comes before each.
@@ -327,13 +345,20 @@ def read_documents(batches, block: int = 1 << 22):
     for batch in batches:
         for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             shard = Shard(path)
-            first = shard.rows_of(shard.keys)
             keyed = shard.has_key
-            back = np.where(keyed, np.maximum(first, 0), 0)
-            if (first[keyed] < 0).any() or (shard.keys[back[keyed]] != shard.keys[keyed]).any():
-                raise ValueError(f"index of {path} misses a key")
             n = len(shard.keys)
+            # The place of a document: the row that its key's slot gives, and
+            # as many on as documents of the key precede it; without a key its own.
+            place = np.arange(n)
+            keys = shard.keys[keyed]
+            new = np.r_[True, keys[1:] != keys[:-1]][: len(keys)]
+            first = shard.rows_of(keys[new])
+            run = np.diff(np.r_[np.flatnonzero(new), len(keys)])
+            place[keyed] = np.repeat(first - np.flatnonzero(new), run) + np.arange(len(keys))
+            if (first < 0).any() or (np.bincount(place, minlength=n) != 1).any() or (shard.keys[place] != shard.keys).any():
+                raise ValueError(f"index of {path} misses a key")
             crcs = np.empty(n, np.int64)
+            at = np.argsort(place, kind="stable")  # documents in the order of their places
             row = 0
             while row < n:  # a block of whole documents at a time
                 last = max(row + 1, int(np.searchsorted(shard.firsts, shard.firsts[row] + block, "right")) - 1)
@@ -341,13 +366,13 @@ def read_documents(batches, block: int = 1 << 22):
                 wide = np.frombuffer(shard.file.read_at(b - a, a), shard.kind).astype("<u4").tobytes()
                 cuts = (shard.firsts[row : last + 1] - shard.firsts[row]) * 4
                 for i in range(row, last):
-                    crcs[i] = zlib.crc32(wide[cuts[i - row] : cuts[i - row + 1]])
+                    crcs[at[i]] = zlib.crc32(wide[cuts[i - row] : cuts[i - row + 1]])
                 row = last
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(shard.keys, mask=~keyed),
-                    pa.array(shard.firsts[:-1] + start),
-                    pa.array(np.diff(shard.firsts)),
+                    pa.array(shard.firsts[place] + start),
+                    pa.array(np.diff(shard.firsts)[place]),
                     pa.array(crcs),
                 ],
                 ["doc_id", "start", "n_tokens", "ids_crc32"],
@@ -363,3 +388,34 @@ def read_files(manifest: DataFrame) -> DataFrame:
         .repartition(n, "path")
         .mapInArrow(read_documents, "doc_id long, start long, n_tokens long, ids_crc32 long")
     )
+
+
+def find_documents(batches):
+    """(path, start, key), the rows of a path together -> (doc_id, start, ids)
+    of the documents with the key."""
+    path, shard = None, None
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    for batch in batches:
+        for own, start, key in zip(*(c.to_pylist() for c in batch.columns)):
+            if own != path:
+                path, shard = own, Shard(own)
+            for row in shard.rows_with(key):
+                found = {"doc_id": key, "start": start + int(shard.firsts[row]), "ids": shard.ids(row).astype(np.int32)}
+                yield pa.RecordBatch.from_pylist([found], schema)
+
+
+def find(manifest: DataFrame, keys: DataFrame) -> DataFrame:
+    """(doc_id, start, ids) of every document whose key is among ``keys``
+    (doc_id; null and repeated ones count once or not at all).
+
+    A range join to the manifest leads to the shards that can hold a key (two
+    where its documents are parted by a shard's end), the shard's index to its
+    documents. Keys that no document has give no row."""
+    wanted = keys.select(F.col("doc_id").cast("long").alias("key")).where("key is not null").distinct()
+    held = wanted.join(manifest, F.col("key").between(F.col("first_key"), F.col("last_key")))
+    return (
+        held.select("path", "start", "key")
+        .repartition("path")
+        .sortWithinPartitions("path", "key")
+        .mapInArrow(find_documents, "doc_id long, start long, ids array<int>")
+    )

@@ -74,3 +74,21 @@ def test_difficult_rows(spark, model, odd_docs, no_docs):
     assert sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got), key=str) == sorted(expected(model, rows), key=str)
     manifest = binfiles.write_files(no_docs, model, 2)
     assert manifest.count() == 0 and binfiles.read_files(manifest).count() == 0
+
+
+def test_keys_are_found_through_the_manifest(spark, model, monkeypatch):
+    monkeypatch.setattr(binfiles, "SHARD_CHARS", 400)
+    rows = [(i * 5 - 200, f"the anea. {i} x! " * (i % 4)) for i in range(80)]
+    rows += [(50, f"x! {i}") for i in range(60)] + [(None, "the 42")] * 3  # one key over several shards
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    manifest = binfiles.write_files(docs, model, 2).cache()
+    shards = manifest.orderBy("shard").collect()
+    assert len(shards) > 3 and shards[0].null_keys and not shards[-1].null_keys
+    assert sum(r.first_key <= 50 <= r.last_key for r in shards if r.first_key is not None) > 1
+    keys = spark.createDataFrame([(d,) for d in (-200, 50, 50, 195, -199, 10**12, None, 0)], "doc_id long")
+    got = sorted((r.doc_id, r.start, len(r.ids), zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in binfiles.find(manifest, keys).collect())
+    every = binfiles.read_files(manifest).where("doc_id in (-200, 50, 195, 0)").collect()
+    assert got == sorted(map(tuple, every)) and len(got) == 64
+    t = tokenizers.Tokenizer.from_str(model)
+    want = sorted(zlib.crc32(np.array(t.encode(x, add_special_tokens=False).ids + [2], "<u4").tobytes()) for d, x in rows if d in (-200, 50, 195, 0))
+    assert sorted(c for *_, c in got) == want
