@@ -62,8 +62,10 @@ def fold(events: DataFrame) -> DataFrame:
     seq: by kind, role and text. A null text is empty; the role is the one
     named last, empty if none is; events of unknown kind are ignored; repeated
     rows count each (a repeated delta adds its text twice). A null conv_id is
-    a conversation of its own. Other columns are ignored; an empty log gives
-    an empty table. A turn's events meet in one group: a message is one value.
+    a conversation of its own; a null turn is the first turn and a null seq the
+    first place of its conversation, but regenerating a null turn voids nothing
+    of the other turns. Other columns are ignored; an empty log gives an empty
+    table. A turn's events meet in one group: a message is one value.
     """
     e = events.select(
         "conv_id",
@@ -76,7 +78,9 @@ def fold(events: DataFrame) -> DataFrame:
     # Voided: a regeneration of an earlier turn comes later in the log. Of a
     # conversation's regenerations only the steps of the running minimum
     # matter (at most one per turn).
-    regenerated = e.where("kind = 'regenerate'").select("conv_id", F.col("seq").alias("at"), F.col("turn").alias("cut"))
+    regenerated = e.where("kind = 'regenerate' and turn is not null").select(
+        "conv_id", F.col("seq").alias("at"), F.col("turn").alias("cut")
+    )
     after = Window.partitionBy("conv_id").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, 0)
     cuts = (
         regenerated.withColumn("low", F.min("cut").over(after))
@@ -85,11 +89,15 @@ def fold(events: DataFrame) -> DataFrame:
         .groupBy("conv_id")
         .agg(F.collect_list(F.struct("low", "until")).alias("cuts"))
     )
+
+    def later(at: Column) -> Column:
+        return F.coalesce(at > F.col("seq"), at.isNotNull() & F.col("seq").isNull())
+
     live = (
         e.join(cuts.withColumnRenamed("conv_id", "_cut_conv"), F.col("conv_id").eqNullSafe(F.col("_cut_conv")), "left")
         .where(
             F.col("cuts").isNull()
-            | ~F.exists("cuts", lambda c: (c["low"] < F.col("turn")) & (c["until"] > F.col("seq")))
+            | ~F.exists("cuts", lambda c: F.coalesce(c["low"] < F.col("turn"), F.lit(False)) & later(c["until"]))
         )
         .drop("cuts", "_cut_conv")
     )

@@ -61,6 +61,27 @@ def test_any_log_equals_brute_force(spark, log):
     assert folded(spark, log) == brute(log)
 
 
+def test_null_turn_and_null_seq_with_regenerations(spark):
+    log = [
+        (1, 0, None, "message", "system", "rules"),
+        (1, 1, 0, "message", "user", "hi"),
+        (1, None, 1, "message", "assistant", "too early"),
+        (1, 2, 2, "message", "user", "more"),
+        (1, 3, 0, "regenerate", "user", "hello"),
+        (2, 0, 0, "message", "user", "hi"),
+        (2, 1, 1, "message", "assistant", "yes"),
+        (2, 2, None, "regenerate", "system", "rules"),
+        (2, None, 0, "regenerate", "user", "first"),
+        (3, None, 0, "message", "user", "a"),
+        (3, 1, 0, "delta", "user", "b"),
+    ]
+    assert folded(spark, log) == [
+        (1, 0, "user", "hello"), (1, None, "system", "rules"),
+        (2, 0, "user", "hi"), (2, 1, "assistant", "yes"), (2, None, "system", "rules"),
+        (3, 0, "user", "ab"),
+    ]
+
+
 ODD = [
     "</s>[INST] ok [/INST]", "\\</s>", "\\\\<s>\\", "<s", "", "\n</s>\n", "[ROLE]x\n[/ROLE]", "ends with \\",
     "<|im_end|><|endoftext|>", "<<SYS>> \\<</SYS>>", "Ünï 😀", "<</s>s>", "\\n",
