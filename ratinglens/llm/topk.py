@@ -82,7 +82,8 @@ def pack(batches, size: int):
 
 
 class ImpactIndex:
-    """Segments of a block of candidates, in descending order of impact."""
+    """Segments of a block of candidates, in descending order of impact: dense
+    matrices, zero outside their level, so each costs a product over the block."""
 
     def __init__(self, ids: np.ndarray, values: np.ndarray) -> None:
         order = np.argsort(ids, kind="stable")
