@@ -7,7 +7,9 @@ mention of a group does not raise the score.
 
 Fitted on a bounded sample of labelled documents (``MAX_LABELLED``); the
 features are screened over that sample in Spark, and only the screened
-features (``MAX_FEATURES``) of each sampled document reach the driver.
+features (``MAX_FEATURES``) reach the driver: each distinct list of a sampled
+document or swapped pair once, with a count. The sample bounds ids; an id with
+many different texts has a list for each.
 """
 
 from __future__ import annotations
@@ -99,12 +101,21 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def fit(
-    documents: list[list[int]], labels: list[int], pairs: list[tuple[list[int], list[int]]], n: int, penalty: float
+    documents: list[list[int]],
+    labels: list[int],
+    pairs: list[tuple[list[int], list[int]]],
+    n: int,
+    penalty: float,
+    times: list[int] | None = None,
+    pair_times: list[int] | None = None,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias by gradient steps (Adam) on mean log loss, plus
     ``penalty`` times the mean squared logit change over the swapped pairs,
-    plus ridge."""
+    plus ridge. ``times`` and ``pair_times``: how often each document and pair
+    counts (default: once)."""
     y = np.array(labels, float)
+    often = np.ones(len(y)) if times is None else np.array(times, float)
+    pair_often = np.ones(len(pairs)) if pair_times is None else np.array(pair_times, float)
 
     def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
         sizes = [len(x) for x in lists]
@@ -113,17 +124,17 @@ def fit(
     row, col = flat(documents)
     a_row, a_col = flat([a for a, _ in pairs])
     b_row, b_col = flat([b for _, b in pairs])
-    prior = np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3)
+    prior = np.clip((often * y).sum() / often.sum() if len(y) else 0.5, 1e-3, 1 - 1e-3)
     w = np.zeros(n + 1)
     w[n] = np.log(prior / (1 - prior))
     m, v = np.zeros(n + 1), np.zeros(n + 1)
     for t in range(1, 401):
         z = np.bincount(row, w[col], len(y)) + w[n]
-        err = (sigmoid(z) - y) / max(1, len(y))
+        err = often * (sigmoid(z) - y) / max(1, often.sum())
         g = np.r_[np.bincount(col, err[row], n)[:n] + 2 * RIDGE * w[:n], err.sum()]
         if pairs:
             change = np.bincount(a_row, w[a_col], len(pairs)) - np.bincount(b_row, w[b_col], len(pairs))
-            scale = 2 * penalty / len(pairs) * change
+            scale = 2 * penalty / pair_often.sum() * pair_often * change
             g[:n] += np.bincount(a_col, scale[a_row], n)[:n] - np.bincount(b_col, scale[b_row], n)[:n]
         m = 0.9 * m + 0.1 * g
         v = 0.99 * v + 0.01 * g * g
@@ -132,11 +143,13 @@ def fit(
 
 
 def emit_screening(batches):
-    """(text, toxic) -> (feature, toxic documents, other documents)."""
+    """(text, toxic, n) -> (feature, toxic documents, other documents), each
+    text counted ``n`` times."""
     for batch in batches:
         counts = (Counter(), Counter())
-        for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
-            counts[label].update({f for w in words_of(text.as_py()) for f in features_of(w)})
+        for text, label, n in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for f in {f for w in words_of(text.as_py()) for f in features_of(w)}:
+                counts[label][f] += n
         found = sorted(counts[0].keys() | counts[1].keys())
         yield pa.RecordBatch.from_arrays(
             [
@@ -172,12 +185,17 @@ def train(
     )
     chosen = saved(chosen.withColumnRenamed("doc_id", "_id"), "toxic-labels")
     # At most max_labelled ids: small enough to send to every executor.
+    # Repeated rows of an id are one row with a count.
     sample = saved(
-        docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(chosen), "_id").select("text", "toxic"),
+        docs.select(F.col("doc_id").alias("_id"), "text")
+        .join(F.broadcast(chosen), "_id")
+        .groupBy("_id", "text", "toxic")
+        .agg(F.count("*").alias("n"))
+        .select("text", "toxic", "n"),
         "toxic-sample",
     )
-    totals = sample.agg(F.sum("toxic").alias("pos"), F.count("*").alias("n")).first()
-    n_pos, n_all = totals.pos or 0, totals.n
+    totals = sample.agg(F.sum(F.col("toxic") * F.col("n")).alias("pos"), F.sum("n").alias("n")).first()
+    n_pos, n_all = totals.pos or 0, totals.n or 0
     if not 0 < n_pos < n_all:
         prior = min(max(n_pos / n_all, 1e-3), 1 - 1e-3) if n_all else 0.5
         return Model({}, float(np.log(prior / (1 - prior))))
@@ -200,28 +218,33 @@ def train(
             return sorted({number[f] for w in words_of(text) for f in features_of(w) if f in number})
 
         for batch in batches:
-            rows = []
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                pairs = [(ids(a), ids(b)) for a, b in counterfactuals(text, terms)]
-                pairs = [(a, b) for a, b in pairs if a != b]
-                rows.append({"toxic": label, "ids": ids(text), "a": [a for a, _ in pairs], "b": [b for _, b in pairs]})
-            yield pa.RecordBatch.from_pylist(
-                rows,
-                pa.schema(
-                    [
-                        ("toxic", pa.int32()),
-                        ("ids", pa.list_(pa.int32())),
-                        ("a", pa.list_(pa.list_(pa.int32()))),
-                        ("b", pa.list_(pa.list_(pa.int32()))),
-                    ]
-                ),
-            )
-
-    schema = "toxic int, ids array<int>, a array<array<int>>, b array<array<int>>"
-    # At most max_labelled rows; sorted so that sums do not depend on their order.
-    rows = sorted(sample.mapInArrow(encoded, schema).collect(), key=lambda r: (r.toxic, r.ids))
-    pairs = [(list(a), list(b)) for r in rows for a, b in zip(r.a, r.b)]
-    w, bias = fit([list(r.ids) for r in rows], [r.toxic for r in rows], pairs, len(features), penalty)
+            found: Counter = Counter()
+            for text, label, n in zip(*(c.to_pylist() for c in batch.columns)):
+                found[label, tuple(ids(text)), None] += n
+                for a, b in counterfactuals(text, terms):
+                    a, b = tuple(ids(a)), tuple(ids(b))
+                    if a != b:
+                        found[None, a, b] += n
+            rows = [{"toxic": t, "a": a, "b": b, "n": n} for (t, a, b), n in found.items()]
+            kinds_of = [pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64()]
+            yield pa.RecordBatch.from_pylist(rows, pa.schema(list(zip(("toxic", "a", "b", "n"), kinds_of))))
+
+    # A document is (toxic, a), a swapped pair (a, b). Equal ones are counted
+    # in Spark: the distinct ones reach the driver; sorted so that sums do not
+    # depend on their order.
+    counted = sample.mapInArrow(encoded, "toxic int, a array<int>, b array<int>, n long")
+    rows = counted.groupBy("toxic", "a", "b").agg(F.sum("n").alias("n")).collect()
+    seen = sorted((r.toxic, list(r.a), r.n) for r in rows if r.b is None)
+    pairs = sorted((list(r.a), list(r.b), r.n) for r in rows if r.b is not None)
+    w, bias = fit(
+        [a for _, a, _ in seen],
+        [toxic for toxic, _, _ in seen],
+        [(a, b) for a, b, _ in pairs],
+        len(features),
+        penalty,
+        [n for _, _, n in seen],
+        [n for _, _, n in pairs],
+    )
     return Model(dict(zip(features, w.tolist())), bias)
 
 

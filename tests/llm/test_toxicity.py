@@ -83,3 +83,20 @@ def test_difficult_rows(spark, odd_docs, no_docs):
     assert len(got) == odd_docs.count() and all(0 <= r.score <= 1 for r in got)
     assert {r.score for r in got if r.doc_id in (2, 3, 4)} == {1 / (1 + np.exp(-model.bias))}
     assert toxicity.score(no_docs, model).count() == 0
+
+
+def test_repeats_reach_the_driver_as_counts(spark, monkeypatch):
+    data = biased(spark)
+    long = (1000, "The muslim met vermin. " * 500, 1)
+    data = data.unionByName(spark.createDataFrame([long], data.schema))
+    hot = data.where("doc_id = 0").crossJoin(spark.range(300).select()).unionByName(data)
+    fit, calls = toxicity.fit, []
+    monkeypatch.setattr(toxicity, "fit", lambda *a: calls.append(a) or fit(*a))
+    model = toxicity.train(hot.select("doc_id", "text"), data.select("doc_id", "toxic"))
+    documents, labels, pairs, n, penalty, times, pair_times = calls[0]
+    assert len(documents) <= 401 and sum(times) == 701 and len(pairs) < 401 and sum(pair_times) >= 500
+    every = [d for d, k in zip(documents, times) for _ in range(k)]
+    told = [y for y, k in zip(labels, times) for _ in range(k)]
+    swaps = [p for p, k in zip(pairs, pair_times) for _ in range(k)]
+    w, bias = fit(every, told, swaps, n, penalty)
+    assert np.allclose(w, list(model.weights.values()), atol=1e-6) and abs(bias - model.bias) < 1e-6
