@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import binfiles, bpe, chat, langid, mixing, passages, quality, simhash, topk, toxicity
+from . import binfiles, bpe, chat, importance, langid, mixing, passages, quality, simhash, topk, toxicity
 from .common import id_crc, table, words
 
 TOKENIZER = "word_bpe_49k.json"
@@ -87,6 +87,12 @@ def op10_token_shards(spark, sf):
     return binfiles.read_files(manifest)
 
 
+def op11_importance_resampling(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = importance.importance(docs, table(spark, sf, "benchmark"), percent=10, least_words=20)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict:
     """Query name -> callable(spark, sf_dir)."""
     found = {n: f for n, f in globals().items() if n.startswith("op") and n[2].isdigit()}
@@ -269,8 +275,57 @@ WHERE r <= 20
 """
 
 
+#: crc32 of the UTF-8 bytes of the column w, by the table ``t`` of CTE tab.
+_CRC = """xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(range(1, length(hex(encode(w))), 2),
+    lambda i: CAST('0x' || substr(hex(encode(w)), i, 2) AS BIGINT))),
+  lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])))"""
+
+_OP11 = f"""
+WITH tab AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                          lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)
+),
+low AS (
+  SELECT r, k, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM (SELECT row_number() OVER () AS r, 'd' AS k, doc_id, text FROM documents
+        UNION ALL SELECT NULL, 'b', NULL, text FROM benchmark)
+),
+f AS (SELECT r, k, unnest(ws) AS w FROM low),
+vocabulary AS (SELECT w, CAST({_CRC} % 10000 AS BIGINT) AS bucket FROM (SELECT DISTINCT w FROM f), tab),
+counts AS (
+  SELECT bucket, count(*) FILTER (WHERE k = 'd') AS s, count(*) FILTER (WHERE k = 'b') AS t
+  FROM f JOIN vocabulary USING (w) GROUP BY bucket
+),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(((t + 1) * CAST((SELECT sum(s) FROM counts) + 10000 AS DOUBLE))
+                                      / ((s + 1) * CAST((SELECT sum(t) FROM counts) + 10000 AS DOUBLE)))) AS BIGINT) AS g
+  FROM counts
+),
+weights AS (SELECT r, sum(g) AS weight FROM f JOIN vocabulary USING (w) JOIN gain USING (bucket) WHERE k = 'd' GROUP BY r),
+scored AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(
+           sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM low LEFT JOIN weights USING (r) WHERE k = 'd'
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place,
+         count(*) FILTER (WHERE n_features >= 20) OVER () AS n
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= n * 10 // 100 THEN place END AS rank
+FROM placed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_importance_resampling": _OP11,
         "op3_format_conversations": _OP3,
         "op8_exact_top_k": _OP8,
         "op2_remove_repeated_passages": _OP2,
