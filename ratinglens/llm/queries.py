@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import binfiles, bpe, chat, importance, langid, mixing, passages, quality, simhash, topk, toxicity
+from . import binfiles, bpe, chat, codes, importance, langid, mixing, passages, quality, simhash, topk, toxicity
 from .common import id_crc, table, words
 
 TOKENIZER = "word_bpe_49k.json"
@@ -93,6 +93,12 @@ def op11_importance_resampling(spark, sf):
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_vector_codes(spark, sf):
+    found, books = codes.compress(table(spark, sf, "embeddings"), parts=8, entries=16, rounds=6)
+    digest = F.lit(codes.books_sha256(books)).alias("codebooks_sha256")
+    return found.select("vec_id", "code", "error", "label_error", digest)
+
+
 def queries() -> dict:
     """Query name -> callable(spark, sf_dir)."""
     found = {n: f for n, f in globals().items() if n.startswith("op") and n[2].isdigit()}
@@ -323,8 +329,48 @@ FROM placed
 """
 
 
+def _lloyd(rounds: int) -> str:
+    """CTEs a0, c1, a1, ... : assignments to the codebooks c0, and the next."""
+    out = []
+    for i in range(rounds + 1):
+        out.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, part, min(d * 16 + e) % 16 AS e, min(d * 16 + e) // 16 AS d
+  FROM (SELECT r, p.part, e, CAST(sum((x - y) * (x - y)) AS BIGINT) AS d
+        FROM p JOIN c{i} USING (part, place) GROUP BY ALL) GROUP BY r, part)""")
+        if i < rounds:
+            out.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT part, e, place, coalesce(m, y) AS y FROM c{i} LEFT JOIN (
+    SELECT part, e, place, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m
+    FROM a{i} JOIN p USING (r, part) GROUP BY ALL) USING (part, e, place))""")
+    return ",\n".join(out)
+
+
+_OP12 = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+p AS MATERIALIZED (
+  SELECT r, i * 8 // w AS part, i % (w // 8) AS place, coalesce(v[i + 1], 0) AS x
+  FROM v, (SELECT greatest(1, CAST(ceil(max(len(v)) / 8.0) AS BIGINT)) * 8 AS w FROM v), unnest(range(w)) u(i)
+),
+c0 AS MATERIALIZED (SELECT part, r - 1 AS e, place, x AS y FROM p WHERE r <= 16),
+{_lloyd(6)},
+coded AS (
+  SELECT r, string_agg(lpad(lower(hex(e)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM a6 GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY part, e, place)) FROM c6) AS codebooks_sha256
+FROM v JOIN coded USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op12_vector_codes": _OP12,
         "op11_importance_resampling": _OP11,
         "op3_format_conversations": _OP3,
         "op8_exact_top_k": _OP8,
