@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import binfiles, bpe, chat, codes, importance, langid, mixing, passages, quality, simhash, topk, toxicity
+from . import binfiles, bpe, chat, codes, importance, langid, mixing, multiindex, passages, quality, simhash, topk, toxicity
 from .common import id_crc, table, words
 
 TOKENIZER = "word_bpe_49k.json"
@@ -99,6 +99,10 @@ def op12_vector_codes(spark, sf):
     return found.select("vec_id", "code", "error", "label_error", digest)
 
 
+def op13_embedding_near_duplicates(spark, sf):
+    return multiindex.near_duplicates(table(spark, sf, "embeddings"), least=0.95, recall=0.99)
+
+
 def queries() -> dict:
     """Query name -> callable(spark, sf_dir)."""
     found = {n: f for n, f in globals().items() if n.startswith("op") and n[2].isdigit()}
@@ -368,8 +372,29 @@ FROM v JOIN coded USING (r)
 """
 
 
+#: All pairs; the tables of the comparison are small. The query is held to
+#: at least 0.9 of these links and finds all of them there.
+_OP13 = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS x,
+         embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+         AND len(list_filter(embedding, lambda c: c <> 0)) > 0 AS ok
+  FROM embeddings
+),
+links AS MATERIALIZED (
+  SELECT a.r AS p, b.r AS q FROM v a JOIN v b
+  ON a.ok AND b.ok AND a.r <> b.r AND list_cosine_similarity(a.x, b.x) >= 0.95
+),
+reach(p, q) AS (SELECT r, r FROM v UNION SELECT reach.p, links.q FROM reach JOIN links ON reach.q = links.p)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id, v.vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v LEFT JOIN (SELECT p, count(*) AS n FROM links GROUP BY p) ON v.r = p
+JOIN (SELECT reach.p AS r, min(w.vec_id) AS component_id FROM reach JOIN v w ON reach.q = w.r GROUP BY ALL) USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op13_embedding_near_duplicates": _OP13,
         "op12_vector_codes": _OP12,
         "op11_importance_resampling": _OP11,
         "op3_format_conversations": _OP3,
