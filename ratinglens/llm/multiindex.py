@@ -39,7 +39,7 @@ from .simhash import Classes, merge_classes
 FIT_SAMPLE, TRUTH_SAMPLE, RANDOM = 8192, 256, 16
 #: Points aimed at in a cell, entries of a codebook at most, points at home
 #: that a task compares at once, and visitors at once.
-CELL_POINTS, MOST_ENTRIES, CHUNK, VISITORS = 256, 512, 4096, 256
+CELL_POINTS, MOST_ENTRIES, CHUNK, VISITORS = 512, 512, 4096, 256
 #: Sample points around one of them that make it the centre of a ball.
 CROWD = 8
 #: Index units of a component of a unit vector.
@@ -402,13 +402,13 @@ def build(points: DataFrame, width: int, least: float, recall: float) -> Index:
     return index
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.95, recall: float = 0.99) -> DataFrame:
+def near_duplicates(vectors: DataFrame, least: float = 0.95, recall: float = 0.95) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding): vec_id, n_links,
     component_id, kept.
 
     Two rows are linked if the cosine of their vectors, in double precision, is
-    at least ``least`` (over 0); at least about ``recall`` of the links are
-    found, and none below it. ``n_links`` counts the other rows linked
+    at least ``least`` (over 0). A search from either end finds at least about
+    ``recall`` of the links, so both together find more, and none below it. ``n_links`` counts the other rows linked
     directly, ``component_id`` is the smallest non-null vec_id reachable, the
     own one included (null if there is none), ``kept`` whether both ids are the
     same (also if both are null).

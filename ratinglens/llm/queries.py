@@ -100,7 +100,7 @@ def op12_vector_codes(spark, sf):
 
 
 def op13_embedding_near_duplicates(spark, sf):
-    return multiindex.near_duplicates(table(spark, sf, "embeddings"), least=0.95, recall=0.99)
+    return multiindex.near_duplicates(table(spark, sf, "embeddings"), least=0.95, recall=0.95)
 
 
 def queries() -> dict:
