@@ -29,10 +29,10 @@ from ratinglens.functions import scalar  # noqa: E402
 from ratinglens.operators import batch, cells, lookup, series  # noqa: E402
 from ratinglens.plans.build import Model, build_views, model_from_tables, read_views  # noqa: E402
 from ratinglens.plans.service import RatingService  # noqa: E402
-from ratinglens.schemas import JOINED_COLS  # noqa: E402
+from ratinglens.schemas import JOINED_COLS, RATINGS  # noqa: E402
 from ratinglens.session import scratch_dir  # noqa: E402
 from ratinglens.sources import delimited, store, tables  # noqa: E402
-from ratinglens.streaming import speed  # noqa: E402
+from ratinglens.streaming import metrics, speed  # noqa: E402
 
 try:  # the training-data operators are an optional part
     import corpus_pipeline  # noqa: E402
@@ -161,12 +161,12 @@ def q_upsert_view(spark, sf):
     """The latest report per player by two upserts and a compaction: the
     first half of the events, then the second."""
     subs = tables.submissions_from_tables(spark, sf)
-    half = subs.agg(F.expr("percentile(seq, 0.5)")).first()[0]
+    half = (subs.agg(F.max("seq")).first()[0] or 0) / 2
     root = scratch_dir(spark, "upserts")
     for version, part in enumerate([subs.filter(F.col("seq") <= half), subs.filter(F.col("seq") > half)]):
         latest = cells.latest_version(part, ["fide_id"], ["ts", "seq"])
         store.upsert_view(latest, root, ["fide_id"], version)
-    store.compact_view(spark, root, ["fide_id"], 2)
+    store.maintain_view(spark, root, ["fide_id"], every=2, grace_s=0)
     return store.read_view(spark, root, ["fide_id"])
 
 
@@ -231,6 +231,32 @@ def q_latest_version(spark, sf):
     return cells.latest_version(subs, ["fide_id"], ["ts", "seq"])
 
 
+def q_binary_cells(spark, sf):
+    """Live rows with their count → binary cells → text cells → rows."""
+    m = _members(spark, sf)
+    rows = lookup.live_with_count(m.live, m.batch_counts).drop("has_count")
+    coded = cells.to_binary_cells(rows, "fide_id", ["games_count"])
+    values = [c for c in rows.columns if c != "fide_id"]
+    return cells.cells_to_rows(cells.text_cells(coded, ["games_count"]), values, {"games_count": "bigint"})
+
+
+def q_ingest_audit(spark, sf):
+    """Ratings written as text with a fault in some lines, audited."""
+    r = tables.ratings_from_tables(spark, sf)
+    fault = F.pmod(F.col("fide_id").cast("long") * 5 + F.col("year") + F.col("month"), F.lit(9))
+    text = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in r.columns])
+    line = (
+        F.when(fault == 1, F.regexp_replace(text, ",[^,]*$", ",n/a"))
+        .when(fault == 2, F.regexp_replace(text, ",[^,]*$", ""))
+        .when(fault == 3, F.concat(text, F.lit(",7")))
+        .when(fault == 4, F.regexp_replace(text, ",[^,]*,[^,]*$", ",12x,,9"))
+        .otherwise(text)
+    )
+    path = scratch_dir(spark, "ratings-faults")
+    delimited.write_lines(r.select(line.alias("line")), path, ",".join(r.columns))
+    return delimited.audit_counts(delimited.audit_delimited(spark, path, RATINGS))
+
+
 def q_cells_to_rows(spark, sf):
     """History view → key/column/value cells → rows again."""
     hist = model_from_tables(spark, sf).history
@@ -266,6 +292,20 @@ def q_find_ids(spark, sf):
     return _service(spark, sf).find_ids(NAME_PREFIX)
 
 
+def q_first_row(spark, sf):
+    """First history row, in key order, of the keys that start with a text."""
+    return lookup.first_row(_service(spark, sf).views["history"], "row_key", PLAYER)
+
+
+def q_first_rows(spark, sf):
+    """The same for every customer's number (a prefix of longer numbers too)
+    and for each with a separator and a year."""
+    c = F.col("c_custkey").cast("string")
+    asked = F.array(c, F.concat(c, F.lit("_")), F.concat(c, F.lit("_1995")))
+    prefixes = tables.load(spark, sf, "customer").select(F.explode(asked).alias("prefix"))
+    return lookup.first_rows(model_from_tables(spark, sf).history, "row_key", prefixes)
+
+
 def q_player_history(spark, sf):
     return _service(spark, sf).player_history(PLAYER)
 
@@ -325,16 +365,72 @@ def q_games_count_merged(spark, sf):
 # ---------------------------------------------------------------- speed layer
 
 
-def _stream_messages(spark, messages, compact_every):
-    """Messages through the speed layer (availableNow) into a fresh store."""
+def _stream_messages(spark, messages, compact_every, metered=False):
+    """Messages through the speed layer (availableNow) into a fresh store;
+    with ``metered`` also the metrics of its batches."""
     root = scratch_dir(spark, "speed")
+    listener = metrics.BatchMetrics(spark, f"{root}/metrics", root) if metered else None
+    if metered:
+        spark.streams.addListener(listener)
     q = speed.start_speed_layer(
-        messages, f"{root}/view", f"{root}/checkpoint", available_now=True, compact_every=compact_every
+        messages, f"{root}/view", f"{root}/checkpoint", available_now=True, compact_every=compact_every, query_name=root
     )
-    speed.run_until_caught_up(q)
+    speed.run_until_caught_up(metrics.with_metrics(q, listener) if metered else q)
+    if metered:
+        spark.streams.removeListener(listener)
     return f"{root}/view"
 
 
+def _mixed_messages(spark, sf):
+    """Every event as a message, of every kind: of ten one is cut short, one
+    has a field more, one no id, one is no object."""
+    subs = tables.submissions_from_tables(spark, sf)
+    kind = F.col("seq") % 10
+    value = (
+        F.when(kind == 1, F.expr("substring(value, 1, length(value) - 3)"))
+        .when(kind == 3, F.regexp_replace("value", "}$", ',"club":"x"}'))
+        .when(kind == 5, F.regexp_replace("value", '"fide_id"', '"id"'))
+        .when(kind == 7, F.lit("[1, 2]"))
+        .otherwise(F.col("value"))
+    )
+    return speed.to_messages(subs).withColumn("value", value)
+
+
+def _stream_mixed_files(spark, sf):
+    """The mixed messages in four files (by seq modulo 4), a batch each, and
+    the checkpoint, view and metrics of the run."""
+    published, messages = scratch_dir(spark, "mixed-messages"), _mixed_messages(spark, sf)
+    for k in range(4):
+        speed.write_messages(messages.filter(F.col("seq") % 4 == k).coalesce(1), published)
+    files = speed.read_message_files(spark, published, max_files_per_trigger=1)
+    return _stream_messages(spark, files, compact_every=2, metered=True).removesuffix("/view")
+
+
+def _mixed(spark, sf):
+    return _once(spark, sf, "mixed", lambda: _stream_mixed_files(spark, sf))
+
+
+def q_stream_metrics(spark, sf):
+    """Messages, rejects and changed players of every batch, as observed."""
+    got = metrics.read_metrics(spark, f"{_mixed(spark, sf)}/metrics")
+    return got.select("messages", "rejects", "players_changed")
+
+
+def q_stream_state(spark, sf):
+    """The state in the checkpoint, read by itself; equal to the view."""
+    return speed.read_speed_checkpoint(spark, f"{_mixed(spark, sf)}/checkpoint")
+
+
+def q_stream_view(spark, sf):
+    """The view that the same stream has written."""
+    return speed.read_speed_state(spark, f"{_mixed(spark, sf)}/view")
+
+
+def q_message_reasons(spark, sf):
+    """Messages per reject reason, unknown fields being one."""
+    return speed.message_reasons(_mixed_messages(spark, sf), speed.STRICT)
+
+
 def _stream_message_files(spark, sf):
     """Every event published as a message in one of six files, streamed in
     six micro-batches with a snapshot at every second one."""
@@ -538,6 +634,14 @@ def _series(src: str, ids: str, date: str) -> str:
     return " UNION ALL ".join(parts)
 
 
+# The state of the stream of mixed messages: those without a report left out.
+_MIXED = """
+        SELECT fide_id, first_name, last_name, rating_standard, rating_rapid, rating_blitz, n AS stream_count FROM (
+          SELECT *, row_number() OVER (PARTITION BY fide_id ORDER BY ts DESC, seq DESC) AS rn,
+                 count(*) OVER (PARTITION BY fide_id) AS n
+          FROM submissions WHERE seq % 10 NOT IN (1, 5, 7))
+        WHERE rn = 1"""
+
 _ORACLE = {
     "players_and_ratings": f"SELECT {_JOINED} FROM joined",
     "ratings_by_federation_year": "SELECT * FROM fed_by_year",
@@ -572,7 +676,7 @@ _ORACLE = {
     "upsert_view": """
         SELECT fide_id, first_name, last_name, rating_standard, rating_rapid, rating_blitz, ts, seq FROM (
           SELECT *, row_number() OVER (PARTITION BY fide_id ORDER BY late DESC, ts DESC, seq DESC) AS rn
-          FROM (SELECT *, seq > (SELECT quantile_cont(seq, 0.5) FROM submissions) AS late FROM submissions))
+          FROM (SELECT *, seq > (SELECT max(seq) / 2 FROM submissions) AS late FROM submissions))
         WHERE rn = 1""",
     "scalar_functions": """
         SELECT c_custkey, substr(c_name, 10) AS stripped, CAST(NULL AS VARCHAR) AS not_stripped,
@@ -647,6 +751,34 @@ _ORACLE = {
                                    rating_rapid := rating_rapid, rating_blitz := rating_blitz))::VARCHAR AS value,
                ts, seq
         FROM submissions""",
+    "first_row": f"SELECT * FROM history WHERE starts_with(row_key, '{PLAYER}') ORDER BY row_key LIMIT 1",
+    "first_rows": """
+        SELECT q.prefix, h.row_key IS NOT NULL AS found, h.*
+        FROM (SELECT unnest([c, c || '_', c || '_1995']) AS prefix
+              FROM (SELECT CAST(c_custkey AS VARCHAR) AS c FROM customer)) q
+        LEFT JOIN (SELECT p, min(row_key) AS k
+                   FROM (SELECT row_key, unnest([row_key[:i] FOR i IN range(1, length(row_key) + 1)]) AS p FROM history)
+                   GROUP BY p) f ON f.p = q.prefix
+        LEFT JOIN history h ON h.row_key = f.k""",
+    "binary_cells": """
+        SELECT l.fide_id AS key, first_name, last_name, rating_standard, rating_rapid, rating_blitz, m.games_count
+        FROM live l LEFT JOIN mcounts m ON l.fide_id = m.fide_id""",
+    "ingest_audit": """
+        SELECT reason, count(*) AS n_lines FROM (
+          SELECT unnest(CASE (CAST(fide_id AS BIGINT) * 5 + year + month) % 9
+                        WHEN 1 THEN ['bad_number'] WHEN 2 THEN ['missing_fields']
+                        WHEN 3 THEN ['extra_fields'] WHEN 4 THEN ['bad_number', 'extra_fields'] END) AS reason
+          FROM ratings) GROUP BY reason""",
+    "message_reasons": """
+        SELECT CASE seq % 10 WHEN 1 THEN 'bad_json' WHEN 3 THEN 'unknown_field' WHEN 5 THEN 'unknown_field'
+               WHEN 7 THEN 'bad_json' END AS reason, count(*) AS n_messages
+        FROM submissions GROUP BY 1""",
+    "stream_metrics": """
+        SELECT count(*) AS messages, count(*) FILTER (WHERE seq % 10 IN (1, 5, 7)) AS rejects,
+               count(DISTINCT fide_id) FILTER (WHERE seq % 10 NOT IN (1, 5, 7)) AS players_changed
+        FROM submissions GROUP BY seq % 4""",
+    "stream_state": _MIXED,
+    "stream_view": _MIXED,
     "series_monthly": _series("joined", "fide_id, year, month", "make_date(year, month, 1)"),
     "series_player_yearly": _series("by_year", "fide_id, year", "make_date(year, 1, 1)"),
     "series_federation_yearly": _series("fed_by_year", "federation, year", "make_date(year, 1, 1)"),

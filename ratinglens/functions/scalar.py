@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ratinglens.schemas import SUBMISSION, SUBMISSION_FIELDS
 
@@ -107,13 +108,13 @@ def first_of_year(year="year") -> Column:
 
 
 def be_long(c) -> Column:
-    """8-byte big-endian binary counter → BIGINT (non-negative counters)."""
+    """8-byte big-endian binary counter → BIGINT (two's complement)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.conv(F.hex(c), 16, 10).cast("bigint")
+    return F.conv(F.hex(c), 16, -10).cast("bigint")
 
 
 def be_bytes(c) -> Column:
-    """Non-negative BIGINT → 8-byte big-endian binary (a counter cell)."""
+    """BIGINT → 8-byte big-endian binary (a counter cell)."""
     c = F.col(c) if isinstance(c, str) else c
     return F.unhex(F.lpad(F.hex(c.cast("bigint")), 16, "0"))
 
@@ -131,5 +132,28 @@ def parse_reports(value="value") -> Column:
     return F.from_json(v, SUBMISSION, {"mode": "PERMISSIVE"})
 
 
+# Why a message is rejected.
+BAD_JSON, UNKNOWN_FIELD, NO_ID = "bad_json", "unknown_field", "no_id"
+
+
+def reject_reason(value="value", strict: bool = False) -> Column:
+    """Why a message carries no report; NULL if it carries one.
+
+    ``bad_json``: no text, or text that is not one JSON object, or whose fields
+    do not parse (the corrupt-record column of the parser); ``unknown_field``
+    (only if ``strict``): a field that a report does not have; ``no_id``: no
+    ``fide_id``."""
+    v = F.col(value) if isinstance(value, str) else value
+    checked = StructType([*SUBMISSION.fields, StructField("_corrupt", StringType())])
+    parsed = F.from_json(v, checked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    fields = F.json_object_keys(v)
+    bad = fields.isNull() | parsed["_corrupt"].isNotNull()
+    unknown = F.size(F.array_except(fields, F.array(*map(F.lit, SUBMISSION_FIELDS)))) > 0
+    reason = F.when(bad, BAD_JSON)
+    if strict:
+        reason = reason.when(unknown, UNKNOWN_FIELD)
+    return reason.when(parsed["fide_id"].isNull(), NO_ID)
+
+
 def update_message(fide_id="fide_id") -> Column:
     return F.concat(F.lit(UPDATE_MESSAGE_PREFIX), _s(fide_id))

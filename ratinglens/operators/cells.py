@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from ratinglens.functions.scalar import be_bytes, be_long
+
 # Fixed value: the column family prefix of exported cells ("stats:<column>").
 FAMILY = "stats"
 
@@ -38,6 +40,33 @@ def to_cells(df: DataFrame, key_col: str, family: str = FAMILY) -> DataFrame:
     return cells.filter(F.col("value").isNotNull())
 
 
+def to_binary_cells(df: DataFrame, key_col: str, counters: list[str] = (), family: str = FAMILY) -> DataFrame:
+    """Typed rows → (key, column, value) cells as a key/value store holds them:
+    bytes. ``counters`` are 8-byte big-endian longs, every other value is its
+    text in UTF-8; NULL values are not stored."""
+    values = [c for c in df.columns if c != key_col]
+    coded = df.select(
+        F.col(key_col).cast("string").alias("key"),
+        *[
+            (be_bytes(F.col(c)) if c in counters else F.encode(F.col(c).cast("string"), "UTF-8")).alias(f"{family}:{c}")
+            for c in values
+        ],
+    )
+    cells = coded.unpivot(["key"], [f"{family}:{c}" for c in values], "column", "value")
+    return cells.filter(F.col("value").isNotNull()).withColumn("key", F.encode("key", "UTF-8"))
+
+
+def text_cells(cells: DataFrame, counters: list[str] = (), family: str = FAMILY) -> DataFrame:
+    """Binary cells → text cells, whose counters are decimal. A counter cell
+    that has not eight bytes, and bytes that are no UTF-8, give no cell."""
+    own = F.col("column").isin([f"{family}:{c}" for c in counters])
+    value = F.col("value")
+    number = F.when(F.octet_length(value) == 8, be_long(value).cast("string"))
+    out = cells.withColumn("key", F.try_validate_utf8(F.col("key").cast("string")))
+    out = out.withColumn("value", F.when(own, number).otherwise(F.try_validate_utf8(value.cast("string"))))
+    return out.filter(F.col("key").isNotNull() & F.col("value").isNotNull())
+
+
 def cells_to_rows(
     cells: DataFrame,
     columns: list[str],

@@ -76,6 +76,42 @@ def find_ids(id_name: DataFrame, prefix: str) -> DataFrame:
     )
 
 
+def first_row(view: DataFrame, key_col: str, prefix: str = "") -> DataFrame:
+    """First row, in key order, whose key starts with ``prefix`` (no row if
+    there is none): the best of each task, then the best of these."""
+    found = view.filter(F.col(key_col).startswith(prefix)) if prefix else view.filter(F.col(key_col).isNotNull())
+    return found.orderBy(key_col).limit(1)
+
+
+def first_rows(view: DataFrame, key_col: str, prefixes: DataFrame, prefix_col: str = "prefix") -> DataFrame:
+    """For every row of ``prefixes`` the first row of ``view``, in key order,
+    whose key starts with that prefix; ``found`` is false (and the values
+    NULL) where no key does, or the prefix is NULL. Keys are unique.
+
+    A prefix of n characters is looked up among the keys' first n characters,
+    so this is an equality join, not a range join: every key is offered once
+    per length that occurs among the prefixes (a handful), and what is offered
+    is reduced to one row per prefix by a partial aggregate before any
+    shuffle of hot prefixes could gather in one task."""
+    wanted = prefixes.select(F.col(prefix_col).alias("_prefix")).distinct()
+    lengths = sorted(r[0] for r in wanted.select(F.length("_prefix")).distinct().collect() if r[0] is not None)
+    offered = F.array(
+        *[F.when(F.length(key_col) >= n, F.substring(F.col(key_col), 1, n)) for n in lengths]
+    ) if lengths else F.array().cast("array<string>")
+    rows = view.select(F.explode(offered).alias("_prefix"), F.col(key_col).alias("_key"), F.struct(*view.columns).alias("_row"))
+    best = (
+        rows.join(wanted, "_prefix", "left_semi")
+        .groupBy("_prefix")
+        .agg(F.min_by("_row", "_key").alias("_row"))
+    )
+    out = prefixes.join(best, F.col(prefix_col) == F.col("_prefix"), "left")
+    return out.select(
+        *prefixes.columns,
+        F.col("_row").isNotNull().alias("found"),
+        *[F.col(f"_row.{c}").alias(c) for c in view.columns if c not in prefixes.columns],
+    )
+
+
 def player_history(history: DataFrame, fide_id: str | None = None) -> DataFrame:
     """Monthly history of a player (or all players) in month order."""
     return _by_id(history, fide_id).orderBy("fide_id", "year", "month", "last_name", "first_name")

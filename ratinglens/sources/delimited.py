@@ -23,8 +23,8 @@ NULL_TOKEN = "\\N"
 _WHOLE_LINE = "\u0000"
 
 
-def read_delimited(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Master-data text (unquoted) → typed columns with Hive field rules."""
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line) of every file, without its header line."""
     lines = (
         spark.read.schema("line string")
         .option("header", True)
@@ -33,6 +33,42 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType) -> DataFr
         .option("nullValue", _WHOLE_LINE)
         .csv(path)
     )
+    return lines.filter(F.col("line").isNotNull())
+
+
+# What an audit finds in a line.
+BAD_NUMBER, MISSING_FIELDS, EXTRA_FIELDS = "bad_number", "missing_fields", "extra_fields"
+
+
+def audit_delimited(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """(line, reasons, columns) of the lines of master-data text that do not
+    fit ``schema`` and are read in part all the same: ``bad_number`` (text that
+    is neither a number, nor empty, nor the NULL token; ``columns`` names
+    them), ``missing_fields``, ``extra_fields``. One pass, no shuffle."""
+    fields = F.split(F.col("line"), ",", -1)
+    wrong = []
+    for i, f in enumerate(schema.fields):
+        if not isinstance(f.dataType, StringType):
+            raw = F.get(fields, i)
+            given = raw.isNotNull() & ~raw.isin(NULL_TOKEN, "")
+            wrong.append(F.when(given & raw.try_cast(f.dataType).isNull(), F.lit(f.name)))
+    columns = F.array_compact(F.array(*wrong)) if wrong else F.array().cast("array<string>")
+    found = F.array(
+        F.when(F.size(columns) > 0, BAD_NUMBER),
+        F.when(F.size(fields) < len(schema.fields), MISSING_FIELDS),
+        F.when(F.size(fields) > len(schema.fields), EXTRA_FIELDS),
+    )
+    lines = _lines(spark, path).select("line", F.array_compact(found).alias("reasons"), columns.alias("columns"))
+    return lines.filter(F.size("reasons") > 0)
+
+
+def audit_counts(audit: DataFrame) -> DataFrame:
+    """(reason, n_lines) of an audit."""
+    return audit.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def read_delimited(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Master-data text (unquoted) → typed columns with Hive field rules."""
     fields = F.split(F.col("line"), ",", -1)
     cols = []
     for i, f in enumerate(schema.fields):
@@ -41,7 +77,7 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType) -> DataFr
         if not isinstance(f.dataType, StringType):
             value = value.try_cast(f.dataType)
         cols.append(value.alias(f.name))
-    return lines.filter(F.col("line").isNotNull()).select(*cols)
+    return _lines(spark, path).select(*cols)
 
 
 def read_quoted_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -128,6 +164,19 @@ def write_delimited(df: DataFrame, path: str) -> None:
     )
 
 
+def write_lines(lines: DataFrame, path: str, header: str) -> None:
+    """Lines (column ``line``) as text files, each under the header line."""
+    named = lines.select(F.col("line").alias(header))
+    (
+        named.write.mode("overwrite")
+        .option("header", True)
+        .option("sep", _WHOLE_LINE)
+        .option("quote", "")
+        .option("emptyValue", "")
+        .csv(path)
+    )
+
+
 def write_players_raw(players: DataFrame, path: str) -> None:
     """Inverse of :func:`normalise_players`: one quoted ``"Last, First"`` field."""
     write_raw(players.select(

@@ -3,7 +3,7 @@
 One Structured Streaming aggregation produces both views; the rejects, if
 wanted, are a second query over the same source with a checkpoint of its own:
 
-    messages ─ from_json ─┬─ fide_id IS NULL → rejects (raw text kept)
+    messages ─ from_json ─┬─ no report → rejects (raw text and reason kept)
                           └─ groupBy(fide_id)
                                max_by(report, arrival order) → live row
                                count(*)                        → stream_count
@@ -13,8 +13,9 @@ watermark is needed. The query runs in update mode; every micro-batch writes
 the absolute state of the keys it changed into the view store as version
 ``batch_id`` (see ``sources.store``). A replayed batch id rewrites the same
 folder with the same rows, so the sink is idempotent and, with the
-checkpointed state, the counts are exactly-once. Every ``compact_every``-th
-batch writes a full snapshot instead, bounding what a reader merges. A
+checkpointed state, the counts are exactly-once. Snapshots, which bound what a
+reader merges, and the removal of what they replace are jobs beside the
+stream (see ``streaming.control``); no batch waits for them. A
 restart continues from the checkpointed offsets and state; a view belongs to
 one checkpoint, and starting a new one on a view that has versions is refused
 (its batch ids would start again below the versions that are there).
@@ -31,9 +32,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ratinglens.functions.scalar import parse_reports, report_json, update_message
+from ratinglens.functions.scalar import parse_reports, reject_reason, report_json, update_message
 from ratinglens.schemas import REPORT_FIELDS, SUBMISSION_FIELDS
-from ratinglens.sources.store import compact_view, folder_names, has_versions, read_view, write_version
+from ratinglens.sources.store import GRACE_S, folder_names, has_versions, maintain_view, read_view, write_version
+from ratinglens.streaming.control import Gate, supervise
 
 ORDER_COLS = ("ts", "seq")
 
@@ -82,14 +84,22 @@ def read_message_files(
     path: str,
     max_files_per_trigger: int | None = None,
     schema: str = MESSAGE_SCHEMA,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Folder of JSON-lines files, one message per line with fields
     ``seq`` (long), ``ts`` (timestamp) and ``value`` (the report JSON text);
     with ``PARTITIONED_MESSAGE_SCHEMA`` also ``part`` (source partition), as a
-    multi-partition topic delivers them."""
+    multi-partition topic delivers them.
+
+    A backlog is taken in batches of at most ``max_files_per_trigger`` files,
+    or of ``max_bytes_per_trigger`` bytes (at least one file); not both."""
+    if max_files_per_trigger and max_bytes_per_trigger:
+        raise ValueError("limit a batch by files or by bytes, not by both")
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.json(path)
 
 
@@ -119,10 +129,28 @@ def write_kafka_messages(messages: DataFrame, brokers: str, topic: str) -> None:
 # parse, quarantine, aggregate
 
 
-def parse_messages(messages: DataFrame, order_cols: Sequence[str] = ORDER_COLS) -> DataFrame:
-    """Messages → report columns + order columns + the raw text."""
-    parsed = messages.select(parse_reports("value").alias("_r"), "value", *order_cols)
-    return parsed.select(*[F.col(f"_r.{c}").alias(c) for c in SUBMISSION_FIELDS], "value", *order_cols)
+#: What is done with a message that carries no report.
+PERMISSIVE, STRICT, FAILFAST = "permissive", "strict", "failfast"
+
+
+def parse_messages(
+    messages: DataFrame, order_cols: Sequence[str] = ORDER_COLS, mode: str = PERMISSIVE
+) -> DataFrame:
+    """Messages → report columns + ``reason`` + order columns + the raw text.
+
+    ``reason`` says why a message carries no report (see ``reject_reason``); its
+    report columns are NULL then. In mode ``permissive`` fields that a report
+    does not have are ignored, in ``strict`` they are a reason, and
+    ``failfast`` ends the query with an error at the first such message."""
+    if mode not in (PERMISSIVE, STRICT, FAILFAST):
+        raise ValueError(f"no such mode: {mode}")
+    reason = reject_reason("value", strict=mode != PERMISSIVE)
+    if mode == FAILFAST:
+        told = F.concat(reason, F.lit(": "), F.coalesce("value", F.lit("NULL")))
+        reason = F.when(reason.isNotNull(), F.raise_error(told)).otherwise(F.lit(None).cast("string"))
+    parsed = messages.select(parse_reports("value").alias("_r"), reason.alias("reason"), "value", *order_cols)
+    fields = [F.when(F.col("reason").isNull(), F.col(f"_r.{c}")).alias(c) for c in SUBMISSION_FIELDS]
+    return parsed.select(*fields, "reason", "value", *order_cols)
 
 
 def valid_reports(parsed: DataFrame) -> DataFrame:
@@ -130,8 +158,13 @@ def valid_reports(parsed: DataFrame) -> DataFrame:
 
 
 def rejected_messages(parsed: DataFrame, order_cols: Sequence[str] = ORDER_COLS) -> DataFrame:
-    """Messages that are not JSON or carry no fide_id."""
-    return parsed.filter(F.col("fide_id").isNull()).select("value", *order_cols)
+    """Messages without a report, and why."""
+    return parsed.filter(F.col("reason").isNotNull()).select("value", "reason", *order_cols)
+
+
+def message_reasons(messages: DataFrame, mode: str = PERMISSIVE) -> DataFrame:
+    """(reason, n_messages): messages per reason, NULL for reports."""
+    return parse_messages(messages, (), mode).groupBy("reason").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
 def speed_state(reports: DataFrame, order_cols: Sequence[str] = ORDER_COLS) -> DataFrame:
@@ -172,27 +205,34 @@ def start_speed_layer(
     rejects_root: str | None = None,
     query_name: str | None = None,
     compact_every: int | None = 500,
+    mode: str = PERMISSIVE,
+    grace_s: float = GRACE_S,
 ) -> StreamingQuery:
     """Start the speed-layer query: update-mode aggregation → versioned
     upsert of the view store in ``foreachBatch``.
 
-    Every ``compact_every``-th micro-batch writes a full snapshot instead of
-    a delta, so readers never merge more than ``compact_every`` folders; the
-    interval may change from run to run. A delta holds only the keys changed
-    in one micro-batch, a file per state partition that has any; snapshots
-    fold them together. With ``rejects_root`` the rejects are written by a
-    second query, the ``rejects`` attribute of the one returned."""
+    A delta holds only the keys changed in one micro-batch, a file per state
+    partition that has any. The query returned has three attributes for
+    ``streaming.control``: ``gate`` (closed, it refuses further batches),
+    ``maintenance`` (one round of upkeep: a snapshot when ``compact_every``
+    deltas are due, which may change from run to run, and removal of versions
+    superseded for ``grace_s`` seconds; None without ``compact_every``) and
+    ``rejects`` (with ``rejects_root`` the rejects are written by a second
+    query). Every batch observes ``messages`` (messages, rejects) and
+    ``players`` (players_changed); see ``streaming.metrics``."""
     spark = messages.sparkSession
     if has_versions(spark, view_root) and "offsets" not in folder_names(spark, checkpoint):
         raise ValueError(f"{view_root} has versions of another checkpoint; {checkpoint} is new")
-    parsed = parse_messages(messages, order_cols)
-    state = speed_state(parsed, order_cols)
+    parsed = parse_messages(messages, order_cols, mode)
+    counted = parsed.observe(
+        "messages", F.count(F.lit(1)).alias("messages"), F.count("reason").alias("rejects")
+    )
+    state = speed_state(counted, order_cols).observe("players", F.count(F.lit(1)).alias("players_changed"))
+    gate = Gate()
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            compact_view(batch.sparkSession, view_root, ["fide_id"], batch_id, newest=batch)
-        else:
-            write_version(batch, view_root, batch_id)
+        gate.enter()
+        write_version(batch, view_root, batch_id, once=True)
 
     writer = (
         state.writeStream.outputMode("update")
@@ -203,7 +243,9 @@ def start_speed_layer(
         writer = writer.queryName(query_name)
     trigger = {"availableNow": True} if available_now else {"processingTime": processing_time}
     query = writer.trigger(**trigger).start()
-    query.rejects = None
+    query.gate, query.maintenance, query.rejects = gate, None, None
+    if compact_every:
+        query.maintenance = lambda every=compact_every: maintain_view(spark, view_root, ["fide_id"], every, grace_s)
     if rejects_root:
         query.rejects = (
             rejected_messages(parsed, order_cols)
@@ -228,12 +270,15 @@ def run_speed_layer(
     compact_every: int | None = 500,
     order_cols: Sequence[str] = ("ts", "part", "seq"),
     options: dict[str, str] | None = None,
+    mode: str = PERMISSIVE,
+    should_stop=None,
 ) -> None:
     """Production entry: Kafka topic → speed views, 2-second micro-batches,
-    runs until terminated. Restarts resume from ``checkpoint``; ``options``
-    go to the topic reader (consumer group, rate limit, …)."""
+    runs until ``should_stop()`` or terminated. Restarts resume from
+    ``checkpoint``; ``options`` go to the topic reader (consumer group, rate
+    limit, …)."""
     messages = read_kafka_messages(spark, brokers, topic, starting_offsets, **(options or {}))
-    start_speed_layer(
+    query = start_speed_layer(
         messages,
         view_root,
         checkpoint,
@@ -241,8 +286,9 @@ def run_speed_layer(
         processing_time=processing_time,
         rejects_root=view_root.rstrip("/") + "-rejects",
         compact_every=compact_every,
+        mode=mode,
     )
-    spark.streams.awaitAnyTermination()
+    supervise(query, should_stop)
 
 
 def update_messages(state: DataFrame) -> DataFrame:
@@ -267,20 +313,20 @@ def read_speed_state(spark: SparkSession, view_root: str) -> DataFrame:
     return read_view(spark, view_root, ["fide_id"])
 
 
+def read_speed_checkpoint(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The state of the stream itself, as committed in its checkpoint by the
+    last batch: the columns of ``speed_state``, one row per player. What the
+    view store returns has to be equal to it."""
+    state = spark.read.format("statestore").load(checkpoint)
+    buffers = state.schema["value"].dataType.fields
+    latest, count = (F.col(f"value.`{f.name}`") for f in (buffers[0], buffers[-1]))
+    return state.select(
+        F.col("key.fide_id").alias("fide_id"), *[latest[c].alias(c) for c in REPORT_FIELDS], count.alias("stream_count")
+    )
+
+
 def run_until_caught_up(query: StreamingQuery, timeout_s: float | None = None) -> None:
-    """Wait for an availableNow query to finish, however long its backlog;
-    re-raise its failure. With ``timeout_s``, a query still running after it
-    is stopped and reported."""
-    finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
-    if finished is False and query.isActive:
-        query.stop()
-        raise TimeoutError(f"streaming query did not catch up within {timeout_s} s")
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-
-
-def await_all(spark: SparkSession, timeout_s: float | None = None) -> None:
-    """Wait for every active (availableNow) query, e.g. the speed layer and
-    its rejects sink; re-raise the first failure."""
-    for q in list(spark.streams.active):
-        run_until_caught_up(q, timeout_s)
+    """Wait for an availableNow query to finish, however long its backlog, with
+    upkeep of its view beside it and at the end; re-raise its failure. With
+    ``timeout_s``, a query still running after it is stopped and reported."""
+    supervise(query, timeout_s=timeout_s)

@@ -1,0 +1,201 @@
+"""Running, ending and watching the speed layer: a stop after the running
+batch, metrics of the batches, the state in the checkpoint, parse modes,
+admission of a backlog."""
+
+import json
+import os
+import threading
+import time
+
+import pytest
+from conftest import rows
+from test_streaming import FILE1, FILE2, _batch_state, _msg, _write_file
+
+from ratinglens import cli
+from ratinglens.sources import store
+from ratinglens.streaming import control, metrics, speed
+
+
+def start(spark, src, root, **how):
+    how = {"processing_time": "200 milliseconds", "compact_every": 2, **how}
+    files = speed.read_message_files(spark, src, max_files_per_trigger=1)
+    return speed.start_speed_layer(files, f"{root}/view", f"{root}/ckpt", **how)
+
+
+def feed(src, names, per_file=20, players=7):
+    for n in names:
+        _write_file(src, f"f{n:03d}.json", [_msg(n * per_file + i, str(i % players), str(n)) for i in range(per_file)])
+
+
+def committed(spark, root):
+    folder = f"{root}/ckpt/commits"
+    return sorted(int(n) for n in os.listdir(folder) if n.isdigit()) if os.path.isdir(folder) else []
+
+
+def test_stop_in_mid_stream_and_restart_counts_exactly_once(spark, tmp_dir):
+    src, root = f"{tmp_dir}/in", f"{tmp_dir}/speed"
+    feed(src, range(12))
+    stops = []
+    for run in range(3):
+        q = start(spark, src, root)
+        seen = q.gate
+        control.supervise(q, lambda: seen.passed >= 3, poll_s=0.05)  # a batch is running then
+        done = committed(spark, root)
+        # What has been written has been committed: nothing ended in its middle.
+        assert max(store.versions(spark, f"{root}/view")) == done[-1] == len(done) - 1
+        stops.append(len(done))
+        assert not q.isActive
+    assert 3 <= stops[0] < stops[1] < stops[2] <= 12
+    feed(src, range(12, 15))
+    q = start(spark, src, root, available_now=True)
+    speed.run_until_caught_up(q, 120)
+    state = speed.read_speed_state(spark, f"{root}/view")
+    assert rows(state) == rows(_batch_state(spark, src))
+    assert sum(r.stream_count for r in state.collect()) == 15 * 20
+
+
+def test_a_batch_refused_at_the_gate_runs_again(spark, tmp_dir):
+    src, root = f"{tmp_dir}/in", f"{tmp_dir}/speed"
+    feed(src, range(2))
+    q = start(spark, src, root, rejects_root=f"{root}/rejects")
+    q.gate.close()  # before the first batch begins to write
+    control.stop_cleanly(q, 60)
+    assert not q.rejects.isActive and not store.has_versions(spark, f"{root}/view")
+    q = start(spark, src, root, available_now=True)
+    speed.run_until_caught_up(q, 120)
+    assert rows(speed.read_speed_state(spark, f"{root}/view")) == rows(_batch_state(spark, src))
+
+
+def test_a_failure_is_no_clean_stop(spark, tmp_dir):
+    src, root = f"{tmp_dir}/in", f"{tmp_dir}/speed"
+    _write_file(src, "f1.json", FILE1)
+    q = start(spark, src, root, mode=speed.FAILFAST)
+    with pytest.raises(RuntimeError, match="bad_json"):
+        control.supervise(q, timeout_s=60)
+    assert not store.has_versions(spark, f"{root}/view") or not store.is_complete(spark, f"{root}/view", 0)
+
+
+def test_upkeep_runs_beside_the_batches(spark, tmp_dir):
+    src, root = f"{tmp_dir}/in", f"{tmp_dir}/speed"
+    feed(src, range(8))
+    q = start(spark, src, root, grace_s=0.0)
+    control.supervise(q, lambda: len(committed(spark, root)) >= 8, poll_s=0.1, upkeep_s=0.2, timeout_s=120)
+    view = f"{root}/view"
+    assert store.latest_snapshot(spark, view) == 7 and store.horizon(spark, view) >= 1
+    assert store.versions(spark, view)[0] >= store.horizon(spark, view)
+    assert rows(speed.read_speed_state(spark, view)) == rows(_batch_state(spark, src))
+
+
+def test_stop_file_ends_the_job(spark, tmp_dir):
+    src, root = f"{tmp_dir}/in", f"{tmp_dir}/speed"
+    feed(src, range(3))
+
+    def later():
+        while not store.has_versions(spark, f"{root}/view"):
+            time.sleep(0.1)
+        _write_file(tmp_dir, "stop", [])
+
+    told = threading.Thread(target=later)
+    told.start()
+    q = start(spark, src, root)
+    control.supervise(q, control.stop_on(spark, f"{tmp_dir}/stop"), timeout_s=120, poll_s=0.1)
+    told.join()
+    cli.main(["files", "--source", src, "--views", f"{root}/view", "--checkpoint", f"{root}/ckpt", "--once"])
+    assert rows(speed.read_speed_state(spark, f"{root}/view")) == rows(_batch_state(spark, src))
+
+
+def test_metrics_equal_counts_of_the_log(spark, tmp_dir):
+    src, root = f"{tmp_dir}/in", f"{tmp_dir}/speed"
+    want = []
+    for n, msgs in enumerate([FILE1, FILE2, [_msg(30 + i, str(i % 3), "1") for i in range(9)]]):
+        _write_file(src, f"f{n}.json", msgs)
+        good = [json.loads(m["value"]) for m in msgs if m["value"] != "{bad"]
+        want.append((n, len(msgs), len(msgs) - len(good), len({g["fide_id"] for g in good})))
+        time.sleep(0.05)  # files are taken by their time
+    listener = metrics.BatchMetrics(spark, f"{root}/metrics", "watched")
+    spark.streams.addListener(listener)
+    try:
+        for run in range(2):  # the second run has nothing to do and adds nothing
+            q = start(spark, src, root, available_now=True, query_name="watched")
+            control.supervise(metrics.with_metrics(q, listener), timeout_s=120)
+            got = metrics.read_metrics(spark, f"{root}/metrics")
+            assert rows(got, "batch_id", "messages", "rejects", "players_changed") == want
+    finally:
+        spark.streams.removeListener(listener)
+    # a batch that ran twice counts once
+    listener.rows = [(1, "2030-01-01T00:00:00.000Z", 5, 5, 5)]
+    assert listener.flush() == 1 and listener.flush() == 0
+    again = metrics.read_metrics(spark, f"{root}/metrics").collect()
+    assert len(again) == 3 and {r.batch_id: r.messages for r in again}[1] == 5
+
+
+def test_checkpointed_state_equals_the_view_after_a_restart(spark, tmp_dir):
+    src, root = f"{tmp_dir}/in", f"{tmp_dir}/speed"
+    for n, msgs in enumerate([FILE1, FILE2]):
+        _write_file(src, f"f{n}.json", msgs)
+        speed.run_until_caught_up(start(spark, src, root, available_now=True), 120)
+        state = speed.read_speed_checkpoint(spark, f"{root}/ckpt")
+        view = speed.read_speed_state(spark, f"{root}/view")
+        assert state.columns == view.columns and rows(state) == rows(view) == rows(_batch_state(spark, src))
+
+
+KINDS = [
+    ('{"fide_id":"1","rating_rapid":"7"}', None),
+    ('{"fide_id":"1","club":"x"}', "unknown_field"),
+    ('{"rating_rapid":"7"}', "no_id"),
+    ('{"fide_id":null}', "no_id"),
+    ("{}", "no_id"),
+    ('{"fide_id":"1"', "bad_json"),
+    ("{bad", "bad_json"),
+    ("", "bad_json"),
+    (None, "bad_json"),
+    ("[1]", "bad_json"),
+    ('"text"', "bad_json"),
+    ("null", "bad_json"),
+    ('{"fide_id":"é_ü"}', None),
+]
+
+
+def test_parse_modes(spark):
+    messages = spark.createDataFrame([(i, v) for i, (v, _) in enumerate(KINDS)], "seq long, value string")
+    for mode in (speed.PERMISSIVE, speed.STRICT):
+        parsed = speed.parse_messages(messages, ("seq",), mode)
+        want = [(i, r if mode == speed.STRICT or r != "unknown_field" else None) for i, (_, r) in enumerate(KINDS)]
+        assert rows(parsed, "seq", "reason") == want
+        assert [r.seq for r in speed.valid_reports(parsed).orderBy("seq").collect()] == [i for i, r in want if r is None]
+        rejected = speed.rejected_messages(parsed, ("seq",)).collect()
+        assert {(r.seq, r.reason, r.value) for r in rejected} == {(i, r, KINDS[i][0]) for i, r in want if r}
+    good = messages.where("seq in (0, 12)")
+    assert speed.parse_messages(good, ("seq",), speed.FAILFAST).count() == 2
+    with pytest.raises(Exception, match="no_id"):
+        speed.parse_messages(messages.where("seq = 2"), ("seq",), speed.FAILFAST).collect()
+    with pytest.raises(ValueError, match="mode"):
+        speed.parse_messages(messages, ("seq",), "lax")
+
+
+def batch_sizes(spark, files, root):
+    sizes = []
+    q = (
+        files.writeStream.foreachBatch(lambda df, i: sizes.append(df.count()))
+        .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
+    )
+    q.awaitTermination(60)
+    return sizes
+
+
+def test_backlog_is_admitted_in_bounded_batches(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    feed(src, range(6), per_file=10)
+    one = os.path.getsize(f"{src}/f003.json")
+    assert batch_sizes(spark, speed.read_message_files(spark, src, 2), f"{tmp_dir}/a") == [20, 20, 20]
+    by_bytes = speed.read_message_files(spark, src, max_bytes_per_trigger=3 * one + one // 2)
+    sizes = batch_sizes(spark, by_bytes, f"{tmp_dir}/b")
+    assert sum(sizes) == 60 and len(sizes) > 1 and max(sizes) <= 40
+    tiny = batch_sizes(spark, speed.read_message_files(spark, src, max_bytes_per_trigger=1), f"{tmp_dir}/c")
+    assert tiny == [10] * 6  # at least a file
+    with pytest.raises(ValueError, match="not by both"):
+        speed.read_message_files(spark, src, 1, max_bytes_per_trigger=1)
+    cli.main(["files", "--source", src, "--views", f"{tmp_dir}/view", "--max-files", "2", "--mode", "strict", "--once"])
+    assert sorted(os.listdir(f"{tmp_dir}/view-checkpoint/commits"))[-1] == "2"
+    cli.main(["maintain", "--views", f"{tmp_dir}/view", "--grace", "0"])
+    assert store.versions(spark, f"{tmp_dir}/view") == [2]

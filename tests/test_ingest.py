@@ -4,6 +4,7 @@ from conftest import rows
 
 from ratinglens.functions.scalar import be_bytes, be_long, parse_player_month, strip_prefix, to_number
 from ratinglens.operators import cells
+from ratinglens.schemas import RATINGS
 from ratinglens.sources import delimited
 from pyspark.sql import functions as F
 
@@ -146,3 +147,37 @@ def test_date_and_text_helpers(spark):
         first_of_month().alias("d"), first_of_year().alias("j"),
     ).collect()[0]
     assert (r.m, r.y, r.d.isoformat(), r.j.isoformat()) == ("02", "2016", "2016-02-01", "2016-01-01")
+
+
+def test_binary_cells_round_trip(spark):
+    data = [("a", "é_x", 5, -1), ("b", None, None, 2**40), ("c", "", 7, -(2**63)), ("d", "\\N", 0, 2**63 - 1)]
+    df = spark.createDataFrame(data, "k string, name string, rating long, n long")
+    coded = cells.to_binary_cells(df, "k", ["n"])
+    assert dict(coded.dtypes) == {"key": "binary", "column": "string", "value": "binary"}
+    raw = {(bytes(r.key), r.column): bytes(r.value) for r in coded.collect()}
+    assert raw[b"a", "stats:n"] == (-1).to_bytes(8, "big", signed=True) and raw[b"a", "stats:name"] == "é_x".encode()
+    back = cells.cells_to_rows(cells.text_cells(coded, ["n"]), ["name", "rating", "n"], {"rating": "bigint", "n": "bigint"})
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.withColumnRenamed("k", "key").collect()))
+    # cells that are no counter, or no text
+    odd = [(b"a", "stats:n", b"\x00\x01"), (b"a", "stats:name", b"\xff\xfe"), (b"\xff", "stats:name", b"x"), (b"b", "stats:n", bytes(8))]
+    odd = spark.createDataFrame([tuple(map(bytearray, (k, v))) + (c,) for k, c, v in odd], "key binary, value binary, column string")
+    assert [tuple(r) for r in cells.text_cells(odd, ["n"]).select("key", "column", "value").collect()] == [("b", "stats:n", "0")]
+
+
+def test_ingest_audit_tells_what_does_not_fit(spark, tmp_dir):
+    import os
+
+    os.makedirs(f"{tmp_dir}/r")
+    lines = ["1,2016,1,2500,2400,2300", "1,2016,x,2500,,2300", "1,2016,1,2500", "1,2016,1,\\N,\\N,\\N,9", "1,zz,1,n/a,2,3,4,5", "", "a"]
+    with open(f"{tmp_dir}/r/a.csv", "w") as f:
+        f.write("fide_id,year,month,rating_standard,rating_rapid,rating_blitz\n" + "\n".join(lines) + "\n")
+    found = {r.line: (r.reasons, r["columns"]) for r in delimited.audit_delimited(spark, f"{tmp_dir}/r", RATINGS).collect()}
+    assert found == {
+        lines[1]: (["bad_number"], ["month"]),
+        lines[2]: (["missing_fields"], []),
+        lines[3]: (["extra_fields"], []),
+        lines[4]: (["bad_number", "extra_fields"], ["year", "rating_standard"]),
+        "a": (["missing_fields"], []),
+    }
+    counts = delimited.audit_counts(delimited.audit_delimited(spark, f"{tmp_dir}/r", RATINGS))
+    assert sorted(map(tuple, counts.collect())) == [("bad_number", 2), ("extra_fields", 2), ("missing_fields", 2)]

@@ -158,3 +158,29 @@ def test_series_text_is_ordered_json(spark):
     assert json.loads(r.points_json) == [["2017-01-01", None]]
     r = text.filter("fide_id = '1' AND discipline = 'standard'").collect()[0]
     assert json.loads(r.points_json) == [["2016-02-01", 2500], ["2016-12-01", 2501]]
+
+
+def test_first_rows_of_a_key_ordered_scan(spark):
+    view = spark.createDataFrame([(k, i) for i, k in enumerate(["5_1", "50_2", "5_0", "é_1", "z", "", "501"])], "k string, v int")
+    asked = ["5", "5_", "50", "501", "5_0", "x", "", "é", None, "5"]
+    prefixes = spark.createDataFrame([(p, "keep") for p in asked], "prefix string, note string")
+    got = lookup.first_rows(view, "k", prefixes)
+    assert got.columns == ["prefix", "note", "found", "k", "v"]
+    keys = ["5_1", "50_2", "5_0", "é_1", "z", "", "501"]
+    want = []
+    for p in asked:
+        held = sorted(k for k in keys if p is not None and k.startswith(p))
+        want.append((p, bool(held), held[0] if held else None))
+    assert sorted(map(str, rows_of(got, "prefix", "found", "k"))) == sorted(map(str, want))
+    assert [r.k for r in lookup.first_row(view, "k", "5").collect()] == ["501"]
+    assert [r.k for r in lookup.first_row(view, "k").collect()] == [""]
+    assert lookup.first_row(view, "k", "x").count() == 0
+    assert lookup.first_rows(view.limit(0), "k", prefixes).where("found").count() == 0
+    assert lookup.first_rows(view, "k", prefixes.limit(0)).count() == 0
+    plan = lookup.first_rows(view, "k", prefixes)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "TakeOrderedAndProject" in lookup.first_row(view, "k", "5")._jdf.queryExecution().executedPlan().toString()
+
+
+def rows_of(df, *cols):
+    return [tuple(r) for r in df.select(*cols).collect()]
