@@ -24,6 +24,11 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column's name as it can be selected, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def words(text: Column) -> Column:
     """Array of the words ``[^\\x20\\x09-\\x0D]+`` of a text; null: empty."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")

@@ -6,7 +6,7 @@ larger one where a source would otherwise be repeated too often. Weights times
 the token budget are then realised as budgeted block permutations: a source is
 cut into blocks of documents by a seeded hash; it is used in whole epochs, then
 in one partial epoch over its blocks in random order, and only in the block
-where the budget runs out are single documents counted.
+where the budget runs out are single documents counted, short ones first.
 """
 
 from __future__ import annotations
@@ -15,11 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import saved, words
+from .common import quoted, saved, words
 
-#: Tokens aimed at in a block, and the cells that blocks are made of.
+#: Tokens aimed at in a block, and the cells that blocks are made of (by so
+#: many hexadecimal digits of a hash).
 BLOCK_TOKENS = 1 << 16
-CELLS = 1 << 12
+DIGITS = 5
+CELLS = 1 << 4 * DIGITS
 STEPS = 30
 
 
@@ -113,8 +115,9 @@ def mix(
 
     Tokens are words. A quota over a source's tokens is used up in whole
     epochs first; the last epoch takes whole blocks in random order while
-    they fit, then documents of the next block while they fit, so the quota
-    is never passed. Blocks per source grow with its tokens up to ``CELLS``,
+    they fit, then of the next block its documents by ascending length while
+    they fit: one is left out only if it is longer than what all shorter ones
+    leave of the quota, which is never passed. Blocks per source grow with its tokens up to ``CELLS``,
     so a hot source is spread over many and no window holds more than its
     block totals or the documents of one block.
 
@@ -129,7 +132,7 @@ def mix(
     celled = docs.drop("_mix").withColumns(
         {
             "_mix_source": F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("none")),
-            "_mix_cell": F.conv(F.substring(_key(seed, doc_key), 1, 3), 16, 10).cast("long"),
+            "_mix_cell": F.conv(F.substring(_key(seed, doc_key), 1, DIGITS), 16, 10).cast("long"),
         }
     )
     source = F.col("_mix_source").alias("source")
@@ -183,7 +186,7 @@ def mix(
             F.concat(block_key, F.lit(":"), _key(seed, epoch.cast("string"), doc_key)).alias("order"),
         ).alias("_mix")
 
-    plain = [c for c in docs.columns if c != "_mix"]
+    plain = [quoted(c) for c in docs.columns if c != "_mix"]
     epochs = F.col("_mix_full") + F.col("_mix_whole").cast("long")
     whole = (
         placed.where(epochs > 0)
@@ -193,7 +196,7 @@ def mix(
     last = F.col("_mix_full") + 1
     one_by_one = (
         Window.partitionBy("_mix_source")
-        .orderBy(_key(seed, last.cast("string"), doc_key), "doc_id", n_tokens)
+        .orderBy(n_tokens, _key(seed, last.cast("string"), doc_key), "doc_id")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     part = (

@@ -186,7 +186,7 @@ FROM (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS failed FR
 _OP9 = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce('s' || source, 'none') AS s, text, CAST(len({_WORDS}) AS BIGINT) AS n,
-         CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 3) AS BIGINT) AS cell
+         CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, {mixing.DIGITS}) AS BIGINT) AS cell
   FROM documents
 ),
 src AS (SELECT s, CAST(sum(n) AS BIGINT) AS t, sum(n) / sum(sum(n)) OVER () AS p FROM d GROUP BY s HAVING sum(n) > 0),
@@ -235,7 +235,7 @@ mixed AS (
   UNION ALL
   SELECT doc_id, source, s, block, f + 1 FROM (
     SELECT *, sum(n) OVER (PARTITION BY s
-      ORDER BY md5('17:' || (f + 1) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, n
+      ORDER BY n, md5('17:' || (f + 1) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id
       ROWS UNBOUNDED PRECEDING) AS fin
     FROM placed WHERE room > 0 AND NOT whole)
   WHERE fin <= room

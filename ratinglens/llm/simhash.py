@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import saved
+from .common import quoted, saved
 
 #: Distinct fingerprints from which the top of the tree is fitted.
 FIT_SAMPLE = 8192
@@ -312,4 +312,4 @@ def keep_one(docs: DataFrame, max_bits: int = 2, width: int = 3) -> DataFrame:
     first = rows.groupBy(F.col("_simhash_fp").alias("fp")).agg(F.min("_simhash_own").alias("first"))
     named = class_labels(saved(first, "simhash-distinct"), max_bits)
     stay = named.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_simhash_row"))
-    return rows.join(stay, "_simhash_row", "left_semi").select(docs.columns)
+    return rows.join(stay, "_simhash_row", "left_semi").select([quoted(c) for c in docs.columns])

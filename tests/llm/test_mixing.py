@@ -92,3 +92,23 @@ def test_difficult_rows(spark, odd_docs, no_docs):
 def test_no_python(spark, odd_docs):
     plan = mixing.mix(odd_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_a_document_over_the_quota_ends_nothing(spark, seed):
+    # 60 documents of 10 words and one of 700: the quota of 640 holds the 60.
+    rows = [(i, "word " * 10, "a") for i in range(60)] + [(60, "word " * 700, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = mixing.mix(docs, budget_share=650 / 1300, seed=seed).select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(60))
+    # Ten more words than they have: the long one still does not fit.
+    fewer = [(i, "word " * 10, "a") for i in range(20)] + [(60, "word " * 1500, "a")]
+    docs = spark.createDataFrame(fewer, "doc_id long, text string, source string")
+    kept = mixing.mix(docs, budget_share=0.8, seed=seed).select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(20))
+
+
+def test_names_with_dots(spark):
+    docs = spark.createDataFrame([(1, "a b c", "s", 7)], "doc_id long, text string, source string, `a.b` int")
+    assert mixing.mix(docs, budget_share=1.0).columns == ["doc_id", "text", "source", "a.b", "_mix"]
+    assert mixing.mix(docs, budget_share=1.0).collect()[0]["a.b"] == 7

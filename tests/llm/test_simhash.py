@@ -94,6 +94,11 @@ def test_keep_one_and_difficult_rows(spark, odd_docs, no_docs):
     assert near(no_docs) == [] and simhash.keep_one(no_docs).count() == 0
 
 
+def test_keep_one_with_dotted_names(spark):
+    docs = spark.createDataFrame([(1, "x y z", 5), (2, "x y z", 6)], "doc_id long, text string, `a.b` int")
+    assert [tuple(r) for r in simhash.keep_one(docs).collect()] == [(1, "x y z", 5)]
+
+
 def test_keep_one_judges_every_row(spark):
     rng = np.random.default_rng(5)
     a, b, c, d, e = (" ".join(rng.choice([f"w{i}" for i in range(300)], 120)) for _ in range(5))
