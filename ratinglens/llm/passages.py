@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from .common import saved
+from .common import quoted, saved
 
 #: Characters of candidate text in a shard (bounds automaton and buffers).
 SHARD_CHARS = 2_000_000
@@ -249,8 +249,9 @@ def remove_repeats(docs: DataFrame, width: int = 35, gram: int = 10) -> DataFram
     start with ``_k1``, ``_k2``, ``_shard`` or ``_anchors`` are reserved).
     """
     docs = docs.drop("_removed")
+    own = [quoted(c) for c in docs.columns]
     keyed = docs.select("*", text_key(F.col("text")).alias("_k")).select(
-        *docs.columns, F.col("_k.k1").alias("_k1"), F.col("_k.k2").alias("_k2")
+        *own, F.col("_k.k1").alias("_k1"), F.col("_k.k2").alias("_k2")
     )
     found = saved(
         keyed.select("_k1", "text").mapInArrow(
@@ -267,14 +268,16 @@ def remove_repeats(docs: DataFrame, width: int = 35, gram: int = 10) -> DataFram
         .groupBy("_k1")
         .agg(F.collect_set("a").alias("_anchors"))
     )
-    split = saved(keyed.join(by_text, "_k1", "left").select(*keyed.columns, "_anchors"), "passage-split")
-    clean = split.where("_anchors is null").select(*docs.columns, F.lit(0).cast("long").alias("_removed"))
+    # Rows are dealt over shards by a number saved with them: equal rows, too.
+    numbered = keyed.join(by_text, "_k1", "left").select(*map(quoted, keyed.columns), "_anchors")
+    split = saved(numbered.withColumn("_shard_row", F.monotonically_increasing_id()), "passage-split")
+    clean = split.where("_anchors is null").select(*own, F.lit(0).cast("long").alias("_removed"))
 
     pending = split.where("_anchors is not null")
     chars = pending.agg(F.sum(F.length("text"))).first()[0] or 0
     n_shards = max(1, -(-chars // SHARD_CHARS))
-    row = F.xxhash64(*[c for c, t in docs.dtypes if not t.startswith("map")], F.col("_k2"))
-    pending = pending.withColumn("_shard", F.pmod(row, F.lit(n_shards)).cast("int"))
+    shard = F.pmod(F.xxhash64("_shard_row"), F.lit(n_shards)).cast("int")
+    pending = pending.withColumn("_shard", shard).drop("_shard_row")
     contexts = saved(
         pending.select("_shard", "_k1", "_k2", "text", "_anchors").mapInArrow(
             partial(emit_contexts, width=width, gram=gram),
@@ -308,12 +311,17 @@ def remove_repeats(docs: DataFrame, width: int = 35, gram: int = 10) -> DataFram
         .select(F.col("shard").alias("_shard"), "at.k1", "at.k2", "at.lo", "m", "offs")
     )
     pending = pending.drop("_anchors")
-    schema = StructType([*docs.schema.fields, StructField("_removed", IntegerType())])
+    # Plain names while rows are grouped: not all can be resolved there.
+    plain = [c if c == "text" else f"_shard_{i}" for i, c in enumerate(docs.columns)]
+    pending = pending.toDF(*plain, *pending.columns[len(plain) :])
+    fields = [StructField(n, f.dataType) for n, f in zip(plain, docs.schema.fields)]
+    schema = StructType([*fields, StructField("_removed", IntegerType())])
     located = (
         pending.groupBy("_shard")
         .cogroup(chosen.groupBy("_shard"))
         .applyInPandas(partial(_locate_shard, width=width), schema)
         .withColumn("_removed", F.col("_removed").cast("long"))
+        .toDF(*docs.columns, "_removed")
     )
     return clean.unionByName(located)
 

@@ -77,3 +77,20 @@ def test_copies_are_dealt_over_shards(spark, monkeypatch):
     docs = spark.createDataFrame([(i, text) for i in range(40)] + [(99, "other " + text[:150])], "doc_id int, text string")
     got = removed(docs)
     assert len(got) == 41 and all(r._removed == 50 for r in got if r.doc_id < 40)
+
+
+def test_equal_rows_use_several_shards(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(60))
+    monkeypatch.setattr(passages, "SHARD_CHARS", len(text))
+    seen = spark.sparkContext.accumulator(0)
+    plain = passages._locate_shard
+
+    def counted(docs, phrases, width):
+        seen.add(int(len(docs) > 0))
+        return plain(docs, phrases, width)
+
+    monkeypatch.setattr(passages, "_locate_shard", counted)
+    docs = spark.createDataFrame([(None, text, 1)] * 50, "doc_id long, text string, `a.b` int").repartition(4)
+    got = passages.remove_repeats(docs).collect()
+    assert len(got) == 50 and {(r._removed, r.text.strip(), r["a.b"]) for r in got} == {(60, "", 1)}
+    assert seen.value > 20
