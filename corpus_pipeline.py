@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratinglens.llm import bpe, mixing, passages, quality, simhash
-from ratinglens.llm.common import saved, table
+from ratinglens.llm.common import quoted, saved, table
 from ratinglens.llm.queries import tokenizer_path
 
 
@@ -21,7 +21,7 @@ def _with_text(found: DataFrame, columns: list[str], text, changed) -> DataFrame
     new = {"text": F.when(changed, text).otherwise(F.col("text"))}
     if "n_chars" in columns:
         new["n_chars"] = F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumns(new).select(columns)
+    return found.withColumns(new).select([quoted(c) for c in columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +41,16 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     if "n_chars" in docs.columns:
         length = F.length("text").cast("long")
         cut = cut.withColumn("n_chars", F.when(F.col("_removed") > 0, length).otherwise(F.col("n_chars")))
-    return cut.select(docs.columns)
+    return cut.select([quoted(c) for c in docs.columns])
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as their source's weight asks for."""
-    return mixing.mix(docs).select(docs.columns)
+    """The documents as often as their source's weight asks for, in the order
+    of the mix: by epoch, blocks of all sources at random, documents at random
+    within a block."""
+    mixed = mixing.mix(docs).withColumns({"_mix_epoch": F.col("_mix.epoch"), "_mix_order": F.col("_mix.order")})
+    ordered = mixed.repartitionByRange("_mix_epoch", "_mix_order").sortWithinPartitions("_mix_epoch", "_mix_order")
+    return ordered.select([quoted(c) for c in docs.columns])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
