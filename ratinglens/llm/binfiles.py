@@ -18,11 +18,17 @@ executor leaves the same file; all places are in the shared scratch folder.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import os
+import re
 import struct
+import sys
+import types
 import uuid
 import zlib
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +44,11 @@ from .common import saved
 MAGIC = b"TOKSHARD1"
 #: Characters of text in a shard, on average.
 SHARD_CHARS = 48_000_000
+#: Chunks whose ids are copied at once.
+AT_ONCE = 1 << 19
+#: White space bytes, and the bytes that a value of so many bytes keeps of eight.
+SPACES = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 #: Bits per key in a level of the hash, and levels before the rest is listed.
 SPARSITY, LEVELS = 2, 40
 
@@ -105,75 +116,174 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
 
 
 class ChunkIds:
-    """Ids of chunks (runs without white space) as packed integers, encoded by
-    the tokenizers library and remembered up to a bound. Chunks that are a
-    word, or a word and one mark, share the word's ids."""
+    """Ids of chunks (runs without white space) as packed integers, remembered
+    up to a bound, the chunks in use longer than others.
 
-    def __init__(self, model: str, bound: int = 1_000_000) -> None:
+    A chunk is cut at the boundaries of the tokenizer's own pre-tokens, where
+    they are sure; what is new among these pieces is encoded by the tokenizers
+    library, many in a text, and its ids are parted after each token that ends
+    a word. Other chunks are encoded by the library as they are."""
+
+    # The pre-tokeniser's pattern, for lower-case ASCII.
+    ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+    #: Letters of any script between runs of ASCII marks.
+    MARKED = re.compile(r"([!-/:-@\[-`{-~]*)([^\W\d_]+)([!-/:-@\[-`{-~]*)")
+
+    def __init__(self, model: str, bound: int = 400_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.bound, self.known, self.words = bound, {}, {}
-        self.width = 2 if self.tokenizer.get_vocab_size(True) <= 1 << 16 else 4
+        suffix = json.loads(model)["model"].get("end_of_word_suffix")
+        if not suffix:
+            raise ValueError("this tokenizer does not mark the ends of words")
+        vocab = self.tokenizer.get_vocab(True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        self.width = 2 if len(self.ends) <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.mark = special[0]
-        self.mark_id = self.tokenizer.token_to_id(self.mark)
-        self.hint = self.mark[:2].encode()
-
-    def encode_text(self, text: str) -> np.ndarray:
+        self.mark = os.path.commonprefix(special)
+        if not self.mark:
+            raise ValueError("the special tokens of this tokenizer begin in different ways")
+        # Chunk -> ids: met since the table was full, and before; piece -> ids.
+        self.bound, self.known, self.older, self.pieces = bound, {}, {}, {}
+
+    def whole(self, text: str) -> bytes:
+        """Ids of a text by the library alone."""
         ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        return np.array(ids, self.kind)
-
-    @staticmethod
-    def parts(text: str) -> tuple[str, ...]:
-        """The words and marks of a chunk that the tokenizer always parts: a
-        mark after letters is one. Lower case is the tokenizer's own, taken
-        here to share ids (a capital sigma's depends on its place: left)."""
-        low = text if "Σ" in text else text.lower()
-        if low.isalpha():
-            return (low,)
-        if low[-1] in ".,!?;:" and low[:-1].isalpha():
-            return (low[:-1], low[-1])
-        return (text,)
-
-    def learn(self, chunks: list[bytes]) -> None:
-        """Encode what is new in chunks: together, a special token between
-        any two; chunks that may hold one themselves go alone."""
-        split, new = [], set()
-        for c in chunks:
-            if self.hint in c:
-                self.known[c] = self.encode_text(c.decode()).tobytes()
-            else:
-                parts = self.parts(c.decode())
-                split.append((c, parts))
-                new.update(parts)
-        fresh = [p for p in new if p not in self.words]
-        for i in range(0, len(fresh), 5000):
-            part = fresh[i : i + 5000]
-            ids = self.encode_text(self.mark.join(part))
-            cuts = np.flatnonzero(ids == self.mark_id)
-            raw, w = ids.tobytes(), self.width
-            starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
-            if len(starts) != len(part):
-                raise ValueError("special tokens do not delimit chunks in this tokenizer")
-            self.words.update((p, raw[a * w : b * w]) for p, a, b in zip(part, starts, ends))
-        words = self.words
-        self.known.update((c, words[p[0]] if len(p) == 1 else words[p[0]] + words[p[1]]) for c, p in split)
+        return np.array(ids, self.kind).tobytes()
+
+    def cut(self, low: str) -> list[str] | None:
+        """The pre-tokens of a lower-cased chunk; None where that is left to
+        the library (marks and digits of other scripts)."""
+        if low.isascii():
+            return self.ASCII.findall(low)
+        found = self.MARKED.fullmatch(low)
+        if found is None or found[1] == "'" or not found[2].isalpha():
+            return None
+        return [x for x in found.groups() if x]
+
+    def learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of chunks that are not known."""
+        out, split, fresh, pieces = {}, [], set(), self.pieces
+        joined = b"\n".join(chunks)
+        text = joined.decode()
+        lows = text.lower().split("\n")
+        if self.mark in text or "Σ" in text:  # special tokens; a lower case that depends on the place
+            for i, t in enumerate(text.split("\n")):
+                if self.mark in t or "Σ" in t:
+                    out[chunks[i]], lows[i] = self.whole(t), None
+        for c, low in zip(chunks, lows):
+            if low in pieces:
+                out[c] = pieces[low]
+            elif low is not None:
+                parts = [low] if low.isalpha() else self.cut(low)
+                if parts is None:
+                    out[c] = self.whole(c.decode())
+                else:
+                    split.append((c, parts))
+                    fresh.update(parts)
+        self.learn_pieces([p for p in fresh if p not in pieces])
+        for c, parts in split:
+            out[c] = pieces[parts[0]] if len(parts) == 1 else b"".join([pieces[p] for p in parts])
+        return out
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Packed ids of each text."""
+    def learn_pieces(self, fresh: list[str], at_once: int = 5000) -> None:
+        for i in range(0, len(fresh), at_once):
+            part = fresh[i : i + at_once]
+            raw = self.whole(" ".join(part))
+            cuts = (np.flatnonzero(self.ends[np.frombuffer(raw, self.kind)]) + 1) * self.width
+            if len(cuts) != len(part):
+                raise ValueError("a piece is not one word of this tokenizer")
+            cuts = cuts.tolist()
+            self.pieces.update(zip(part, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
+
+    def ids_of(self, chunks: list[bytes]) -> list[bytes]:
+        """Packed ids of distinct chunks."""
         if len(self.known) > self.bound:
-            self.known.clear()
-            self.words.clear()
-        split = [t.split() for t in texts]
-        distinct: set[bytes] = set()
-        for chunks in split:
-            distinct.update(chunks)
-        self.learn([c for c in distinct if c not in self.known])
-        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
+            self.known, self.older = {}, self.known
+        if len(self.pieces) > self.bound:
+            self.pieces = {}
+        ids = list(map(self.known.get, chunks))
+        new = [c for c, x in zip(chunks, ids) if x is None]
+        if new:
+            found = {c: self.older[c] for c in new if c in self.older}
+            found |= self.learn([c for c in new if c not in found])
+            self.known |= found
+            ids = [found[c] if x is None else x for c, x in zip(chunks, ids)]
+        return ids
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Packed ids of each text: its chunks are numbered by their distinct
+        values in arrays, and the ids of these values are copied to all their
+        places at once."""
+        ends_of_text = np.cumsum([len(t) + 1 for t in texts])
+        joined = b" ".join(texts) + b" "
+        starts, number, distinct = distinct_chunks(joined)
+        ids = self.ids_of(distinct)
+        flat = np.frombuffer(b"".join(ids), self.kind)
+        n = np.array([len(x) for x in ids], np.int64) // self.width
+        first = np.cumsum(n) - n
+        cuts = np.r_[0, np.searchsorted(starts, ends_of_text)]
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):  # texts of up to AT_ONCE chunks, or one
+            last = max(at + 1, int(np.searchsorted(cuts, cuts[at] + AT_ONCE, "right")) - 1)
+            own = number[cuts[at] : cuts[last]]
+            sizes = n[own]
+            before = np.r_[0, np.cumsum(sizes)]
+            copied = flat[np.repeat(first[own] - before[:-1], sizes) + np.arange(before[-1])].tobytes()
+            places = (before[cuts[at : last + 1] - cuts[at]] * self.width).tolist()
+            out += [copied[a:b] for a, b in zip(places, places[1:])]
+            at = last
+        return out
+
+
+def distinct_chunks(joined: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(start of every chunk, number of its value, the distinct values) of a
+    text that ends in white space.
+
+    Values of up to 16 bytes are two integers; they are grouped by a hash of
+    these, and every one is compared with the first of its group. Longer ones,
+    and those that differ from their group's first, go by a dictionary."""
+    raw = np.frombuffer(joined + bytes(16), np.uint8)
+    blank = SPACES[raw[: len(joined)]]
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if len(blank) and not blank[0]:
+        edges = np.r_[0, edges]
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    sliding = np.lib.stride_tricks.as_strided(raw[:8].view("<u8"), (len(joined) + 8,), (1,), writeable=False)
+    low = sliding[starts] & KEEP[np.minimum(sizes, 8)]
+    high = sliding[starts + 8] & KEEP[np.clip(sizes - 8, 0, 8)]
+    key = mix(low, 1) ^ mix(high ^ sizes.astype(np.uint64), 2)
+    short = np.flatnonzero(sizes <= 16)
+    order = short[np.argsort(key[short])]
+    sorted_key = key[order]
+    fresh = np.r_[True, sorted_key[1:] != sorted_key[:-1]][: len(order)]
+    group, firsts = np.cumsum(fresh) - 1, order[fresh]
+    one = firsts[group]
+    number = np.empty(len(starts), np.int64)
+    number[order] = group
+    same = (low[order] == low[one]) & (high[order] == high[one]) & (sizes[order] == sizes[one])
+    values = [joined[a:b] for a, b in zip(starts[firsts].tolist(), (starts + sizes)[firsts].tolist())]
+    odd = np.r_[order[~same], np.flatnonzero(sizes > 16)]
+    held: dict[bytes, int] = {}
+    for i, a, b in zip(odd.tolist(), starts[odd].tolist(), (starts + sizes)[odd].tolist()):
+        number[i] = held.setdefault(joined[a:b], len(values) + len(held))
+    values += held
+    return starts, number, values
+
+
+def chunk_ids(model: str) -> ChunkIds:
+    """The encoder of this Python worker: a worker is used for one task after
+    another, but what a task unpickles, globals included, is its own."""
+    held = sys.modules.setdefault("_token_shard_encoders", types.ModuleType("_token_shard_encoders")).__dict__
+    key = hashlib.sha256(model.encode()).hexdigest()
+    if key not in held:
+        held[key] = ChunkIds(model)
+    return held[key]
 
 
 # ---------------------------------------------------------------------- files
@@ -185,10 +295,10 @@ def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(uri)
 
 
-def write_shard(batches, folder: str, model: str, end_id: int, group_bytes: int = 4 << 20):
+def write_shard(batches, folder: str, model: str, end_id: int, group_bytes: int = 12 << 20):
     """(doc_id, text) in ascending order -> one file; a row (shard, path, docs,
     ids, first_key, last_key, null_keys) if there was a document."""
-    encoder = ChunkIds(model)
+    encoder = chunk_ids(model)
     fs, root = filesystem(folder)
     shard = TaskContext.get().partitionId()
     temp, final = f"{root}/.shard-{shard:06d}-{uuid.uuid4().hex}", f"{root}/shard-{shard:06d}.ids"
@@ -196,13 +306,13 @@ def write_shard(batches, folder: str, model: str, end_id: int, group_bytes: int
     keys, has_key, firsts = [], [], [0]
     out = None
     for batch in batches:
-        at = 0
+        at, column = 0, batch.column(1).cast(pa.binary())
         while at < batch.num_rows:
             if out is None:
                 out = fs.open_output_stream(temp)
             texts, size = [], 0
             while at + len(texts) < batch.num_rows and size < group_bytes:
-                texts.append((batch.column(1)[at + len(texts)].as_py() or "").encode())
+                texts.append(column[at + len(texts)].as_py() or b"")
                 size += len(texts[-1])
             for raw in encoder.encode(texts):
                 out.write(raw)

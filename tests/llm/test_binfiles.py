@@ -1,3 +1,4 @@
+import json
 import zlib
 
 import numpy as np
@@ -34,10 +35,45 @@ def test_chunks_equal_whole_texts(model):
     t = tokenizers.Tokenizer.from_str(model)
     e = binfiles.ChunkIds(model, bound=10)
     texts = ["", "a b", "It's a<|endoftext|>b <|startoftext|>", "é x\x1cy \x85z <| |> ‘s", "日本 語 " * 5, "A a A",
-             "İ. i̇. ΣΑΣ. Σ, ÉTÉ! été; ª. ǅ: ﬁ? x.. a,b .", "the. The, THE! the's 'S."]
+             "İ. i̇. ΣΑΣ. Σ, ÉTÉ! été; ª. ǅ: ﬁ? x.. a,b .", "the. The, THE! the's 'S.",
+             "1 12 3a4 a1 1.5 2024-01-02 x² ² ½ ٣ 5% $5 (7)", "\"the\" 'the' ''the'' 'sword 'S's 's' 'é 'ére ''é re've 'Re'VE'll",
+             "(the) [the] {the}, <the> ((é)) [é]. {É}! é's é'll «é» “the” the— a—b é--", "=\u0338 e\u0301 (e\u0301) a\u0338. .\u0301",
+             "x\x1cy \x1f.\x1e a\x00b \x7f", "entz### sch%%% a_b _é_ é_ __ é1 1é. ᾼ ß. ŉ! \u1100\u1161. ʼn"]
+    rng = np.random.default_rng(0)
+    marks = list("abS's.,\"'()1²éÉ—<|>_-İ\u0301日٣")
+    texts += [" ".join("".join(rng.choice(marks, rng.integers(1, 7))) for _ in range(30)) for _ in range(200)]
     for _ in range(2):
         got = e.encode([x.encode() for x in texts])
-        assert [np.frombuffer(g, e.kind).tolist() for g in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+        for x, g in zip(texts, got):
+            assert np.frombuffer(g, e.kind).tolist() == t.encode(x, add_special_tokens=False).ids, x
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_distinct_chunks(monkeypatch, collide):
+    if collide:
+        monkeypatch.setattr(binfiles, "mix", lambda keys, seed: keys % np.uint64(3))
+    rng = np.random.default_rng(5)
+    words = ["a" * n for n in (1, 7, 8, 9, 15, 16, 17, 40)] + ["a\0", "a\0\0", "é" * 8, "x" * 16 + "y", "b"]
+    for text in ["", " ", "a ", " a\t\nb\r", *(" ".join(rng.choice(words, 200)) for _ in range(3))]:
+        raw = text.encode() + b" "
+        starts, number, values = binfiles.distinct_chunks(raw)
+        assert [values[k] for k in number] == raw.split()
+        assert all(raw[s:].startswith(values[k]) for s, k in zip(starts, number))
+
+
+def test_memory_of_chunks_is_bounded(model):
+    e = binfiles.ChunkIds(model, bound=50)
+    for i in range(40):
+        e.encode([f"the {' '.join(f'a{i}b{j}' for j in range(30))}".encode()])
+        assert len(e.known) <= 50 + 31 and len(e.older) <= 50 + 31 and len(e.pieces) <= 50 + 41
+    assert b"the" in e.known or b"the" in e.older
+
+
+def test_tokenizers_without_word_ends_are_refused(model):
+    with pytest.raises(ValueError, match="ends of words"):
+        spec = json.loads(model)
+        spec["model"]["end_of_word_suffix"] = ""
+        binfiles.ChunkIds(json.dumps(spec))
 
 
 def expected(model, rows):
