@@ -1,14 +1,19 @@
 """The pipeline on a small table against plain versions of its stages, the
 registered queries and their SQL."""
 
+import glob
+
 import duckdb
+import pyarrow.parquet as pq
 import pytest
 from brute import components, sha, without_repeats, words
 from odd_rows import no_docs, odd_docs  # noqa: F401
 
 import __spark_entry__ as E
 import corpus_pipeline as P
+from ratinglens.llm import mixing
 from ratinglens.llm import queries as Q
+from ratinglens.session import scratch_dir
 
 SF = "/root/testdata/sf0.001"
 TABLES = "documents embeddings pages benchmark labels conversations".split()
@@ -64,6 +69,13 @@ def test_stages_equal_brute_force(spark, con):
     mixed = P.source_mix(spark, base, SF)
     assert mixed.columns == docs.columns
     assert {r.doc_id for r in mixed.collect()} <= set(left)
+    # The rows are written in the order of the mix.
+    order = mixing.mix(base).select("doc_id", "_mix.epoch", "_mix.order").collect()
+    path = scratch_dir(spark, "test-mixed")
+    mixed.write.parquet(path)
+    parts = sorted(glob.glob(path.removeprefix("file:") + "/part-*.parquet"))
+    written = [d for p in parts for d in pq.read_table(p)["doc_id"].to_pylist()]
+    assert written == [r.doc_id for r in sorted(order, key=lambda r: (r.epoch, r["order"]))]
 
 
 def test_run_encodes_what_the_stages_leave(spark):
@@ -82,6 +94,7 @@ def test_stages_take_difficult_rows(spark, odd_docs, no_docs):
     for _, stage in P.STAGES:
         assert stage(spark, no_docs, SF).count() == 0
         out = stage(spark, odd_docs, SF)
-        assert out.count() <= 2 * odd_docs.count()
+        # Only the mix repeats a document, up to four times.
+        assert out.count() <= (4 if stage is P.source_mix else 1) * odd_docs.count()
         if stage is not P.encode:
             assert out.columns == odd_docs.columns
