@@ -120,7 +120,7 @@ def _once(spark, sf, name, make):
 def _built_paths(spark, sf):
     def build():
         players, ratings = tables.players_from_tables(spark, sf), tables.ratings_from_tables(spark, sf)
-        return build_views(spark, players, ratings, scratch_dir(spark, "views"))
+        return build_views(spark, players, ratings, scratch_dir(spark, "views"), unique_ratings=True)
 
     return _once(spark, sf, "views", build)
 
@@ -353,7 +353,7 @@ def q_player_page_all(spark, sf):
 
     def build():
         m = _members(spark, sf)
-        return build_views(spark, m.players, m.ratings, scratch_dir(spark, "member-views"))
+        return build_views(spark, m.players, m.ratings, scratch_dir(spark, "member-views"), unique_ratings=True)
 
     speed_root = _once(spark, sf, "speed", lambda: _stream_message_files(spark, sf))
     return RatingService(spark, _once(spark, sf, "member-views", build), speed_root).player_page()

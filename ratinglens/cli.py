@@ -114,9 +114,9 @@ def main(argv: list[str] | None = None) -> None:
         players = tables.players_from_tables(spark, args.sf_dir)
         ratings = tables.ratings_from_tables(spark, args.sf_dir)
         if args.build_id is not None:
-            paths = publish_build(spark, players, ratings, dst, args.build_id, args.buckets, args.table_prefix)
+            paths = publish_build(spark, players, ratings, dst, args.build_id, args.buckets, args.table_prefix, True)
         else:
-            paths = build_views(spark, players, ratings, dst, args.buckets, args.table_prefix)
+            paths = build_views(spark, players, ratings, dst, args.buckets, args.table_prefix, True)
         print(json.dumps(paths))
     elif args.cmd == "speed":
         speed.run_speed_layer(

@@ -7,8 +7,9 @@ Plan notes (what each operator costs at scale):
   is under the broadcast threshold; beyond it a sort-merge join shuffles both
   sides on ``fide_id``, and AQE's skew-join split divides a player that holds
   a large share of all rows.
-* ``keyed_ratings`` — what a keyed upsert keeps: one row per player-month. Only
-  the history view is keyed; joins, averages and counts are over all rows.
+* ``keyed_ratings`` — what a keyed upsert keeps: one row per player-month, found
+  on the numeric fact before players are joined. Only the history view is
+  keyed; joins, averages and counts are over all rows.
 * ``ratings_by_year`` / ``rating_counts`` group by keys that start with
   ``fide_id``; placed over a sort-merge join they reuse its partitioning and
   add no exchange. Otherwise they shuffle once, after map-side partial
@@ -48,11 +49,18 @@ def _keyed():
     return complete & F.coalesce(F.col("month").between(1, 12), F.lit(False))
 
 
-def keyed_ratings(ratings: DataFrame) -> DataFrame:
+def keyed_ratings(ratings: DataFrame, unique: bool = False) -> DataFrame:
     """One row per (fide_id, year, month) of the rows that have such a key —
-    what the keyed history view holds after an upsert load. Works on the
-    ratings fact and on the joined table."""
-    return dedup_by_key(ratings.filter(_keyed()), ["fide_id", "year", "month"]).select(*ratings.columns)
+    what the keyed history view holds after an upsert load.
+
+    Meant for the ratings fact, before any join: its rows are an id and
+    numbers, so little is shuffled, and joining players afterwards (one row
+    per id) gives the same history as keying the joined rows would.
+    ``unique`` says that the fact has one row per key by construction (for
+    example the result of a group-by on it): then only the filter is left and
+    nothing is shuffled or sorted."""
+    rows = ratings.filter(_keyed())
+    return rows if unique else dedup_by_key(rows, ["fide_id", "year", "month"]).select(*ratings.columns)
 
 
 def clean_players(players: DataFrame) -> DataFrame:
@@ -66,12 +74,14 @@ def rejected_ratings(ratings: DataFrame) -> DataFrame:
     return ratings.filter(~_keyed())
 
 
-def rejected_players(players: DataFrame) -> DataFrame:
+def rejected_players(players: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Player rows that ``clean_players`` leaves out: without an id, or
-    differing from the row kept for their id."""
+    differing from the row kept for their id. ``known`` is the result of
+    ``clean_players`` where it has been written already."""
     kept = F.struct(*[F.col(f"_k.{c}") for c in players.columns])
     own = F.struct(*players.columns)
-    survivors = clean_players(players).select(F.struct(*players.columns).alias("_k"))
+    known = clean_players(players) if known is None else known
+    survivors = known.select(F.struct(*players.columns).alias("_k"))
     beaten = players.join(survivors, F.col("fide_id") == F.col("_k.fide_id")).filter(~own.eqNullSafe(kept))
     return players.filter(F.col("fide_id").isNull()).unionByName(beaten.select(*players.columns))
 

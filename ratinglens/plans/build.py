@@ -1,9 +1,10 @@
 """Batch-layer job and the lazy model the serving queries run on.
 
-``build_views`` joins all rating rows with the players once and writes the
-joined table (partitioned by year); the keyed history view (one row per
-player-month), and a per-player-year rollup from which the yearly, federation
-and count views follow, are made from its files. Each view's lineage starts at
+``build_views`` writes each input once, joins all rating rows with the players
+and writes the joined table (partitioned by year); a per-player-year rollup from
+which the yearly, federation and count views follow is made from its files, the
+keyed history view (one row per player-month) and the current ratings from the
+keyed fact. Each view's lineage starts at
 a file scan in the shared folder, so a lost executor re-reads files instead of
 recomputing the join; nothing is kept on executors' disks. Rows that cannot be
 keyed are written next to the views (``rejects``).
@@ -29,11 +30,16 @@ from ratinglens.streaming import speed
 
 @dataclass
 class Model:
-    """Lazy DataFrames of the rating model over one set of input tables."""
+    """Lazy DataFrames of the rating model over one set of input tables.
+
+    ``players`` has one row per fide_id (``batch.clean_players``);
+    ``unique_ratings`` says that ``ratings`` has one row per player-month by
+    construction."""
 
     players: DataFrame
     ratings: DataFrame
     submissions: DataFrame
+    unique_ratings: bool = False
 
     @property
     def joined(self) -> DataFrame:
@@ -41,7 +47,8 @@ class Model:
 
     @property
     def history(self) -> DataFrame:
-        return batch.history_view(batch.keyed_ratings(self.joined))
+        keyed = batch.keyed_ratings(self.ratings, self.unique_ratings)
+        return batch.history_view(batch.players_and_ratings(self.players, keyed))
 
     @property
     def id_name(self) -> DataFrame:
@@ -86,6 +93,7 @@ def model_from_tables(spark: SparkSession, sf_dir: str) -> Model:
         players=tables.players_from_tables(spark, sf_dir),
         ratings=tables.ratings_from_tables(spark, sf_dir),
         submissions=tables.submissions_from_tables(spark, sf_dir),
+        unique_ratings=True,  # grouped by customer, year and month
     )
 
 
@@ -121,10 +129,14 @@ def build_views(
     dst: str,
     buckets: int | None = None,
     table_prefix: str = "",
+    unique_ratings: bool = False,
 ) -> dict[str, str]:
     """Batch layer: inputs → joined table → every batch view, and the rejects.
 
-    Returns the path of each written view. Re-running replaces the views.
+    Returns the path of each written view. Re-running replaces the views. The
+    inputs are computed once and written to ``<dst>/_inputs``: parsing text, or
+    the group-by behind a derived fact, is not repeated for the rejects, the
+    join and the keyed fact. ``unique_ratings``: see ``batch.keyed_ratings``.
 
     With ``buckets``, the player-keyed views are also catalog tables
     ``<table_prefix><name>`` bucketed and sorted on fide_id (files stay at the
@@ -153,10 +165,15 @@ def build_views(
         # are large (a rebalance may divide a key) and joins small ones.
         return df if buckets else df.hint("rebalance", "year")
 
+    def once(df: DataFrame, name: str) -> DataFrame:
+        write_table(df, f"{dst}/_inputs/{name}")
+        return spark.read.schema(df.schema).parquet(f"{dst}/_inputs/{name}")
+
     rejects = reject_paths(dst)
-    write_table(batch.rejected_players(players), rejects["players"])
+    players, ratings = once(players, "players"), once(ratings, "ratings")
+    known = once(batch.clean_players(players), "known_players")
+    write_table(batch.rejected_players(players, known), rejects["players"])
     write_table(batch.rejected_ratings(ratings), rejects["ratings"])
-    known = batch.clean_players(players)
     put(batch.id_name_view(known), "id_name", ["first_name", "last_name"])
 
     put(together(batch.players_and_ratings(known, ratings)), "players_and_ratings", ["fide_id", "month"], ["year"])
@@ -165,7 +182,10 @@ def build_views(
         if buckets
         else spark.read.parquet(paths["players_and_ratings"])
     )
-    history = batch.history_view(batch.keyed_ratings(joined))
+    keyed = batch.keyed_ratings(ratings, unique_ratings)
+    if not unique_ratings:
+        keyed = once(keyed, "keyed_ratings")
+    history = batch.history_view(batch.players_and_ratings(known, keyed))
     put(together(history), "history", ["fide_id", "month"], ["year"])
 
     # One pass over the joined table; three views from the small rollup.
@@ -175,7 +195,7 @@ def build_views(
     put(batch.ratings_by_year_from_rollup(rollup), "by_year", ["fide_id", "year"])
     put(batch.ratings_by_federation_year_from_rollup(rollup), "fed_by_year", ["federation", "year"])
     put(batch.rating_counts_from_rollup(rollup), "id_count", ["fide_id"])
-    put(batch.current_rating(batch.keyed_ratings(ratings)), "current_rating", ["fide_id"])
+    put(batch.current_rating(keyed), "current_rating", ["fide_id"])
     return paths
 
 
@@ -216,10 +236,11 @@ def publish_build(
     build_id: int,
     buckets: int | None = None,
     table_prefix: str = "",
+    unique_ratings: bool = False,
 ) -> dict[str, str]:
     """Build every view into a new folder, then publish it."""
     dst = dst.rstrip("/")
-    paths = build_views(spark, players, ratings, f"{dst}/build={int(build_id)}", buckets, table_prefix)
+    paths = build_views(spark, players, ratings, f"{dst}/build={int(build_id)}", buckets, table_prefix, unique_ratings)
     record = spark.createDataFrame([(int(build_id),)], "build_id long")
     record.write.mode("append").parquet(f"{dst}/published")
     return paths

@@ -180,6 +180,32 @@ def test_views_equal_the_direct_operators_on_dirty_rows(spark, tmp_dir):
     assert {(x.fide_id, x.title) for x in spark.read.parquet(rejects["players"]).collect()} == {("1", "GM"), (None, None)}
 
 
+def test_history_of_a_unique_fact_is_not_keyed_again(spark):
+    m = model_from_tables(spark, SF_SMALL)
+    text = plan_text(m.history, "simple")
+    assert "SortAggregate" not in text
+    general = batch.history_view(batch.players_and_ratings(m.players, batch.keyed_ratings(m.ratings)))
+    assert rows(general) == rows(m.history)
+
+
+def test_the_inputs_of_a_build_are_computed_once(spark, tmp_dir):
+    """Each input row passes the input's own plan once, whatever the number of
+    views that are made from it."""
+    passed = {n: spark.sparkContext.accumulator(0) for n in ("players", "ratings")}
+
+    def counted(df, name):
+        def count(batches):
+            for b in batches:
+                passed[name].add(b.num_rows)
+                yield b
+
+        return df.mapInArrow(count, df.schema)
+
+    p, r = players_df(spark), ratings_df(spark)
+    build_views(spark, counted(p, "players"), counted(r, "ratings"), f"{tmp_dir}/once")
+    assert {n: a.value for n, a in passed.items()} == {"players": p.count(), "ratings": r.count()}
+
+
 def test_the_join_is_written_without_sampling_it(spark):
     m = model_from_tables(spark, SF_SMALL)
     text = plan_text(m.joined.hint("rebalance", "year"), "simple")
