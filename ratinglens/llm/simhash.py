@@ -4,7 +4,10 @@
 2. Distinct fingerprints are routed through the top of a vantage-point tree
    (fitted on a bounded sample; every fingerprint is routed). Each lands in
    its home shard and, as a visitor, in every shard whose region its ball of
-   ``max_bits`` overlaps, so no pair across a boundary is lost.
+   ``max_bits`` overlaps, so no pair across a boundary is lost. A shard that
+   is still too large is split by a subtree fitted, in a task, on a bounded
+   sample of that shard, round after round, so shards keep their size
+   whatever the number of fingerprints.
 3. Each shard grows its own tree, prunes by the triangle inequality and
    compares whole leaves; it emits one row per linked fingerprint (its local
    class), never all pairs.
@@ -14,6 +17,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +30,14 @@ from pyspark.sql.types import LongType
 
 from .common import quoted, saved
 
-#: Distinct fingerprints from which the top of the tree is fitted.
+#: Distinct fingerprints from which the top of the tree, and about a quarter of
+#: these, from which each subtree is fitted.
 FIT_SAMPLE = 8192
-#: Distinct fingerprints that a shard is at home for, on average.
+#: Distinct fingerprints that a shard is at home for: the aim of each split. A
+#: shard of over twice as many is split again.
 SHARD_FINGERPRINTS = 32768
+#: Fewest sampled points in a node that is split, so that its halves are even.
+NODE_SAMPLE = 16
 LEAF = 128
 
 
@@ -108,7 +116,7 @@ def fit_top(sample: np.ndarray, depth: int, band: int) -> list:
     count = iter(range(1 << 30))
 
     def grow(points: np.ndarray, level: int):
-        split = choose_split(points, band, 16) if level < depth and len(points) >= 8 else None
+        split = choose_split(points, band, 16) if level < depth and len(points) >= NODE_SAMPLE else None
         if split is None:
             return next(count)
         v, radius = split
@@ -118,8 +126,33 @@ def fit_top(sample: np.ndarray, depth: int, band: int) -> list:
     return grow(sample, 0)
 
 
-def route(points: np.ndarray, tree, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(point index, shard, at home) for every shard that each point belongs to.
+def fit_subtree(sample: np.ndarray, depth: int, band: int):
+    """The deepest tree of at most ``depth`` levels that parts the sample: no
+    leaf keeps over 9/10 of it, visitors included, and a level adds at most
+    3/5 to the rows. None if there is none: a cluster so dense that nearly
+    every point is within reach of any boundary gains nothing from a split."""
+    for levels in range(depth, 0, -1):
+        tree = fit_top(sample, levels, band)
+        if isinstance(tree, int):
+            return None
+        _, leaf, _ = route(sample, tree, band)
+        load = np.bincount(leaf)
+        if load.max() <= 0.9 * len(sample) and load.sum() <= 1.6**levels * len(sample):
+            return tree
+    return None
+
+
+def renumber(tree, number):
+    """The tree with leaves numbered anew by ``number``, an iterator."""
+    if isinstance(tree, int):
+        return next(number)
+    v, radius, left, right = tree
+    return [v, radius, renumber(left, number), renumber(right, number)]
+
+
+def route(points: np.ndarray, tree, band: int, at_home: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(point index, shard, at home) for every shard that each point belongs to;
+    the points are at home in the tree's region, or visitors of it.
 
     A point right of a boundary visits the left side if its ball reaches it;
     a visitor follows every side that its ball overlaps. Of two linked points
@@ -142,7 +175,7 @@ def route(points: np.ndarray, tree, band: int) -> tuple[np.ndarray, np.ndarray,
             walk(index[d <= radius + band], left, False)
             walk(index[d > radius - band], right, False)
 
-    walk(np.arange(len(points)), tree, True)
+    walk(np.arange(len(points)), tree, at_home)
     if not out:
         e = np.empty(0, np.int64)
         return e, e.astype(np.int32), e.astype(bool)
@@ -219,19 +252,102 @@ def shard_classes(points: np.ndarray, home: np.ndarray, band: int) -> np.ndarray
 # --------------------------------------------------------------- on the table
 
 
-def local_classes(distinct: DataFrame, max_bits: int) -> DataFrame:
-    """(node, hub): every linked fingerprint with the smallest fingerprint of
-    its class in a shard; the hub has a row of its own."""
+ROUTED = "shard int, fp long, home boolean"
+
+
+def routed_batch(points: np.ndarray, shard: np.ndarray, home: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(shard.astype(np.int32)), pa.array(points), pa.array(home)], ["shard", "fp", "home"]
+    )
+
+
+def shards(distinct: DataFrame, max_bits: int, size: int, sample: int) -> DataFrame:
+    """(shard, fp, home): every fingerprint at home in one shard and a visitor
+    of those that its ball overlaps, with about ``size`` at home in a shard.
+
+    The top of the tree comes from ``sample`` fingerprints; then shards with
+    over twice ``size`` at home are split, each by a subtree that a task fits
+    on about a quarter of ``sample`` of its own points. What passes the driver
+    is a node (a vantage point and a radius) per shard, never points. A shard
+    that ``fit_subtree`` cannot part stays whole."""
     n = distinct.count()
-    depth = max(3, int(np.ceil(np.log2(max(1, n) / SHARD_FINGERPRINTS))))
-    sample = distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(FIT_SAMPLE).collect()
-    tree = fit_top(np.array([r.fp for r in sample], np.int64).view(np.uint64), depth, max_bits)
+    levels = max(3, int(np.ceil(np.log2(max(1, n) / size))))
+    chosen = distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()
+    points = np.array([r.fp for r in chosen], np.int64).view(np.uint64)
+    tree = fit_top(points, min(levels, max(1, int(np.log2(max(2, sample) / (2 * NODE_SAMPLE))))), max_bits)
 
     def scatter(batches):
         for batch in batches:
-            points = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            i, shard, home = route(points.view(np.uint64), tree, max_bits)
-            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(points[i]), pa.array(home)], ["shard", "fp", "home"])
+            fps = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            i, shard, home = route(fps.view(np.uint64), tree, max_bits)
+            yield routed_batch(fps[i], shard, home)
+
+    routed = saved(distinct.select("fp").mapInArrow(scatter, ROUTED), "simhash-routed")
+    last = routed.agg(F.max("shard")).first()[0]
+    number = iter(range((-1 if last is None else last) + 1, 1 << 31))
+    whole: list[int] = []  # shards that no subtree parts
+
+    for turn in range(64):
+        large = routed.where("home").groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * size)
+        if whole:
+            large = large.where(~F.col("shard").isin(whole))
+        subtrees = fitted_subtrees(routed, large, max_bits, size, max(4 * NODE_SAMPLE, sample // 4), turn)
+        whole += [s for s, t in subtrees.items() if t is None]
+        split = {s: renumber(t, number) for s, t in subtrees.items() if t is not None}
+        if not subtrees:
+            break
+        if split:
+            routed = saved(routed.mapInArrow(rerouting(split, max_bits), ROUTED), "simhash-routed")
+    return routed
+
+
+def fitted_subtrees(routed: DataFrame, large: DataFrame, band: int, size: int, sample: int, turn: int) -> dict:
+    """Subtree (or None) of each of the ``large`` shards (shard, n), fitted in
+    tasks on about ``sample`` of the shard's home points, chosen by hash."""
+
+    def fit(part: pd.DataFrame) -> pd.DataFrame:
+        points = np.sort(part["fp"].to_numpy()).view(np.uint64)
+        levels = max(1, int(np.ceil(np.log2(part["n"].iloc[0] / size))))
+        tree = fit_subtree(points, min(levels, max(1, int(np.log2(sample / (2 * NODE_SAMPLE))))), band)
+        return pd.DataFrame({"shard": part["shard"].iloc[:1], "tree": [json.dumps(tree)]})
+
+    chosen = (
+        routed.where("home")
+        .join(large, "shard")
+        .where(F.pmod(F.xxhash64("fp", F.lit(turn)), F.col("n")) < sample)
+        .select("shard", "n", "fp")
+    )
+    fitted = chosen.groupBy("shard").applyInPandas(fit, "shard int, tree string")
+    return {r.shard: json.loads(r.tree) for r in fitted.collect()}
+
+
+def rerouting(split: dict, band: int):
+    """Rows of split shards go to the leaves of their subtree, others stay."""
+
+    cut_shards = np.array(list(split), np.int32)
+
+    def move(batches):
+        for batch in batches:
+            shard, fps, home = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            cut = np.isin(shard, cut_shards)
+            parts = [(fps[~cut], shard[~cut], home[~cut])]
+            order = np.flatnonzero(cut)[np.lexsort((home[cut], shard[cut]))]
+            group = shard[order] * np.int64(2) + home[order]
+            for at in np.split(order, np.flatnonzero(np.diff(group)) + 1):
+                if len(at):
+                    own = fps[at]
+                    i, leaf, stays = route(own.view(np.uint64), split[int(shard[at[0]])], band, bool(home[at[0]]))
+                    parts.append((own[i], leaf, stays))
+            yield routed_batch(*(np.concatenate(c) for c in zip(*parts)))
+
+    return move
+
+
+def local_classes(
+    distinct: DataFrame, max_bits: int, size: int = SHARD_FINGERPRINTS, sample: int = FIT_SAMPLE
+) -> DataFrame:
+    """(node, hub): every linked fingerprint with the smallest fingerprint of
+    its class in a shard; the hub has a row of its own."""
 
     def classes(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["fp", "home"])
@@ -240,8 +356,7 @@ def local_classes(distinct: DataFrame, max_bits: int) -> DataFrame:
         linked = np.bincount(label, minlength=len(label))[label] > 1
         return pd.DataFrame({"node": fps[linked], "hub": fps[label[linked]]})
 
-    routed = distinct.select("fp").mapInArrow(scatter, "shard int, fp long, home boolean")
-    return routed.groupBy("shard").applyInPandas(classes, "node long, hub long")
+    return shards(distinct, max_bits, size, sample).groupBy("shard").applyInPandas(classes, "node long, hub long")
 
 
 def merge_classes(links: DataFrame) -> DataFrame:

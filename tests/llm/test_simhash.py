@@ -70,6 +70,32 @@ def test_routing_over_shards_loses_no_link():
     assert (total.merge() == want).all()
 
 
+def test_shards_keep_their_size_however_many_points(spark):
+    p = points(12_000, 2)
+    distinct = spark.createDataFrame([(int(x),) for x in p.view(np.int64)], "fp long").repartition(5)
+    routed = simhash.shards(distinct, 2, 150, 512).toPandas()
+    home = routed[routed.home]
+    # The top alone, from 512 points, has sixteen leaves.
+    assert sorted(home.fp) == sorted(p.view(np.int64)) and home.shard.nunique() > 40
+    assert home.groupby("shard").size().max() <= 300
+    links = simhash.local_classes(distinct, 2, 150, 512).toPandas()
+    total, number = simhash.Classes(len(p)), {int(x): i for i, x in enumerate(p.view(np.int64))}
+    total.link(links.node.map(number).to_numpy(), links.hub.map(number).to_numpy())
+    assert (total.merge() == brute_classes(p, 2)).all()
+
+
+def test_a_shard_that_no_subtree_parts_stays_whole(spark):
+    # Within four bits of each other: every boundary is within reach of nearly all.
+    bits = np.arange(40)
+    p = np.unique(((np.uint64(1) << bits[:, None].astype(np.uint64)) | (np.uint64(1) << bits[None, :].astype(np.uint64))).ravel())
+    assert simhash.fit_subtree(p, 3, 2) is None
+    distinct = spark.createDataFrame([(int(x),) for x in p.view(np.int64)], "fp long")
+    links = simhash.local_classes(distinct, 2, 64, 128)
+    label = {r.node: r.label for r in simhash.merge_classes(links).collect()}
+    assert len(label) == len(p) and len(set(label.values())) == 1
+    assert simhash.shards(distinct.limit(0), 2, 64, 128).count() == 0
+
+
 def test_points_that_no_vantage_point_splits():
     p = np.array([1 << i for i in range(63)] + [0], np.uint64)
     p = np.unique(np.concatenate([p, p ^ np.uint64(3), p ^ np.uint64(5), p ^ np.uint64(9)]))
