@@ -69,3 +69,50 @@ def test_the_proof_prunes_and_rescoring_is_exact():
     a, b, s = index.top(np.array([-1]), v[:1], 10)
     exact = v @ v[0]
     assert len(b) < 2000 and set(np.argsort(-exact, kind="stable")[:10]) <= set(b) and (s == exact[b]).all()
+
+
+def test_held_results_are_a_floor_and_leave_once(monkeypatch):
+    rng = np.random.default_rng(4)
+    v = rng.integers(-60, 61, (900, 24))
+    v[300:] //= 16  # later blocks hold nothing that can pass the first
+    v[890:] = v[0]  # but copies of it
+    ids = np.arange(900)
+
+    def block(rows):
+        m = topk.smallest(v[rows])
+        return [24, m.itemsize, ids[rows].tobytes(), m.tobytes()]
+
+    names = ["part", "at", "c_d", "c_w", "c_i", "c_v", "q_d", "q_w", "q_i", "q_v"]
+    pairs = [[0, at, *block(slice(300 * at, 300 * at + 300)), *block(slice(0, 900, 50))] for at in range(3)]
+    batches = [topk.pa.RecordBatch.from_pylist([dict(zip(names, p))]) for p in pairs]
+    want = sorted(
+        (q, i, int(v[q] @ v[i]))
+        for q in range(0, 900, 50)
+        for i in sorted((i for i in range(900) if i != q), key=lambda i: (-int(v[q] @ v[i]), i))[:5]
+    )
+
+    def found():
+        out = list(topk.search_blocks(batches, 5))
+        rows = [tuple(r.values()) for b in out for r in b.to_pylist()]
+        return len(out), sorted(rows)
+
+    assert found() == (1, want)
+    # With room for few results they leave block by block, and lose nothing.
+    monkeypatch.setattr(topk, "HELD", 10)
+    n, rows = found()
+    assert n > 1 and set(want) <= set(rows)
+
+
+def test_vectors_below_the_floor_are_not_scored():
+    rng = np.random.default_rng(5)
+    v = np.concatenate([rng.integers(-60, 61, (50, 24)), rng.integers(-3, 4, (950, 24))])
+    index = topk.ImpactIndex(np.arange(1000), v)
+    a, b, s = index.top(np.array([-1]), v[:1], 10, np.array([float(v[0] @ v[0])]))
+    assert index.skipped > 0.8 * (index.skipped + index.scored)
+    assert list(b) == [0] and list(s) == [int(v[0] @ v[0])]
+
+
+def test_a_score_beyond_a_long_is_an_error():
+    v = np.full((3, 4), 2**31, np.int64)
+    with pytest.raises(OverflowError):
+        topk.ImpactIndex(np.arange(3), v).top(np.array([-1]), v[:1], 2)
