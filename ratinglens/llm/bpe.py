@@ -5,21 +5,29 @@ partition are pre-tokenised together, and their words are merged together: an
 index maps each adjacent pair of symbols to all its positions in the
 partition, and the active ranks are applied in ascending order, each to all
 its positions, updating the lists of the pairs beside them.
+
+Decoding is an operator of its own, over a column of ids.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
+import re
+import sys
+import types
 import unicodedata
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .binfiles import distinct_chunks
+
 # The Unicode white space that pre-tokenisation drops.
 SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # The pre-tokeniser's pattern, with that white space.
@@ -168,117 +176,205 @@ def merge_all(words: list[bytes], tables: dict) -> list[list[int]]:
 
 
 def merge_one(word: bytes, tables: dict) -> list[int]:
-    """Token ids of one word: the leftmost pair of lowest rank, again and again."""
+    """Token ids of one word: the leftmost pair of lowest rank, again and
+    again. Pairs wait in a heap; one that a merge has changed is passed over."""
     merges = tables["merges"]
     ids = [tables["inner"][b] for b in word[:-1]] + [tables["final"][word[-1]]]
-    while True:
-        found = [(merges[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in merges]
-        if not found:
-            return ids
-        _, i = min(found)
-        ids[i : i + 2] = [merges[ids[i], ids[i + 1]][1]]
+    n = len(ids)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    waiting = [(merges[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in merges]
+    heapq.heapify(waiting)
+    while waiting:
+        rank, i = heapq.heappop(waiting)
+        j = after[i]
+        if j >= n or ids[i] < 0:
+            continue
+        found = merges.get((ids[i], ids[j]))
+        if found is None or found[0] != rank:
+            continue
+        ids[i], ids[j] = found[1], -1
+        after[i] = then = after[j]
+        if then < n:
+            before[then] = i
+        for k in (before[i], i):
+            if k >= 0 and after[k] < n and (p := (ids[k], ids[after[k]])) in merges:
+                heapq.heappush(waiting, (merges[p][0], k))
+    return [i for i in ids if i >= 0]
 
 
 class Encoder:
-    """Encodes chunks (texts without white space), remembering them up to a
-    bound: chunk -> (number of ids, ids as text, ids' tokens as text)."""
+    """Encodes texts by their chunks (runs without white space), whose packed
+    ids it remembers up to a bound, those in use longer than others."""
+
+    #: Integers of packed ids.
+    KIND = np.dtype("<u4")
+    # The pre-tokeniser's pattern, for lower-case ASCII.
+    ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
     def __init__(self, tables: dict, bound: int = 250_000) -> None:
         self.tables, self.bound = tables, bound
-        self.known: dict[bytes, tuple[int, str, str]] = {}
-        self.words: dict[str, tuple[int, str, str]] = {}
+        # Chunk -> ids: met since the table was full, and before; word -> ids.
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.pieces = regex.compile(PIECES)
         special = "|".join(regex.escape(s) for s in tables["special"])
         self.special = regex.compile(f"({special})")
 
-    def told(self, ids: list[int]) -> tuple[int, str, str]:
-        token, number = self.tables["token"], self.tables["number"]
-        return len(ids), " ".join([number[i] for i in ids]), " ".join([token[i] for i in ids])
-
     def plain_words(self, text: str) -> list[str]:
-        if not text.isascii():
-            # Lower-casing goes character by character: no final sigma.
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
-        if text.isalpha():
-            return [text]
-        if text[-1:] in {".", ",", "!", "?", ";", ":"} and text[:-1].isalpha():
-            return [text[:-1], text[-1]]
-        return self.pieces.findall(text)
-
-    def learn(self, chunks: list[bytes]) -> None:
-        """Encode chunks that are not known yet."""
+        """Pre-tokens of a chunk, or of the text between special tokens."""
+        if text.isascii():
+            text = text.lower()
+            return [text] if text.isalpha() else self.ASCII.findall(text)
+        # Lower-casing goes character by character: no final sigma.
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return [text] if text.isalpha() else self.pieces.findall(text)
+
+    def learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        """Packed ids of chunks that are not known."""
         special, known = self.tables["special"], self.words
-        cut: list[tuple[bytes, list]] = []
+        # A chunk as its words; special tokens stand as their packed ids.
+        cut: list[tuple[bytes, list[str | bytes]]] = []
+        fresh: dict[str, None] = {}
         for c in chunks:
             if b"<|" in c:
-                parts = self.special.split(c.decode())
-                words = [[p] if p in special else self.plain_words(p) for p in parts]
-                cut.append((c, [w if p in special else (w,) for p, ws in zip(parts, words) for w in ws]))
+                words: list[str | bytes] = []
+                for part in self.special.split(c.decode()):
+                    if part in special:
+                        words.append(np.array([special[part]], self.KIND).tobytes())
+                    else:
+                        words += self.plain_words(part)
             else:
-                cut.append((c, self.plain_words(c.decode())))
-        plain = {w if w.__class__ is str else w[0] for c, ws in cut if b"<|" in c for w in ws if w not in special}
-        plain.update(w for c, ws in cut if b"<|" not in c for w in ws)
-        fresh = [w for w in plain if w not in known]
+                words = self.plain_words(c.decode())
+            cut.append((c, words))
+            for w in words:
+                if w not in known and w.__class__ is str:
+                    fresh[w] = None
         merged = merge_all([w.encode() for w in fresh], self.tables)
-        known.update(zip(fresh, map(self.told, merged)))
-        for c, ws in cut:
-            if b"<|" in c:
-                parts = [known[w[0]] if w.__class__ is tuple else self.told([special[w]]) for w in ws]
-            elif len(ws) == 1:
-                self.known[c] = known[ws[0]]
-                continue
-            else:
-                parts = [known[w] for w in ws]
-            self.known[c] = (
-                sum([p[0] for p in parts]),
-                " ".join([p[1] for p in parts]),
-                " ".join([p[2] for p in parts]),
-            )
-
-    def encode(self, texts: list[bytes]) -> Iterator[tuple[int, str, str]]:
-        """Per text the number of ids, the ids and the decoded text."""
+        known.update(zip(fresh, [np.array(ids, self.KIND).tobytes() for ids in merged]))
+        return {
+            c: known[ws[0]]
+            if len(ws) == 1 and ws[0].__class__ is str
+            else b"".join([known[w] if w.__class__ is str else w for w in ws])
+            for c, ws in cut
+        }
+
+    def ids_of(self, chunks: list[bytes]) -> list[bytes]:
+        """Packed ids of distinct chunks."""
         if len(self.known) > self.bound:
-            self.known.clear()
-            self.words.clear()
-        split = [t.split() for t in texts]
-        distinct: set[bytes] = set()
-        for chunks in split:
-            distinct.update(chunks)
-        missing = [c for c in distinct if c not in self.known]
-        if missing:
-            self.learn(missing)
-        for chunks in split:
-            if chunks:
-                n, ids, decoded = zip(*map(self.known.__getitem__, chunks))
-                yield sum(n), " ".join(filter(None, ids)), " ".join(filter(None, decoded))
-            else:
-                yield 0, "", ""
+            self.known, self.older = {}, self.known
+        if len(self.words) > self.bound:
+            self.words = {}
+        ids = list(map(self.known.get, chunks))
+        new = [c for c, x in zip(chunks, ids) if x is None]
+        if new:
+            found = {c: self.older[c] for c in new if c in self.older}
+            found |= self.learn([c for c in new if c not in found])
+            self.known |= found
+            ids = [found[c] if x is None else x for c, x in zip(chunks, ids)]
+        return ids
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's
+        begin (and the last one's end)."""
+        ends_of_text = np.cumsum([len(t) + 1 for t in texts])
+        starts, number, distinct = distinct_chunks(b" ".join(texts) + b" ")
+        ids = self.ids_of(distinct)
+        flat = np.frombuffer(b"".join(ids), self.KIND)
+        n = np.array([len(x) for x in ids], np.int64) // self.KIND.itemsize
+        first = np.cumsum(n) - n
+        sizes = n[number]
+        before = np.r_[0, np.cumsum(sizes)]
+        places = np.repeat(first[number] - before[:-1], sizes) + np.arange(before[-1])
+        return flat[places], before[np.r_[0, np.searchsorted(starts, ends_of_text)]]
+
+
+def joined(ids: np.ndarray, cuts: np.ndarray, names: pa.Array) -> pa.Array:
+    """For each stretch of ``ids`` between two ``cuts`` the names of its ids,
+    joined by one space."""
+    lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), names.take(pa.array(ids)))
+    return pc.binary_join(lists, " ")
+
+
+def names_of(numbers: dict[int, str]) -> pa.Array:
+    """Array of the names by number, null where there is none."""
+    return pa.array([numbers.get(i) for i in range(max(numbers) + 1)], pa.string())
+
+
+class Coder:
+    """Encoder of a tokenizer file, and its names of ids for encoding and decoding."""
+
+    def __init__(self, model: str) -> None:
+        tables = parse(model)
+        self.encoder = Encoder(tables)
+        self.numbers, self.tokens = names_of(tables["number"]), names_of(tables["token"])
+
+
+def coder(model: str) -> Coder:
+    """The coder of this Python worker, which outlasts a task: what a task
+    unpickles, globals included, is its own."""
+    held = sys.modules.setdefault("_bpe_coders", types.ModuleType("_bpe_coders")).__dict__
+    key = hashlib.sha256(model.encode()).hexdigest()
+    if key not in held:
+        held[key] = Coder(model)
+    return held[key]
+
+
+def stretches(sizes: list[int], most: int):
+    """(from, to) of runs of rows with about ``most`` bytes together."""
+    at, size = 0, 0
+    for i, s in enumerate(sizes):
+        size += s
+        if size >= most:
+            yield at, i + 1
+            at, size = i + 1, 0
+    if at < len(sizes):
+        yield at, len(sizes)
 
 
 def encode_batches(batches, model: str, group_bytes: int = 4 << 20):
-    """Appends n_tokens, ids (decimal, spaced) and decoded to each batch whose
-    last column is the text."""
-    encoder = Encoder(parse(model))
+    """Appends n_tokens and ids (decimal, spaced) to each batch whose last
+    column is the text."""
+    own = coder(model)
     for batch in batches:
-        column = batch.column(batch.num_columns - 1)
-        at = 0
-        while at < batch.num_rows:
-            texts, size = [], 0
-            while at + len(texts) < batch.num_rows and size < group_bytes:
-                texts.append((column[at + len(texts)].as_py() or "").encode())
-                size += len(texts[-1])
-            counts, ids, decoded = [], [], []
-            for n, i, d in encoder.encode(texts):
-                counts.append(n)
-                ids.append(i)
-                decoded.append(d)
-            part = batch.slice(at, len(texts))
+        column = batch.column(batch.num_columns - 1).cast(pa.binary())
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+        for a, b in stretches(sizes, group_bytes):
+            ids, cuts = own.encoder.encode([t or b"" for t in column.slice(a, b - a).to_pylist()])
+            part = batch.slice(a, b - a)
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:-1], pa.array(counts, pa.int64()), pa.array(ids), pa.array(decoded)],
-                [*part.schema.names[:-1], "n_tokens", "ids", "decoded"],
+                [*part.columns[:-1], pa.array(np.diff(cuts), pa.int64()), joined(ids, cuts, own.numbers)],
+                [*part.schema.names[:-1], "n_tokens", "ids"],
             )
-            at += len(texts)
+
+
+def decoded(column: pa.Array, names: pa.Array) -> pa.Array:
+    """The texts of ids that are given as spaced decimals."""
+    lists = pc.split_pattern(pc.fill_null(column, ""), " ")
+    cuts = lists.offsets.to_numpy().astype(np.int64)
+    told = lists.values.slice(cuts[0], cuts[-1] - cuts[0])
+    cuts = cuts - cuts[0]
+
+    def kept(keep: pa.Array) -> np.ndarray:
+        return np.r_[0, np.cumsum(keep.to_numpy(zero_copy_only=False))][cuts]
+
+    some = pc.not_equal(told, "")
+    cuts, ids = kept(some), told.filter(some).cast(pa.int64())
+    in_table = pc.is_valid(names.take(pc.if_else(pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(names))), ids, pa.scalar(None, pa.int64()))))
+    cuts, ids = kept(in_table), ids.filter(in_table)
+    return joined(ids.to_numpy(), cuts, names)
+
+
+def decode_batches(batches, model: str, group_bytes: int = 8 << 20):
+    """Appends the decoded text to each batch whose last column is the ids."""
+    names = coder(model).tokens
+    for batch in batches:
+        column = batch.column(batch.num_columns - 1)
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+        for a, b in stretches(sizes, group_bytes):
+            part = batch.slice(a, b - a)
+            texts = decoded(part.column(part.num_columns - 1), names)
+            yield pa.RecordBatch.from_arrays([*part.columns, texts], [*part.schema.names, "decoded"])
 
 
 def read_model(path: str) -> str:
@@ -287,13 +383,11 @@ def read_model(path: str) -> str:
 
 
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded) per row of ``docs``: token ids as
-    spaced decimals, and the text that they decode to (tokens joined by a
-    space, special ones included).
+    """(doc_id, n_tokens, ids) per row of ``docs``: token ids as spaced decimals.
 
     ``model_path`` is a tokenizer file on the driver; its content (a fixed
     vocabulary) travels with the job. Null text counts as empty: no tokens,
-    empty texts. Special tokens' strings in a text become these tokens.
+    empty ids. Special tokens' strings in a text become these tokens.
     Repeated rows and null ids come back as they are; very long texts are
     handled whole; an empty table gives an empty table; other columns are
     ignored.
@@ -301,11 +395,31 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     model = read_model(model_path)
     return docs.select("doc_id", "text").mapInArrow(
         lambda batches: encode_batches(batches, model),
-        "doc_id " + dict(docs.dtypes)["doc_id"] + ", n_tokens long, ids string, decoded string",
+        "doc_id " + dict(docs.dtypes)["doc_id"] + ", n_tokens long, ids string",
+    )
+
+
+def decode(encoded: DataFrame, model_path: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded) per row of ``encoded``: the text that
+    its ids (spaced decimals) decode to, their tokens joined by a space,
+    special ones included.
+
+    Ids that the vocabulary does not have give nothing, null ids the empty
+    text; what is no integer is an error. Repeated rows come back as they are;
+    very long id lists are handled whole; an empty table gives an empty table;
+    other columns are ignored.
+    """
+    model = read_model(model_path)
+    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(
+        lambda batches: decode_batches(batches, model),
+        "doc_id " + dict(encoded.dtypes)["doc_id"] + ", n_tokens long, ids string, decoded string",
     )
 
 
 def digests(encoded: DataFrame) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) per row of what ``decode``
+    gives: lowercase hex; null ids or text have a null digest; repeated rows
+    come back as they are, an empty table gives an empty table."""
     return encoded.select(
         "doc_id",
         "n_tokens",

@@ -68,7 +68,8 @@ def op6_simhash_classes(spark, sf):
 
 
 def op7_bpe_round_trip(spark, sf):
-    return bpe.digests(bpe.encode(table(spark, sf, "documents"), tokenizer_path()))
+    ids = bpe.encode(table(spark, sf, "documents"), tokenizer_path())
+    return bpe.digests(bpe.decode(ids, tokenizer_path()))
 
 
 def op8_exact_top_k(spark, sf):
