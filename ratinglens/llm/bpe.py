@@ -301,23 +301,24 @@ def names_of(numbers: dict[int, str]) -> pa.Array:
     return pa.array([numbers.get(i) for i in range(max(numbers) + 1)], pa.string())
 
 
-class Coder:
-    """Encoder of a tokenizer file, and its names of ids for encoding and decoding."""
+def held(kind, model: str):
+    """``kind(model)`` of this Python worker, which outlasts a task: what a
+    task unpickles, globals included, is its own."""
+    kept = sys.modules.setdefault("_bpe_held", types.ModuleType("_bpe_held")).__dict__
+    key = f"{kind.__name__} {hashlib.sha256(model.encode()).hexdigest()}"
+    if key not in kept:
+        kept[key] = kind(model)
+    return kept[key]
 
-    def __init__(self, model: str) -> None:
-        tables = parse(model)
-        self.encoder = Encoder(tables)
-        self.numbers, self.tokens = names_of(tables["number"]), names_of(tables["token"])
 
+def encoder_of(model: str) -> tuple[Encoder, pa.Array]:
+    """Encoder, and the decimals of the ids."""
+    tables = parse(model)
+    return Encoder(tables), names_of(tables["number"])
 
-def coder(model: str) -> Coder:
-    """The coder of this Python worker, which outlasts a task: what a task
-    unpickles, globals included, is its own."""
-    held = sys.modules.setdefault("_bpe_coders", types.ModuleType("_bpe_coders")).__dict__
-    key = hashlib.sha256(model.encode()).hexdigest()
-    if key not in held:
-        held[key] = Coder(model)
-    return held[key]
+
+def tokens_of(model: str) -> pa.Array:
+    return names_of(parse(model)["token"])
 
 
 def stretches(sizes: list[int], most: int):
@@ -335,15 +336,15 @@ def stretches(sizes: list[int], most: int):
 def encode_batches(batches, model: str, group_bytes: int = 4 << 20):
     """Appends n_tokens and ids (decimal, spaced) to each batch whose last
     column is the text."""
-    own = coder(model)
+    encoder, numbers = held(encoder_of, model)
     for batch in batches:
         column = batch.column(batch.num_columns - 1).cast(pa.binary())
         sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
         for a, b in stretches(sizes, group_bytes):
-            ids, cuts = own.encoder.encode([t or b"" for t in column.slice(a, b - a).to_pylist()])
+            ids, cuts = encoder.encode([t or b"" for t in column.slice(a, b - a).to_pylist()])
             part = batch.slice(a, b - a)
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:-1], pa.array(np.diff(cuts), pa.int64()), joined(ids, cuts, own.numbers)],
+                [*part.columns[:-1], pa.array(np.diff(cuts), pa.int64()), joined(ids, cuts, numbers)],
                 [*part.schema.names[:-1], "n_tokens", "ids"],
             )
 
@@ -367,7 +368,7 @@ def decoded(column: pa.Array, names: pa.Array) -> pa.Array:
 
 def decode_batches(batches, model: str, group_bytes: int = 8 << 20):
     """Appends the decoded text to each batch whose last column is the ids."""
-    names = coder(model).tokens
+    names = held(tokens_of, model)
     for batch in batches:
         column = batch.column(batch.num_columns - 1)
         sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
@@ -416,6 +417,16 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     )
 
 
+def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
+    """``decode`` of ``encode``: the same rows, in one pass. A batch of ids goes
+    to the decoder within the Python worker that made it."""
+    model = read_model(model_path)
+    return docs.select("doc_id", "text").mapInArrow(
+        lambda batches: decode_batches(encode_batches(batches, model), model),
+        "doc_id " + dict(docs.dtypes)["doc_id"] + ", n_tokens long, ids string, decoded string",
+    )
+
+
 def digests(encoded: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) per row of what ``decode``
     gives: lowercase hex; null ids or text have a null digest; repeated rows

@@ -68,8 +68,7 @@ def op6_simhash_classes(spark, sf):
 
 
 def op7_bpe_round_trip(spark, sf):
-    ids = bpe.encode(table(spark, sf, "documents"), tokenizer_path())
-    return bpe.digests(bpe.decode(ids, tokenizer_path()))
+    return bpe.digests(bpe.round_trip(table(spark, sf, "documents"), tokenizer_path()))
 
 
 def op8_exact_top_k(spark, sf):
