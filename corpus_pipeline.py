@@ -55,7 +55,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and their decoded text, per document."""
-    return bpe.decode(bpe.encode(docs, tokenizer_path()), tokenizer_path())
+    return bpe.round_trip(docs, tokenizer_path())
 
 
 STAGES = [
