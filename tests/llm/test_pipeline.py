@@ -29,7 +29,7 @@ def con():
 
 def test_all_are_registered():
     names = E.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert names["pipeline"] is P.run and len(P.STAGES) == 5
     assert set(Q.oracle_sql()) <= set(E.oracle_sql())
 
@@ -45,8 +45,6 @@ def test_queries_equal_their_sql(spark, con, name):
     assert sorted(str([r[c] for c in cols]) for r in got.collect()) == rows and rows
 
 
-
-
 def test_stages_equal_brute_force(spark, con):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     verdict = dict(con.execute(f"SELECT doc_id, kept FROM ({Q.oracle_sql()['op4_line_quality']})").fetchall())
