@@ -18,6 +18,7 @@ executor leaves the same file; all places are in the shared scratch folder.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -44,6 +45,9 @@ from .common import saved
 MAGIC = b"TOKSHARD1"
 #: Characters of text in a shard, on average.
 SHARD_CHARS = 48_000_000
+#: Bytes of text encoded at once: the arrays over its chunks take some forty
+#: times that, in each Python worker of an executor.
+GROUP_BYTES = 4 << 20
 #: Chunks whose ids are copied at once.
 AT_ONCE = 1 << 19
 #: White space bytes, and the bytes that a value of so many bytes keeps of eight.
@@ -210,7 +214,13 @@ class ChunkIds:
         new = [c for c, x in zip(chunks, ids) if x is None]
         if new:
             found = {c: self.older[c] for c in new if c in self.older}
-            found |= self.learn([c for c in new if c not in found])
+            collects = gc.isenabled()
+            gc.disable()  # many small lists, none in a cycle
+            try:
+                found |= self.learn([c for c in new if c not in found])
+            finally:
+                if collects:
+                    gc.enable()
             self.known |= found
             ids = [found[c] if x is None else x for c, x in zip(chunks, ids)]
         return ids
@@ -295,7 +305,7 @@ def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(uri)
 
 
-def write_shard(batches, folder: str, model: str, end_id: int, group_bytes: int = 12 << 20):
+def write_shard(batches, folder: str, model: str, end_id: int, group_bytes: int = GROUP_BYTES):
     """(doc_id, text) in ascending order -> one file; a row (shard, path, docs,
     ids, first_key, last_key, null_keys) if there was a document."""
     encoder = chunk_ids(model)

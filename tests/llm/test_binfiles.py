@@ -1,7 +1,10 @@
 import json
+import tracemalloc
+import types
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from odd_rows import no_docs, odd_docs  # noqa: F401
 
@@ -128,3 +131,19 @@ def test_keys_are_found_through_the_manifest(spark, model, monkeypatch):
     t = tokenizers.Tokenizer.from_str(model)
     want = sorted(zlib.crc32(np.array(t.encode(x, add_special_tokens=False).ids + [2], "<u4").tobytes()) for d, x in rows if d in (-200, 50, 195, 0))
     assert sorted(c for *_, c in got) == want
+
+
+def test_memory_of_a_shard_being_written(monkeypatch, model, tmp_dir):
+    """Short words, 24 MB of them: what is held at once does not depend on it."""
+    monkeypatch.setattr(binfiles, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    text = "of it. a the " * 7_700
+    batch = pa.RecordBatch.from_arrays([pa.array(range(240)), pa.array([text] * 240)], ["doc_id", "text"])
+    binfiles.chunk_ids(model).encode([text.encode()])
+    tracemalloc.start()
+    try:
+        rows = [r for b in binfiles.write_shard([batch], tmp_dir, model, 2) for r in b.to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows[0]["docs"] == 240 and rows[0]["ids"] == 240 * (7_700 * 5 + 1)
+    assert peak < 250e6
