@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratinglens.functions.scalar import name_key, parse_player_month, player_month_parts
+from ratinglens.operators.batch import by_player
 from ratinglens.schemas import RATING_COLS, REPORT_FIELDS
 
 # Fixed value: the text shown for a missing value or an empty result.
@@ -23,6 +24,11 @@ def _by_id(df: DataFrame, fide_id: str | None) -> DataFrame:
     return df if fide_id is None else df.filter(F.col("fide_id") == F.lit(str(fide_id)))
 
 
+def _side(df: DataFrame, fide_id: str | None) -> DataFrame:
+    """A side of a join by player; of one player it is small."""
+    return by_player(df) if fide_id is None else df
+
+
 def player_month(history: DataFrame, key: str) -> DataFrame:
     """One player-month by its ``ID_month_year`` lookup string; no row for a
     string that is not such a key."""
@@ -140,14 +146,14 @@ def player_count(counts: DataFrame, fide_id: str | None = None) -> DataFrame:
 
 def players_with_live(players: DataFrame, latest: DataFrame) -> DataFrame:
     """Players that have a live row (EXISTS)."""
-    return players.join(latest.select("fide_id"), "fide_id", "left_semi")
+    return players.join(by_player(latest.select("fide_id")), "fide_id", "left_semi")
 
 
 def live_with_count(latest: DataFrame, counts: DataFrame, fide_id: str | None = None) -> DataFrame:
     """Live row with its games count. No live row → no output row; a live
     row without a count keeps ``games_count`` NULL (shown as "no games")."""
     c = counts.select("fide_id", "games_count", F.lit(True).alias("_has"))
-    out = _by_id(latest, fide_id).join(_by_id(c, fide_id), "fide_id", "left")
+    out = _by_id(latest, fide_id).join(_side(_by_id(c, fide_id), fide_id), "fide_id", "left")
     return out.select(
         "fide_id",
         *REPORT_FIELDS,
@@ -179,10 +185,10 @@ def player_page(
         *[F.col(r).alias(f"{r}_curr") for r in RATING_COLS],
         F.lit(True).alias("has_live"),
     )
-    status = c.join(live, "fide_id", "full")
+    status = c.join(_side(live, fide_id), "fide_id", "full")
     own = _by_id(history, fide_id)
-    live_only = status.filter("has_live").join(own.select("fide_id"), "fide_id", "left_anti")
-    page = own.join(status, "fide_id", "left").unionByName(live_only, allowMissingColumns=True)
+    live_only = status.filter("has_live").join(_side(own.select("fide_id"), fide_id), "fide_id", "left_anti")
+    page = own.join(_side(status, fide_id), "fide_id", "left").unionByName(live_only, allowMissingColumns=True)
     has_count = F.coalesce(F.col("has_count"), F.lit(False))
     has_live = F.coalesce(F.col("has_live"), F.lit(False))
     show_live = has_live & has_count if strict else has_live

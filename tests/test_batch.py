@@ -1,7 +1,10 @@
 from conftest import rows
 from fixtures import players_df, ratings_df
+from pyspark.sql import functions as F
 
-from ratinglens.operators import batch
+from ratinglens.operators import batch, lookup
+from ratinglens.plans.explain import plan_text
+from ratinglens.schemas import REPORT_FIELDS
 
 
 def test_join_is_inner_and_keeps_golden_columns(spark):
@@ -129,3 +132,23 @@ def test_summary(spark):
 def test_id_name_view(spark):
     v = batch.id_name_view(players_df(spark))
     assert rows(v.filter("fide_id = '2'"), "name_key") == [("Name_Same_2",)]
+
+
+def test_joins_by_player_are_not_broadcast(spark):
+    """Small players too: their share of the driver's memory grows with them."""
+    p, r = players_df(spark), ratings_df(spark)
+    live = p.select("fide_id", *[F.lit("x").alias(c) for c in REPORT_FIELDS])
+    j = batch.players_and_ratings(p, r)
+    found = [
+        j,
+        batch.orphan_ratings(p, r),
+        batch.players_without_ratings(p, r),
+        batch.rejected_players(p, p),
+        lookup.players_with_live(p, live),
+        lookup.live_with_count(live, batch.rating_counts(j)),
+        lookup.player_page(batch.history_view(j), batch.rating_counts(j), live),
+    ]
+    for df in found:
+        df.collect()
+        text = plan_text(df, "simple")
+        assert "SortMergeJoin" in text and "Broadcast" not in text, text
