@@ -9,7 +9,7 @@ would also match ``15030140``). Only the name search is a prefix search.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratinglens.functions.scalar import name_key, parse_player_month, player_month_parts
@@ -94,23 +94,35 @@ def first_rows(view: DataFrame, key_col: str, prefixes: DataFrame, prefix_col: s
     whose key starts with that prefix; ``found`` is false (and the values
     NULL) where no key does, or the prefix is NULL. Keys are unique.
 
-    A prefix of n characters is looked up among the keys' first n characters,
-    so this is an equality join, not a range join: every key is offered once
-    per length that occurs among the prefixes (a handful), and what is offered
-    is reduced to one row per prefix by a partial aggregate before any
-    shuffle of hot prefixes could gather in one task."""
-    wanted = prefixes.select(F.col(prefix_col).alias("_prefix")).distinct()
-    lengths = sorted(r[0] for r in wanted.select(F.length("_prefix")).distinct().collect() if r[0] is not None)
-    offered = F.array(
-        *[F.when(F.length(key_col) >= n, F.substring(F.col(key_col), 1, n)) for n in lengths]
-    ) if lengths else F.array().cast("array<string>")
-    rows = view.select(F.explode(offered).alias("_prefix"), F.col(key_col).alias("_key"), F.struct(*view.columns).alias("_row"))
+    The first such key is the least one that is not below the prefix, if it
+    starts with it. So keys and prefixes are put in one order, dealt over
+    partitions by ranges of it, and each prefix takes the next key; at the end
+    of a partition this is the first key of a later one (a row per partition).
+    Each row of the view is shuffled twice, whatever the lengths of the
+    prefixes, and a prefix that many keys share gathers nothing."""
+    rows = view.filter(F.col(key_col).isNotNull()).select(F.col(key_col).alias("_text"), F.struct(*view.columns).alias("_row"))
+    wanted = prefixes.filter(F.col(prefix_col).isNotNull()).select(F.col(prefix_col).alias("_text")).distinct()
+    both = rows.unionByName(wanted, allowMissingColumns=True)
+    ranged = both.repartitionByRange("_text").withColumn("_part", F.spark_partition_id())
+    # From the end: a key comes before the prefix that equals it.
+    back = Window.partitionBy("_part").orderBy(F.desc("_text"), F.col("_row").isNull())
+    seen = ranged.select(
+        "_text",
+        "_part",
+        F.col("_row").isNull().alias("_asked"),
+        F.last("_row", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0)).alias("_next"),
+        F.lead("_part").over(back).isNull().alias("_start"),
+    )
+    # A row per partition; the parts after each, from the last one on.
+    later = Window.orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)
+    after = seen.filter("_start").select("_part", F.last("_next", ignorenulls=True).over(later).alias("_later"))
     best = (
-        rows.join(wanted, "_prefix", "left_semi")
-        .groupBy("_prefix")
-        .agg(F.min_by("_row", "_key").alias("_row"))
+        seen.filter("_asked")
+        .join(F.broadcast(after), "_part", "left")
+        .select(F.col("_text").alias("_prefix"), F.coalesce("_next", "_later").alias("_row"))
+        .filter(F.col(f"_row.{key_col}").startswith(F.col("_prefix")))
     )
-    out = prefixes.join(best, F.col(prefix_col) == F.col("_prefix"), "left")
+    out = prefixes.join(best.hint("merge"), F.col(prefix_col) == F.col("_prefix"), "left")
     return out.select(
         *prefixes.columns,
         F.col("_row").isNotNull().alias("found"),

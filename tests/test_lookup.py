@@ -1,7 +1,11 @@
+import random
+
 from conftest import rows
 from fixtures import players_df, ratings_df
+from test_skew import conf
 
 from ratinglens.operators import batch, lookup, serving, series
+from ratinglens.plans.explain import plan_text
 
 
 def _views(spark):
@@ -182,5 +186,30 @@ def test_first_rows_of_a_key_ordered_scan(spark):
     assert "TakeOrderedAndProject" in lookup.first_row(view, "k", "5")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_first_rows_over_many_partitions(spark):
+    """Every prefix of every key and more, dealt over partitions so that the
+    next key is often in a later one; the view is not offered per length."""
+    rng = random.Random(3)
+    keys = sorted({"".join(rng.choice("01_é") for _ in range(rng.randint(0, 6))) for _ in range(300)})
+    asked = sorted({k[:n] for k in keys for n in range(7)} | {k + c for k in keys for c in "0z"}) + [None]
+    view = spark.createDataFrame([(k, i) for i, k in enumerate(keys)] + [(None, -1)], "k string, v int").repartition(5)
+    prefixes = spark.createDataFrame([(p,) for p in asked], "prefix string")
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "40"}
+    with conf(spark, held):
+        df = lookup.first_rows(view, "k", prefixes)
+        got = {r.prefix: (r.found, r.k, r.v) for r in df.collect()}
+    assert "Generate" not in plan_text(df, "simple")
+    assert len(got) == len(asked)
+    for p in asked:
+        k = None if p is None else min((k for k in keys if k.startswith(p)), key=str.encode, default=None)
+        assert got[p] == ((False, None, None) if k is None else (True, k, keys.index(k))), p
+
+
+def test_first_rows_of_a_repeated_key(spark):
+    view = spark.createDataFrame([("a1", 1), ("a1", 1), ("b", 2)], "k string, v int")
+    got = lookup.first_rows(view, "k", spark.createDataFrame([("a",), ("a1",)], "prefix string"))
+    assert sorted(map(tuple, got.collect())) == [("a", True, "a1", 1), ("a1", True, "a1", 1)]
+
+
 def rows_of(df, *cols):
     return [tuple(r) for r in df.select(*cols).collect()]
