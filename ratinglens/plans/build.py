@@ -4,7 +4,8 @@
 and writes the joined table (partitioned by year); a per-player-year rollup from
 which the yearly, federation and count views follow is made from its files, the
 keyed history view (one row per player-month) and the current ratings from the
-keyed fact. Each view's lineage starts at
+keyed fact; of a fact that is unique the history is the joined table's own rows,
+and no second join is made. Each view's lineage starts at
 a file scan in the shared folder, so a lost executor re-reads files instead of
 recomputing the join; nothing is kept on executors' disks. Rows that cannot be
 keyed are written next to the views (``rejects``).
@@ -183,10 +184,12 @@ def build_views(
         else spark.read.parquet(paths["players_and_ratings"])
     )
     keyed = batch.keyed_ratings(ratings, unique_ratings)
-    if not unique_ratings:
+    if unique_ratings:  # files of one year each: they need not be brought together
+        history = batch.history_view(batch.keyed_ratings(joined, True))
+    else:
         keyed = once(keyed, "keyed_ratings")
-    history = batch.history_view(batch.players_and_ratings(known, keyed))
-    put(together(history), "history", ["fide_id", "month"], ["year"])
+        history = together(batch.history_view(batch.players_and_ratings(known, keyed)))
+    put(history, "history", ["fide_id", "month"], ["year"])
 
     # One pass over the joined table; three views from the small rollup.
     rollup_path = f"{dst}/_year_rollup"

@@ -11,6 +11,9 @@ from ratinglens.plans.build import build_views, model_from_tables, read_views, r
 from ratinglens.plans.explain import partition_filters, plan_text, pushed_filters, read_schemas
 
 
+RATING_TYPES = "fide_id string, year long, month long, rating_standard long, rating_rapid long, rating_blitz long"
+
+
 def own_queries():
     """The registered queries but for those of the optional operators."""
     return {n[2:] for n in vars(E) if n.startswith("q_")}
@@ -240,3 +243,18 @@ def test_bucketed_views_join_without_shuffling_history(spark, tmp_dir):
         assert rows(bucketed["id_count"]) == rows(m.batch_counts)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_unique_fact_is_joined_once(spark, tmp_dir, monkeypatch):
+    """The history of a fact with a row per player-month is the joined rows
+    that have a key."""
+    joins, join = [], batch.players_and_ratings
+    monkeypatch.setattr(batch, "players_and_ratings", lambda *a: joins.append(a) or join(*a))
+    ratings = [("1", 2016, 1, 9, 8, 7), ("1", 2016, 2, 1, None, 3), ("2", 2017, 13, 1, 1, 1), ("2", None, 1, 1, 1, 1), ("9", 2016, 1, 1, 1, 1)]
+    r = spark.createDataFrame(ratings, RATING_TYPES)
+    views = read_views(spark, build_views(spark, players_df(spark), r, f"{tmp_dir}/once", unique_ratings=True))
+    assert len(joins) == 1
+    twice = read_views(spark, build_views(spark, players_df(spark), r, f"{tmp_dir}/twice"))
+    assert rows(views["history"], "row_key", "rating_blitz") == [("1_2016_1", 7), ("1_2016_2", 3)]
+    for name in views:
+        assert sorted(map(str, views[name].collect())) == sorted(map(str, twice[name].collect())), name
