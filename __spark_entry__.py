@@ -31,7 +31,7 @@ from ratinglens.operators import batch, cells, lookup, series  # noqa: E402
 from ratinglens.plans.build import Model, build_views, model_from_tables, read_views  # noqa: E402
 from ratinglens.plans.service import RatingService  # noqa: E402
 from ratinglens.schemas import JOINED_COLS, RATINGS  # noqa: E402
-from ratinglens.session import scratch_dir  # noqa: E402
+from ratinglens.session import at_once, scratch_dir  # noqa: E402
 from ratinglens.sources import delimited, store, tables  # noqa: E402
 from ratinglens.streaming import metrics, speed  # noqa: E402
 
@@ -127,7 +127,11 @@ def _built_paths(spark, sf):
 
 def _service(spark, sf):
     """The serving facade over built views and a streamed speed store."""
-    return RatingService(spark, _built_paths(spark, sf), _once(spark, sf, "speed", lambda: _stream_message_files(spark, sf)))
+    return RatingService(spark, *at_once(lambda: _built_paths(spark, sf), lambda: _speed_root(spark, sf)))
+
+
+def _speed_root(spark, sf):
+    return _once(spark, sf, "speed", lambda: _stream_message_files(spark, sf))
 
 
 def q_built_joined(spark, sf):
@@ -355,8 +359,8 @@ def q_player_page_all(spark, sf):
         m = _members(spark, sf)
         return build_views(spark, m.players, m.ratings, scratch_dir(spark, "member-views"), unique_ratings=True)
 
-    speed_root = _once(spark, sf, "speed", lambda: _stream_message_files(spark, sf))
-    return RatingService(spark, _once(spark, sf, "member-views", build), speed_root).player_page()
+    made = at_once(lambda: _once(spark, sf, "member-views", build), lambda: _speed_root(spark, sf))
+    return RatingService(spark, *made).player_page()
 
 
 def q_games_count_merged(spark, sf):
@@ -442,8 +446,7 @@ def _stream_message_files(spark, sf):
 
 
 def q_stream_latest(spark, sf):
-    root = _once(spark, sf, "speed", lambda: _stream_message_files(spark, sf))
-    return speed.live_view(speed.read_speed_state(spark, root))
+    return speed.live_view(speed.read_speed_state(spark, _speed_root(spark, sf)))
 
 
 def q_stream_counts(spark, sf):

@@ -5,7 +5,8 @@ and writes the joined table (partitioned by year); a per-player-year rollup from
 which the yearly, federation and count views follow is made from its files, the
 keyed history view (one row per player-month) and the current ratings from the
 keyed fact; of a fact that is unique the history is the joined table's own rows,
-and no second join is made. Each view's lineage starts at
+and no second join is made. Views that do not need each other are written at the
+same time. Each view's lineage starts at
 a file scan in the shared folder, so a lost executor re-reads files instead of
 recomputing the join; nothing is kept on executors' disks. Rows that cannot be
 keyed are written next to the views (``rejects``).
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ratinglens.operators import batch, serving
 from ratinglens.schemas import JOINED_COLS
+from ratinglens.session import at_once
 from ratinglens.sources import tables
 from ratinglens.sources.delimited import write_table
 from ratinglens.streaming import speed
@@ -171,34 +173,39 @@ def build_views(
         return spark.read.schema(df.schema).parquet(f"{dst}/_inputs/{name}")
 
     rejects = reject_paths(dst)
-    players, ratings = once(players, "players"), once(ratings, "ratings")
+    players, ratings = at_once(lambda: once(players, "players"), lambda: once(ratings, "ratings"))
     known = once(batch.clean_players(players), "known_players")
-    write_table(batch.rejected_players(players, known), rejects["players"])
-    write_table(batch.rejected_ratings(ratings), rejects["ratings"])
-    put(batch.id_name_view(known), "id_name", ["first_name", "last_name"])
-
-    put(together(batch.players_and_ratings(known, ratings)), "players_and_ratings", ["fide_id", "month"], ["year"])
+    keyed = batch.keyed_ratings(ratings, unique_ratings)
+    *_, keyed = at_once(
+        lambda: put(together(batch.players_and_ratings(known, ratings)), "players_and_ratings", ["fide_id", "month"], ["year"]),
+        lambda: write_table(batch.rejected_players(players, known), rejects["players"]),
+        lambda: write_table(batch.rejected_ratings(ratings), rejects["ratings"]),
+        lambda: put(batch.id_name_view(known), "id_name", ["first_name", "last_name"]),
+        lambda: keyed if unique_ratings else once(keyed, "keyed_ratings"),
+    )
     joined = (
         spark.table(table_prefix + "players_and_ratings")
         if buckets
         else spark.read.parquet(paths["players_and_ratings"])
     )
-    keyed = batch.keyed_ratings(ratings, unique_ratings)
     if unique_ratings:  # files of one year each: they need not be brought together
         history = batch.history_view(batch.keyed_ratings(joined, True))
     else:
-        keyed = once(keyed, "keyed_ratings")
         history = together(batch.history_view(batch.players_and_ratings(known, keyed)))
-    put(history, "history", ["fide_id", "month"], ["year"])
 
     # One pass over the joined table; three views from the small rollup.
     rollup_path = f"{dst}/_year_rollup"
-    write_table(batch.year_rollup(joined), rollup_path)
+    at_once(
+        lambda: put(history, "history", ["fide_id", "month"], ["year"]),
+        lambda: write_table(batch.year_rollup(joined), rollup_path),
+        lambda: put(batch.current_rating(keyed), "current_rating", ["fide_id"]),
+    )
     rollup = spark.read.parquet(rollup_path)
-    put(batch.ratings_by_year_from_rollup(rollup), "by_year", ["fide_id", "year"])
-    put(batch.ratings_by_federation_year_from_rollup(rollup), "fed_by_year", ["federation", "year"])
-    put(batch.rating_counts_from_rollup(rollup), "id_count", ["fide_id"])
-    put(batch.current_rating(keyed), "current_rating", ["fide_id"])
+    at_once(
+        lambda: put(batch.ratings_by_year_from_rollup(rollup), "by_year", ["fide_id", "year"]),
+        lambda: put(batch.ratings_by_federation_year_from_rollup(rollup), "fed_by_year", ["federation", "year"]),
+        lambda: put(batch.rating_counts_from_rollup(rollup), "id_count", ["fide_id"]),
+    )
     return paths
 
 

@@ -1,4 +1,8 @@
-from ratinglens.session import checkpoint_root, scale_conf, scratch_dir
+import threading
+
+import pytest
+
+from ratinglens.session import at_once, checkpoint_root, scale_conf, scratch_dir
 
 
 def test_scale_conf_bounds():
@@ -16,3 +20,10 @@ def test_scratch_dirs_are_unique_and_under_checkpoint_root(spark):
     root = checkpoint_root(spark)
     a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert a != b and a.startswith(root.rstrip("/")) and b.startswith(root.rstrip("/"))
+
+
+def test_independent_jobs_run_at_once(spark):
+    met = threading.Barrier(2, timeout=60)  # one after another would never meet
+    assert at_once(lambda: met.wait() >= 0 and spark.range(5).count(), lambda: met.wait() >= 0 and "b") == [5, "b"]
+    with pytest.raises(ZeroDivisionError):
+        at_once(lambda: 1 / 0, lambda: 1)
