@@ -127,7 +127,7 @@ def _built_paths(spark, sf):
 
 def _service(spark, sf):
     """The serving facade over built views and a streamed speed store."""
-    return RatingService(spark, *at_once(lambda: _built_paths(spark, sf), lambda: _speed_root(spark, sf)))
+    return RatingService(spark, *at_once(spark, lambda: _built_paths(spark, sf), lambda: _speed_root(spark, sf)))
 
 
 def _speed_root(spark, sf):
@@ -359,7 +359,7 @@ def q_player_page_all(spark, sf):
         m = _members(spark, sf)
         return build_views(spark, m.players, m.ratings, scratch_dir(spark, "member-views"), unique_ratings=True)
 
-    made = at_once(lambda: _once(spark, sf, "member-views", build), lambda: _speed_root(spark, sf))
+    made = at_once(spark, lambda: _once(spark, sf, "member-views", build), lambda: _speed_root(spark, sf))
     return RatingService(spark, *made).player_page()
 
 

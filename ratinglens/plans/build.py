@@ -173,10 +173,11 @@ def build_views(
         return spark.read.schema(df.schema).parquet(f"{dst}/_inputs/{name}")
 
     rejects = reject_paths(dst)
-    players, ratings = at_once(lambda: once(players, "players"), lambda: once(ratings, "ratings"))
+    players, ratings = at_once(spark, lambda: once(players, "players"), lambda: once(ratings, "ratings"))
     known = once(batch.clean_players(players), "known_players")
     keyed = batch.keyed_ratings(ratings, unique_ratings)
     *_, keyed = at_once(
+        spark,
         lambda: put(together(batch.players_and_ratings(known, ratings)), "players_and_ratings", ["fide_id", "month"], ["year"]),
         lambda: write_table(batch.rejected_players(players, known), rejects["players"]),
         lambda: write_table(batch.rejected_ratings(ratings), rejects["ratings"]),
@@ -196,12 +197,14 @@ def build_views(
     # One pass over the joined table; three views from the small rollup.
     rollup_path = f"{dst}/_year_rollup"
     at_once(
+        spark,
         lambda: put(history, "history", ["fide_id", "month"], ["year"]),
         lambda: write_table(batch.year_rollup(joined), rollup_path),
         lambda: put(batch.current_rating(keyed), "current_rating", ["fide_id"]),
     )
     rollup = spark.read.parquet(rollup_path)
     at_once(
+        spark,
         lambda: put(batch.ratings_by_year_from_rollup(rollup), "by_year", ["fide_id", "year"]),
         lambda: put(batch.ratings_by_federation_year_from_rollup(rollup), "fed_by_year", ["federation", "year"]),
         lambda: put(batch.rating_counts_from_rollup(rollup), "id_count", ["fide_id"]),

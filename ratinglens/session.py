@@ -91,12 +91,12 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def at_once(*jobs: Callable[[], object]) -> list:
+def at_once(spark: SparkSession, *jobs: Callable[[], object]) -> list:
     """Results of jobs that do not need each other, each submitted from a
     thread of its own: where one has fewer tasks than the cluster has cores,
     another uses the rest. All have ended when a failure is raised."""
     with ThreadPoolExecutor(len(jobs)) as pool:
-        running = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
     return [r.result() for r in running]
 
 

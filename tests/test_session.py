@@ -24,6 +24,6 @@ def test_scratch_dirs_are_unique_and_under_checkpoint_root(spark):
 
 def test_independent_jobs_run_at_once(spark):
     met = threading.Barrier(2, timeout=60)  # one after another would never meet
-    assert at_once(lambda: met.wait() >= 0 and spark.range(5).count(), lambda: met.wait() >= 0 and "b") == [5, "b"]
+    assert at_once(spark, lambda: met.wait() >= 0 and spark.range(5).count(), lambda: met.wait() >= 0 and "b") == [5, "b"]
     with pytest.raises(ZeroDivisionError):
-        at_once(lambda: 1 / 0, lambda: 1)
+        at_once(spark, lambda: 1 / 0, lambda: 1)
