@@ -427,4 +427,5 @@ def keep_one(docs: DataFrame, max_bits: int = 2, width: int = 3) -> DataFrame:
     first = rows.groupBy(F.col("_simhash_fp").alias("fp")).agg(F.min("_simhash_own").alias("first"))
     named = class_labels(saved(first, "simhash-distinct"), max_bits)
     stay = named.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_simhash_row"))
-    return rows.join(stay, "_simhash_row", "left_semi").select([quoted(c) for c in docs.columns])
+    # A table of row numbers is built per partition; the texts stream past it unsorted.
+    return rows.join(stay.hint("shuffle_hash"), "_simhash_row", "left_semi").select([quoted(c) for c in docs.columns])

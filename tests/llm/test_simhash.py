@@ -142,3 +142,11 @@ def test_keep_one_judges_every_row(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     kept = sorted(((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()), key=str)
     assert kept == sorted([(None, a), (9, b), (8, c), (8, d), (20, right)], key=str)
+
+
+def test_keep_one_streams_texts_unsorted(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 3} of some words") for i in range(9)], "doc_id long, text string")
+    kept = simhash.keep_one(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [_simhash_row" in plan and "Sort [_simhash_row" not in plan
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2]
