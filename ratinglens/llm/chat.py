@@ -49,9 +49,10 @@ def events_of_turns(conversations: DataFrame) -> DataFrame:
     text; a null turn comes first."""
     tied = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
     place = F.struct(F.col("turn").cast("long").alias("turn"), F.row_number().over(tied).alias("tie"))
-    return conversations.select(
-        "conv_id", place.alias("seq"), place.alias("turn"), F.lit("message").alias("kind"), "role", "text"
-    )
+    placed = conversations.select("conv_id", place.alias("seq"), "role", "text")
+    # The kind is named above the window, where it stays a constant: fold's part
+    # for regenerations, another pass over all rows, is then known to be empty.
+    return placed.select("conv_id", "seq", F.col("seq").alias("turn"), F.lit("message").alias("kind"), "role", "text")
 
 
 def fold(events: DataFrame) -> DataFrame:

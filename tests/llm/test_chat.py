@@ -126,3 +126,11 @@ def test_difficult_rows(spark):
     assert got[None].n_turns == 2 and got[None].loss_chars == 250_000
     none = df.where("false")
     assert chat.read_back(chat.render(chat.fold(chat.events_of_turns(none)))).count() == 0
+
+
+def test_whole_messages_are_numbered_and_folded_in_one_pass(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "hi")], "conv_id long, turn long, role string, text string").repartition(2)
+    messages = chat.fold(chat.events_of_turns(rows.unionByName(rows)))
+    plan = messages._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window ") == 1 and "Join" not in plan
+    assert sorted(tuple(r) for r in messages.collect()) == [(1, (0, 1), "user", "hi"), (1, (0, 2), "user", "hi")]
