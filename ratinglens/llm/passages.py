@@ -11,9 +11,10 @@ starts anywhere else. The work is narrowed in exact steps:
    are counted; a window seen twice is a confirmed recurring phrase.
 3. *Automata.* Documents with candidates are dealt into shards of bounded
    text. For each shard, every confirmed context present gets one
-   representative; its phrases are compiled into an Aho-Corasick automaton
-   over word numbers, and all documents of the shard are streamed through it
-   to locate every occurrence.
+   representative; each run of its confirmed windows is a phrase of an
+   Aho-Corasick automaton over word numbers, and all documents of the shard
+   are streamed through it, from wherever a phrase's first words stand, to
+   locate every occurrence.
 
 No step gathers a phrase's occurrences: hot phrases and groups of copies are
 combined by partial aggregation, and copies are dealt over shards by row.
@@ -22,6 +23,7 @@ combined by partial aggregation, and copies are dealt over shards by row.
 from __future__ import annotations
 
 from functools import partial
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -36,19 +38,16 @@ from .common import quoted, saved
 
 #: Characters of candidate text in a shard (bounds automaton and buffers).
 SHARD_CHARS = 2_000_000
+#: First words of a phrase by which the places where one may start are found.
+OPENING = 4
 BASE = 0x9E3779B97F4A7C15 | 1
 MASK = (1 << 64) - 1
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
-class WordHashes(dict):
-    """64-bit hash by word, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word, 7)
-        return h
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hash of each word; hashing anew is faster than remembering."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(7)), np.uint64, len(words))
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -104,7 +103,7 @@ def text_key(text: Column) -> Column:
 
 def emit_anchors(batches, width: int, gram: int):
     """(k1, text) -> (a, n, k1): each anchor of a text, how often."""
-    cache, powers = WordHashes(), Powers()
+    powers = Powers()
     for batch in batches:
         keys = batch.column(0).to_numpy(zero_copy_only=False)
         found, counts, rows = [], [], []
@@ -112,7 +111,7 @@ def emit_anchors(batches, width: int, gram: int):
             w = (text.as_py() or "").encode().split()
             if len(w) < width:
                 continue
-            h = np.fromiter(map(cache.__getitem__, w), np.uint64, len(w))
+            h = word_hashes(w)
             g = powers.sequence_hashes(h, gram)
             at = anchors(g, width - gram + 1)
             a, n = np.unique(g[at[np.r_[True, at[1:] != at[:-1]]]], return_counts=True)
@@ -134,13 +133,13 @@ def emit_anchors(batches, width: int, gram: int):
 def emit_contexts(batches, width: int, gram: int):
     """(shard, k1, k2, text, anchors) -> (shard, k1, k2, lo, ws): for each
     recurring anchor occurrence its first window and its windows' hashes."""
-    cache, powers = WordHashes(), Powers()
+    powers = Powers()
     for batch in batches:
         shards, keys1, keys2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2))
         rows, los, sizes, hashes = [], [], [], []
         for row, (text, known) in enumerate(zip(batch.column(3), batch.column(4))):
             w = text.as_py().encode().split()
-            h = np.fromiter(map(cache.__getitem__, w), np.uint64, len(w))
+            h = word_hashes(w)
             g = powers.sequence_hashes(h, gram)
             at = anchors(g, width - gram + 1)
             recurring = known.values.to_numpy().view(np.uint64)
@@ -169,18 +168,40 @@ def emit_contexts(batches, width: int, gram: int):
             )
 
 
-def phrase_starts(lo: int, size: int, offsets) -> list[int]:
-    """Starts of the first and last window of each run of confirmed windows
-    of a context (no offsets: all ``size`` of them); a context is short enough
-    for these two to cover the run."""
+def phrase_runs(lo: int, size: int, offsets) -> list[tuple[int, int]]:
+    """(start of the first, start of the last window) of each run of confirmed
+    windows of a context (no offsets: all ``size`` of them)."""
     if offsets is None:
-        return [lo, lo + size - 1]
-    o = sorted(offsets)
-    starts = [lo + o[0], lo + o[-1]]
-    for x, y in zip(o, o[1:]):
-        if y - x > 1:
-            starts += [lo + x, lo + y]
-    return starts
+        return [(lo, lo + size - 1)]
+    o = np.sort(offsets)
+    gap = np.diff(o) > 1
+    return [(lo + int(x), lo + int(y)) for x, y in zip(o[np.r_[True, gap]], o[np.r_[gap, True]])]
+
+
+def openings(numbers: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the ``k`` words from each word on, where there are so many."""
+    out = numbers[: max(0, len(numbers) - k + 1)]
+    for i in range(1, k):
+        out = out * np.uint64(BASE) + numbers[i : i + len(out)]
+    return out
+
+
+def places(hashes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where ``hashes`` has one of ``wanted``, which is sorted."""
+    if not len(wanted):
+        return np.empty(0, np.int64)
+    at = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
+    return np.flatnonzero(wanted[at] == hashes)
+
+
+def stretches(starts: np.ndarray, length: int, n: int):
+    """(from, to) of the parts of ``n`` words that are within ``length`` words
+    of a start, overlapping ones joined."""
+    if not len(starts):
+        return
+    new = np.diff(starts) >= length
+    for a, b in zip(starts[np.r_[True, new]].tolist(), starts[np.r_[new, True]].tolist()):
+        yield a, min(n, b + length)
 
 
 class Numbers(dict):
@@ -197,19 +218,27 @@ def locate(docs: pd.DataFrame, phrases: pd.DataFrame, width: int, removed_col: s
     number = Numbers().__getitem__
     texts = dict(zip(zip(docs["_k1"], docs["_k2"]), docs["text"]))
     ids = {key: tuple(map(number, text.encode().split())) for key, text in texts.items()}
+    opened = {key: openings(np.array(own, np.uint64), min(width, OPENING)) for key, own in ids.items()}
     automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
+    first, longest = set(), 0
     for k1, k2, lo, size, offsets in zip(*(phrases[c].tolist() for c in ("k1", "k2", "lo", "m", "offs"))):
         own = ids[k1, k2]
-        for start in phrase_starts(lo, size, offsets):
-            automaton.add_word(own[start : start + width])
+        for start, last in phrase_runs(lo, size, offsets):
+            automaton.add_word(own[start : last + width])
+            first.add(opened[k1, k2][start])
+            longest = max(longest, last + width - start)
     automaton.make_automaton()
+    first = np.sort(np.array(list(first), np.uint64))
     done: dict = {}
     for key, text in texts.items():
-        ends = [end for end, _ in automaton.iter(ids[key])] if len(automaton) else []
-        edge = np.zeros(len(ids[key]) + 1, np.int64)
-        at = np.array(ends, np.int64) + 1  # at most one phrase ends at a word
-        edge[at - width] += 1
-        edge[at] -= 1
+        own = ids[key]
+        edge = np.zeros(len(own) + 1, np.int64)
+        # A phrase can only start where its first words stand.
+        for a, b in stretches(places(opened[key], first), longest, len(own)):
+            found = np.array([x for end, n in automaton.iter(own[a:b]) for x in (a + end + 1, n)], np.int64)
+            after, length = found[::2], found[1::2]
+            np.add.at(edge, after - length, 1)
+            np.add.at(edge, after, -1)
         covered = np.cumsum(edge[:-1]) > 0
         done[key] = (cut(text, covered), int(covered.sum()))
     outcome = [done[k] for k in zip(docs["_k1"], docs["_k2"])]

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 from brute import words, without_repeats
 from odd_rows import no_docs, odd_docs  # noqa: F401
 
@@ -94,3 +95,51 @@ def test_equal_rows_use_several_shards(spark, monkeypatch):
     got = passages.remove_repeats(docs).collect()
     assert len(got) == 50 and {(r._removed, r.text.strip(), r["a.b"]) for r in got} == {(60, "", 1)}
     assert seen.value > 20
+
+
+class Watched:
+    """The automaton, with the lengths of what goes in."""
+
+    def __init__(self, *kinds):
+        self.own, self.learnt, self.streamed = plain_automaton(*kinds), [], []
+        Watched.last = self
+
+    def add_word(self, phrase):
+        self.learnt.append(len(phrase))
+        self.own.add_word(phrase)
+
+    def make_automaton(self):
+        self.own.make_automaton()
+
+    def iter(self, numbers):
+        self.streamed.append(len(numbers))
+        return self.own.iter(numbers)
+
+    def __len__(self):
+        return len(self.own)
+
+
+plain_automaton = passages.ahocorasick.Automaton
+
+
+def test_a_run_is_one_phrase_and_other_words_are_not_streamed(monkeypatch):
+    monkeypatch.setattr(passages.ahocorasick, "Automaton", Watched)
+    run = [f"p{i}" for i in range(44)]
+    clean = [f"c{i}" for i in range(5000)]
+    texts = [" ".join(["a", *run, "b"]), " ".join([*clean, *run, *clean]), " ".join([*clean, *run[:34]])]
+    docs = pd.DataFrame({"_shard": 0, "_k1": range(3), "_k2": 0, "text": texts})
+    phrases = pd.DataFrame({"k1": [0, 1], "k2": 0, "lo": [1, 5001], "m": [10, 9], "offs": [None, [8, 0, 7, 1]]})
+    out = passages.locate(docs, phrases, 35, "n")
+    assert out["n"].tolist() == [44, 44, 0] and out["text"][0].split() == ["a", "b"]
+    assert sorted(Watched.last.learnt) == [36, 36, 44]
+    assert sum(Watched.last.streamed) < 300
+
+
+def test_openings_and_stretches():
+    a = np.array([3, 1, 2, 3, 1, 2], np.uint64)
+    got = passages.openings(a, 3)
+    assert len(got) == 4 and got[0] == got[3] and len(set(got.tolist())) == 3
+    assert not len(passages.openings(a[:2], 3)) and not len(passages.places(got, got[:0]))
+    assert passages.places(got, np.sort(got[1:2])).tolist() == [1]
+    assert list(passages.stretches(np.array([2, 5, 9, 30]), 5, 32)) == [(2, 14), (30, 32)]
+    assert list(passages.stretches(np.array([], np.int64), 5, 32)) == []
